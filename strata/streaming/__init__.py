@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source pipeline is batch only: it has no stream sources, watermarks,
+event-time windows or state. The row-local stages (``strata.operators.staging``:
+clean, derive, validate) are single projections and apply unchanged to a
+streaming DataFrame; nothing streaming-specific is built here.
+"""
