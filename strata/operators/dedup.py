@@ -10,14 +10,31 @@ from pyspark.sql import functions as F
 # Survivor order for products: the listing with most ratings wins, then the
 # higher rating, then the cheaper prices; the other columns break what is left.
 PRODUCT_SURVIVOR_ORDER = (
-    F.desc_nulls_last("no_of_ratings"),
-    F.desc_nulls_last("ratings"),
-    F.asc_nulls_first("discount_price"),
-    F.asc_nulls_first("actual_price"),
+    ("no_of_ratings", "desc"),
+    ("ratings", "desc"),
+    ("discount_price", "asc"),
+    ("actual_price", "asc"),
 )
 
+OrderItem = Column | str | tuple[str, str]
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), *,
+
+def sort_column(item: OrderItem) -> Column:
+    """A sort expression from a Column, a name (ascending) or ``(name, "asc"|"desc")``.
+
+    Ascending puts NULLs first and descending puts them last (Spark's defaults).
+    """
+    if isinstance(item, Column):
+        return item
+    name, direction = (item, "asc") if isinstance(item, str) else item
+    if direction == "asc":
+        return F.asc_nulls_first(f"`{name}`")
+    if direction == "desc":
+        return F.desc_nulls_last(f"`{name}`")
+    raise ValueError(f"unknown sort direction {direction!r}")
+
+
+def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem] = (), *,
                  total_order: bool = True) -> DataFrame:
     """Keep exactly one row per key (NULL key parts compare equal).
 
@@ -27,7 +44,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (
     window group limit before the shuffle, so each map task forwards at most
     one row per key: a hot key costs one row per map task, not its row count.
     """
-    order = list(order)
+    order = [sort_column(o) for o in order]
     if total_order:
         named = {str(c) for c in keys}
         order += [F.asc_nulls_first(f"`{c}`") for c in df.columns if c not in named]

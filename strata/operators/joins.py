@@ -53,7 +53,7 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, left_keys: Sequence[str],
     # is repeated once per salt value, and the salt joins as an extra key.
     salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]),
                                                   F.lit(salt)))
-    salted_dim = d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).cast("long"))
+    salted_dim = d.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
     cond = key_condition(salted_fact, salted_dim, left_keys, dk, null_safe) & (
         salted_fact["_salt"] == salted_dim["_salt"])
     return salted_fact.join(salted_dim, cond, "left").drop(*dk, "_salt")
