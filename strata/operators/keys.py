@@ -27,6 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_PER_BUCKET = 20
+# Inputs up to this many rows (counted, so the bound is proven) are numbered in
+# one bucket, which saves the sampling job; larger inputs are spread out.
+SINGLE_BUCKET_MAX_ROWS = 250_000
 
 
 def _sort_key(df: DataFrame, order: Sequence[str]) -> Column:
@@ -79,12 +82,15 @@ def bucket_of(key: Column, bounds: Sequence, names: Sequence[str], types) -> Col
 
 def dense_key(df: DataFrame, order: Sequence[str], key: str = "key", *,
               buckets: int | None = None, bounds: Sequence | None = None,
-              rows: int | None = None, start: int = 1) -> DataFrame:
+              rows: int | None = None, start: int = 1,
+              single_bucket_max_rows: int = SINGLE_BUCKET_MAX_ROWS) -> DataFrame:
     """``df`` plus ``key`` (LONG): ``start..`` in ascending ``order``, NULLs first.
 
     Equal to ``row_number() OVER (ORDER BY order ASC NULLS FIRST)`` with ties
     broken by a row hash (tied rows that are identical get interchangeable
-    keys). ``bounds`` from :func:`sample_bounds`; sampled here when omitted.
+    keys). ``bounds`` from :func:`sample_bounds`; when omitted, the rows are
+    counted (unless ``rows`` is given) and bounds sampled only for inputs
+    above ``single_bucket_max_rows``.
     """
     spark = df.sparkSession
     order = list(order)
@@ -92,7 +98,8 @@ def dense_key(df: DataFrame, order: Sequence[str], key: str = "key", *,
     cols = [F.col(f"`{c}`") for c in df.columns]
     sort_key = _sort_key(df, order)
     if bounds is None:
-        bounds = sample_bounds(df, order, n, rows=rows)
+        rows = df.count() if rows is None else rows
+        bounds = [] if rows <= single_bucket_max_rows else sample_bounds(df, order, n, rows=rows)
     names = [f"k{i}" for i in range(len(order))] + ["tie"]
     fields = {f.name: f.dataType for f in df.schema.fields}
     types = [fields[c] for c in order] + ["long"]

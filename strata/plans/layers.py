@@ -84,9 +84,9 @@ class BronzeResult:
 
 
 def run_bronze(store: TableStore, sources: Sequence[Source], run: RunParams) -> BronzeResult:
-    bronze = store.overwrite("bronze", bronze_frame(sources, run), schema=schemas.BRONZE,
-                             partition_by=["ingestion_date"])
-    return BronzeResult(bronze, bronze.count())
+    bronze, rows = store.overwrite_counted("bronze", bronze_frame(sources, run), schema=schemas.BRONZE,
+                                           partition_by=["ingestion_date"])
+    return BronzeResult(bronze, rows)
 
 
 @dataclass
@@ -120,22 +120,22 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     staged = store.overwrite("staging", staged_plan.observe(obs, *quality_count_exprs()), schema=schema)
     quality = {k: int(v) for k, v in obs.get.items()}
 
-    dead = store.overwrite("dead_letter", dead_letter(staged, run.as_of, keep_raw=keep_raw),
-                           schema=None if keep_raw else schemas.DEAD_LETTER)
+    dead, dead_rows = store.overwrite_counted(
+        "dead_letter", dead_letter(staged, run.as_of, keep_raw=keep_raw),
+        schema=None if keep_raw else schemas.DEAD_LETTER)
     valid, _ = split_valid(staged)
-    batch = store.overwrite(
+    batch, batch_rows = store.overwrite_counted(
         "silver_batch",
         dedup_by_key(valid.select(*[f.name for f in schemas.SILVER.fields]), schemas.PRODUCT_KEY,
                      PRODUCT_SURVIVOR_ORDER),
         schema=schemas.SILVER,
     )
-    batch_rows = batch.count()
     target = store.read("silver", schema=schemas.SILVER)
     merged = upsert(target, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
                     null_safe=null_safe_merge, max_broadcast_rows=max_broadcast_rows,
                     source_rows=batch_rows)
-    silver = store.overwrite("silver", merged, schema=schemas.SILVER)
-    return SilverResult(staged, dead, batch, silver, quality, dead.count(), batch_rows, silver.count())
+    silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER)
+    return SilverResult(staged, dead, batch, silver, quality, dead_rows, batch_rows, silver_rows)
 
 
 @dataclass
@@ -148,21 +148,25 @@ class GoldResult:
     fact_rows: int
 
 
-def run_gold(store: TableStore, silver: DataFrame, *,
+def run_gold(store: TableStore, silver: DataFrame, *, silver_rows: int | None = None,
              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GoldResult:
+    """``silver_rows``: row count of ``silver`` when known (every silver row is valid)."""
     spark = silver.sparkSession
     valid = silver.where(F.col("is_valid"))
-    dim_cat = store.overwrite("dim_category", dim_category(valid), schema=schemas.DIM_CATEGORY)
-    dim_pb = store.overwrite("dim_price_bucket", dim_price_bucket(spark),
-                             schema=schemas.DIM_PRICE_BUCKET)
+    dim_cat, dim_cat_rows = store.overwrite_counted("dim_category", dim_category(valid),
+                                                    schema=schemas.DIM_CATEGORY)
+    dim_pb, dim_pb_rows = store.overwrite_counted("dim_price_bucket", dim_price_bucket(spark),
+                                                  schema=schemas.DIM_PRICE_BUCKET)
     enriched = enrich(valid, dim_cat, dim_pb, max_broadcast_rows=max_broadcast_rows,
-                      dim_cat_rows=dim_cat.count(), dim_pb_rows=dim_pb.count())
-    fact = store.overwrite("fact_product_metrics", fact_product_metrics(enriched, rows=valid.count()),
-                           schema=schemas.FACT_PRODUCT_METRICS)
+                      dim_cat_rows=dim_cat_rows, dim_pb_rows=dim_pb_rows)
+    valid_rows = valid.count() if silver_rows is None else silver_rows
+    fact, fact_rows = store.overwrite_counted(
+        "fact_product_metrics", fact_product_metrics(enriched, rows=valid_rows),
+        schema=schemas.FACT_PRODUCT_METRICS)
     # Summaries need only silver columns and the bucket ladder: no joins.
     bucketed = with_price_bucket(valid)
     agg_cat = store.overwrite("agg_category_summary", category_summary(bucketed),
                               schema=schemas.AGG_CATEGORY_SUMMARY)
     agg_pb = store.overwrite("agg_price_bucket_summary", price_bucket_summary(bucketed),
                              schema=schemas.AGG_PRICE_BUCKET_SUMMARY)
-    return GoldResult(dim_cat, dim_pb, fact, agg_cat, agg_pb, fact.count())
+    return GoldResult(dim_cat, dim_pb, fact, agg_cat, agg_pb, fact_rows)

@@ -105,6 +105,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                                      keep_raw=keep_raw, null_safe_merge=null_safe_merge,
                                      max_broadcast_rows=max_broadcast_rows),
         "GOLD": lambda: run_gold(store, results["SILVER"].silver,
+                                 silver_rows=results["SILVER"].silver_rows,
                                  max_broadcast_rows=max_broadcast_rows),
     }
     upstream_ok = True

@@ -22,7 +22,8 @@ import tempfile
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.schemas import enforce_schema
@@ -70,17 +71,35 @@ class _Fs:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
+    def glob_parents(self, pattern: str) -> list[str]:
+        """Names of the parent directories of every path matching ``pattern``."""
+        found = self._fs(pattern).globStatus(self._path(pattern))
+        return sorted(st.getPath().getParent().getName() for st in (found or []))
+
+    def delete(self, path: str) -> bool:
+        return bool(self._fs(path).delete(self._path(path), True))
+
 
 def _new_version_id() -> str:
     return f"{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 class TableStore:
-    """Named, versioned Parquet tables under one root directory."""
-
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    """Named, versioned Parquet tables under one root directory.
+
+    ``retain_versions`` (off by default) bounds storage: after a successful
+    overwrite, committed versions older than the newest ``retain_versions``,
+    and unfinished version directories older than those, are deleted. Keep it
+    at 2 or more so a reader that resolved the previous version can finish.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None, *,
+                 retain_versions: int | None = None):
+        if retain_versions is not None and retain_versions < 1:
+            raise ValueError("retain_versions must be at least 1")
         self.spark = spark
         self.root = (root or os.path.join(checkpoint_root(spark), "strata-store")).rstrip("/")
+        self.retain_versions = retain_versions
         self._fs = _Fs(spark)
 
     # -- paths ---------------------------------------------------------------
@@ -88,12 +107,10 @@ class TableStore:
         return f"{self.root}/{name}"
 
     def committed_versions(self, name: str) -> list[str]:
+        """Committed version paths, oldest first (one glob listing)."""
         base = self.table_path(name)
-        return [
-            f"{base}/{d}"
-            for d in self._fs.list_dirs(base)
-            if d.startswith(VERSION_PREFIX) and self._fs.exists(f"{base}/{d}/{COMMIT_MARKER}")
-        ]
+        names = self._fs.glob_parents(f"{base}/{VERSION_PREFIX}*/{COMMIT_MARKER}")
+        return [f"{base}/{d}" for d in names if d.startswith(VERSION_PREFIX)]
 
     def current_version(self, name: str) -> str | None:
         versions = self.committed_versions(name)
@@ -118,8 +135,31 @@ class TableStore:
                   partition_by: list[str] | None = None) -> DataFrame:
         """Publish ``df`` as the new state of ``name`` and return it read back."""
         path = self._write_version(name, df, schema, partition_by)
+        if self.retain_versions is not None:
+            self.vacuum(name, self.retain_versions)
         return self._read_paths([path], schema if schema is not None else df.schema)
 
+    def overwrite_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
+                          partition_by: list[str] | None = None) -> tuple[DataFrame, int]:
+        """``overwrite`` that also returns the row count, observed during the write."""
+        obs = Observation(f"rows_{name}")
+        out = self.overwrite(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema=schema,
+                             partition_by=partition_by)
+        return out, int(obs.get["rows"])
+
+    def vacuum(self, name: str, keep: int) -> list[str]:
+        """Delete all but the newest ``keep`` committed versions of a snapshot
+        table, and unfinished versions older than the oldest one kept."""
+        base = self.table_path(name)
+        committed = [p.rsplit("/", 1)[1] for p in self.committed_versions(name)]
+        if len(committed) <= keep:
+            return []
+        oldest_kept = committed[-keep]
+        doomed = [d for d in self._fs.list_dirs(base) if d.startswith(VERSION_PREFIX) and d < oldest_kept]
+        for d in doomed:
+            self._fs.delete(f"{base}/{d}")
+        return doomed
+
     def append(self, name: str, df: DataFrame, *, schema: StructType | None = None) -> DataFrame:
         """Add ``df``'s rows to an append-only table; returns the whole table."""
         self._write_version(name, df, schema, None)

@@ -179,7 +179,7 @@ def _random_rows(n, seed=3):
 @pytest.mark.parametrize("buckets", [1, 3, 16])
 def test_dense_key_equals_global_row_number(spark, buckets):
     df = spark.createDataFrame(_random_rows(3000), "a string, b string, c long")
-    keyed = dense_key(df, ["a", "b", "c"], "k", buckets=buckets)
+    keyed = dense_key(df, ["a", "b", "c"], "k", buckets=buckets, single_bucket_max_rows=0)
     got = keyed.collect()
     assert sorted(r["k"] for r in got) == list(range(1, 3001))
     ref = df.withColumn("k", F.row_number().over(Window.orderBy(

@@ -110,3 +110,15 @@ def test_runner_keep_raw_dead_letter(spark, scratch_dir, mock_df):
 
 def test_mock_schema_is_text():
     assert {f.dataType.simpleString() for f in MOCK_SCHEMA.fields} == {"string"}
+
+
+def test_retention_keeps_newest_versions(spark, scratch_dir):
+    store = TableStore(spark, scratch_dir, retain_versions=2)
+    for n in (1, 2, 3, 4):
+        store.overwrite("t", spark.range(n))
+    assert len(store.committed_versions("t")) == 2
+    assert store.read("t").count() == 4
+    log = TableStore(spark, scratch_dir, retain_versions=1)
+    for _ in range(3):
+        log.append("log", spark.range(1))
+    assert log.read("log", all_versions=True).count() == 3  # append tables are never vacuumed
