@@ -1,6 +1,14 @@
 """Layer plans (bronze, silver, gold), the audited runner and test-data runs."""
 
-from strata.plans.layers import RunParams, Source, bronze_frame, run_bronze, run_gold, run_silver
+from strata.plans.layers import (
+    RunParams,
+    Source,
+    bronze_frame,
+    ensure_tables,
+    run_bronze,
+    run_gold,
+    run_silver,
+)
 from strata.plans.runner import RunResult, latest_checkpoints, run_layers
 
 __all__ = [
@@ -8,6 +16,7 @@ __all__ = [
     "RunResult",
     "Source",
     "bronze_frame",
+    "ensure_tables",
     "latest_checkpoints",
     "run_bronze",
     "run_gold",

@@ -64,6 +64,12 @@ class Source:
     load: Callable[[], DataFrame]
 
 
+def ensure_tables(store: TableStore) -> None:
+    """Publish an empty version of every layer table that does not exist yet."""
+    for name, schema in schemas.TABLES.items():
+        store.create_if_absent(name, schema)
+
+
 def bronze_frame(sources: Sequence[Source], run: RunParams) -> DataFrame:
     """Union by name of every source with its lineage columns."""
     frames = [
@@ -111,8 +117,16 @@ class SilverResult:
 
 def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
-               null_safe_merge: bool = True,
+               null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> SilverResult:
+    """Stage, quarantine, deduplicate and merge one batch into silver.
+
+    ``dead_letter_mode``: "overwrite" keeps only this batch's invalid rows (as
+    the source pipeline does); "append" keeps every batch's, told apart by
+    ``batch_id``.
+    """
+    if dead_letter_mode not in ("overwrite", "append"):
+        raise ValueError(f"dead_letter_mode must be 'overwrite' or 'append', not {dead_letter_mode!r}")
     # Stage once; the quality counts ride along on the same write.
     obs = Observation("staging_quality")
     staged_plan = stage(bronze, rules, keep_raw=keep_raw)
@@ -120,9 +134,14 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     staged = store.overwrite("staging", staged_plan.observe(obs, *quality_count_exprs()), schema=schema)
     quality = {k: int(v) for k, v in obs.get.items()}
 
-    dead, dead_rows = store.overwrite_counted(
-        "dead_letter", dead_letter(staged, run.as_of, keep_raw=keep_raw),
-        schema=None if keep_raw else schemas.DEAD_LETTER)
+    quarantined = dead_letter(staged, run.as_of, keep_raw=keep_raw)
+    dl_schema = None if keep_raw else schemas.DEAD_LETTER
+    if dead_letter_mode == "append":
+        _, dead_rows = store.append_counted("dead_letter", quarantined, schema=dl_schema)
+        dead = store.read("dead_letter", schema=dl_schema, all_versions=True).where(
+            F.col("batch_id") == F.lit(run.batch_id))
+    else:
+        dead, dead_rows = store.overwrite_counted("dead_letter", quarantined, schema=dl_schema)
     valid, _ = split_valid(staged)
     batch, batch_rows = store.overwrite_counted(
         "silver_batch",

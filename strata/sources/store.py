@@ -147,6 +147,13 @@ class TableStore:
                              partition_by=partition_by)
         return out, int(obs.get["rows"])
 
+    def append_counted(self, name: str, df: DataFrame, *,
+                       schema: StructType | None = None) -> tuple[DataFrame, int]:
+        """``append`` that also returns the number of rows appended."""
+        obs = Observation(f"rows_{name}")
+        out = self.append(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema=schema)
+        return out, int(obs.get["rows"])
+
     def vacuum(self, name: str, keep: int) -> list[str]:
         """Delete all but the newest ``keep`` committed versions of a snapshot
         table, and unfinished versions older than the oldest one kept."""

@@ -122,3 +122,21 @@ def test_retention_keeps_newest_versions(spark, scratch_dir):
     for _ in range(3):
         log.append("log", spark.range(1))
     assert log.read("log", all_versions=True).count() == 3  # append tables are never vacuumed
+
+
+def test_ensure_tables_and_dead_letter_append(spark, scratch_dir, mock_df):
+    from strata.plans import ensure_tables
+
+    store = TableStore(spark, scratch_dir)
+    ensure_tables(store)
+    assert all(store.exists(t) for t in schemas.TABLES)
+    assert store.read("silver", schema=schemas.SILVER).count() == 0
+    for batch in ("a1", "a2"):
+        as_of = dt.datetime(2024, 4, 1, 6, 0, 0)
+        result = run_layers(store, [_mock_source(spark, mock_df)], RunParams(batch, as_of),
+                            dead_letter_mode="append")
+        assert result.silver.dead_letter_rows == 5
+        assert result.silver.dead_letter.count() == 5
+    dead = store.read("dead_letter", schema=schemas.DEAD_LETTER, all_versions=True)
+    assert sorted(r["batch_id"] for r in dead.select("batch_id").distinct().collect()) == ["a1", "a2"]
+    assert dead.count() == 10
