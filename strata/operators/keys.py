@@ -3,20 +3,22 @@
 ``row_number() OVER (ORDER BY ...)`` with no partitioning moves every row
 into one task. ``dense_key`` gives the same numbering in parallel:
 
-1. every row gets a bucket: how many of a sorted list of bounds are <= its
-   sort key. The sort key is the order columns plus a row hash as final
-   tie-breaker, so a long run of equal order values still spreads over
-   buckets. The bucket is a pure function of the row, computed by a
-   binary-search ``CASE`` expression, so any recomputation agrees with the
-   first one;
-2. rows are numbered inside their bucket with ``row_number`` over a window
-   partitioned by bucket;
-3. each bucket adds the row count of all lower buckets. The counts are one
-   row per bucket, a size fixed by the bucket count, so that table is
-   broadcast.
-
-Bounds only decide how evenly the work is spread, never the result. They are
-taken from a small sample of the sort keys unless the caller passes them.
+1. range-partition the rows on the order columns. Spark's range partitioner
+   samples the bounds. A row hash and a row sequence number end the sort key,
+   so even a long run of equal order values, or of identical rows, splits
+   across partitions;
+2. sort each partition and number its rows locally (partition id plus a
+   position that grows inside the partition);
+3. checkpoint that result to ``spark.checkpoint.dir``. The per-partition row
+   counts and the final numbering both read the same checkpointed rows, so
+   they always agree. Two independent range shuffles could sample different
+   bounds;
+4. add the number of rows in all earlier partitions. The per-partition
+   counts are one row per partition, a size fixed by the partition count,
+   so that small table is broadcast.
+
+Inputs whose counted size is at most ``single_bucket_max_rows`` are numbered
+by one plain window, which skips the checkpoint.
 """
 
 from __future__ import annotations
@@ -26,88 +28,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BUCKET = 20
+from strata.sources.store import checkpoint_root
+
 # Inputs up to this many rows (counted, so the bound is proven) are numbered in
-# one bucket, which saves the sampling job; larger inputs are spread out.
+# one task; larger inputs are range-partitioned.
 SINGLE_BUCKET_MAX_ROWS = 250_000
+_ROW_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
 
-def _sort_key(df: DataFrame, order: Sequence[str]) -> Column:
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)], tie.alias("tie"))
-
-
-def sample_bounds(df: DataFrame, order: Sequence[str], buckets: int, *,
-                  rows: int | None = None, seed: int = 17) -> list:
-    """``buckets - 1`` ascending sort-key bounds from a bounded random sample.
-
-    Runs two small jobs (a row count unless ``rows`` is given, and the
-    sample). At most about ``SAMPLE_PER_BUCKET * buckets`` keys reach the driver.
-    """
-    if buckets <= 1:
-        return []
-    total = df.count() if rows is None else rows
-    if total == 0:
-        return []
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / total)
-    keys = (df.select(_sort_key(df, order).alias("k")).sample(fraction=fraction, seed=seed)
-            .orderBy("k").collect())
-    if not keys:
-        return []
-    step = len(keys) / buckets
-    picked = [keys[min(len(keys) - 1, int(step * i))]["k"] for i in range(1, buckets)]
-    out = []
-    for b in picked:
-        if not out or b != out[-1]:
-            out.append(b)
-    return out
-
-
-def _literal(bound, names: Sequence[str], types) -> Column:
-    return F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(bound, names, types, strict=True)])
-
-
-def bucket_of(key: Column, bounds: Sequence, names: Sequence[str], types) -> Column:
-    """Number of ``bounds`` that are <= ``key`` (binary search, depth log2)."""
-    lits = [_literal(b, names, types) for b in bounds]
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < lits[mid], node(lo, mid)).otherwise(node(mid + 1, hi))
-
-    return node(0, len(lits))
+def _sort_exprs(order: Sequence[str]) -> list[Column]:
+    return [F.asc_nulls_first(f"`{c}`") for c in order]
 
 
 def dense_key(df: DataFrame, order: Sequence[str], key: str = "key", *,
-              buckets: int | None = None, bounds: Sequence | None = None,
-              rows: int | None = None, start: int = 1,
+              num_partitions: int | None = None, rows: int | None = None, start: int = 1,
               single_bucket_max_rows: int = SINGLE_BUCKET_MAX_ROWS) -> DataFrame:
     """``df`` plus ``key`` (LONG): ``start..`` in ascending ``order``, NULLs first.
 
-    Equal to ``row_number() OVER (ORDER BY order ASC NULLS FIRST)`` with ties
-    broken by a row hash (tied rows that are identical get interchangeable
-    keys). ``bounds`` from :func:`sample_bounds`; when omitted, the rows are
-    counted (unless ``rows`` is given) and bounds sampled only for inputs
-    above ``single_bucket_max_rows``.
+    Equal to ``row_number() OVER (ORDER BY order ASC NULLS FIRST)``; rows tied
+    on ``order`` are ordered by a row hash (tied rows that are identical get
+    interchangeable keys). Runs jobs: a count unless ``rows`` is given, and for
+    large inputs the checkpoint of the numbered rows.
     """
     spark = df.sparkSession
-    order = list(order)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(f"`{c}`") for c in df.columns]
-    sort_key = _sort_key(df, order)
-    if bounds is None:
-        rows = df.count() if rows is None else rows
-        bounds = [] if rows <= single_bucket_max_rows else sample_bounds(df, order, n, rows=rows)
-    names = [f"k{i}" for i in range(len(order))] + ["tie"]
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    types = [fields[c] for c in order] + ["long"]
-    keyed = df.select(*cols, sort_key.alias("_sk"))
-    keyed = keyed.select(*cols, "_sk", bucket_of(F.col("_sk"), bounds, names, types).alias("_b"))
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_b", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    numbered = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy("_sk")))
-    return numbered.join(F.broadcast(offsets), "_b").select(
-        *cols, (F.col("_offset") + F.col("_rn") + F.lit(start - 1)).cast("long").alias(key))
+    sort = _sort_exprs(order)
+    tie = F.xxhash64(*cols).alias("_tie")
+    rows = df.count() if rows is None else rows
+    if rows <= single_bucket_max_rows:
+        w = Window.orderBy(*sort, F.col("_tie"))
+        return df.select(*cols, tie).select(
+            *cols, (F.row_number().over(w) + F.lit(start - 1)).cast("long").alias(key))
+
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.select(*cols, tie, F.monotonically_increasing_id().alias("_seq"))
+        .repartitionByRange(n, *sort, F.col("_tie"), F.col("_seq"))
+        .sortWithinPartitions(*sort, F.col("_tie"), F.col("_seq"))
+        .select(*cols, F.spark_partition_id().alias("_part"),
+                F.monotonically_increasing_id().alias("_mono"))
+    )
+    checkpoint_root(spark)  # make sure a checkpoint directory is set
+    fixed = ranged.checkpoint(eager=True)
+    counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    local = F.col("_mono") - F.shiftleft(F.col("_part").cast("long"), _ROW_BITS)
+    return fixed.join(F.broadcast(offsets), "_part").select(
+        *cols, (F.col("_offset") + local + F.lit(start)).cast("long").alias(key))

@@ -15,13 +15,13 @@ from strata.schemas import DIM_PRICE_BUCKET, FACT_PRODUCT_METRICS, PRODUCT_KEY
 CATEGORY_COLUMNS = ("main_category", "sub_category")
 
 
-def dim_category(silver: DataFrame, *, buckets: int | None = None) -> DataFrame:
+def dim_category(silver: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
     """Distinct (main, sub) pairs with a non-NULL main category, keyed 1..n.
 
     Keys follow (main_category, sub_category) ascending, NULLs first.
     """
     pairs = silver.select(*CATEGORY_COLUMNS).distinct().where(F.col("main_category").isNotNull())
-    return dense_key(pairs, CATEGORY_COLUMNS, "category_key", buckets=buckets).select(
+    return dense_key(pairs, CATEGORY_COLUMNS, "category_key", num_partitions=num_partitions).select(
         "category_key", *CATEGORY_COLUMNS)
 
 
@@ -67,10 +67,10 @@ def enrich(silver: DataFrame, dim_cat: DataFrame, dim_pb: DataFrame, *,
 
 
 def fact_product_metrics(enriched: DataFrame, *, order: Sequence[str] = PRODUCT_KEY,
-                         buckets: int | None = None, rows: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
     """Fact rows keyed 1..n by ``order`` (name, then category, NULLs first).
 
     ``rows`` (the row count of ``enriched``, if known) saves one counting job.
     """
-    keyed = dense_key(enriched, order, "product_key", buckets=buckets, rows=rows)
+    keyed = dense_key(enriched, order, "product_key", num_partitions=num_partitions, rows=rows)
     return keyed.select(*[f.name for f in FACT_PRODUCT_METRICS.fields])

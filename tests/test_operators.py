@@ -29,7 +29,6 @@ from strata.operators import (
     stage,
     upsert,
 )
-from strata.operators.keys import sample_bounds
 from strata.operators.quarantine import dead_letter
 from strata.schemas import PRODUCT_KEY, SILVER, SchemaMismatch, enforce_schema
 from strata.sources.tables import LISTING_COLUMN_MAP, map_columns
@@ -176,10 +175,10 @@ def _random_rows(n, seed=3):
     return [(rnd.choice(names), rnd.choice([None, "x", "y"]), rnd.randint(0, 5)) for _ in range(n)]
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 16])
-def test_dense_key_equals_global_row_number(spark, buckets):
+@pytest.mark.parametrize("parts,small", [(1, 0), (3, 0), (16, 0), (8, 10**9)])
+def test_dense_key_equals_global_row_number(spark, parts, small):
     df = spark.createDataFrame(_random_rows(3000), "a string, b string, c long")
-    keyed = dense_key(df, ["a", "b", "c"], "k", buckets=buckets, single_bucket_max_rows=0)
+    keyed = dense_key(df, ["a", "b", "c"], "k", num_partitions=parts, single_bucket_max_rows=small)
     got = keyed.collect()
     assert sorted(r["k"] for r in got) == list(range(1, 3001))
     ref = df.withColumn("k", F.row_number().over(Window.orderBy(
@@ -192,11 +191,13 @@ def test_dense_key_equals_global_row_number(spark, buckets):
 
 
 def test_dense_key_heavy_ties_spread(spark):
-    df = spark.range(0, 5000).select(F.lit("same").alias("a"), F.col("id"))
-    bounds = sample_bounds(df, ["a"], 8)
-    assert len(bounds) > 1  # the row hash splits the single order value
-    keyed = dense_key(df, ["a"], "k", bounds=bounds)
-    assert sorted(r["k"] for r in keyed.collect()) == list(range(1, 5001))
+    # One order value for every row, and a third of the rows fully identical.
+    df = spark.range(0, 6000).select(
+        F.lit("same").alias("a"), F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("id"))
+    keyed = dense_key(df, ["a"], "k", num_partitions=8, single_bucket_max_rows=0)
+    got = keyed.collect()
+    assert sorted(r["k"] for r in got) == list(range(1, 6001))
+    assert sum(1 for r in got if r["id"] == -1) == 2000
 
 
 def test_dense_key_empty_and_start(spark):
