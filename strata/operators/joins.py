@@ -2,9 +2,18 @@
 
 A dimension is broadcast only after its row count is checked against a
 limit (the count of a materialized Parquet table comes from file footers).
-Above the limit the join is shuffled, and the fact side is salted so that a
-key holding a large share of the fact rows is spread over ``salt`` tasks
-instead of landing in one.
+Above the limit the join is shuffled on the keys, with the hot keys split:
+
+* the fact's key frequencies are counted (a partial aggregate);
+* a key with more than ``rows_per_task`` fact rows is hot. Its fact rows draw
+  one of ``ceil(count / rows_per_task)`` salt values from their row hash, and
+  only that key's dimension row is repeated once per salt value;
+* every other key keeps salt 0 and is joined as is.
+
+No task receives much more than ``rows_per_task`` rows of one key, however
+large a key's share is. The hot-key table has at most
+``fact_rows / rows_per_task`` rows, so broadcasting it is safe; its size is
+also checked.
 """
 
 from __future__ import annotations
@@ -15,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-DEFAULT_SALT = 16
+DEFAULT_ROWS_PER_TASK = 2_000_000
+MAX_HOT_KEYS = 1_000_000
 
 
 def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
@@ -30,10 +40,21 @@ def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     return out
 
 
+def hot_keys(fact: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+    """(keys..., ``_salts``) for every key holding more than ``rows_per_task`` rows."""
+    return (
+        fact.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > F.lit(rows_per_task))
+        .select(*[F.col(f"`{k}`").alias(f"_hk{i}") for i, k in enumerate(keys)],
+                F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("long").alias("_salts"))
+    )
+
+
 def left_join_dim(fact: DataFrame, dim: DataFrame, left_keys: Sequence[str],
                   right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  dim_rows: int | None = None, salt: int = DEFAULT_SALT) -> DataFrame:
+                  dim_rows: int | None = None,
+                  rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
     """``fact LEFT JOIN dim``; the dimension's key columns are dropped.
 
     ``dim`` must be unique on its keys (one match at most, so no fan-out).
@@ -47,13 +68,28 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, left_keys: Sequence[str],
     dk = [f"_dk{i}" for i in range(len(right_keys))]
     if rows <= max_broadcast_rows:
         d = F.broadcast(d)
-        cond = key_condition(fact, d, left_keys, dk, null_safe)
-        return fact.join(d, cond, "left").drop(*dk)
-    # Shuffled path: each fact row takes one salt value, each dimension row
-    # is repeated once per salt value, and the salt joins as an extra key.
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]),
-                                                  F.lit(salt)))
-    salted_dim = d.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+        return fact.join(d, key_condition(fact, d, left_keys, dk, null_safe), "left").drop(*dk)
+
+    # Shuffled path with per-key salting of the hot keys.
+    hot = hot_keys(fact, left_keys, rows_per_task)
+    hk = [f"_hk{i}" for i in range(len(left_keys))]
+    if hot.count() > MAX_HOT_KEYS:  # at most fact_rows / rows_per_task: only a tiny rows_per_task
+        raise ValueError("too many hot keys to broadcast; raise rows_per_task")
+    hot = F.broadcast(hot)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    salted_fact = (
+        fact.join(hot, key_condition(fact, hot, left_keys, hk, True), "left")
+        .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("long"))
+                    .otherwise(F.pmod(row_hash, F.col("_salts"))))
+        .drop(*hk, "_salts")
+    )
+    salted_dim = (
+        d.join(hot, key_condition(d, hot, dk, hk, True), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                  F.coalesce(F.col("_salts"), F.lit(1).cast("long"))
+                                                  - F.lit(1))))
+        .drop(*hk, "_salts")
+    )
     cond = key_condition(salted_fact, salted_dim, left_keys, dk, null_safe) & (
         salted_fact["_salt"] == salted_dim["_salt"])
     return salted_fact.join(salted_dim, cond, "left").drop(*dk, "_salt")

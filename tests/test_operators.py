@@ -29,6 +29,7 @@ from strata.operators import (
     stage,
     upsert,
 )
+from strata.operators.joins import hot_keys
 from strata.operators.quarantine import dead_letter
 from strata.schemas import PRODUCT_KEY, SILVER, SchemaMismatch, enforce_schema
 from strata.sources.tables import LISTING_COLUMN_MAP, map_columns
@@ -221,11 +222,23 @@ def test_left_join_dim_salted_equals_broadcast(spark):
         F.col("id"))
     dim = spark.createDataFrame([(str(i), i * 10) for i in range(5)] + [("hot", -1)], "k string, v long")
     small = left_join_dim(fact, dim, ["k"], max_broadcast_rows=100)
-    big = left_join_dim(fact, dim, ["k"], max_broadcast_rows=1, salt=8)
+    big = left_join_dim(fact, dim, ["k"], max_broadcast_rows=1, rows_per_task=300)
     a = sorted(map(tuple, small.select("id", "k", "v").collect()))
     b = sorted(map(tuple, big.select("id", "k", "v").collect()))
     assert a == b and len(a) == 3000
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    # Only the hot key is salted, in proportion to its share.
+    assert [tuple(r) for r in hot_keys(fact, ["k"], 300).collect()] == [("hot", 5)]
+
+
+def test_left_join_dim_salted_null_keys(spark):
+    fact = spark.createDataFrame([("m", None)] * 50 + [("m", "s")] * 5, "a string, b string")
+    dim = spark.createDataFrame([("m", None, 1), ("m", "s", 2)], "a string, b string, v long")
+    for null_safe, expect in ((False, {None: None, "s": 2}), (True, {None: 1, "s": 2})):
+        out = left_join_dim(fact, dim, ["a", "b"], null_safe=null_safe, max_broadcast_rows=0,
+                            rows_per_task=10).collect()
+        assert len(out) == 55
+        assert {r["b"]: r["v"] for r in out} == expect
 
 
 def test_null_key_join_semantics(spark):
