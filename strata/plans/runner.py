@@ -10,7 +10,6 @@ run to ``run_summaries``.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -153,5 +152,3 @@ def run_summary_frame(spark: SparkSession, result: RunResult) -> DataFrame:
 def latest_checkpoints(checkpoints: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most recent checkpoint rows (a top-n report)."""
     return checkpoints.orderBy(F.desc("executed_at"), F.desc("batch_id"), F.asc("layer_name")).limit(n)
-
-
