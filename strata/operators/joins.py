@@ -40,6 +40,32 @@ def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     return out
 
 
+def residual_key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                           right_keys: Sequence[str], null_safe: bool) -> Column:
+    """Key equality written so Spark keeps it as a join filter, not as join keys.
+
+    Used next to an equality on a key-hash column: the hash is then the only
+    join key, so a table bucketed on it joins without being shuffled.
+    """
+    conds = [
+        F.coalesce(left[lk] == right[rk],
+                   (left[lk].isNull() & right[rk].isNull()) if null_safe else F.lit(False))
+        for lk, rk in zip(left_keys, right_keys, strict=True)
+    ]
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    """A 64-bit hash of the key values, NULL parts included (NULL-safe equal keys hash equal)."""
+    parts = []
+    for k in keys:
+        parts += [F.col(f"`{k}`"), F.col(f"`{k}`").isNull()]
+    return F.xxhash64(*parts)
+
+
 def hot_keys(fact: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
     """(keys..., ``_salts``) for every key holding more than ``rows_per_task`` rows."""
     return (

@@ -6,13 +6,18 @@ their own for the rest, unmatched source rows are inserted whole, and target
 rows the source does not mention stay as they are. The result is published
 as a new table version by the caller, so the change is all or nothing.
 
-Strategy, chosen by the source's checked row count:
+Strategy:
 
 * small source (the usual daily batch): the source is broadcast and the
   target is streamed through a broadcast left join, so the large target is
   never shuffled. The source keys that found a match are a subset of the
   source, broadcast again to anti-join the inserts;
-* large source: one full outer join on the keys (both sides shuffled).
+* large source: one full outer join on the keys (both sides shuffled);
+* ``hash_column`` given (a column of both sides holding :func:`key_hash` of
+  the keys): one full outer join whose only join key is that hash, the key
+  equality being a residual filter. A target stored bucketed on the hash
+  column is then read bucket by bucket and never shuffled, whatever the
+  source size; only the source is shuffled into the target's buckets.
 
 Keys compare NULL-safely by default, which makes applying the same batch
 twice equal to applying it once; ``null_safe=False`` reproduces SQL ``=``
@@ -26,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_condition
+from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_condition, residual_key_condition
 
 
 class DuplicateKeyError(ValueError):
@@ -42,7 +47,8 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_columns: Sequence[str], *, null_safe: bool = True,
            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           source_rows: int | None = None, check_unique: bool = False) -> DataFrame:
+           source_rows: int | None = None, check_unique: bool = False,
+           hash_column: str | None = None) -> DataFrame:
     cols = list(target.columns)
     if sorted(source.columns) != sorted(cols):
         raise ValueError(f"source columns {source.columns} differ from target columns {cols}")
@@ -52,6 +58,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         assert_unique(source, keys)
     src = source.select(*[F.col(c).alias(f"_s_{c}") for c in cols], F.lit(True).alias("_s"))
     skeys = [f"_s_{k}" for k in keys]
+    if hash_column is not None:
+        tgt = target.select(*cols, F.lit(True).alias("_t"))
+        cond = (tgt[hash_column] == src[f"_s_{hash_column}"]) & residual_key_condition(
+            tgt, src, keys, skeys, null_safe)
+        return _merge_full_outer(tgt.join(src, cond, "full_outer"), cols, update | {hash_column})
     rows = source.count() if source_rows is None else source_rows
 
     if rows <= max_broadcast_rows:
@@ -69,6 +80,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     tgt = target.select(*cols, F.lit(True).alias("_t"))
     joined = tgt.join(src, key_condition(tgt, src, keys, skeys, null_safe), "full_outer")
+    return _merge_full_outer(joined, cols, update)
+
+
+def _merge_full_outer(joined: DataFrame, cols: Sequence[str], update: set[str]) -> DataFrame:
     in_src, in_tgt = F.col("_s").isNotNull(), F.col("_t").isNotNull()
     return joined.select(*[
         (F.when(in_src, F.col(f"_s_{c}")).otherwise(F.col(c)) if c in update

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.functions.rules import PRODUCT_RULES, Rule
 from strata.operators.dedup import PRODUCT_SURVIVOR_ORDER, dedup_by_key
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
+from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_hash
 from strata.operators.merge import upsert
 from strata.operators.quality import quality_count_exprs
 from strata.operators.quarantine import dead_letter
@@ -33,7 +33,7 @@ from strata.operators.star import (
 )
 from strata.operators.summaries import category_summary, price_bucket_summary
 from strata.sources.lineage import with_lineage
-from strata.sources.store import TableStore
+from strata.sources.store import Buckets, TableStore
 
 # Columns a repeated product takes from the newer batch; image and link keep
 # the first value seen, as in the source pipeline's MERGE.
@@ -118,12 +118,18 @@ class SilverResult:
 def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
+               silver_buckets: int | None = None,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> SilverResult:
     """Stage, quarantine, deduplicate and merge one batch into silver.
 
     ``dead_letter_mode``: "overwrite" keeps only this batch's invalid rows (as
     the source pipeline does); "append" keeps every batch's, told apart by
     ``batch_id``.
+
+    Silver is stored bucketed on a hash of the product key (``silver_buckets``
+    buckets, fixed when the table is first written, by default
+    ``spark.sql.shuffle.partitions``). The merge joins on that hash, so each
+    run shuffles only its own batch, never the accumulated silver table.
     """
     if dead_letter_mode not in ("overwrite", "append"):
         raise ValueError(f"dead_letter_mode must be 'overwrite' or 'append', not {dead_letter_mode!r}")
@@ -143,17 +149,24 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     else:
         dead, dead_rows = store.overwrite_counted("dead_letter", quarantined, schema=dl_schema)
     valid, _ = split_valid(staged)
+    deduped = dedup_by_key(valid.select(*[f.name for f in schemas.SILVER.fields]),
+                           schemas.PRODUCT_KEY, PRODUCT_SURVIVOR_ORDER)
     batch, batch_rows = store.overwrite_counted(
-        "silver_batch",
-        dedup_by_key(valid.select(*[f.name for f in schemas.SILVER.fields]), schemas.PRODUCT_KEY,
-                     PRODUCT_SURVIVOR_ORDER),
-        schema=schemas.SILVER,
+        "silver_batch", deduped.withColumn(schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY)),
+        schema=schemas.SILVER_STORED,
     )
-    target = store.read("silver", schema=schemas.SILVER)
+    spec = store.table_buckets("silver")
+    if spec is not None and spec.columns == (schemas.KEY_HASH,):
+        target = store.read("silver", schema=schemas.SILVER_STORED)
+    else:  # first run, or a silver table written without the key hash
+        spec = Buckets(silver_buckets or int(store.spark.conf.get("spark.sql.shuffle.partitions")),
+                       (schemas.KEY_HASH,))
+        target = store.read("silver", schema=schemas.SILVER).withColumn(
+            schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY))
     merged = upsert(target, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
-                    null_safe=null_safe_merge, max_broadcast_rows=max_broadcast_rows,
-                    source_rows=batch_rows)
-    silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER)
+                    null_safe=null_safe_merge, hash_column=schemas.KEY_HASH)
+    silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER_STORED,
+                                                  buckets=spec)
     return SilverResult(staged, dead, batch, silver, quality, dead_rows, batch_rows, silver_rows)
 
 

@@ -127,9 +127,11 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the second batch again to the merged table: nothing changes."""
     _, store = _history(spark, sf_dir)
-    merged = store.read("silver", schema=schemas.SILVER)
-    batch = store.read("silver_batch", schema=schemas.SILVER)
-    return upsert(merged, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS)
+    merged = store.read("silver", schema=schemas.SILVER_STORED)
+    batch = store.read("silver_batch", schema=schemas.SILVER_STORED)
+    again = upsert(merged, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
+                   hash_column=schemas.KEY_HASH)
+    return again.select(*SILVER_COLUMNS)
 
 
 # -- gold ------------------------------------------------------------------------

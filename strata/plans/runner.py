@@ -90,6 +90,7 @@ def checkpoint_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
+               silver_buckets: int | None = None,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> RunResult:
     spark = store.spark
     rows: list[tuple] = []
@@ -103,6 +104,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
         "SILVER": lambda: run_silver(store, results["BRONZE"].bronze, run, rules=rules,
                                      keep_raw=keep_raw, null_safe_merge=null_safe_merge,
                                      dead_letter_mode=dead_letter_mode,
+                                     silver_buckets=silver_buckets,
                                      max_broadcast_rows=max_broadcast_rows),
         "GOLD": lambda: run_gold(store, results["SILVER"].silver,
                                  silver_rows=results["SILVER"].silver_rows,

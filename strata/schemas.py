@@ -69,6 +69,10 @@ _LINEAGE = (("source_file", S), ("batch_id", S), ("ingestion_date", TimestampTyp
 
 STAGING = _schema(*_STAGED_HEAD, ("validation_errors", S), *_LINEAGE)
 SILVER = _schema(*_STAGED_HEAD, *_LINEAGE)
+# Silver as stored: plus a hash of the product key, the bucket column of the
+# table, so merges read it bucket by bucket instead of shuffling it.
+KEY_HASH = "_key_hash"
+SILVER_STORED = _schema(*_STAGED_HEAD, *_LINEAGE, (KEY_HASH, L))
 
 DIM_CATEGORY = _schema(("category_key", L), ("main_category", S), ("sub_category", S))
 DIM_PRICE_BUCKET = _schema(

@@ -9,6 +9,12 @@ Readers resolve the newest committed version at read time.
 
 Append tables keep every committed version and read them all.
 
+A table can be stored bucketed (``Buckets``): the version is written with
+``bucketBy(...).saveAsTable`` at the version path, and readers register it
+as an external bucketed table, so a join on the bucket column reads it
+without a shuffle. A marker file ``_BUCKETS_<n>_<columns>`` next to
+``_SUCCESS`` records the bucket spec for readers in other sessions.
+
 Listing goes through the Hadoop ``FileSystem`` of the session, so the same code
 works on HDFS, object stores and local disk. The store root defaults to a
 folder under the session's checkpoint directory (``spark.checkpoint.dir``),
@@ -17,10 +23,12 @@ which on a cluster is shared storage.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +38,23 @@ from strata.schemas import enforce_schema
 
 VERSION_PREFIX = "version-"
 COMMIT_MARKER = "_SUCCESS"
+BUCKET_MARKER = "_BUCKETS_"
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Bucket spec of a stored table: ``count`` buckets on ``columns``."""
+
+    count: int
+    columns: tuple[str, ...]
+
+    def marker(self) -> str:
+        return f"{BUCKET_MARKER}{self.count}_{'+'.join(self.columns)}"
+
+    @staticmethod
+    def from_marker(name: str) -> Buckets:
+        count, cols = name[len(BUCKET_MARKER):].split("_", 1)
+        return Buckets(int(count), tuple(cols.split("+")))
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -76,6 +101,13 @@ class _Fs:
         found = self._fs(pattern).globStatus(self._path(pattern))
         return sorted(st.getPath().getParent().getName() for st in (found or []))
 
+    def glob_names(self, pattern: str) -> list[str]:
+        found = self._fs(pattern).globStatus(self._path(pattern))
+        return sorted(st.getPath().getName() for st in (found or []))
+
+    def touch(self, path: str) -> None:
+        self._fs(path).create(self._path(path), True).close()
+
     def delete(self, path: str) -> bool:
         return bool(self._fs(path).delete(self._path(path), True))
 
@@ -120,31 +152,52 @@ class TableStore:
         return self.current_version(name) is not None
 
     # -- writes --------------------------------------------------------------
+    @staticmethod
+    def _catalog_name(version_path: str) -> str:
+        return f"strata_v_{hashlib.sha1(version_path.encode()).hexdigest()[:20]}"
+
     def _write_version(self, name: str, df: DataFrame, schema: StructType | None,
-                       partition_by: list[str] | None) -> str:
+                       partition_by: list[str] | None, buckets: Buckets | None = None) -> str:
         if schema is not None:
             df = enforce_schema(df, schema)
         path = f"{self.table_path(name)}/{_new_version_id()}"
         writer = df.write.mode("errorifexists").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(path)
+        if buckets is None:
+            writer.save(path)
+            return path
+        cols = list(buckets.columns)
+        (writer.bucketBy(buckets.count, *cols).sortBy(*cols).option("path", path)
+         .saveAsTable(self._catalog_name(path)))
+        # Written after the commit: until it exists readers see the same rows unbucketed.
+        self._fs.touch(f"{path}/{buckets.marker()}")
         return path
 
+    def buckets(self, version_path: str) -> Buckets | None:
+        names = self._fs.glob_names(f"{version_path}/{BUCKET_MARKER}*")
+        return Buckets.from_marker(names[0]) if names else None
+
+    def table_buckets(self, name: str) -> Buckets | None:
+        current = self.current_version(name)
+        return self.buckets(current) if current else None
+
     def overwrite(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                  partition_by: list[str] | None = None) -> DataFrame:
+                  partition_by: list[str] | None = None,
+                  buckets: Buckets | None = None) -> DataFrame:
         """Publish ``df`` as the new state of ``name`` and return it read back."""
-        path = self._write_version(name, df, schema, partition_by)
+        path = self._write_version(name, df, schema, partition_by, buckets)
         if self.retain_versions is not None:
             self.vacuum(name, self.retain_versions)
-        return self._read_paths([path], schema if schema is not None else df.schema)
+        return self._read_version(path, schema if schema is not None else df.schema)
 
     def overwrite_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                          partition_by: list[str] | None = None) -> tuple[DataFrame, int]:
+                          partition_by: list[str] | None = None,
+                          buckets: Buckets | None = None) -> tuple[DataFrame, int]:
         """``overwrite`` that also returns the row count, observed during the write."""
         obs = Observation(f"rows_{name}")
         out = self.overwrite(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema=schema,
-                             partition_by=partition_by)
+                             partition_by=partition_by, buckets=buckets)
         return out, int(obs.get["rows"])
 
     def append_counted(self, name: str, df: DataFrame, *,
@@ -164,6 +217,9 @@ class TableStore:
         oldest_kept = committed[-keep]
         doomed = [d for d in self._fs.list_dirs(base) if d.startswith(VERSION_PREFIX) and d < oldest_kept]
         for d in doomed:
+            if self.buckets(f"{base}/{d}") is not None:
+                # External table: dropping it removes the catalog entry only.
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(f'{base}/{d}')}")
             self._fs.delete(f"{base}/{d}")
         return doomed
 
@@ -184,11 +240,35 @@ class TableStore:
             reader = reader.schema(schema)
         return reader.load(paths[0]) if len(paths) == 1 else reader.load(paths)
 
+    def _read_version(self, path: str, schema: StructType | None) -> DataFrame:
+        spec = self.buckets(path)
+        if spec is None:
+            return self._read_paths([path], schema)
+        table = self._catalog_name(path)
+        if not self.spark.catalog.tableExists(table):
+            stored = self._read_paths([path], None).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.fields)
+            on = ", ".join(f"`{c}`" for c in spec.columns)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet CLUSTERED BY ({on}) "
+                f"SORTED BY ({on}) INTO {spec.count} BUCKETS LOCATION '{path}'")
+        df = self.spark.table(table)
+        if schema is not None:
+            df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
+        return df
+
     def read(self, name: str, *, schema: StructType | None = None,
              all_versions: bool = False) -> DataFrame:
+        """The newest committed version (all versions for append tables).
+
+        ``schema`` selects and types the columns; for a bucketed table it is a
+        projection, so reading without the bucket column gives a plain scan.
+        """
         versions = self.committed_versions(name)
         if not versions:
             if schema is None:
                 raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
             return self.spark.createDataFrame([], schema)
-        return self._read_paths(versions if all_versions else versions[-1:], schema)
+        if all_versions:
+            return self._read_paths(versions, schema)
+        return self._read_version(versions[-1], schema)

@@ -140,3 +140,28 @@ def test_ensure_tables_and_dead_letter_append(spark, scratch_dir, mock_df):
     dead = store.read("dead_letter", schema=schemas.DEAD_LETTER, all_versions=True)
     assert sorted(r["batch_id"] for r in dead.select("batch_id").distinct().collect()) == ["a1", "a2"]
     assert dead.count() == 10
+
+
+def test_bucketed_silver_merge_shuffles_only_the_batch(spark, scratch_dir):
+    from strata.operators import upsert
+    from strata.operators.joins import key_hash
+    from strata.sources.store import Buckets
+
+    keys = list(schemas.PRODUCT_KEY)
+    store = TableStore(spark, scratch_dir, retain_versions=1)
+    rows = [(f"n{i}", "m", None if i % 3 == 0 else "s", float(i)) for i in range(200)]
+    base = spark.createDataFrame(rows, "name string, main_category string, sub_category string, v double")
+    t = base.withColumn("_key_hash", key_hash(keys))
+    spec = Buckets(4, ("_key_hash",))
+    store.overwrite("silver", t, buckets=spec)
+    store.overwrite("silver", t, buckets=spec)  # a second version; the first is vacuumed
+    assert store.table_buckets("silver") == spec and len(store.committed_versions("silver")) == 1
+    target = store.read("silver")
+    src = spark.createDataFrame([("n3", "m", None, -1.0), ("new", "m", "s", 9.0)],
+                                "name string, main_category string, sub_category string, v double")
+    src = src.withColumn("_key_hash", key_hash(keys))
+    merged = upsert(target, src, keys, ["v"], hash_column="_key_hash")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the batch side only
+    out = {r["name"]: r["v"] for r in merged.collect()}
+    assert len(out) == 201 and out["n3"] == -1.0 and out["new"] == 9.0 and out["n4"] == 4.0
