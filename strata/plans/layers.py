@@ -10,6 +10,7 @@ recomputes from the last written table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -55,6 +56,11 @@ class RunParams:
     def ingestion_date(self) -> dt.date:
         return self.as_of.date()
 
+    @classmethod
+    def now(cls, batch_id: str | None = None) -> RunParams:
+        """A fresh run: a random batch id (unless given) and the current time."""
+        return cls(batch_id or str(uuid.uuid4()), dt.datetime.now())
+
 
 @dataclass(frozen=True)
 class Source:
@@ -118,8 +124,7 @@ class SilverResult:
 def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
-               silver_buckets: int | None = None,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> SilverResult:
+               silver_buckets: int | None = None) -> SilverResult:
     """Stage, quarantine, deduplicate and merge one batch into silver.
 
     ``dead_letter_mode``: "overwrite" keeps only this batch's invalid rows (as

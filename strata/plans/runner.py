@@ -104,8 +104,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
         "SILVER": lambda: run_silver(store, results["BRONZE"].bronze, run, rules=rules,
                                      keep_raw=keep_raw, null_safe_merge=null_safe_merge,
                                      dead_letter_mode=dead_letter_mode,
-                                     silver_buckets=silver_buckets,
-                                     max_broadcast_rows=max_broadcast_rows),
+                                     silver_buckets=silver_buckets),
         "GOLD": lambda: run_gold(store, results["SILVER"].silver,
                                  silver_rows=results["SILVER"].silver_rows,
                                  max_broadcast_rows=max_broadcast_rows),
