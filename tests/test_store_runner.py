@@ -165,3 +165,18 @@ def test_bucketed_silver_merge_shuffles_only_the_batch(spark, scratch_dir):
     assert plan.count("Exchange hashpartitioning") == 1  # the batch side only
     out = {r["name"]: r["v"] for r in merged.collect()}
     assert len(out) == 201 and out["n3"] == -1.0 and out["new"] == 9.0 and out["n4"] == 4.0
+
+
+def test_job_entry_point(spark, scratch_dir, mock_df, capsys):
+    from strata.__main__ import main
+    from strata.sources.files import write_csv
+
+    extra = mock_df.select("*", F.lit(None).cast("string").alias("image"),
+                           F.lit(None).cast("string").alias("link"))
+    write_csv(extra, f"{scratch_dir}/in")
+    code = main(["--csv", f"{scratch_dir}/in", "--store", f"{scratch_dir}/store", "--batch-id", "cli",
+                 "--as-of", "2024-05-01T06:00:00"])
+    out = capsys.readouterr().out
+    assert code == 0
+    assert '"layer_name": "SILVER", "status": "SUCCESS", "record_count": 4' in out
+    assert '{"layer": "dead_letter", "row_count": 5}' in out
