@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
 import uuid
 from dataclasses import dataclass, field
 
@@ -40,6 +41,7 @@ PRODUCTS_LABEL = "products.csv"
 LISTINGS_LABEL = "listings"
 
 _PROCESS_TOKEN = uuid.uuid4().hex[:12]
+_LOCK = threading.RLock()  # scenarios and inputs are built once even under concurrent callers
 
 
 @dataclass
@@ -74,8 +76,9 @@ class TestdataRuns:
 
     def _ensure_csv(self, name: str, df: DataFrame) -> str:
         path = self.csv_path(name)
-        if not self.inputs._fs.exists(f"{path}/_SUCCESS"):
-            write_csv(df, path)
+        with _LOCK:
+            if not self.inputs._fs.exists(f"{path}/_SUCCESS"):
+                write_csv(df, path)
         return path
 
     def products_csv(self, part: str = "all") -> str:
@@ -87,8 +90,9 @@ class TestdataRuns:
         return self._ensure_csv(f"products_{part}", rows.drop("l_shipdate"))
 
     def listings(self) -> DataFrame:
-        if not self.inputs.exists("listings"):
-            self.inputs.overwrite("listings", listing_table(self.spark, self.sf_dir))
+        with _LOCK:
+            if not self.inputs.exists("listings"):
+                self.inputs.overwrite("listings", listing_table(self.spark, self.sf_dir))
         return self.inputs.read("listings")
 
     def sources(self, part: str = "all") -> list[Source]:
@@ -101,30 +105,48 @@ class TestdataRuns:
 
     # -- scenarios -----------------------------------------------------------
     def full(self) -> RunResult:
+        with _LOCK:
+            return self._full_locked()
+
+    def _full_locked(self) -> RunResult:
         if self._full is None:
             store = TableStore(self.spark, f"{self.root}/full")
             run = RunParams(FULL_BATCH_ID, FULL_AS_OF, clock=StepClock(FULL_AS_OF))
-            self._full = run_layers(store, self.sources("all"), run)
+            result = _succeeded(run_layers(store, self.sources("all"), run))
             self.full_store = store
+            self._full = result
         return self._full
 
     def history(self) -> list[RunResult]:
+        with _LOCK:
+            return self._history_locked()
+
+    def _history_locked(self) -> list[RunResult]:
         if self._history is None:
             store = TableStore(self.spark, f"{self.root}/history")
             out = []
             for (batch_id, as_of), part in zip(HISTORY_RUNS, ("early", "late"), strict=True):
                 run = RunParams(batch_id, as_of, clock=StepClock(as_of))
-                out.append(run_layers(store, self.sources(part), run))
-            self._history = out
+                out.append(_succeeded(run_layers(store, self.sources(part), run)))
             self.history_store = store
+            self._history = out
         return self._history
 
 
+def _succeeded(result: RunResult) -> RunResult:
+    """Queries read the scenario's tables, so a failed layer must not pass silently."""
+    if not result.succeeded:
+        failed = [(r[1], r[2], r[5]) for r in result.checkpoints if r[2] != "SUCCESS"]
+        raise RuntimeError(f"scenario run {result.run.batch_id} did not succeed: {failed}")
+    return result
+
+
 _RUNS: dict[tuple[str, str], TestdataRuns] = {}
 
 
 def testdata_runs(spark: SparkSession, sf_dir: str) -> TestdataRuns:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _RUNS:
-        _RUNS[key] = TestdataRuns(spark, sf_dir)
-    return _RUNS[key]
+    with _LOCK:
+        if key not in _RUNS:
+            _RUNS[key] = TestdataRuns(spark, sf_dir)
+        return _RUNS[key]
