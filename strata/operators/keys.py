@@ -33,6 +33,8 @@ from strata.sources.store import checkpoint_root
 # Inputs up to this many rows (counted, so the bound is proven) are numbered in
 # one task; larger inputs are range-partitioned.
 SINGLE_BUCKET_MAX_ROWS = 250_000
+# Range partitions are sized so none holds much more than this many rows.
+ROWS_PER_PARTITION = 2_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
 
@@ -42,13 +44,16 @@ def _sort_exprs(order: Sequence[str]) -> list[Column]:
 
 def dense_key(df: DataFrame, order: Sequence[str], key: str = "key", *,
               num_partitions: int | None = None, rows: int | None = None, start: int = 1,
-              single_bucket_max_rows: int = SINGLE_BUCKET_MAX_ROWS) -> DataFrame:
+              single_bucket_max_rows: int = SINGLE_BUCKET_MAX_ROWS,
+              rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """``df`` plus ``key`` (LONG): ``start..`` in ascending ``order``, NULLs first.
 
     Equal to ``row_number() OVER (ORDER BY order ASC NULLS FIRST)``; rows tied
     on ``order`` are ordered by a row hash (tied rows that are identical get
     interchangeable keys). Runs jobs: a count unless ``rows`` is given, and for
-    large inputs the checkpoint of the numbered rows.
+    large inputs the checkpoint of the numbered rows. ``num_partitions``
+    defaults to ``spark.sql.shuffle.partitions``, raised so that no range
+    partition holds much more than ``rows_per_partition`` rows.
     """
     spark = df.sparkSession
     cols = [F.col(f"`{c}`") for c in df.columns]
@@ -60,7 +65,8 @@ def dense_key(df: DataFrame, order: Sequence[str], key: str = "key", *,
         return df.select(*cols, tie).select(
             *cols, (F.row_number().over(w) + F.lit(start - 1)).cast("long").alias(key))
 
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              -(-rows // rows_per_partition))
     ranged = (
         df.select(*cols, tie, F.monotonically_increasing_id().alias("_seq"))
         .repartitionByRange(n, *sort, F.col("_tie"), F.col("_seq"))

@@ -36,6 +36,9 @@ from strata.operators.summaries import category_summary, price_bucket_summary
 from strata.sources.lineage import with_lineage
 from strata.sources.store import Buckets, TableStore
 
+# A new silver table gets enough buckets for about this many rows each.
+SILVER_ROWS_PER_BUCKET = 2_000_000
+
 # Columns a repeated product takes from the newer batch; image and link keep
 # the first value seen, as in the source pipeline's MERGE.
 SILVER_UPDATE_COLUMNS = (
@@ -131,10 +134,12 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     the source pipeline does); "append" keeps every batch's, told apart by
     ``batch_id``.
 
-    Silver is stored bucketed on a hash of the product key (``silver_buckets``
-    buckets, fixed when the table is first written, by default
-    ``spark.sql.shuffle.partitions``). The merge joins on that hash, so each
-    run shuffles only its own batch, never the accumulated silver table.
+    Silver is stored bucketed on a hash of the product key. The bucket count
+    is fixed when the table is first written: ``silver_buckets``, or by
+    default ``spark.sql.shuffle.partitions`` raised to hold about
+    ``SILVER_ROWS_PER_BUCKET`` rows of the first batch per bucket. The merge
+    joins on that hash, so each run shuffles only its own batch, never the
+    accumulated silver table.
     """
     if dead_letter_mode not in ("overwrite", "append"):
         raise ValueError(f"dead_letter_mode must be 'overwrite' or 'append', not {dead_letter_mode!r}")
@@ -164,8 +169,9 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     if spec is not None and spec.columns == (schemas.KEY_HASH,):
         target = store.read("silver", schema=schemas.SILVER_STORED)
     else:  # first run, or a silver table written without the key hash
-        spec = Buckets(silver_buckets or int(store.spark.conf.get("spark.sql.shuffle.partitions")),
-                       (schemas.KEY_HASH,))
+        default = max(int(store.spark.conf.get("spark.sql.shuffle.partitions")),
+                      -(-batch_rows // SILVER_ROWS_PER_BUCKET))
+        spec = Buckets(silver_buckets or default, (schemas.KEY_HASH,))
         target = store.read("silver", schema=schemas.SILVER).withColumn(
             schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY))
     merged = upsert(target, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
