@@ -24,6 +24,8 @@ SOURCE_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_r
 SILVER_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_ratings, "
                "discount_price, actual_price, discount_amount, discount_pct, is_valid, "
                "source_file, batch_id, ingestion_date")
+DEAD_COLS = ("name", "main_category", "sub_category", "image", "link", "ratings", "no_of_ratings",
+             "discount_price", "actual_price", "validation_errors", "batch_id", "failed_at")
 STAGED_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_ratings, "
                "discount_price, actual_price, discount_amount, discount_pct, is_valid, "
                "validation_errors, source_file, batch_id, ingestion_date")
@@ -295,6 +297,8 @@ FROM staged""",
 SELECT validation_error, count(*) AS error_count
 FROM (SELECT unnest(string_split(validation_errors, '; ')) AS validation_error FROM dead)
 WHERE validation_error <> '' GROUP BY validation_error""",
+        "dead_letter_sample": f"""{full}
+SELECT * FROM dead ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in DEAD_COLS)} LIMIT 10""",
         "silver_upsert": f"{hist} SELECT * FROM merged",
         "silver_upsert_twice": f"{hist} SELECT * FROM merged",
         "dim_category": f"{gold} SELECT * FROM dim_cat",

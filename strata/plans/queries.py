@@ -17,7 +17,7 @@ from strata import schemas
 from strata.operators.dedup import PRODUCT_SURVIVOR_ORDER, dedup_by_key
 from strata.operators.keys import dense_key
 from strata.operators.merge import upsert
-from strata.operators.quality import describe_layer, layer_counts, quality_report
+from strata.operators.quality import describe_layer, layer_counts, quality_report, sample_rows
 from strata.operators.quarantine import dead_letter_summary
 from strata.operators.staging import clean, derive, split_valid, stage
 from strata.operators.star import attach_category_key, attach_price_bucket_key, with_price_bucket
@@ -119,6 +119,12 @@ def dead_letter_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_letter_summary(dead_letter(spark, sf_dir))
 
 
+def dead_letter_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review preview: 10 quarantined rows, first in a total order over all columns."""
+    dead = dead_letter(spark, sf_dir)
+    return sample_rows(dead, 10, [F.asc_nulls_first(c) for c in dead.columns])
+
+
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, store = _history(spark, sf_dir)
     return store.read("silver", schema=schemas.SILVER)
@@ -219,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": quality_report_q,
     "silver_dedup": silver_dedup,
     "dead_letter_summary": dead_letter_summary_q,
+    "dead_letter_sample": dead_letter_sample,
     "silver_upsert": silver_upsert,
     "silver_upsert_twice": silver_upsert_twice,
     "dim_category": dim_category,
