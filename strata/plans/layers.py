@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -47,6 +48,17 @@ SILVER_UPDATE_COLUMNS = (
 )
 
 
+def _concurrently(*jobs: Callable[[], object]) -> list[object]:
+    """Run independent Spark jobs from driver threads; results in order.
+
+    Spark schedules jobs from several threads side by side, so small
+    independent writes overlap instead of queueing. Any failure is re-raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
+
 @dataclass(frozen=True)
 class RunParams:
     """Identity of one run. Operators never read the clock themselves."""
@@ -152,18 +164,22 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
 
     quarantined = dead_letter(staged, run.as_of, keep_raw=keep_raw)
     dl_schema = None if keep_raw else schemas.DEAD_LETTER
-    if dead_letter_mode == "append":
-        _, dead_rows = store.append_counted("dead_letter", quarantined, schema=dl_schema)
-        dead = store.read("dead_letter", schema=dl_schema, all_versions=True).where(
-            F.col("batch_id") == F.lit(run.batch_id))
-    else:
-        dead, dead_rows = store.overwrite_counted("dead_letter", quarantined, schema=dl_schema)
+
+    def write_dead_letter() -> tuple[DataFrame, int]:
+        if dead_letter_mode == "append":
+            _, rows = store.append_counted("dead_letter", quarantined, schema=dl_schema)
+            return store.read("dead_letter", schema=dl_schema, all_versions=True).where(
+                F.col("batch_id") == F.lit(run.batch_id)), rows
+        return store.overwrite_counted("dead_letter", quarantined, schema=dl_schema)
+
     valid, _ = split_valid(staged)
     deduped = dedup_by_key(valid.select(*[f.name for f in schemas.SILVER.fields]),
                            schemas.PRODUCT_KEY, PRODUCT_SURVIVOR_ORDER)
-    batch, batch_rows = store.overwrite_counted(
-        "silver_batch", deduped.withColumn(schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY)),
-        schema=schemas.SILVER_STORED,
+    (dead, dead_rows), (batch, batch_rows) = _concurrently(
+        write_dead_letter,
+        lambda: store.overwrite_counted(
+            "silver_batch", deduped.withColumn(schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY)),
+            schema=schemas.SILVER_STORED),
     )
     spec = store.table_buckets("silver")
     if spec is not None and spec.columns == (schemas.KEY_HASH,):
@@ -196,20 +212,23 @@ def run_gold(store: TableStore, silver: DataFrame, *, silver_rows: int | None =
     """``silver_rows``: row count of ``silver`` when known (every silver row is valid)."""
     spark = silver.sparkSession
     valid = silver.where(F.col("is_valid"))
-    dim_cat, dim_cat_rows = store.overwrite_counted("dim_category", dim_category(valid),
-                                                    schema=schemas.DIM_CATEGORY)
-    dim_pb, dim_pb_rows = store.overwrite_counted("dim_price_bucket", dim_price_bucket(spark),
-                                                  schema=schemas.DIM_PRICE_BUCKET)
+    # Summaries need only silver columns and the bucket ladder: no joins, so they
+    # run alongside the dimensions.
+    bucketed = with_price_bucket(valid)
+    (dim_cat, dim_cat_rows), (dim_pb, dim_pb_rows), agg_cat, agg_pb = _concurrently(
+        lambda: store.overwrite_counted("dim_category", dim_category(valid),
+                                        schema=schemas.DIM_CATEGORY),
+        lambda: store.overwrite_counted("dim_price_bucket", dim_price_bucket(spark),
+                                        schema=schemas.DIM_PRICE_BUCKET),
+        lambda: store.overwrite("agg_category_summary", category_summary(bucketed),
+                                schema=schemas.AGG_CATEGORY_SUMMARY),
+        lambda: store.overwrite("agg_price_bucket_summary", price_bucket_summary(bucketed),
+                                schema=schemas.AGG_PRICE_BUCKET_SUMMARY),
+    )
     enriched = enrich(valid, dim_cat, dim_pb, max_broadcast_rows=max_broadcast_rows,
                       dim_cat_rows=dim_cat_rows, dim_pb_rows=dim_pb_rows)
     valid_rows = valid.count() if silver_rows is None else silver_rows
     fact, fact_rows = store.overwrite_counted(
         "fact_product_metrics", fact_product_metrics(enriched, rows=valid_rows),
         schema=schemas.FACT_PRODUCT_METRICS)
-    # Summaries need only silver columns and the bucket ladder: no joins.
-    bucketed = with_price_bucket(valid)
-    agg_cat = store.overwrite("agg_category_summary", category_summary(bucketed),
-                              schema=schemas.AGG_CATEGORY_SUMMARY)
-    agg_pb = store.overwrite("agg_price_bucket_summary", price_bucket_summary(bucketed),
-                             schema=schemas.AGG_PRICE_BUCKET_SUMMARY)
     return GoldResult(dim_cat, dim_pb, fact, agg_cat, agg_pb, fact_rows)
