@@ -175,25 +175,29 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     valid, _ = split_valid(staged)
     deduped = dedup_by_key(valid.select(*[f.name for f in schemas.SILVER.fields]),
                            schemas.PRODUCT_KEY, PRODUCT_SURVIVOR_ORDER)
-    (dead, dead_rows), (batch, batch_rows) = _concurrently(
-        write_dead_letter,
-        lambda: store.overwrite_counted(
+
+    def merge_batch() -> tuple[DataFrame, int, DataFrame, int]:
+        batch, batch_rows = store.overwrite_counted(
             "silver_batch", deduped.withColumn(schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY)),
-            schema=schemas.SILVER_STORED),
-    )
-    spec = store.table_buckets("silver")
-    if spec is not None and spec.columns == (schemas.KEY_HASH,):
-        target = store.read("silver", schema=schemas.SILVER_STORED)
-    else:  # first run, or a silver table written without the key hash
-        default = max(int(store.spark.conf.get("spark.sql.shuffle.partitions")),
-                      -(-batch_rows // SILVER_ROWS_PER_BUCKET))
-        spec = Buckets(silver_buckets or default, (schemas.KEY_HASH,))
-        target = store.read("silver", schema=schemas.SILVER).withColumn(
-            schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY))
-    merged = upsert(target, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
-                    null_safe=null_safe_merge, hash_column=schemas.KEY_HASH)
-    silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER_STORED,
-                                                  buckets=spec)
+            schema=schemas.SILVER_STORED)
+        spec = store.table_buckets("silver")
+        if spec is not None and spec.columns == (schemas.KEY_HASH,):
+            target = store.read("silver", schema=schemas.SILVER_STORED)
+        else:  # first run, or a silver table written without the key hash
+            default = max(int(store.spark.conf.get("spark.sql.shuffle.partitions")),
+                          -(-batch_rows // SILVER_ROWS_PER_BUCKET))
+            spec = Buckets(silver_buckets or default, (schemas.KEY_HASH,))
+            target = store.read("silver", schema=schemas.SILVER).withColumn(
+                schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY))
+        merged = upsert(target, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
+                        null_safe=null_safe_merge, hash_column=schemas.KEY_HASH)
+        silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER_STORED,
+                                                      buckets=spec)
+        return batch, batch_rows, silver, silver_rows
+
+    # Quarantine and the merge only share the staged input: run them side by side.
+    (dead, dead_rows), (batch, batch_rows, silver, silver_rows) = _concurrently(
+        write_dead_letter, merge_batch)
     return SilverResult(staged, dead, batch, silver, quality, dead_rows, batch_rows, silver_rows)
 
 
