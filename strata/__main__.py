@@ -26,6 +26,8 @@ def _parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--as-of", default=None, help="run time, ISO format (default: now)")
     p.add_argument("--keep-raw", action="store_true", help="keep the received numeric text in quarantine")
     p.add_argument("--dead-letter-mode", choices=("overwrite", "append"), default="overwrite")
+    p.add_argument("--bronze-mode", choices=("overwrite", "append"), default="overwrite",
+                   help="append keeps every batch's raw rows instead of replacing them")
     p.add_argument("--plain-key-match", action="store_true",
                    help="match merge keys with SQL '=' (NULL never matches) instead of NULL-safe")
     p.add_argument("--silver-buckets", type=int, default=None)
@@ -59,10 +61,13 @@ def main(argv: list[str] | None = None) -> int:
         run = RunParams(run.batch_id, dt.datetime.fromisoformat(args.as_of))
     result = run_layers(store, sources, run, keep_raw=args.keep_raw,
                         null_safe_merge=not args.plain_key_match,
-                        dead_letter_mode=args.dead_letter_mode, silver_buckets=args.silver_buckets)
+                        dead_letter_mode=args.dead_letter_mode, silver_buckets=args.silver_buckets,
+                        bronze_mode=args.bronze_mode)
     for row in result.checkpoints:
         print(json.dumps(dict(zip(TABLES["checkpoints"].fieldNames(), row, strict=True)), default=str))
-    present = {t: store.read(t, schema=TABLES[t]) for t in TABLES if t != "checkpoints" and store.exists(t)}
+    history = ("checkpoints", "bronze") if args.bronze_mode == "append" else ("checkpoints",)
+    present = {t: store.read(t, schema=TABLES[t], all_versions=t in history)
+               for t in TABLES if t != "checkpoints" and store.exists(t)}
     if present:
         for r in layer_counts(present).collect():
             print(json.dumps({"layer": r["layer"], "row_count": r["row_count"]}))

@@ -110,9 +110,25 @@ class BronzeResult:
     rows: int
 
 
-def run_bronze(store: TableStore, sources: Sequence[Source], run: RunParams) -> BronzeResult:
-    bronze, rows = store.overwrite_counted("bronze", bronze_frame(sources, run), schema=schemas.BRONZE,
-                                           partition_by=["ingestion_date"])
+def run_bronze(store: TableStore, sources: Sequence[Source], run: RunParams, *,
+               mode: str = "overwrite") -> BronzeResult:
+    """Land the batch in bronze, partitioned by ingestion date.
+
+    ``mode="overwrite"`` replaces the table with this batch (as the source
+    pipeline does). ``mode="append"`` keeps the raw history instead: each batch
+    is its own committed version, nothing earlier is rewritten, and readers of
+    the table see every batch. Either way the returned frame is this batch only.
+    """
+    frame = bronze_frame(sources, run)
+    if mode == "overwrite":
+        bronze, rows = store.overwrite_counted("bronze", frame, schema=schemas.BRONZE,
+                                               partition_by=["ingestion_date"])
+    elif mode == "append":
+        version, rows = store.write_version_counted("bronze", frame, schema=schemas.BRONZE,
+                                                    partition_by=["ingestion_date"])
+        bronze = store.read_version(version, schema=schemas.BRONZE)
+    else:
+        raise ValueError(f"bronze mode must be 'overwrite' or 'append', not {mode!r}")
     return BronzeResult(bronze, rows)
 
 

@@ -90,7 +90,7 @@ def checkpoint_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
-               silver_buckets: int | None = None,
+               silver_buckets: int | None = None, bronze_mode: str = "overwrite",
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> RunResult:
     spark = store.spark
     rows: list[tuple] = []
@@ -100,7 +100,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
         rows.append((run.batch_id, layer, status, int(count), run.clock(), error, int(batch_rows)))
 
     steps = {
-        "BRONZE": lambda: run_bronze(store, sources, run),
+        "BRONZE": lambda: run_bronze(store, sources, run, mode=bronze_mode),
         "SILVER": lambda: run_silver(store, results["BRONZE"].bronze, run, rules=rules,
                                      keep_raw=keep_raw, null_safe_merge=null_safe_merge,
                                      dead_letter_mode=dead_letter_mode,

@@ -39,6 +39,7 @@ from strata.schemas import enforce_schema
 VERSION_PREFIX = "version-"
 COMMIT_MARKER = "_SUCCESS"
 BUCKET_MARKER = "_BUCKETS_"
+PARTITION_MARKER = "_PARTITIONED_BY_"
 
 
 @dataclass(frozen=True)
@@ -166,6 +167,8 @@ class TableStore:
             writer = writer.partitionBy(*partition_by)
         if buckets is None:
             writer.save(path)
+            if partition_by:
+                self._fs.touch(f"{path}/{PARTITION_MARKER}{'+'.join(partition_by)}")
             return path
         cols = list(buckets.columns)
         (writer.bucketBy(buckets.count, *cols).sortBy(*cols).option("path", path)
@@ -200,6 +203,17 @@ class TableStore:
                              partition_by=partition_by, buckets=buckets)
         return out, int(obs.get["rows"])
 
+    def write_version_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
+                              partition_by: list[str] | None = None) -> tuple[str, int]:
+        """Write ``df`` as one more committed version; returns (version path, rows)."""
+        obs = Observation(f"rows_{name}_version")
+        path = self._write_version(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema,
+                                   partition_by)
+        return path, int(obs.get["rows"])
+
+    def read_version(self, path: str, schema: StructType | None = None) -> DataFrame:
+        return self._read_version(path, schema)
+
     def append_counted(self, name: str, df: DataFrame, *,
                        schema: StructType | None = None) -> tuple[DataFrame, int]:
         """``append`` that also returns the number of rows appended."""
@@ -270,5 +284,19 @@ class TableStore:
                 raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
             return self.spark.createDataFrame([], schema)
         if all_versions:
-            return self._read_paths(versions, schema)
+            return self._read_all(name, versions, schema)
         return self._read_version(versions[-1], schema)
+
+    def _read_all(self, name: str, versions: list[str], schema: StructType | None) -> DataFrame:
+        """Every committed version. Partitioned versions are separate table roots
+        for Spark's partition discovery, so they are read one by one and unioned;
+        the others are read in one scan."""
+        partitioned = set(self._fs.glob_parents(f"{self.table_path(name)}/{VERSION_PREFIX}*/{PARTITION_MARKER}*"))
+        plain = [v for v in versions if v.rsplit("/", 1)[1] not in partitioned]
+        frames = [self._read_paths([v], schema) for v in versions if v.rsplit("/", 1)[1] in partitioned]
+        if plain:
+            frames.insert(0, self._read_paths(plain, schema))
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out

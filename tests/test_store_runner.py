@@ -180,3 +180,16 @@ def test_job_entry_point(spark, scratch_dir, mock_df, capsys):
     assert code == 0
     assert '"layer_name": "SILVER", "status": "SUCCESS", "record_count": 4' in out
     assert '{"layer": "dead_letter", "row_count": 5}' in out
+
+
+def test_bronze_append_keeps_history(spark, scratch_dir, mock_df):
+    store = TableStore(spark, scratch_dir)
+    for day in (1, 2):
+        as_of = dt.datetime(2024, 6, day, 6, 0, 0)
+        result = run_layers(store, [_mock_source(spark, mock_df)], RunParams(f"d{day}", as_of),
+                            bronze_mode="append")
+        assert result.succeeded and result.bronze.rows == 10 and result.bronze.bronze.count() == 10
+        assert result.silver.silver_rows == 4
+    history = store.read("bronze", schema=schemas.BRONZE, all_versions=True)
+    assert history.count() == 20
+    assert sorted(r["batch_id"] for r in history.select("batch_id").distinct().collect()) == ["d1", "d2"]
