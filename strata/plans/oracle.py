@@ -275,7 +275,7 @@ def oracle_queries() -> dict[str, str]:
         "scan_table": f"WITH {LISTINGS.strip()} SELECT * FROM listings",
         "bronze_map_columns": f"WITH {LISTINGS.strip()} {listing_bronze(FULL_BATCH_ID, FULL_AS_OF)}",
         "bronze_union": f"{full} SELECT * FROM bronze",
-        "write_overwrite": f"{full} SELECT * FROM bronze",
+        "write_overwrite": f"{hist} SELECT * FROM h2_bronze",
         "silver_clean": f"{full} SELECT * FROM cleaned",
         "silver_derive": f"{full} SELECT * FROM derived",
         "silver_validate": f"{full} SELECT {STAGED_COLS} FROM staged",

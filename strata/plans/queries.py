@@ -73,7 +73,8 @@ def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, store = _full(spark, sf_dir)
+    """Bronze after two runs: the second batch replaced the first (published read back)."""
+    _, store = _history(spark, sf_dir)
     return store.read("bronze", schema=schemas.BRONZE)
 
 
