@@ -174,12 +174,17 @@ def test_job_entry_point(spark, scratch_dir, mock_df, capsys):
     extra = mock_df.select("*", F.lit(None).cast("string").alias("image"),
                            F.lit(None).cast("string").alias("link"))
     write_csv(extra, f"{scratch_dir}/in")
-    code = main(["--csv", f"{scratch_dir}/in", "--store", f"{scratch_dir}/store", "--batch-id", "cli",
-                 "--as-of", "2024-05-01T06:00:00"])
+    spark.createDataFrame([("T1", 4.5, 10, 99.0, 120.0, "A1")],
+                          "title string, rating_stars double, rating_count long, price_value double, "
+                          "list_price double, asin string").createOrReplaceTempView("cli_listings")
+    code = main(["--csv", f"{scratch_dir}/in", "--table", "cli_listings", "--store", f"{scratch_dir}/store",
+                 "--batch-id", "cli", "--as-of", "2024-05-01T06:00:00"])
     out = capsys.readouterr().out
     assert code == 0
+    assert '"layer_name": "BRONZE", "status": "SUCCESS", "record_count": 11' in out
     assert '"layer_name": "SILVER", "status": "SUCCESS", "record_count": 4' in out
-    assert '{"layer": "dead_letter", "row_count": 5}' in out
+    # The listing row has no main category, so it is quarantined with the invalid CSV rows.
+    assert '{"layer": "dead_letter", "row_count": 6}' in out
 
 
 def test_bronze_append_keeps_history(spark, scratch_dir, mock_df):
