@@ -328,3 +328,16 @@ def test_layer_counts_and_describe(spark, mock_df):
 
 def test_survivor_order_constant_is_lazy():
     assert PRODUCT_SURVIVOR_ORDER[0] == ("no_of_ratings", "desc")
+
+
+def test_dedup_plan_limits_before_the_shuffle(spark, scratch_dir):
+    # Read from Parquet so the plan has a real shuffle between the two limits.
+    spark.createDataFrame([("a", "m", "s", 1.0)], "name string, main_category string, "
+                          "sub_category string, no_of_ratings double").write.parquet(f"{scratch_dir}/t")
+    df = spark.read.parquet(f"{scratch_dir}/t")
+    plan = dedup_by_key(df, PRODUCT_KEY, [("no_of_ratings", "desc")])._jdf.queryExecution() \
+        .executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning")
+    limits = [i for i in range(len(plan)) if plan.startswith("WindowGroupLimit", i)]
+    assert any(i > exchange for i in limits), plan  # a limit below the exchange (map side)
+    assert any(i < exchange for i in limits), plan  # and the final one after it
