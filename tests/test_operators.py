@@ -341,3 +341,29 @@ def test_dedup_plan_limits_before_the_shuffle(spark, scratch_dir):
     limits = [i for i in range(len(plan)) if plan.startswith("WindowGroupLimit", i)]
     assert any(i > exchange for i in limits), plan  # a limit below the exchange (map side)
     assert any(i < exchange for i in limits), plan  # and the final one after it
+
+
+def test_csv_source_matches_header_names(spark, scratch_dir):
+    from strata.sources.files import read_csv_source
+
+    path = f"{scratch_dir}/csv"
+    import os
+
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w", encoding="utf-8") as fh:
+        fh.write('Actual_Price,extra,name,main_category,sub_category,image,link,ratings,no_of_ratings,'
+                 'discount_price\n')
+        fh.write('"1,299",x,"Kettle, steel",home,kitchen,,,4.1,"1,024",₹999\n')
+        fh.write(',y,Mug,home,,,,,,\n')
+    rows = read_csv_source(spark, path).collect()
+    assert [list(r.asDict()) for r in rows][0] == ["name", "main_category", "sub_category", "image", "link",
+                                                   "ratings", "no_of_ratings", "discount_price",
+                                                   "actual_price"]
+    first, second = rows
+    assert (first["name"], first["actual_price"], first["no_of_ratings"], first["discount_price"]) == (
+        "Kettle, steel", "1,299", "1,024", "₹999")
+    assert second["sub_category"] is None and second["actual_price"] is None
+    with open(f"{path}/part-0.csv", "w", encoding="utf-8") as fh:
+        fh.write("name,main_category\nA,b\n")
+    with pytest.raises(ValueError):
+        read_csv_source(spark, path)
