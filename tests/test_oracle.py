@@ -62,3 +62,14 @@ def test_entry_returns_rows(spark):
     assert df.count() > 0
     assert df.columns == ["main_category", "product_count", "avg_rating", "avg_discount_price",
                           "avg_actual_price", "avg_discount_pct"]
+
+
+def test_history_merge_exercises_every_branch(spark):
+    from strata.plans.testdata import testdata_runs
+
+    first, second = testdata_runs(spark, SF_DIR).history()
+    before, batch, after = first.silver.silver_rows, second.silver.batch_rows, second.silver.silver_rows
+    inserted = after - before
+    updated = batch - inserted
+    untouched = before - updated
+    assert inserted > 0 and updated > 0 and untouched > 0, (before, batch, after)
