@@ -1,9 +1,10 @@
 """Run the three layers as a job.
 
-    spark-submit --py-files strata.zip -m strata \\
-        --csv 's3://bucket/products/*.csv' --table catalog.listings \\
+    python -m strata --csv 's3://bucket/products/*.csv' --table catalog.listings \\
         --store s3://bucket/lake/products --batch-id 2024-01-01
 
+    spark-submit --py-files strata.zip strata/__main__.py --csv ... --store ...
+
 Prints the run's checkpoint rows and the row count of every layer table as
 JSON lines. Exits non-zero when a layer did not succeed.
 """
