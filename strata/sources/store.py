@@ -59,7 +59,12 @@ class Buckets:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint directory; set a private one only if unset."""
+    """The session's checkpoint directory (``spark.checkpoint.dir``).
+
+    When nothing is configured, a local-mode session (tests, single-machine
+    runs) gets a private temporary directory. On a cluster a machine-local
+    folder would not be shared by the executors, so that is an error instead.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
@@ -67,7 +72,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
-        # Only reached when nothing is configured (local runs and tests).
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; point it at shared storage "
+                             "(HDFS or an object store) that every executor can reach")
         current = tempfile.mkdtemp(prefix="strata-checkpoint-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current
