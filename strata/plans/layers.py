@@ -40,8 +40,8 @@ from strata.sources.store import Buckets, TableStore
 # A new silver table gets enough buckets for about this many rows each.
 SILVER_ROWS_PER_BUCKET = 2_000_000
 
-# Columns a repeated product takes from the newer batch; image and link keep
-# the first value seen, as in the source pipeline's MERGE.
+# The columns a repeated product takes from the newer batch in the
+# source pipeline's MERGE; image and link keep the first value seen.
 SILVER_UPDATE_COLUMNS = (
     "ratings", "no_of_ratings", "discount_price", "actual_price", "discount_amount",
     "discount_pct", "is_valid", "source_file", "batch_id", "ingestion_date",

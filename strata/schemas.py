@@ -3,6 +3,10 @@
 Every layer table has a fixed schema. Writers call :func:`enforce_schema`
 so a frame with a missing or unexpected column fails before anything is
 written, and every column is cast to its declared type.
+
+Fixed values: the table and column names and types below are those of the
+source pipeline's tables (plus ``batch_rows`` in the audit log and the silver
+key hash, both ours).
 """
 
 from __future__ import annotations
