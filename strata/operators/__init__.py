@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators (no actions unless documented)."""
 
 from strata.operators.dedup import PRODUCT_SURVIVOR_ORDER, dedup_by_key
-from strata.operators.joins import left_join_dim
+from strata.operators.joins import hot_keys, key_hash, left_join_dim, residual_key_condition
 from strata.operators.keys import dense_key
 from strata.operators.merge import DuplicateKeyError, assert_unique, upsert
 from strata.operators.quality import (
@@ -44,11 +44,14 @@ __all__ = [
     "dim_price_bucket",
     "enrich",
     "fact_product_metrics",
+    "hot_keys",
+    "key_hash",
     "layer_counts",
     "left_join_dim",
     "price_bucket_summary",
     "quality_count_exprs",
     "quality_report",
+    "residual_key_condition",
     "sample_rows",
     "split_valid",
     "stage",

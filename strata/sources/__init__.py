@@ -2,10 +2,11 @@
 
 from strata.sources.files import read_csv_source, write_csv
 from strata.sources.lineage import with_lineage
-from strata.sources.store import TableStore, checkpoint_root
+from strata.sources.store import Buckets, TableStore, checkpoint_root
 from strata.sources.tables import LISTING_COLUMN_MAP, map_columns, read_table
 
 __all__ = [
+    "Buckets",
     "LISTING_COLUMN_MAP",
     "TableStore",
     "checkpoint_root",
