@@ -19,7 +19,7 @@ from strata.llm.bpe import bpe_decode, bpe_encode
 from strata.llm.common import ensure_checkpoint_dir, read_table
 from strata.llm.mixing import poisson_mix
 from strata.llm.pii import redact
-from strata.llm.simhash import simhash_groups
+from strata.llm.simhash import keep_one_per_group
 from strata.llm.toxicity import THRESHOLD, score_toxicity, train_toxicity
 
 
@@ -32,15 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: that with the least id. Of
-    rows that repeat this id, one. Rows with a null id have no name to be
-    compared by, and stay only if their group has no other row, one of them."""
-    groups = simhash_groups(docs, words=3, max_bits=3)
-    keep = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy(
-        F.col("id").alias("_keep")
-    ).agg(F.count("*").alias("_n"))
-    joined = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return joined.dropDuplicates(["doc_id"])
+    """One document of each SimHash group stays: that with the least id."""
+    return keep_one_per_group(docs, words=3, max_bits=3)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

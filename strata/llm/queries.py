@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from strata.llm.ann import op8_ann
 from strata.llm.bpe import op10_bpe
+from strata.llm.embed_dedup import op1_embedding_dedup
 from strata.llm.mixing import OP2_SQL, op2_mixing
 from strata.llm.pii import OP9_SQL, op9_pii
 from strata.llm.sharding import op5_sharding
@@ -10,10 +12,12 @@ from strata.llm.simhash import op6_simhash
 from strata.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
+    "op8_ann": op8_ann,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }

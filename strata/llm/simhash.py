@@ -92,6 +92,18 @@ def fingerprint_links(codes: DataFrame, max_bits: int = 3) -> DataFrame:
     return table.join(probes, ["part", "seg"]).where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
+def fingerprint_classes(codes: DataFrame, max_bits: int = 3) -> DataFrame:
+    """(fingerprint, root, component_id) for (id, fingerprint) rows: the
+    fingerprint that names its component, and the least id in it."""
+    classes = codes.groupBy("fingerprint").agg(F.min("id").alias("least"))
+    linked = components(fingerprint_links(classes.select("fingerprint"), max_bits))
+    roots = classes.join(linked, classes["fingerprint"] == linked["id"], "left").select(
+        "fingerprint", "least", F.coalesce("component_id", "fingerprint").alias("root")
+    )
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    return roots.join(least, "root").select("fingerprint", "root", "component_id")
+
+
 def simhash_groups(
     docs: DataFrame,
     words: int = 3,
@@ -113,16 +125,34 @@ def simhash_groups(
     not read.
     """
     codes = checkpoint(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), words))
-    classes = codes.groupBy("fingerprint").agg(F.min("id").alias("least"))
-    linked = components(fingerprint_links(classes.select("fingerprint"), max_bits))
-    roots = classes.join(linked, classes["fingerprint"] == linked["id"], "left").select(
-        "fingerprint", "least", F.coalesce("component_id", "fingerprint").alias("root")
-    )
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select("fingerprint", "component_id")
+    named = fingerprint_classes(codes, max_bits).select("fingerprint", "component_id")
     return codes.join(named, "fingerprint").select("id", "fingerprint", "component_id")
 
 
+def keep_one_per_group(
+    docs: DataFrame,
+    words: int = 3,
+    max_bits: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with one row of each group of ``simhash_groups``: one with the
+    least id. Rows are matched to their group by fingerprint, so null ids and
+    ids that several texts share lose no group. All columns are kept."""
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    codes = checkpoint(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), words))
+    named = checkpoint(fingerprint_classes(codes, max_bits)).select(
+        F.col("fingerprint").alias("_code"), F.col("root").alias("_root"), F.col("component_id").alias("_least")
+    )
+    coded = fingerprints(docs.withColumn("_again", F.col(text_col)), words, "_again", "_fingerprint")
+    return (
+        coded.join(named, F.col("_fingerprint") == F.col("_code"))
+        .where(F.col(id_col).eqNullSafe(F.col("_least")))
+        .dropDuplicates(["_root"])
+        .select(*kept)
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"), words=3, max_bits=3).select(
         F.col("id").alias("doc_id"),
