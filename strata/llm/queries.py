@@ -9,14 +9,18 @@ from strata.llm.mixing import OP2_SQL, op2_mixing
 from strata.llm.pii import OP9_SQL, op9_pii
 from strata.llm.sharding import op5_sharding
 from strata.llm.simhash import op6_simhash
+from strata.llm.substring_dedup import op7_substring_dedup
+from strata.llm.suffix_dedup import op4_suffix_dedup
 from strata.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_sharding": op5_sharding,
     "op6_simhash": op6_simhash,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_ann": op8_ann,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
