@@ -27,7 +27,9 @@ from strata.llm.common import partitions_for, text_bytes
 #: Bytes of text that a map task cuts into pieces at once, and bytes of pieces
 #: that a bucket holds on average.
 BATCH_BYTES = 8 << 20
-BUCKET_BYTES = 48 << 20
+BUCKET_BYTES = 24 << 20
+#: Compression level of what is shipped.
+PACK_LEVEL = 5
 #: Stands in for a null id in the order of documents: such rows come last.
 LAST_ID = 2**63 - 1
 
@@ -37,10 +39,6 @@ _PLACE = np.uint64(2**26 - 1)
 #: Windows of one document that are hashed at once.
 SEGMENT = 1 << 22
 
-ROWS = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()),
-                  ("key", pa.uint64()), ("piece", pa.binary())])
-
-
 def anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, windows, anchor) of the runs of windows that have one anchor at
     one place: the first of their least factor hashes. ``symbols`` are uint64;
@@ -82,27 +80,43 @@ def _anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, np.n
 
 def _ipc(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=PACK_LEVEL))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
 def _packed(rows: dict[bytes, tuple], buckets: int) -> Iterator[tuple[int, bytes]]:
-    """One (bucket, table) per bucket that has pieces."""
-    keys = np.fromiter((r[0] for r in rows.values()), np.uint64, len(rows))
-    bucket = (keys >> np.uint64(8)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
-    table = pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows.values()], t) for i, t in
-         ((1, pa.int64()), (2, pa.int64()), (3, pa.int32()), (4, pa.int32()))]
-        + [pa.array(keys), pa.array(list(rows), pa.binary())],
-        schema=ROWS,
-    ).take(pa.array(order))
-    sorted_bucket = bucket[order]
-    cut = np.flatnonzero(sorted_bucket[1:] != sorted_bucket[:-1]) + 1
-    for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(order)]):
-        # A copy of the slice, else its whole buffers would be written.
-        yield int(sorted_bucket[lo]), _ipc(pa.Table.from_batches([table.slice(lo, hi - lo)]).combine_chunks().to_batches()[0].take(pa.array(np.arange(hi - lo))))
+    """One (bucket, table) per bucket that has pieces. A table is one row of
+    arrays: its documents, then per piece its document's number, the step from
+    the start before, windows, anchor, size; and all bytes in one string."""
+    texts = list(rows)
+    fields = [np.fromiter((r[i] for r in rows.values()), t, len(rows))
+              for i, t in enumerate((np.uint64, np.int64, np.int64, np.int64, np.int64))]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    bucket = (fields[0] >> np.uint64(32)) % np.uint64(buckets)
+    order = np.lexsort((fields[3], fields[2], fields[1], bucket))
+    cut = np.flatnonzero(np.diff(bucket[order])) + 1
+    for own in np.split(order, cut):
+        key, id_, h, start, n = (f[own] for f in fields)
+        new = np.concatenate(([True], (id_[1:] != id_[:-1]) | (h[1:] != h[:-1])))
+        columns = {
+            "ids": id_[new], "hs": h[new], "doc": (np.cumsum(new) - 1).astype(np.int32),
+            "step": np.diff(start, prepend=0).astype(np.int32), "n": n.astype(np.int32),
+            "key": key.astype(np.uint32), "size": sizes[own].astype(np.int32),
+        }
+        arrays = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns.values()]
+        arrays.append(pa.array([b"".join(texts[i] for i in own.tolist())], pa.large_binary()))
+        yield int(bucket[own[0]]), _ipc(pa.RecordBatch.from_arrays(arrays, names=[*columns, "text"]))
+
+
+def _unpacked(table: bytes) -> tuple[list[np.ndarray], memoryview]:
+    """Arrays key, id, h, start, n, begin, end of a table's pieces, and its bytes."""
+    batch = pa.ipc.open_stream(table).read_next_batch()
+    ids, hs, doc, step, n, key, size = (batch.column(i).values.to_numpy() for i in range(7))
+    end = np.cumsum(size, dtype=np.int64)
+    arrays = [key, ids[doc], hs[doc], np.cumsum(step, dtype=np.int64), n, end - size, end]
+    return arrays, memoryview(batch.column(7)[0].as_buffer())
 
 
 def _spans(id_, h, start, n) -> pa.RecordBatch:
@@ -178,22 +192,21 @@ def repeated_windows(
             yield out()
 
     def one_bucket(tables: list[bytes]) -> Iterator[pa.RecordBatch]:
-        rows = pa.concat_tables([pa.ipc.open_stream(t).read_all() for t in tables]).combine_chunks()
-        keys = rows.column("key").to_numpy()
-        _, group, count = np.unique(keys, return_inverse=True, return_counts=True)
+        opened = [_unpacked(t) for t in tables]
+        key, id_, h, start, n, lo, hi = (np.concatenate(x) for x in zip(*(arrays for arrays, _ in opened)))
+        source = np.repeat(np.arange(len(opened)), [len(arrays[0]) for arrays, _ in opened])
+        _, group, count = np.unique(key, return_inverse=True, return_counts=True)
         keep = np.flatnonzero(count[group] > 1)
         if not len(keep):
             return
-        rows, group = rows.take(pa.array(keep)), group[keep]
-        id_, h, start, n = (rows.column(c).to_numpy() for c in ("id", "h", "start", "n"))
-        order = np.lexsort((start, h, id_))
+        order = keep[np.lexsort((start[keep], h[keep], id_[keep]))]
         first: dict[bytes, int] = {}
         pieces, of, copies = [], [], []
-        texts = rows.column("piece").to_pylist()
-        for r in order.tolist():
-            known = first.setdefault(texts[r], r)
+        for r, s, a, b in zip(order.tolist(), source[order].tolist(), lo[order].tolist(), hi[order].tolist()):
+            piece = bytes(opened[s][1][a:b])
+            known = first.setdefault(piece, r)
             if known == r:
-                pieces.append(texts[r])
+                pieces.append(piece)
                 of.append(r)
             elif (id_[r], h[r], start[r]) != (id_[known], h[known], start[known]):
                 copies.append(r)
