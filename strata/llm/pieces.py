@@ -26,10 +26,10 @@ from strata.llm.common import partitions_for, text_bytes
 
 #: Bytes of text that a map task cuts into pieces at once, and bytes of pieces
 #: that a bucket holds on average.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 12 << 20
 BUCKET_BYTES = 24 << 20
 #: Compression level of what is shipped.
-PACK_LEVEL = 5
+PACK_LEVEL = 9
 #: Stands in for a null id in the order of documents: such rows come last.
 LAST_ID = 2**63 - 1
 
@@ -39,25 +39,23 @@ _PLACE = np.uint64(2**26 - 1)
 #: Windows of one document that are hashed at once.
 SEGMENT = 1 << 22
 
-def anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, windows, anchor) of the runs of windows that have one anchor at
-    one place: the first of their least factor hashes. ``symbols`` are uint64;
+def anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, ...]:
+    """(start, windows, anchor, place) of the runs of windows that have one anchor
+    at one place, counted from the start: the first of their least factor hashes. ``symbols`` are uint64;
     ``q`` is a power of two. No run exceeds ``window - q + 1`` windows, so no
     window occurs twice in a run."""
-    starts, counts, keys = [], [], []
+    found = []
     for at in range(0, max(1, len(symbols) - window + 1), SEGMENT):
-        found = _anchors(symbols[at:at + SEGMENT + window - 1], window, q)
-        starts.append(found[0] + at)
-        counts.append(found[1])
-        keys.append(found[2])
-    return np.concatenate(starts), np.concatenate(counts), np.concatenate(keys)
+        start, *rest = _anchors(symbols[at:at + SEGMENT + window - 1], window, q)
+        found.append((start + at, *rest))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, ...]:
     n = len(symbols) - window + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, np.uint64)
+        return none, none, np.zeros(0, np.uint64), none
     h, width, step = symbols, 1, _STEP
     while width < q:
         h = h[:-width] * np.uint64(step) + h[width:]
@@ -75,7 +73,7 @@ def _anchors(symbols: np.ndarray, window: int, q: int) -> tuple[np.ndarray, np.n
         low = np.minimum(low[:n], low[m - width:m - width + n])
     start = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1))
     place = (low[start] & _PLACE).astype(np.int64)
-    return start, np.diff(np.append(start, n)), h[place]
+    return start, np.diff(np.append(start, n)), h[place], place - start
 
 
 def _ipc(batch: pa.RecordBatch) -> bytes:
@@ -89,21 +87,21 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
 def _packed(rows: dict[bytes, tuple], buckets: int) -> Iterator[tuple[int, bytes]]:
     """One (bucket, table) per bucket that has pieces. A table is one row of
     arrays: its documents, then per piece its document's number, the step from
-    the start before, windows, anchor, size; and all bytes in one string."""
+    the start before, windows, anchor, its place, size; and all bytes in one string."""
     texts = list(rows)
     fields = [np.fromiter((r[i] for r in rows.values()), t, len(rows))
-              for i, t in enumerate((np.uint64, np.int64, np.int64, np.int64, np.int64))]
+              for i, t in enumerate((np.uint64, np.int64, np.int64, np.int64, np.int64, np.int64))]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     bucket = (fields[0] >> np.uint64(32)) % np.uint64(buckets)
     order = np.lexsort((fields[3], fields[2], fields[1], bucket))
     cut = np.flatnonzero(np.diff(bucket[order])) + 1
     for own in np.split(order, cut):
-        key, id_, h, start, n = (f[own] for f in fields)
+        key, id_, h, start, n, place = (f[own] for f in fields)
         new = np.concatenate(([True], (id_[1:] != id_[:-1]) | (h[1:] != h[:-1])))
         columns = {
             "ids": id_[new], "hs": h[new], "doc": (np.cumsum(new) - 1).astype(np.int32),
             "step": np.diff(start, prepend=0).astype(np.int32), "n": n.astype(np.int32),
-            "key": key.astype(np.uint32), "size": sizes[own].astype(np.int32),
+            "key": key.astype(np.uint32), "place": place.astype(np.int32), "size": sizes[own].astype(np.int32),
         }
         arrays = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns.values()]
         arrays.append(pa.array([b"".join(texts[i] for i in own.tolist())], pa.large_binary()))
@@ -111,12 +109,12 @@ def _packed(rows: dict[bytes, tuple], buckets: int) -> Iterator[tuple[int, bytes
 
 
 def _unpacked(table: bytes) -> tuple[list[np.ndarray], memoryview]:
-    """Arrays key, id, h, start, n, begin, end of a table's pieces, and its bytes."""
+    """Arrays key, id, h, start, n, place, begin, end of a table's pieces, and its bytes."""
     batch = pa.ipc.open_stream(table).read_next_batch()
-    ids, hs, doc, step, n, key, size = (batch.column(i).values.to_numpy() for i in range(7))
+    ids, hs, doc, step, n, key, place, size = (batch.column(i).values.to_numpy() for i in range(8))
     end = np.cumsum(size, dtype=np.int64)
-    arrays = [key, ids[doc], hs[doc], np.cumsum(step, dtype=np.int64), n, end - size, end]
-    return arrays, memoryview(batch.column(7)[0].as_buffer())
+    arrays = [key, ids[doc], hs[doc], np.cumsum(step, dtype=np.int64), n, place, end - size, end]
+    return arrays, memoryview(batch.column(8)[0].as_buffer())
 
 
 def _spans(id_, h, start, n) -> pa.RecordBatch:
@@ -128,16 +126,16 @@ def _spans(id_, h, start, n) -> pa.RecordBatch:
 
 def repeated_windows(
     docs: DataFrame,
-    cut: Callable[[str], list[tuple[int, int, int, bytes]]],
-    solve: Callable[[list[bytes], np.ndarray], list[np.ndarray]],
+    cut: Callable[[str], list[tuple[int, int, int, int, bytes]]],
+    solve: Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]],
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """(id, h, start, n): runs of windows of a document that also start earlier.
 
-    ``cut(text)`` gives the pieces of a text: start, windows, anchor, bytes.
-    ``solve(pieces, group)`` gets distinct pieces in document order, and the
-    number of each one's anchor; it returns per piece a boolean per window:
+    ``cut(text)`` gives the pieces of a text: start, windows, anchor, its place
+    in the piece, bytes. ``solve(pieces, group, place)`` gets distinct pieces in
+    document order, with the number and place of each one's anchor; it returns per piece a boolean per window:
     does it occur before. ``id`` is the document's id (``LAST_ID`` for null) and
     ``h`` the hash of its text; rows alike in both are one document.
     """
@@ -173,16 +171,16 @@ def repeated_windows(
             for i, h, text in zip(*(batch.column(c) for c in ("id", "h", "text"))):
                 i, h, text = i.as_py(), h.as_py(), text.as_py()
                 size += len(text)
-                for start, n, key, piece in cut(text):
-                    row = (key, i, h, start, n)
+                for start, n, key, place, piece in cut(text):
+                    row = (key, i, h, start, n, place)
                     known = held.get(piece)
                     if known is None:
                         held[piece] = row
                     elif known[1:4] < row[1:4]:
-                        again.append(row[1:])
+                        again.append(row[1:5])
                     elif known[1:4] > row[1:4]:
                         held[piece] = row
-                        again.append(known[1:])
+                        again.append(known[1:5])
                 if size >= BATCH_BYTES:
                     yield out()
                     held.clear()
@@ -193,7 +191,7 @@ def repeated_windows(
 
     def one_bucket(tables: list[bytes]) -> Iterator[pa.RecordBatch]:
         opened = [_unpacked(t) for t in tables]
-        key, id_, h, start, n, lo, hi = (np.concatenate(x) for x in zip(*(arrays for arrays, _ in opened)))
+        key, id_, h, start, n, place, lo, hi = (np.concatenate(x) for x in zip(*(arrays for arrays, _ in opened)))
         source = np.repeat(np.arange(len(opened)), [len(arrays[0]) for arrays, _ in opened])
         _, group, count = np.unique(key, return_inverse=True, return_counts=True)
         keep = np.flatnonzero(count[group] > 1)
@@ -213,7 +211,7 @@ def repeated_windows(
         of = np.array(of)
         if copies:
             yield _spans(id_[copies], h[copies], start[copies], n[copies])
-        flags = solve(pieces, group[of])
+        flags = solve(pieces, group[of], place[of])
         where, lens = np.repeat(np.arange(len(of)), [len(f) for f in flags]), np.array([len(f) for f in flags])
         if not len(where):
             return

@@ -21,19 +21,19 @@ FACTOR = 4
 SUBTREE = 1 << 16
 
 
-def cut_words(text: str, window: int) -> list[tuple[int, int, int, bytes]]:
+def cut_words(text: str, window: int) -> list[tuple[int, int, int, int, bytes]]:
     words = text.encode().split()
     if len(words) < window:
         return []
     h = xxhash.xxh3_64_intdigest
-    start, n, key = anchors(np.fromiter(map(h, words), np.uint64, len(words)), window, FACTOR)
+    start, n, key, place = anchors(np.fromiter(map(h, words), np.uint64, len(words)), window, FACTOR)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))
     lo, hi = begins[start], ends[start + n + window - 2]
     return [
-        (s, c, k, joined[a:b])
-        for s, c, k, a, b in zip(start.tolist(), n.tolist(), key.tolist(), lo.tolist(), hi.tolist())
+        (s, c, k, p, joined[a:b])
+        for s, c, k, p, a, b in zip(*(x.tolist() for x in (start, n, key, place, lo, hi)))
     ]
 
 
@@ -73,7 +73,9 @@ def _prefix_groups(heads: np.ndarray, rows: np.ndarray, depth: int, limit: int)
         todo += [(part, depth + 1) for part in np.split(rows[order], edge)]
 
 
-def repeated_by_trees(pieces: list[bytes], group: np.ndarray, window: int, limit: int = SUBTREE) -> list[np.ndarray]:
+def repeated_by_trees(
+    pieces: list[bytes], group: np.ndarray, place: np.ndarray, window: int, limit: int = SUBTREE
+) -> list[np.ndarray]:
     """Per piece a boolean per window: does its word sequence occur before."""
     number: dict[bytes, int] = {}
     heads, counts = [], []
@@ -95,11 +97,11 @@ def repeated_by_trees(pieces: list[bytes], group: np.ndarray, window: int, limit
         some = np.sort(by_anchor[at:to])
         at = to
         table = np.concatenate([heads[p] for p in some])
-        place = np.concatenate([np.arange(ends[p] - counts[p], ends[p]) for p in some])
+        own = np.concatenate([np.arange(ends[p] - counts[p], ends[p]) for p in some])
         for rows, depth in _prefix_groups(table, np.arange(len(table)), 0, limit):
             for leaves in _subtree(table, rows, depth):
                 leaves = np.sort(leaves)
-                flags[place[leaves[1:]]] = True
+                flags[own[leaves[1:]]] = True
     return np.split(flags, ends[:-1])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -17,21 +18,21 @@ from strata.llm.pieces import anchors, covered, repeated_windows, with_runs
 
 WINDOW = 100
 #: Bytes of the factor whose least hash anchors a window.
-FACTOR = 32
+FACTOR = 16
 #: Strings that are inserted together. One anchor with more is split into its
 #: single windows, dealt out by their hash.
-COLLECTION = 2048
+COLLECTION = 1024
 END = 0
 
 
-def cut_bytes(text: str, window: int) -> list[tuple[int, int, int, bytes]]:
+def cut_bytes(text: str, window: int) -> list[tuple[int, int, int, int, bytes]]:
     raw = text.encode()
     if len(raw) < window:
         return []
-    start, n, key = anchors(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), window, FACTOR)
+    start, n, key, place = anchors(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), window, FACTOR)
     stop = start + n + window - 1
     return [
-        (s, c, k, raw[s:e]) for s, c, k, e in zip(start.tolist(), n.tolist(), key.tolist(), stop.tolist())
+        (s, c, k, p, raw[s:e]) for s, c, k, p, e in zip(*(x.tolist() for x in (start, n, key, place, stop)))
     ]
 
 
@@ -80,13 +81,14 @@ def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """
     m = len(strings)
     lens = np.fromiter(map(len, strings), np.int64, m)
-    flat = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
+    # UTF-8 has no byte 255.
+    flat = np.frombuffer(b"".join(strings), np.uint8) + np.uint8(1)
     last = np.cumsum(lens) - 1
     with tempfile.TemporaryDirectory() as folder:
-        bwt_file, lcp_file = _Column(folder, np.uint16), _Column(folder, np.int32)
+        bwt_file, lcp_file = _Column(folder, np.uint8), _Column(folder, np.uint16)
         # Round 0: the empty suffixes.
-        bwt_file.write(np.where(lens > 0, flat[np.maximum(last, 0)], END).astype(np.uint16))
-        lcp_file.write(np.zeros(m, np.int32))
+        bwt_file.write(np.where(lens > 0, flat[np.maximum(last, 0)], END).astype(np.uint8))
+        lcp_file.write(np.zeros(m, np.uint16))
         active, at = np.flatnonzero(lens > 0), np.flatnonzero(lens > 0)
         r = 1
         while len(active):
@@ -95,30 +97,30 @@ def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             # A stable sort by symbol lists each symbol's places in order.
             order = np.argsort(bwt, kind="stable")
             ends = int(np.count_nonzero(bwt == END))
-            rank = np.empty(n, np.int64)
-            rank[order] = np.arange(n)
-            new = m + rank[at] - ends
+            rank = np.empty(n, np.int32)
+            rank[order] = np.arange(n, dtype=np.int32)
+            new = m + rank[at].astype(np.int64) - ends
             size = m + n - ends
-            symbol, k = bwt[at], rank[at]
-            guarded = np.append(lcp, np.int32(0))
+            symbol, k = bwt[at], rank[at].astype(np.int64)
+            guarded = np.append(lcp, np.uint16(0))
             before = order[np.maximum(k - 1, 0)]
             has = (k > 0) & (bwt[before] == symbol)
-            to_before = np.zeros(len(at), np.int32)
+            to_before = np.zeros(len(at), np.uint16)
             if has.any():
                 to_before[has] = 1 + _range_min(guarded, before[has] + 1, at[has] + 1)
             after = order[np.minimum(k + 1, n - 1)]
             has = (k + 1 < n) & (bwt[after] == symbol)
-            to_after = np.zeros(len(at), np.int32)
+            to_after = np.zeros(len(at), np.uint16)
             if has.any():
                 to_after[has] = 1 + _range_min(guarded, at[has] + 1, after[has] + 1)
             left = lens[active] - r
             stays = np.ones(size, bool)
             stays[new] = False
-            grown = np.empty(size, np.uint16)
+            grown = np.empty(size, np.uint8)
             grown[stays] = bwt
             grown[new] = np.where(left > 0, flat[last[active] - r], END)
             bwt_file.write(grown)
-            shared = np.zeros(size + 1, np.int32)
+            shared = np.zeros(size + 1, np.uint16)
             shared[:size][stays] = lcp
             shared[new + 1] = to_after
             shared[new] = to_before
@@ -168,11 +170,34 @@ def _repeats(strings: list[bytes], window: int) -> list[np.ndarray]:
     return np.split(flags, ends[:-1])
 
 
-def repeated_by_columns(pieces: list[bytes], group: np.ndarray, window: int, limit: int = COLLECTION) -> list[np.ndarray]:
+def _may_repeat(pieces: list[bytes], place: np.ndarray, window: int) -> np.ndarray:
+    """Which pieces can hold a window of another. A window reaches at least
+    half of its other bytes to one side of the anchor, so two pieces with a
+    window in common have that much context in common on that side."""
+    reach = (window - FACTOR + 1) // 2
+    sides = [
+        (p[max(0, a - reach):a + FACTOR] if a >= reach else None,
+         p[a:a + FACTOR + reach] if len(p) >= a + FACTOR + reach else None)
+        for p, a in zip(pieces, place.tolist())
+    ]
+    left, right = Counter(x for x, _ in sides), Counter(y for _, y in sides)
+    return np.array([
+        (x is not None and left[x] > 1) or (y is not None and right[y] > 1) for x, y in sides
+    ])
+
+
+def repeated_by_columns(
+    pieces: list[bytes], group: np.ndarray, place: np.ndarray, window: int, limit: int = COLLECTION
+) -> list[np.ndarray]:
     """Per piece a boolean per window: does it occur before. Pieces come in
-    document order; those of one anchor are inserted together."""
+    document order; those of one anchor are inserted together. Pieces that
+    share no more than their anchor with any other are left out."""
     flags: list[np.ndarray] = [np.zeros(0, bool)] * len(pieces)
+    may = _may_repeat(pieces, place, window)
+    for p in np.flatnonzero(~may).tolist():
+        flags[p] = np.zeros(len(pieces[p]) - window + 1, bool)
     by_anchor = np.argsort(group, kind="stable")
+    by_anchor = by_anchor[may[by_anchor]]
     edge = np.flatnonzero(np.diff(group[by_anchor])) + 1
     batch: list[np.ndarray] = []
     size = 0
@@ -182,7 +207,7 @@ def repeated_by_columns(pieces: list[bytes], group: np.ndarray, window: int, lim
         for p, f in zip(some, _repeats([pieces[p] for p in some], window)):
             flags[p] = f
 
-    for members in np.split(by_anchor, edge):
+    for members in np.split(by_anchor, edge) if len(by_anchor) else []:
         if len(members) == 1:
             # No window occurs twice in one piece.
             flags[members[0]] = np.zeros(len(pieces[members[0]]) - window + 1, bool)
