@@ -22,7 +22,7 @@ def _parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--csv", action="append", default=[], help="product CSV path or glob (repeatable)")
     p.add_argument("--table", action="append", default=[],
                    help="catalog table of scraped listings, mapped by the listing column map (repeatable)")
-    p.add_argument("--store", default=None, help="table store root (default: under spark.checkpoint.dir)")
+    p.add_argument("--store", required=True, help="table store root, kept from run to run")
     p.add_argument("--batch-id", default=None, help="batch id (default: a random UUID)")
     p.add_argument("--as-of", default=None, help="run time, ISO format (default: now)")
     p.add_argument("--keep-raw", action="store_true", help="keep the received numeric text in quarantine")

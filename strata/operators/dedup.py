@@ -44,9 +44,10 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem]
     window group limit before the shuffle, so each map task forwards at most
     one row per key: a hot key costs one row per map task, not its row count.
     """
+    by_name = {o if isinstance(o, str) else o[0] for o in order if not isinstance(o, Column)}
     order = [sort_column(o) for o in order]
     if total_order:
-        named = {str(c) for c in keys}
+        named = {str(c) for c in keys} | by_name
         order += [F.asc_nulls_first(f"`{c}`") for c in df.columns if c not in named]
     if not order:
         order = [F.asc_nulls_first(f"`{keys[0]}`")]

@@ -1,19 +1,15 @@
-"""Size-checked dimension joins.
+"""Dimension joins.
 
-A dimension is broadcast only after its row count is checked against a
-limit (the count of a materialized Parquet table comes from file footers).
-Above the limit the join is shuffled on the keys, with the hot keys split:
+No side is broadcast by hint: Spark picks the strategy from byte sizes, and
+adaptive execution corrects it (and splits skewed partitions) from what it
+measures. Where a key is known to be hot, ``rows_per_task`` splits it up front:
 
 * the fact's key frequencies are counted (a partial aggregate);
 * a key with more than ``rows_per_task`` fact rows is hot. Its fact rows draw
-  one of ``ceil(count / rows_per_task)`` salt values from their row hash, and
-  only that key's dimension row is repeated once per salt value;
+  one of ``ceil(count / rows_per_task)`` salt values from their values and a
+  row sequence number, so identical rows are split too, and only that key's
+  dimension row is repeated once per salt value;
 * every other key keeps salt 0 and is joined as is.
-
-No task receives much more than ``rows_per_task`` rows of one key, however
-large a key's share is. The hot-key table has at most
-``fact_rows / rows_per_task`` rows, so broadcasting it is safe; its size is
-also checked.
 """
 
 from __future__ import annotations
@@ -23,10 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-DEFAULT_ROWS_PER_TASK = 2_000_000
-MAX_HOT_KEYS = 1_000_000
-
 
 def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
                   right_keys: Sequence[str], null_safe: bool) -> Column:
@@ -78,31 +70,23 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFr
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, left_keys: Sequence[str],
                   right_keys: Sequence[str] | None = None, *, null_safe: bool = False,
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                  dim_rows: int | None = None,
-                  rows_per_task: int = DEFAULT_ROWS_PER_TASK) -> DataFrame:
+                  rows_per_task: int | None = None) -> DataFrame:
     """``fact LEFT JOIN dim``; the dimension's key columns are dropped.
 
     ``dim`` must be unique on its keys (one match at most, so no fan-out).
-    ``dim_rows`` skips the count when the caller already knows the size.
+    ``rows_per_task`` salts the keys that hold more fact rows than that.
     """
     right_keys = list(right_keys or left_keys)
     left_keys = list(left_keys)
-    rows = dim.count() if dim_rows is None else dim_rows
     dim_payload = [c for c in dim.columns if c not in right_keys]
     d = dim.select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(right_keys)], *dim_payload)
     dk = [f"_dk{i}" for i in range(len(right_keys))]
-    if rows <= max_broadcast_rows:
-        d = F.broadcast(d)
+    if rows_per_task is None:
         return fact.join(d, key_condition(fact, d, left_keys, dk, null_safe), "left").drop(*dk)
 
-    # Shuffled path with per-key salting of the hot keys.
     hot = hot_keys(fact, left_keys, rows_per_task)
     hk = [f"_hk{i}" for i in range(len(left_keys))]
-    if hot.count() > MAX_HOT_KEYS:  # at most fact_rows / rows_per_task: only a tiny rows_per_task
-        raise ValueError("too many hot keys to broadcast; raise rows_per_task")
-    hot = F.broadcast(hot)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    row_hash = F.xxhash64(F.monotonically_increasing_id(), *[F.col(f"`{c}`") for c in fact.columns])
     salted_fact = (
         fact.join(hot, key_condition(fact, hot, left_keys, hk, True), "left")
         .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0).cast("long"))

@@ -16,9 +16,6 @@ into one task. ``dense_key`` gives the same numbering in parallel:
 4. add the number of rows in all earlier partitions. The per-partition
    counts are one row per partition, a size fixed by the partition count,
    so that small table is broadcast.
-
-Inputs whose counted size is at most ``single_bucket_max_rows`` are numbered
-by one plain window, which skips the checkpoint.
 """
 
 from __future__ import annotations
@@ -30,9 +27,6 @@ from pyspark.sql import functions as F
 
 from strata.sources.store import checkpoint_root
 
-# Inputs up to this many rows (counted, so the bound is proven) are numbered in
-# one task; larger inputs are range-partitioned.
-SINGLE_BUCKET_MAX_ROWS = 250_000
 # Range partitions are sized so none holds much more than this many rows.
 ROWS_PER_PARTITION = 2_000_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
@@ -44,29 +38,23 @@ def _sort_exprs(order: Sequence[str]) -> list[Column]:
 
 def dense_key(df: DataFrame, order: Sequence[str], key: str = "key", *,
               num_partitions: int | None = None, rows: int | None = None, start: int = 1,
-              single_bucket_max_rows: int = SINGLE_BUCKET_MAX_ROWS,
               rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
     """``df`` plus ``key`` (LONG): ``start..`` in ascending ``order``, NULLs first.
 
     Equal to ``row_number() OVER (ORDER BY order ASC NULLS FIRST)``; rows tied
     on ``order`` are ordered by a row hash (tied rows that are identical get
-    interchangeable keys). Runs jobs: a count unless ``rows`` is given, and for
-    large inputs the checkpoint of the numbered rows. ``num_partitions``
-    defaults to ``spark.sql.shuffle.partitions``, raised so that no range
-    partition holds much more than ``rows_per_partition`` rows.
+    interchangeable keys). Every column of ``df`` is shuffled and checkpointed,
+    so pass a narrow frame. ``num_partitions`` defaults to
+    ``spark.sql.shuffle.partitions``, raised, where the caller knows the number
+    of ``rows``, so that no range partition holds much more than
+    ``rows_per_partition`` of them.
     """
     spark = df.sparkSession
     cols = [F.col(f"`{c}`") for c in df.columns]
     sort = _sort_exprs(order)
     tie = F.xxhash64(*cols).alias("_tie")
-    rows = df.count() if rows is None else rows
-    if rows <= single_bucket_max_rows:
-        w = Window.orderBy(*sort, F.col("_tie"))
-        return df.select(*cols, tie).select(
-            *cols, (F.row_number().over(w) + F.lit(start - 1)).cast("long").alias(key))
-
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              -(-rows // rows_per_partition))
+                              -(-(rows or 0) // rows_per_partition))
     ranged = (
         df.select(*cols, tie, F.monotonically_increasing_id().alias("_seq"))
         .repartitionByRange(n, *sort, F.col("_tie"), F.col("_seq"))

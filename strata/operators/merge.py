@@ -8,11 +8,8 @@ as a new table version by the caller, so the change is all or nothing.
 
 Strategy:
 
-* small source (the usual daily batch): the source is broadcast and the
-  target is streamed through a broadcast left join, so the large target is
-  never shuffled. The source keys that found a match are a subset of the
-  source, broadcast again to anti-join the inserts;
-* large source: one full outer join on the keys (both sides shuffled);
+* by default a left join (updates) and an anti join (inserts) on the keys,
+  without hints: Spark broadcasts the source where its bytes allow;
 * ``hash_column`` given (a column of both sides holding :func:`key_hash` of
   the keys): one full outer join whose only join key is that hash, the key
   equality being a residual filter. A target stored bucketed on the hash
@@ -31,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_condition, residual_key_condition
+from strata.operators.joins import key_condition, residual_key_condition
 
 
 class DuplicateKeyError(ValueError):
@@ -46,9 +43,9 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update_columns: Sequence[str], *, null_safe: bool = True,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           source_rows: int | None = None, check_unique: bool = False,
-           hash_column: str | None = None) -> DataFrame:
+           check_unique: bool = True, hash_column: str | None = None) -> DataFrame:
+    """The merged rows. Two source rows of one key raise :class:`DuplicateKeyError`;
+    ``check_unique=False`` skips that job for a source known to be deduplicated."""
     cols = list(target.columns)
     if sorted(source.columns) != sorted(cols):
         raise ValueError(f"source columns {source.columns} differ from target columns {cols}")
@@ -63,24 +60,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         cond = (tgt[hash_column] == src[f"_s_{hash_column}"]) & residual_key_condition(
             tgt, src, keys, skeys, null_safe)
         return _merge_full_outer(tgt.join(src, cond, "full_outer"), cols, update | {hash_column})
-    rows = source.count() if source_rows is None else source_rows
-
-    if rows <= max_broadcast_rows:
-        sb = F.broadcast(src)
-        joined = target.join(sb, key_condition(target, sb, keys, skeys, null_safe), "left")
-        matched = F.col("_s").isNotNull()
-        updated = joined.select(*[
-            F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
-            for c in cols
-        ])
-        hit = joined.where(matched).select(*skeys)
-        inserts = source.join(F.broadcast(hit), key_condition(source, hit, keys, skeys, null_safe),
-                              "left_anti")
-        return updated.unionByName(inserts.select(*cols))
-
-    tgt = target.select(*cols, F.lit(True).alias("_t"))
-    joined = tgt.join(src, key_condition(tgt, src, keys, skeys, null_safe), "full_outer")
-    return _merge_full_outer(joined, cols, update)
+    joined = target.join(src, key_condition(target, src, keys, skeys, null_safe), "left")
+    matched = F.col("_s").isNotNull()
+    updated = joined.select(*[
+        F.when(matched, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
+        for c in cols
+    ])
+    known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+    inserts = source.join(known, key_condition(source, known, keys, [f"_t_{k}" for k in keys], null_safe),
+                          "left_anti")
+    return updated.unionByName(inserts.select(*cols))
 
 
 def _merge_full_outer(joined: DataFrame, cols: Sequence[str], update: set[str]) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.rules import MESSAGE_SEPARATOR
-from strata.operators.staging import RAW_PREFIX
-from strata.schemas import NUMERIC_COLUMNS, SOURCE_COLUMNS
+from strata.schemas import CHANGED_COLUMNS, RAW_PREFIX, SOURCE_COLUMNS
 from strata.sources.lineage import timestamp_lit
 
 
@@ -29,7 +28,7 @@ def dead_letter(staged: DataFrame, failed_at: dt.datetime | str, *,
         timestamp_lit(failed_at).alias("failed_at"),
     ]
     if keep_raw:
-        cols += [F.col(RAW_PREFIX + c) for c in NUMERIC_COLUMNS]
+        cols += [F.col(RAW_PREFIX + c) for c in CHANGED_COLUMNS]
     return staged.where(~F.col("is_valid")).select(*cols)
 
 

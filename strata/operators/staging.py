@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 
 from strata.functions.cleaning import clean_label, clean_text, to_double, to_price
 from strata.functions.rules import PRODUCT_RULES, Rule, error_text
-from strata.schemas import NUMERIC_COLUMNS, STAGING
-
-RAW_PREFIX = "raw_"
+from strata.schemas import CHANGED_COLUMNS, RAW_PREFIX, STAGING, STAGING_RAW
 
 
 def clean(bronze: DataFrame, *, keep_raw: bool = False) -> DataFrame:
     """Trim text, lower-case categories, safely cast the numeric text.
 
-    With ``keep_raw`` the original text of the four numeric columns is kept
+    With ``keep_raw`` the original text of every column changed here is kept
     as ``raw_<column>`` so quarantine can show what was actually received.
     """
     cols = [
@@ -39,7 +37,7 @@ def clean(bronze: DataFrame, *, keep_raw: bool = False) -> DataFrame:
         F.col("ingestion_date").cast("timestamp").alias("ingestion_date"),
     ]
     if keep_raw:
-        cols += [F.col(c).alias(RAW_PREFIX + c) for c in NUMERIC_COLUMNS]
+        cols += [F.col(c).alias(RAW_PREFIX + c) for c in CHANGED_COLUMNS]
     return bronze.select(*cols)
 
 
@@ -68,10 +66,7 @@ def stage(bronze: DataFrame, rules: Sequence[Rule] = PRODUCT_RULES, *,
           keep_raw: bool = False) -> DataFrame:
     """The staging projection in declared column order."""
     out = validate(derive(clean(bronze, keep_raw=keep_raw)), rules)
-    names = [f.name for f in STAGING.fields]
-    if keep_raw:
-        names += [RAW_PREFIX + c for c in NUMERIC_COLUMNS]
-    return out.select(*names)
+    return out.select(*(STAGING_RAW if keep_raw else STAGING).fieldNames())
 
 
 def split_valid(staged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.buckets import PRICE_BUCKETS, Bucket, bucketize
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, left_join_dim
+from strata.operators.joins import left_join_dim
 from strata.operators.keys import dense_key
 from strata.schemas import DIM_PRICE_BUCKET, FACT_PRODUCT_METRICS, PRODUCT_KEY
+from strata.sources.store import checkpoint_root
 
 CATEGORY_COLUMNS = ("main_category", "sub_category")
 
@@ -37,40 +38,37 @@ def with_price_bucket(df: DataFrame, price: str = "actual_price",
 
 
 def attach_category_key(df: DataFrame, dim_cat: DataFrame, *, null_safe: bool = False,
-                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                        dim_rows: int | None = None) -> DataFrame:
+                        rows_per_task: int | None = None) -> DataFrame:
     """Left join on (main, sub). With SQL ``=`` (the default, as in the source
     pipeline) a NULL sub-category never matches and gets a NULL key."""
     return left_join_dim(df, dim_cat.select("category_key", *CATEGORY_COLUMNS), CATEGORY_COLUMNS,
-                         null_safe=null_safe, max_broadcast_rows=max_broadcast_rows,
-                         dim_rows=dim_rows)
+                         null_safe=null_safe, rows_per_task=rows_per_task)
 
 
-def attach_price_bucket_key(df: DataFrame, dim_pb: DataFrame, *,
-                            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                            dim_rows: int | None = None) -> DataFrame:
+def attach_price_bucket_key(df: DataFrame, dim_pb: DataFrame) -> DataFrame:
     """Left join of the bucket label onto the dimension's label."""
     return left_join_dim(df, dim_pb.select("bucket_label", "price_bucket_key"), ["price_bucket"],
-                         ["bucket_label"], max_broadcast_rows=max_broadcast_rows, dim_rows=dim_rows)
+                         ["bucket_label"])
 
 
 def enrich(silver: DataFrame, dim_cat: DataFrame, dim_pb: DataFrame, *,
-           null_safe_category: bool = False,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           dim_cat_rows: int | None = None, dim_pb_rows: int | None = None) -> DataFrame:
+           null_safe_category: bool = False) -> DataFrame:
     """Valid silver rows with category key, bucket label and bucket key."""
-    out = attach_category_key(silver.where(F.col("is_valid")), dim_cat, null_safe=null_safe_category,
-                              max_broadcast_rows=max_broadcast_rows, dim_rows=dim_cat_rows)
-    out = with_price_bucket(out)
-    return attach_price_bucket_key(out, dim_pb, max_broadcast_rows=max_broadcast_rows,
-                                   dim_rows=dim_pb_rows)
+    out = attach_category_key(silver.where(F.col("is_valid")), dim_cat, null_safe=null_safe_category)
+    return attach_price_bucket_key(with_price_bucket(out), dim_pb)
 
 
 def fact_product_metrics(enriched: DataFrame, *, order: Sequence[str] = PRODUCT_KEY,
                          num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
     """Fact rows keyed 1..n by ``order`` (name, then category, NULLs first).
 
-    ``rows`` (the row count of ``enriched``, if known) saves one counting job.
+    Only the fact's columns and the order columns are read and numbered. They
+    are checkpointed first: the range partitioner samples its input, which
+    would otherwise evaluate the joins twice.
     """
-    keyed = dense_key(enriched, order, "product_key", num_partitions=num_partitions, rows=rows)
-    return keyed.select(*[f.name for f in FACT_PRODUCT_METRICS.fields])
+    columns = [f.name for f in FACT_PRODUCT_METRICS.fields]
+    needed = [c for c in columns if c != "product_key"]
+    needed += [c for c in order if c not in needed]
+    checkpoint_root(enriched.sparkSession)
+    narrow = enriched.select(*needed).checkpoint(eager=True)
+    return dense_key(narrow, order, "product_key", num_partitions=num_partitions, rows=rows).select(*columns)

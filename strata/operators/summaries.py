@@ -11,7 +11,7 @@ def _avg2(col: str) -> F.Column:
 
 
 def category_summary(products: DataFrame) -> DataFrame:
-    """Count and rounded averages per main category, largest first."""
+    """Count and rounded averages per main category, in no order: sort on read."""
     return (
         products.groupBy("main_category")
         .agg(
@@ -21,12 +21,11 @@ def category_summary(products: DataFrame) -> DataFrame:
             _avg2("actual_price").alias("avg_actual_price"),
             _avg2("discount_pct").alias("avg_discount_pct"),
         )
-        .orderBy(F.desc("product_count"), F.asc_nulls_first("main_category"))
     )
 
 
 def price_bucket_summary(products: DataFrame) -> DataFrame:
-    """Count and rounded averages per price bucket, by label."""
+    """Count and rounded averages per price bucket, in no order: sort on read."""
     return (
         products.groupBy("price_bucket")
         .agg(
@@ -34,5 +33,4 @@ def price_bucket_summary(products: DataFrame) -> DataFrame:
             _avg2("ratings").alias("avg_rating"),
             _avg2("discount_pct").alias("avg_discount_pct"),
         )
-        .orderBy("price_bucket")
     )

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata import schemas
 from strata.functions.rules import PRODUCT_RULES, Rule
 from strata.operators.dedup import PRODUCT_SURVIVOR_ORDER, dedup_by_key
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, key_hash
+from strata.operators.joins import key_hash
 from strata.operators.merge import upsert
 from strata.operators.quality import quality_count_exprs
 from strata.operators.quarantine import dead_letter
@@ -162,10 +162,10 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     the source pipeline does); "append" keeps every batch's, told apart by
     ``batch_id``.
 
-    Silver is stored bucketed on a hash of the product key. The bucket count
-    is fixed when the table is first written: ``silver_buckets``, or by
-    default ``spark.sql.shuffle.partitions`` raised to hold about
-    ``SILVER_ROWS_PER_BUCKET`` rows of the first batch per bucket. The merge
+    Silver is stored bucketed on a hash of the product key. The bucket count is
+    ``silver_buckets``, or by default ``spark.sql.shuffle.partitions`` raised to
+    hold about ``SILVER_ROWS_PER_BUCKET`` rows per bucket; it grows with the
+    table once the buckets hold twice that. The merge
     joins on that hash, so each run shuffles only its own batch, never the
     accumulated silver table.
     """
@@ -174,12 +174,12 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     # Stage once; the quality counts ride along on the same write.
     obs = Observation("staging_quality")
     staged_plan = stage(bronze, rules, keep_raw=keep_raw)
-    schema = None if keep_raw else schemas.STAGING
+    schema = schemas.STAGING_RAW if keep_raw else schemas.STAGING
     staged = store.overwrite("staging", staged_plan.observe(obs, *quality_count_exprs()), schema=schema)
     quality = {k: int(v) for k, v in obs.get.items()}
 
     quarantined = dead_letter(staged, run.as_of, keep_raw=keep_raw)
-    dl_schema = None if keep_raw else schemas.DEAD_LETTER
+    dl_schema = schemas.DEAD_LETTER_RAW if keep_raw else schemas.DEAD_LETTER
 
     def write_dead_letter() -> tuple[DataFrame, int]:
         if dead_letter_mode == "append":
@@ -199,6 +199,11 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
         spec = store.table_buckets("silver")
         if spec is not None and spec.columns == (schemas.KEY_HASH,):
             target = store.read("silver", schema=schemas.SILVER_STORED)
+            # Row counts come from file footers. A table that has outgrown its
+            # buckets, or is asked for another number, is dealt out anew once.
+            grown = -(-(target.count() + batch_rows) // SILVER_ROWS_PER_BUCKET)
+            wanted = silver_buckets or (grown if grown > 2 * spec.count else spec.count)
+            spec = Buckets(wanted, (schemas.KEY_HASH,))
         else:  # first run, or a silver table written without the key hash
             default = max(int(store.spark.conf.get("spark.sql.shuffle.partitions")),
                           -(-batch_rows // SILVER_ROWS_PER_BUCKET))
@@ -206,7 +211,8 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
             target = store.read("silver", schema=schemas.SILVER).withColumn(
                 schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY))
         merged = upsert(target, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
-                        null_safe=null_safe_merge, hash_column=schemas.KEY_HASH)
+                        null_safe=null_safe_merge, check_unique=False,  # deduplicated above
+                        hash_column=schemas.KEY_HASH)
         silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER_STORED,
                                                       buckets=spec)
         return batch, batch_rows, silver, silver_rows
@@ -227,28 +233,24 @@ class GoldResult:
     fact_rows: int
 
 
-def run_gold(store: TableStore, silver: DataFrame, *, silver_rows: int | None = None,
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GoldResult:
+def run_gold(store: TableStore, silver: DataFrame, *, silver_rows: int | None = None) -> GoldResult:
     """``silver_rows``: row count of ``silver`` when known (every silver row is valid)."""
     spark = silver.sparkSession
     valid = silver.where(F.col("is_valid"))
     # Summaries need only silver columns and the bucket ladder: no joins, so they
     # run alongside the dimensions.
     bucketed = with_price_bucket(valid)
-    (dim_cat, dim_cat_rows), (dim_pb, dim_pb_rows), agg_cat, agg_pb = _concurrently(
-        lambda: store.overwrite_counted("dim_category", dim_category(valid),
-                                        schema=schemas.DIM_CATEGORY),
-        lambda: store.overwrite_counted("dim_price_bucket", dim_price_bucket(spark),
-                                        schema=schemas.DIM_PRICE_BUCKET),
+    dim_cat, dim_pb, agg_cat, agg_pb = _concurrently(
+        lambda: store.overwrite("dim_category", dim_category(valid), schema=schemas.DIM_CATEGORY),
+        lambda: store.overwrite("dim_price_bucket", dim_price_bucket(spark),
+                                schema=schemas.DIM_PRICE_BUCKET),
         lambda: store.overwrite("agg_category_summary", category_summary(bucketed),
                                 schema=schemas.AGG_CATEGORY_SUMMARY),
         lambda: store.overwrite("agg_price_bucket_summary", price_bucket_summary(bucketed),
                                 schema=schemas.AGG_PRICE_BUCKET_SUMMARY),
     )
-    enriched = enrich(valid, dim_cat, dim_pb, max_broadcast_rows=max_broadcast_rows,
-                      dim_cat_rows=dim_cat_rows, dim_pb_rows=dim_pb_rows)
-    valid_rows = valid.count() if silver_rows is None else silver_rows
+    enriched = enrich(valid, dim_cat, dim_pb)
     fact, fact_rows = store.overwrite_counted(
-        "fact_product_metrics", fact_product_metrics(enriched, rows=valid_rows),
+        "fact_product_metrics", fact_product_metrics(enriched, rows=silver_rows),
         schema=schemas.FACT_PRODUCT_METRICS)
     return GoldResult(dim_cat, dim_pb, fact, agg_cat, agg_pb, fact_rows)

@@ -309,6 +309,9 @@ SELECT CAST(row_number() OVER (ORDER BY name ASC NULLS FIRST, main_category ASC
        name, main_category, sub_category FROM valid""",
         "fact_join_category": f"""{gold}
 SELECT v.*, d.category_key FROM valid v
+LEFT JOIN dim_cat d ON v.main_category = d.main_category AND v.sub_category = d.sub_category""",
+        "fact_join_category_salted": f"""{gold}
+SELECT v.*, d.category_key FROM valid v
 LEFT JOIN dim_cat d ON v.main_category = d.main_category AND v.sub_category = d.sub_category""",
         "fact_join_bucket": f"""{gold}
 SELECT b.name, b.main_category, b.sub_category, b.actual_price, b.price_bucket, pb.price_bucket_key

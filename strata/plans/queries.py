@@ -53,7 +53,8 @@ def _valid_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- sources and bronze -------------------------------------------------------
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_csv_source(spark, testdata_runs(spark, sf_dir).products_csv("all"))
+    """Two files with different column orders, one with an extra column."""
+    return read_csv_source(spark, testdata_runs(spark, sf_dir).products_csv_split())
 
 
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,8 +153,8 @@ def price_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = dense_key(_valid_silver(spark, sf_dir), schemas.PRODUCT_KEY, "product_key")
-    return keyed.select("product_key", *schemas.PRODUCT_KEY)
+    narrow = _valid_silver(spark, sf_dir).select(*schemas.PRODUCT_KEY)
+    return dense_key(narrow, schemas.PRODUCT_KEY, "product_key").select("product_key", *schemas.PRODUCT_KEY)
 
 
 def fact_join_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +163,13 @@ def fact_join_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_category_key(_valid_silver(spark, sf_dir), dim)
 
 
+def fact_join_category_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join with hot categories salted (more than 50 rows count as hot)."""
+    _, store = _full(spark, sf_dir)
+    dim = store.read("dim_category", schema=schemas.DIM_CATEGORY)
+    return attach_category_key(_valid_silver(spark, sf_dir), dim, rows_per_task=50)
+
+
 def fact_join_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, store = _full(spark, sf_dir)
     dim = store.read("dim_price_bucket", schema=schemas.DIM_PRICE_BUCKET)
@@ -175,12 +183,13 @@ def fact_product_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def agg_category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _full(spark, sf_dir)[1].read("agg_category_summary", schema=schemas.AGG_CATEGORY_SUMMARY)
+    out = _full(spark, sf_dir)[1].read("agg_category_summary", schema=schemas.AGG_CATEGORY_SUMMARY)
+    return out.orderBy(F.desc("product_count"), F.asc_nulls_first("main_category"))
 
 
 def agg_price_bucket_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _full(spark, sf_dir)[1].read("agg_price_bucket_summary",
-                                        schema=schemas.AGG_PRICE_BUCKET_SUMMARY)
+    out = _full(spark, sf_dir)[1].read("agg_price_bucket_summary", schema=schemas.AGG_PRICE_BUCKET_SUMMARY)
+    return out.orderBy("price_bucket")
 
 
 # -- verification and audit ------------------------------------------------------
@@ -233,6 +242,7 @@ QUERIES: dict[str, Query] = {
     "price_bucket": price_bucket,
     "surrogate_key": surrogate_key,
     "fact_join_category": fact_join_category,
+    "fact_join_category_salted": fact_join_category_salted,
     "fact_join_bucket": fact_join_bucket,
     "fact_product_metrics": fact_product_metrics,
     "agg_category_summary": agg_category_summary,

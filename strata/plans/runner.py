@@ -19,7 +19,6 @@ from pyspark.sql.types import StructField, StructType
 
 from strata import schemas
 from strata.functions.rules import PRODUCT_RULES, Rule
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from strata.plans.layers import (
     BronzeResult,
     GoldResult,
@@ -90,8 +89,7 @@ def checkpoint_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
-               silver_buckets: int | None = None, bronze_mode: str = "overwrite",
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> RunResult:
+               silver_buckets: int | None = None, bronze_mode: str = "overwrite") -> RunResult:
     spark = store.spark
     rows: list[tuple] = []
     results: dict[str, object] = {}
@@ -106,8 +104,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                                      dead_letter_mode=dead_letter_mode,
                                      silver_buckets=silver_buckets),
         "GOLD": lambda: run_gold(store, results["SILVER"].silver,
-                                 silver_rows=results["SILVER"].silver_rows,
-                                 max_broadcast_rows=max_broadcast_rows),
+                                 silver_rows=results["SILVER"].silver_rows),
     }
     upstream_ok = True
     for layer in LAYERS:
@@ -117,7 +114,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
         try:
             res = steps[layer]()
         except Exception as exc:  # noqa: BLE001 - the audit log records any failure
-            record(layer, FAILED, 0, f"{type(exc).__name__}: {exc}"[:4000], 0)
+            record(layer, FAILED, 0, f"{type(exc).__name__}: {exc}", 0)
             upstream_ok = False
             continue
         results[layer] = res

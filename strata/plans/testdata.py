@@ -89,6 +89,15 @@ class TestdataRuns:
             rows = rows.where(F.col("l_shipdate") >= F.lit(HISTORY_SPLIT_SHIPDATE).cast("timestamp"))
         return self._ensure_csv(f"products_{part}", rows.drop("l_shipdate"))
 
+    def products_csv_split(self) -> list[str]:
+        """The products in two files: one with its columns reversed and one more."""
+        rows = messy_products(self.spark, self.sf_dir, with_ship_date=True)
+        early = F.col("l_shipdate") < F.lit(HISTORY_SPLIT_SHIPDATE).cast("timestamp")
+        turned = rows.where(~F.coalesce(early, F.lit(False)))
+        turned = turned.select(F.lit("extra").alias("note"), *reversed(turned.drop("l_shipdate").columns))
+        return [self._ensure_csv("products_early", rows.where(early).drop("l_shipdate")),
+                self._ensure_csv("products_turned", turned)]
+
     def listings(self) -> DataFrame:
         with _LOCK:
             if not self.inputs.exists("listings"):

@@ -111,6 +111,12 @@ DEAD_LETTER = _schema(
     ("batch_id", S),
     ("failed_at", TimestampType()),
 )
+# Columns that cleaning changes, kept as received under this prefix on request.
+RAW_PREFIX = "raw_"
+CHANGED_COLUMNS = ("name", "main_category", "sub_category", *NUMERIC_COLUMNS)
+_RAW = [StructField(RAW_PREFIX + c, S, True) for c in CHANGED_COLUMNS]
+STAGING_RAW = StructType([*STAGING.fields, *_RAW])
+DEAD_LETTER_RAW = StructType([*DEAD_LETTER.fields, *_RAW])
 CHECKPOINTS = _schema(
     ("batch_id", S),
     ("layer_name", S),

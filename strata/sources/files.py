@@ -15,15 +15,24 @@ def read_csv_source(spark: SparkSession, path: str | list[str],
                     options: dict[str, str] | None = None) -> DataFrame:
     """Scan header CSV files without type inference and select ``columns`` by name.
 
-    Header names are matched case-insensitively, so column order in the files
-    does not matter; a missing column fails analysis. Other columns are ignored
-    and pruned from the scan.
+    Header names are matched case-insensitively; a missing column fails
+    analysis, other columns are ignored. Each path of a list is read with its own
+    header, so files may differ in column order and extra columns. All files
+    below one path must have the same header: Spark raises where one differs,
+    instead of reading its columns by position.
     """
+    if not isinstance(path, str):
+        frames = [read_csv_source(spark, p, columns, options=options) for p in path]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
     reader = (
         spark.read.format("csv")
         .option("header", True)
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("enforceSchema", False)
     )
     for k, v in (options or {}).items():
         reader = reader.option(k, v)

@@ -72,7 +72,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir is not set; point it at shared storage "
                              "(HDFS or an object store) that every executor can reach")
         current = tempfile.mkdtemp(prefix="strata-checkpoint-")
@@ -133,12 +133,13 @@ class TableStore:
     at 2 or more so a reader that resolved the previous version can finish.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None, *,
-                 retain_versions: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, *, retain_versions: int | None = None):
         if retain_versions is not None and retain_versions < 1:
             raise ValueError("retain_versions must be at least 1")
         self.spark = spark
-        self.root = (root or os.path.join(checkpoint_root(spark), "strata-store")).rstrip("/")
+        if not root:
+            raise ValueError("a table store needs a root folder that outlives the session")
+        self.root = root.rstrip("/")
         self.retain_versions = retain_versions
         self._fs = _Fs(spark)
 

@@ -38,12 +38,12 @@ def _model_merge(target, source):
 
 
 @SETTINGS
-@given(st.lists(row, max_size=12), st.lists(row, max_size=12), st.booleans())
-def test_upsert_matches_model(spark, target_rows, source_rows, broadcast):
+@given(st.lists(row, max_size=12), st.lists(row, max_size=12))
+def test_upsert_matches_model(spark, target_rows, source_rows):
     target, source = _unique(target_rows), _unique(source_rows)
     t = spark.createDataFrame(target, SCHEMA)
     s = spark.createDataFrame(source, SCHEMA)
-    got = upsert(t, s, KEYS, ["price"], max_broadcast_rows=10**6 if broadcast else 0)
+    got = upsert(t, s, KEYS, ["price"])
     got_rows = sorted(map(tuple, got.collect()), key=repr)
     assert got_rows == _model_merge(target, source)
     again = sorted(map(tuple, upsert(got, s, KEYS, ["price"]).collect()), key=repr)
@@ -73,7 +73,7 @@ def _sort_key(r):
 @given(st.lists(row, max_size=40), st.integers(1, 6))
 def test_dense_key_is_a_sorted_numbering(spark, rows, parts):
     df = spark.createDataFrame(rows, SCHEMA)
-    got = dense_key(df, KEYS, "k", num_partitions=parts, single_bucket_max_rows=0).collect()
+    got = dense_key(df, KEYS, "k", num_partitions=parts).collect()
     assert sorted(r["k"] for r in got) == list(range(1, len(rows) + 1))
     by_key = [_sort_key(tuple(r)) for r in sorted(got, key=lambda r: r["k"])]
     assert by_key == sorted(by_key)
@@ -89,7 +89,7 @@ def test_salted_dimension_join_matches_model(spark, fact_rows, dim_rows, null_sa
     dim_rows = [r for i, r in enumerate(dim_rows) if r[:2] not in {d[:2] for d in dim_rows[:i]}]
     fact = spark.createDataFrame(fact_rows, "a string, b string, id long")
     dim = spark.createDataFrame(dim_rows, "a string, b string, v long")
-    got = left_join_dim(fact, dim, ["a", "b"], null_safe=null_safe, max_broadcast_rows=0,
+    got = left_join_dim(fact, dim, ["a", "b"], null_safe=null_safe,
                         rows_per_task=rows_per_task)
     lookup = {}
     for a, b, v in dim_rows:

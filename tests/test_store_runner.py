@@ -105,7 +105,7 @@ def test_runner_keep_raw_dead_letter(spark, scratch_dir, mock_df):
     as_of = dt.datetime(2024, 3, 3, 6, 0, 0)
     result = run_layers(store, [_mock_source(spark, mock_df)], RunParams("r3", as_of), keep_raw=True)
     dead = {r["name"]: r for r in result.silver.dead_letter.collect()}
-    assert dead["Product E"]["raw_ratings"] is None and dead["Product F"]["raw_discount_price"] == "-50"
+    assert dead["Linen Apron"]["raw_ratings"] is None and dead["Desk Lamp"]["raw_discount_price"] == "-12"
 
 
 def test_mock_schema_is_text():
@@ -198,3 +198,53 @@ def test_bronze_append_keeps_history(spark, scratch_dir, mock_df):
     history = store.read("bronze", schema=schemas.BRONZE, all_versions=True)
     assert history.count() == 20
     assert sorted(r["batch_id"] for r in history.select("batch_id").distinct().collect()) == ["d1", "d2"]
+
+
+def test_second_session_merges_into_the_first_ones_silver(spark, scratch_dir, mock_df):
+    """What a later process finds under the same root: silver to merge into, and the whole log."""
+    as_of = dt.datetime(2024, 7, 1, 6, 0, 0)
+    run_layers(TableStore(spark, scratch_dir), [_mock_source(spark, mock_df)], RunParams("one", as_of))
+    later = spark.newSession()
+    more = later.createDataFrame([("Tea Towel", "Kitchen", "Textiles", "4.0", "7", "5", "8", None, None)],
+                                 "name string, main_category string, sub_category string, ratings string, "
+                                 "no_of_ratings string, discount_price string, actual_price string, "
+                                 "image string, link string")
+    store = TableStore(later, scratch_dir)
+    second = run_layers(store, [Source("more.csv", lambda: more)], RunParams("two", as_of))
+    assert second.silver.silver_rows == 5
+    assert store.read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True).count() == 6
+
+
+def test_store_needs_a_root(spark):
+    with pytest.raises((TypeError, ValueError)):
+        TableStore(spark, "")
+
+
+def test_quarantine_history_keeps_raw_columns(spark, scratch_dir, mock_df):
+    store = TableStore(spark, scratch_dir)
+    as_of = dt.datetime(2024, 7, 2, 6, 0, 0)
+    for batch, raw in (("plain", False), ("raw", True)):
+        run_layers(store, [_mock_source(spark, mock_df)], RunParams(batch, as_of), keep_raw=raw,
+                   dead_letter_mode="append")
+    dead = store.read("dead_letter", schema=schemas.DEAD_LETTER_RAW, all_versions=True)
+    got = {(r["batch_id"], r["raw_discount_price"]) for r in dead.where("name = 'Desk Lamp'").collect()}
+    assert got == {("plain", None), ("raw", "-12")}
+
+
+def test_buckets_can_change(spark, scratch_dir, mock_df):
+    store = TableStore(spark, scratch_dir)
+    as_of = dt.datetime(2024, 7, 3, 6, 0, 0)
+    for n in (4, 16):
+        run_layers(store, [_mock_source(spark, mock_df)], RunParams(f"b{n}", as_of), silver_buckets=n)
+        assert store.table_buckets("silver").count == n
+    assert store.read("silver", schema=schemas.SILVER).count() == 4
+
+
+def test_failure_text_is_whole(spark, scratch_dir):
+    def broken():
+        raise OSError("x" * 9000)
+
+    as_of = dt.datetime(2024, 7, 4, 6, 0, 0)
+    run_layers(TableStore(spark, scratch_dir), [Source("s", broken)], RunParams("long", as_of))
+    log = TableStore(spark, scratch_dir).read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True)
+    assert max(len(r["error_message"] or "") for r in log.collect()) > 9000
