@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import read_table, without
+from strata.llm.common import checkpoint, read_table, without
 
 # Above this mean a document's count is the sum of several smaller draws, so
 # that the first probability, exp(-mean), stays well inside a double.
 MAX_MEAN = 64.0
+#: The table of sources, under 2 KB a row, is broadcast up to so many rows.
+BROADCAST_SOURCES = 20_000
 
 
 def _unit(*parts: Column) -> Column:
@@ -91,7 +93,10 @@ def poisson_mix(
         ":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
         F.coalesce(F.col(text_col), F.lit("")),
     ).cast("binary"))
-    drawn = docs.join(rates, F.col(source_col).eqNullSafe(rates["_source"])).withColumn("_me", me)
+    rates = checkpoint(rates)
+    # Up to here a row a source; beyond the bound Spark joins by shuffle.
+    small = F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
+    drawn = docs.join(small, F.col(source_col).eqNullSafe(F.col("_source"))).withColumn("_me", me)
 
     def draw(acc: Column, i: Column) -> Column:
         u = _unit(F.lit(str(seed)), i.cast("string"), F.col("_me"))
