@@ -22,6 +22,9 @@ FACTOR = 16
 #: Strings that are inserted together. One anchor with more is split into its
 #: single windows, dealt out by their hash.
 COLLECTION = 1024
+#: Bands of windows by their reach to the left of the anchor, looked at apart
+#: before the construction.
+BANDS = 5
 END = 0
 
 
@@ -50,8 +53,8 @@ class _Column:
 
     def write(self, values: np.ndarray) -> None:
         self.files.reverse()
+        # Longer than what this file held two rounds ago.
         self.files[0].seek(0)
-        self.files[0].truncate()
         values.astype(self.dtype, copy=False).tofile(self.files[0])
 
     def close(self) -> None:
@@ -84,50 +87,58 @@ def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     # UTF-8 has no byte 255.
     flat = np.frombuffer(b"".join(strings), np.uint8) + np.uint8(1)
     last = np.cumsum(lens) - 1
+    prefix = np.uint8 if lens.max() < 255 else np.uint16
+    # A symbol and its place in the transform, in one number.
+    entry, bits = (np.uint32, 24) if m + len(flat) < 1 << 24 else (np.uint64, 48)
+    places = entry(2**bits - 1)
     with tempfile.TemporaryDirectory() as folder:
-        bwt_file, lcp_file = _Column(folder, np.uint8), _Column(folder, np.uint16)
+        bwt_file, lcp_file = _Column(folder, np.uint8), _Column(folder, prefix)
         # Round 0: the empty suffixes.
-        bwt_file.write(np.where(lens > 0, flat[np.maximum(last, 0)], END).astype(np.uint8))
-        lcp_file.write(np.zeros(m, np.uint16))
-        active, at = np.flatnonzero(lens > 0), np.flatnonzero(lens > 0)
+        symbols = np.where(lens > 0, flat[np.maximum(last, 0)], END).astype(np.uint8)
+        bwt_file.write(symbols)
+        lcp_file.write(np.zeros(m, prefix))
+        # Each string's newest suffix, by its place.
+        active = np.flatnonzero(lens > 0)
+        at = active
+        # The transform's symbols but for ends, by symbol and place; `k` says
+        # where those of the newest suffixes stand.
+        entries, k = _merged(np.zeros(0, entry), (symbols[at].astype(entry) << entry(bits)) | at.astype(entry))
         r = 1
         while len(active):
             bwt, lcp = bwt_file.read(), lcp_file.read()
-            n = len(bwt)
-            # A stable sort by symbol lists each symbol's places in order.
-            order = np.argsort(bwt, kind="stable")
-            ends = int(np.count_nonzero(bwt == END))
-            rank = np.empty(n, np.int32)
-            rank[order] = np.arange(n, dtype=np.int32)
-            new = m + rank[at].astype(np.int64) - ends
-            size = m + n - ends
-            symbol, k = bwt[at], rank[at].astype(np.int64)
-            guarded = np.append(lcp, np.uint16(0))
-            before = order[np.maximum(k - 1, 0)]
-            has = (k > 0) & (bwt[before] == symbol)
-            to_before = np.zeros(len(at), np.uint16)
+            new = m + k
+            size = m + len(entries)
+            own = entries[k] >> entry(bits)
+            to_before, to_after = np.zeros(len(k), prefix), np.zeros(len(k), prefix)
+            guarded = np.append(lcp, prefix(0))
+            other = entries[np.maximum(k - 1, 0)]
+            has = (k > 0) & (other >> entry(bits) == own)
             if has.any():
-                to_before[has] = 1 + _range_min(guarded, before[has] + 1, at[has] + 1)
-            after = order[np.minimum(k + 1, n - 1)]
-            has = (k + 1 < n) & (bwt[after] == symbol)
-            to_after = np.zeros(len(at), np.uint16)
+                to_before[has] = 1 + _range_min(guarded, (other[has] & places).astype(np.int64) + 1, at[has] + 1)
+            other = entries[np.minimum(k + 1, len(entries) - 1)]
+            has = (k + 1 < len(entries)) & (other >> entry(bits) == own)
             if has.any():
-                to_after[has] = 1 + _range_min(guarded, at[has] + 1, after[has] + 1)
+                to_after[has] = 1 + _range_min(guarded, at[has] + 1, (other[has] & places).astype(np.int64) + 1)
             left = lens[active] - r
+            symbols = np.where(left > 0, flat[last[active] - r], END).astype(np.uint8)
             stays = np.ones(size, bool)
             stays[new] = False
             grown = np.empty(size, np.uint8)
             grown[stays] = bwt
-            grown[new] = np.where(left > 0, flat[last[active] - r], END)
+            grown[new] = symbols
             bwt_file.write(grown)
-            shared = np.zeros(size + 1, np.uint16)
+            shared = np.zeros(size + 1, prefix)
             shared[:size][stays] = lcp
             shared[new + 1] = to_after
             shared[new] = to_before
             lcp_file.write(shared[:size])
-            # `at` follows each string's newest suffix.
+            # What stands behind an inserted suffix moves on by one.
+            slots = np.sort(new) - np.arange(len(new))
+            moved = np.repeat(np.arange(len(new) + 1, dtype=entry), np.diff(slots, prepend=0, append=len(bwt)))
+            entries += moved[entries & places]
             more = left > 0
             active, at = active[more], new[more]
+            entries, k = _merged(entries, (symbols[more].astype(entry) << entry(bits)) | at.astype(entry))
             r += 1
         bwt, lcp = bwt_file.read(), lcp_file.read()
         bwt_file.close()
@@ -135,6 +146,19 @@ def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return bwt, lcp
 
 
+def _merged(entries: np.ndarray, added: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ``entries`` with ``added`` among them, and where each of these stands."""
+    order = np.argsort(added)
+    where = np.empty(len(added), np.int64)
+    where[order] = np.searchsorted(entries, added[order]) + np.arange(len(added))
+    old = np.ones(len(entries) + len(added), bool)
+    old[where] = False
+    merged = np.empty(len(old), entries.dtype)
+    merged[old] = entries
+    merged[where] = added
+    return merged, where
+
+
 def _suffix_places(bwt: np.ndarray, lens: np.ndarray) -> list[np.ndarray]:
     """Per round, the places of the strings' suffixes of that length (-1 where a
     string is shorter), by following the transform from the ends."""
@@ -170,50 +194,55 @@ def _repeats(strings: list[bytes], window: int) -> list[np.ndarray]:
     return np.split(flags, ends[:-1])
 
 
-def _may_repeat(pieces: list[bytes], place: np.ndarray, window: int) -> np.ndarray:
-    """Which pieces can hold a window of another. A window reaches at least
-    half of its other bytes to one side of the anchor, so two pieces with a
-    window in common have that much context in common on that side."""
-    reach = (window - FACTOR + 1) // 2
-    sides = [
-        (p[max(0, a - reach):a + FACTOR] if a >= reach else None,
-         p[a:a + FACTOR + reach] if len(p) >= a + FACTOR + reach else None)
+def _may_repeat(pieces: list[bytes], place: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per piece the first window that may occur in another, and one past the
+    last (equal if none). Windows fall into bands by how far they reach to the
+    left of the anchor. All windows of a band hold the bytes from its least
+    reach on the left to its least reach on the right; equal windows are of one
+    band, so where no other piece has these bytes, none has the windows."""
+    reach = window - FACTOR
+    width = -(-(reach + 1) // BANDS)
+    bands = [(near, min(reach, near + width - 1)) for near in range(0, reach + 1, width)]
+    shared = [
+        [p[a - near:a + FACTOR + reach - far] if a >= near and len(p) >= a + FACTOR + reach - far else None
+         for near, far in bands]
         for p, a in zip(pieces, place.tolist())
     ]
-    left, right = Counter(x for x, _ in sides), Counter(y for _, y in sides)
-    return np.array([
-        (x is not None and left[x] > 1) or (y is not None and right[y] > 1) for x, y in sides
-    ])
+    counts = [Counter(column) for column in zip(*shared)]
+    lo, hi = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+    for i, (p, a, own) in enumerate(zip(pieces, place.tolist(), shared)):
+        held = [b for b, x, c in zip(bands, own, counts) if x is not None and c[x] > 1]
+        if held:
+            lo[i] = max(0, a - held[-1][1])
+            hi[i] = max(lo[i], min(len(p) - window, a - held[0][0]) + 1)
+    return lo, hi
 
 
 def repeated_by_columns(
     pieces: list[bytes], group: np.ndarray, place: np.ndarray, window: int, limit: int = COLLECTION
 ) -> list[np.ndarray]:
     """Per piece a boolean per window: does it occur before. Pieces come in
-    document order; those of one anchor are inserted together. Pieces that
-    share no more than their anchor with any other are left out."""
-    flags: list[np.ndarray] = [np.zeros(0, bool)] * len(pieces)
-    may = _may_repeat(pieces, place, window)
-    for p in np.flatnonzero(~may).tolist():
-        flags[p] = np.zeros(len(pieces[p]) - window + 1, bool)
+    document order; those of one anchor are inserted together, each cut to the
+    windows that another may hold."""
+    flags = [np.zeros(len(p) - window + 1, bool) for p in pieces]
+    lo, hi = _may_repeat(pieces, place, window)
     by_anchor = np.argsort(group, kind="stable")
-    by_anchor = by_anchor[may[by_anchor]]
+    by_anchor = by_anchor[hi[by_anchor] > lo[by_anchor]]
     edge = np.flatnonzero(np.diff(group[by_anchor])) + 1
     batch: list[np.ndarray] = []
     size = 0
 
     def solve() -> None:
         some = np.sort(np.concatenate(batch)).tolist()
-        for p, f in zip(some, _repeats([pieces[p] for p in some], window)):
-            flags[p] = f
+        for p, f in zip(some, _repeats([pieces[p][lo[p]:hi[p] + window - 1] for p in some], window)):
+            flags[p][lo[p]:hi[p]] = f
 
     for members in np.split(by_anchor, edge) if len(by_anchor) else []:
         if len(members) == 1:
             # No window occurs twice in one piece.
-            flags[members[0]] = np.zeros(len(pieces[members[0]]) - window + 1, bool)
             continue
         if len(members) > limit:
-            _split_windows(pieces, members, flags, window, limit)
+            _split_windows(pieces, members, lo, hi, flags, window, limit)
             continue
         if size + len(members) > limit and batch:
             solve()
@@ -225,14 +254,15 @@ def repeated_by_columns(
     return flags
 
 
-def _split_windows(pieces: list[bytes], members: np.ndarray, flags: list, window: int, limit: int) -> None:
+def _split_windows(
+    pieces: list[bytes], members: np.ndarray, lo: np.ndarray, hi: np.ndarray, flags: list, window: int, limit: int
+) -> None:
     """One anchor with more pieces than a collection takes: its windows, one by
     one, in collections by their hash. Equal windows have equal hashes."""
-    parts = -(-sum(len(pieces[p]) - window + 1 for p in members) // limit)
+    parts = -(-int((hi - lo)[members].sum()) // limit)
     dealt: list[list[tuple[int, int]]] = [[] for _ in range(parts)]
     for p in members.tolist():
-        flags[p] = np.zeros(len(pieces[p]) - window + 1, bool)
-        for o in range(len(flags[p])):
+        for o in range(lo[p], hi[p]):
             dealt[zlib.crc32(pieces[p][o:o + window]) % parts].append((p, o))
     for own in dealt:
         own.sort()
