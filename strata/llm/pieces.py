@@ -3,14 +3,16 @@
 A window is ``window`` consecutive symbols (bytes or words) of one document.
 Its anchor is the least hash among its ``q``-symbol factors, so equal windows
 have equal anchors wherever they stand. Neighbouring windows mostly share an
-anchor; such a run travels as one piece, the symbols it spans, to the bucket of
-its anchor. A window that repeats is therefore met by all its copies in one
-bucket, while text is shipped about three times instead of ``window`` times.
+anchor; such a run is a piece, the symbols it spans.
+
+First only the anchors travel, to buckets by their hash, which answer with the
+pieces whose anchor occurs again: a window under any other anchor has no copy.
+Those pieces then travel with their symbols to the bucket of their anchor, where
+a window that repeats is met by all its copies.
 
 A bucket's pieces are handled by a method-specific function. Before that,
 equal pieces are made one, first within a map batch, then in the bucket: only
-the earliest is looked at, the rest are known to repeat it. Pieces whose anchor
-occurs once hold no repeated window and are set aside.
+the earliest is looked at, the rest are known to repeat it.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import partitions_for, text_bytes
 
-#: Bytes of text that a map task cuts into pieces at once, and bytes of pieces
-#: that a bucket holds on average.
-BATCH_BYTES = 12 << 20
+#: Bytes of text whose anchors a map task sends at once, bytes of pieces that it
+#: sends at once, and bytes that a bucket holds on average.
+NOTE_BYTES = 48 << 20
+BATCH_BYTES = 32 << 20
 BUCKET_BYTES = 24 << 20
 #: Compression level of what is shipped.
-PACK_LEVEL = 9
+PACK_LEVEL = 6
 #: Stands in for a null id in the order of documents: such rows come last.
 LAST_ID = 2**63 - 1
 
@@ -84,6 +87,14 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _row(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """One row that holds each column as a list."""
+    return pa.RecordBatch.from_arrays(
+        [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns.values()],
+        names=list(columns),
+    )
+
+
 def _packed(rows: dict[bytes, tuple], buckets: int) -> Iterator[tuple[int, bytes]]:
     """One (bucket, table) per bucket that has pieces. A table is one row of
     arrays: its documents, then per piece its document's number, the step from
@@ -103,9 +114,8 @@ def _packed(rows: dict[bytes, tuple], buckets: int) -> Iterator[tuple[int, bytes
             "step": np.diff(start, prepend=0).astype(np.int32), "n": n.astype(np.int32),
             "key": key.astype(np.uint32), "place": place.astype(np.int32), "size": sizes[own].astype(np.int32),
         }
-        arrays = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), pa.array(c)) for c in columns.values()]
-        arrays.append(pa.array([b"".join(texts[i] for i in own.tolist())], pa.large_binary()))
-        yield int(bucket[own[0]]), _ipc(pa.RecordBatch.from_arrays(arrays, names=[*columns, "text"]))
+        blob = pa.array([b"".join(texts[i] for i in own.tolist())], pa.large_binary())
+        yield int(bucket[own[0]]), _ipc(_row(columns).append_column("text", blob))
 
 
 def _unpacked(table: bytes) -> tuple[list[np.ndarray], memoryview]:
@@ -124,29 +134,167 @@ def _spans(id_, h, start, n) -> pa.RecordBatch:
     )
 
 
+def _sent(tables: list[tuple[int, bytes]], known: pa.RecordBatch | None) -> pa.RecordBatch:
+    """Rows (bucket, kind, rows): tables for buckets (kind 0), and results that
+    need none (kind 1), which go by any."""
+    made = [(b, 0, t) for b, t in tables]
+    if known is not None and known.num_rows:
+        made.append((tables[0][0] if tables else 0, 1, _ipc(known)))
+    columns = zip(*made) if made else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.binary()))],
+        names=["bucket", "kind", "rows"],
+    )
+
+
+def _by_bucket(one_bucket: Callable[[list[bytes]], Iterator[pa.RecordBatch]]):
+    """A function over rows sorted by bucket: results sent along, and those of
+    ``one_bucket`` for each bucket's tables."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        at = None
+        for batch in batches:
+            for bucket, kind, table in zip(*(batch.column(c) for c in ("bucket", "kind", "rows"))):
+                if kind.as_py():
+                    yield from pa.ipc.open_stream(table.as_py()).read_all().to_batches()
+                    continue
+                if bucket.as_py() != at:
+                    if held:
+                        yield from one_bucket(held)
+                    at, held = bucket.as_py(), []
+                held.append(table.as_py())
+        if held:
+            yield from one_bucket(held)
+
+    return gather
+
+
+def _lists(id_: np.ndarray, h: np.ndarray, no: np.ndarray) -> pa.RecordBatch:
+    """(id, h, pieces): the numbers of each document's pieces."""
+    order = np.lexsort((no, h, id_))
+    id_, h, no = id_[order], h[order], no[order]
+    new = np.flatnonzero(np.concatenate(([True], (id_[1:] != id_[:-1]) | (h[1:] != h[:-1]))) if len(no) else [])
+    pieces = pa.ListArray.from_arrays(pa.array(np.append(new, len(no)), pa.int32()), pa.array(no, pa.int32()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(id_[new], pa.int64()), pa.array(h[new], pa.int64()), pieces], names=["id", "h", "pieces"]
+    )
+
+
+def shared_pieces(base: DataFrame, symbols: Callable[[str], np.ndarray], window: int, q: int, total: int) -> DataFrame:
+    """(id, h, pieces): the numbers of a document's pieces whose anchor occurs
+    under another piece, or in another row. A document may have several rows.
+
+    A batch sends each of its anchors once; those that it holds twice itself
+    are known, and the bucket is only told that they exist. So an anchor that
+    a third of all documents have comes to its bucket once a batch.
+    """
+    # A piece's entry here takes about as much room as the text it stands for.
+    buckets = max(1, -(-total // BUCKET_BYTES))
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], np.ndarray] = {}
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            ids, hs = (np.array(x, np.int64) for x in zip(*held))
+            lens = np.array([len(k) for k in held.values()])
+            key = np.concatenate(list(held.values()))
+            doc = np.repeat(np.arange(len(lens)), lens)
+            no = np.arange(len(key)) - np.repeat(np.cumsum(lens) - lens, lens)
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+            count = np.diff(np.append(first, len(key)))
+            again = order[np.repeat(count > 1, count)]
+            sent = order[first]
+            asks = np.where(count > 1, -1, doc[sent]).astype(np.int32)
+            bucket = (key[sent] >> np.uint64(32)) % np.uint64(buckets)
+            by = np.lexsort((no[sent], asks, bucket))
+            tables = []
+            for own in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
+                docs, at = np.unique(asks[own], return_inverse=True)
+                asked = docs >= 0
+                tables.append((int(bucket[own[0]]), _ipc(_row({
+                    "ids": np.where(asked, ids[docs], 0), "hs": np.where(asked, hs[docs], 0), "asked": asked,
+                    "doc": at.astype(np.int32), "no": no[sent[own]].astype(np.int32),
+                    "key": key[sent[own]].astype(np.uint32),
+                }))))
+            return _sent(tables, _lists(ids[doc[again]], hs[doc[again]], no[again]))
+
+        for batch in batches:
+            for i, h, text in zip(*(batch.column(c) for c in ("_id", "_h", "text"))):
+                if not text.is_valid or (i.as_py(), h.as_py()) in held:
+                    continue
+                text = text.as_py()
+                key = anchors(symbols(text), window, q)[2]
+                size += len(text)
+                if len(key):
+                    held[i.as_py(), h.as_py()] = key
+                if size >= NOTE_BYTES and held:
+                    yield out()
+                    held.clear()
+                    size = 0
+        if held:
+            yield out()
+
+    def answer(tables: list[bytes]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for table in tables:
+            row = pa.ipc.open_stream(table).read_next_batch()
+            ids, hs, asked, doc, no, key = (c.values.to_numpy(zero_copy_only=False) for c in row.columns)
+            found.append((ids[doc], hs[doc], asked[doc], no, key))
+        id_, h, asked, no, key = (np.concatenate(x) for x in zip(*found))
+        _, at, count = np.unique(key, return_inverse=True, return_counts=True)
+        told = np.bincount(at[~asked], minlength=len(count))
+        some = asked & ((count > 1) | (told > 0))[at]
+        if some.any():
+            yield _lists(id_[some], h[some], no[some])
+
+    return (
+        base.select("_id", "_h", "text").mapInArrow(note, "bucket long, kind int, rows binary")
+        .repartition(partitions_for(base, total, BUCKET_BYTES), "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_by_bucket(answer), "id long, h long, pieces array<int>")
+        .groupBy("id", "h").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
+    )
+
+
+def with_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, _id, _h). ``_id`` orders the documents (``LAST_ID`` for
+    null), ``_h`` is the hash of the text; rows alike in both are one document."""
+    return docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"), F.xxhash64(text_col).alias("_h"),
+    )
+
+
+def _on(base: DataFrame, other: DataFrame) -> Column:
+    return (F.col("_id") == other["id"]) & (F.col("_h") == other["h"])
+
+
 def repeated_windows(
-    docs: DataFrame,
-    cut: Callable[[str], list[tuple[int, int, int, int, bytes]]],
+    base: DataFrame,
+    symbols: Callable[[str], np.ndarray],
+    cut: Callable[[str, np.ndarray, np.ndarray], list[bytes]],
     solve: Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]],
-    id_col: str = "doc_id",
-    text_col: str = "text",
+    window: int,
+    q: int,
 ) -> DataFrame:
-    """(id, h, start, n): runs of windows of a document that also start earlier.
-
-    ``cut(text)`` gives the pieces of a text: start, windows, anchor, its place
-    in the piece, bytes. ``solve(pieces, group, place)`` gets distinct pieces in
-    document order, with the number and place of each one's anchor; it returns per piece a boolean per window:
-    does it occur before. ``id`` is the document's id (``LAST_ID`` for null) and
-    ``h`` the hash of its text; rows alike in both are one document.
+    """(id, h, start, n): runs of windows of a document (see ``with_keys``) that
+    also start earlier.
+
+    ``symbols(text)`` are a text's symbols as uint64, ``cut(text, start, stop)``
+    the bytes of symbols start to stop, for several pieces. ``solve(pieces,
+    group, place)`` gets distinct pieces in document order, with the number and
+    place of each one's anchor; it returns per piece a boolean per window: does
+    it occur before.
     """
-    total = text_bytes(docs, text_col)
-    buckets = max(1, -(-total * 4 // BUCKET_BYTES))
-    parts = partitions_for(docs, total * 4, BUCKET_BYTES)
-    keyed = docs.where(F.col(text_col).isNotNull()).select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(text_col).alias("h"),
-        F.col(text_col).alias("text"),
-    )
+    total = text_bytes(base, "text")
+    buckets = max(1, -(-total * 2 // BUCKET_BYTES))
+    parts = partitions_for(base, total * 2, BUCKET_BYTES)
+    shared = shared_pieces(base, symbols, window, q, total)
+    # All columns of the base, so that its shuffle serves the last join too.
+    picked = base.join(shared, _on(base, shared)).select(*base.columns, "pieces")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Earliest row per distinct piece; later copies are known repeats.
@@ -155,23 +303,16 @@ def repeated_windows(
         size = 0
 
         def out() -> pa.RecordBatch:
-            made = list(_packed(held, buckets)) if held else []
-            if again:
-                spans = _spans(*zip(*again))
-                # They need no bucket: any will do.
-                made.append((again[0][1] % buckets, _ipc(spans)))
-            kinds = [0] * (len(made) - bool(again)) + [1] * bool(again)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in made], pa.int64()), pa.array(kinds, pa.int32()),
-                 pa.array([t for _, t in made], pa.binary())],
-                names=["bucket", "kind", "rows"],
-            )
+            return _sent(list(_packed(held, buckets)), _spans(*zip(*again)) if again else None)
 
         for batch in batches:
-            for i, h, text in zip(*(batch.column(c) for c in ("id", "h", "text"))):
+            for i, h, text, pick in zip(*(batch.column(c) for c in ("_id", "_h", "text", "pieces"))):
                 i, h, text = i.as_py(), h.as_py(), text.as_py()
-                size += len(text)
-                for start, n, key, place, piece in cut(text):
+                own = np.unique(pick.values.to_numpy())
+                start, n, key, place = (x[own] for x in anchors(symbols(text), window, q))
+                cuts = cut(text, start, start + n + window - 1)
+                for start, n, key, place, piece in zip(*(x.tolist() for x in (start, n, key, place)), cuts):
+                    size += len(piece)
                     row = (key, i, h, start, n, place)
                     known = held.get(piece)
                     if known is None:
@@ -186,7 +327,7 @@ def repeated_windows(
                     held.clear()
                     again.clear()
                     size = 0
-        if held or again:
+        if held:
             yield out()
 
     def one_bucket(tables: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -226,40 +367,19 @@ def repeated_windows(
         rows_of = of[where[begin]]
         yield _spans(id_[rows_of], h[rows_of], start[rows_of] + offset[begin], length)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[bytes] = []
-        at = None
-        for batch in batches:
-            for bucket, kind, table in zip(*(batch.column(c) for c in ("bucket", "kind", "rows"))):
-                if kind.as_py():
-                    yield from pa.ipc.open_stream(table.as_py()).read_all().to_batches()
-                    continue
-                if bucket.as_py() != at:
-                    if held:
-                        yield from one_bucket(held)
-                    at, held = bucket.as_py(), []
-                held.append(table.as_py())
-        if held:
-            yield from one_bucket(held)
-
     return (
-        keyed.mapInArrow(spread, "bucket long, kind int, rows binary")
+        picked.mapInArrow(spread, "bucket long, kind int, rows binary")
         .repartition(parts, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(gather, "id long, h long, start int, n int")
+        .mapInArrow(_by_bucket(one_bucket), "id long, h long, start int, n int")
     )
 
 
-def with_runs(docs: DataFrame, runs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, runs): every document with its runs, as an array of (start, n)
-    in any order, null if it has none."""
+def with_runs(base: DataFrame, runs: DataFrame) -> DataFrame:
+    """(doc_id, text, runs): every document with its runs, as an array of
+    (start, n) in any order, null if it has none."""
     per = runs.groupBy("id", "h").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    left = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("_id"), F.xxhash64(text_col).alias("_h"),
-    )
-    on: Column = (F.col("_id") == per["id"]) & (F.col("_h") == per["h"])
-    return left.join(per, on, "left").select("doc_id", "text", "runs")
+    return base.join(per, _on(base, per), "left").select("doc_id", "text", "runs")
 
 
 def covered(runs, length: int, window: int) -> np.ndarray:

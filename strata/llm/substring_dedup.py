@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
-from strata.llm.pieces import anchors, covered, repeated_windows, with_runs
+from strata.llm.pieces import covered, repeated_windows, with_keys, with_runs
 
 WINDOW = 20
 #: Words of the factor whose least hash anchors a window.
@@ -21,20 +21,17 @@ FACTOR = 4
 SUBTREE = 1 << 16
 
 
-def cut_words(text: str, window: int) -> list[tuple[int, int, int, int, bytes]]:
+def word_symbols(text: str) -> np.ndarray:
+    words = text.encode().split()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def cut_words(text: str, start: np.ndarray, stop: np.ndarray) -> list[bytes]:
     words = text.encode().split()
-    if len(words) < window:
-        return []
-    h = xxhash.xxh3_64_intdigest
-    start, n, key, place = anchors(np.fromiter(map(h, words), np.uint64, len(words)), window, FACTOR)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))
-    lo, hi = begins[start], ends[start + n + window - 2]
-    return [
-        (s, c, k, p, joined[a:b])
-        for s, c, k, p, a, b in zip(*(x.tolist() for x in (start, n, key, place, lo, hi)))
-    ]
+    return [joined[a:b] for a, b in zip(begins[start].tolist(), ends[stop - 1].tolist())]
 
 
 def _subtree(heads: np.ndarray, rows: np.ndarray, depth: int) -> Iterator[np.ndarray]:
@@ -121,8 +118,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     each get its result; rows alike in id only are ordered by a hash of their
     text. Empty tables give no rows; other columns are not read.
     """
+    base = with_keys(docs, id_col, text_col)
     runs = repeated_windows(
-        docs, partial(cut_words, window=window), partial(repeated_by_trees, window=window), id_col, text_col
+        base, word_symbols, cut_words, partial(repeated_by_trees, window=window), window, FACTOR
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +148,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
                 )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return with_runs(docs, runs, id_col, text_col).mapInArrow(
+    return with_runs(base, runs).mapInArrow(
         remove, f"doc_id {id_type}, kept_text string, n_words long, n_removed long"
     )
 

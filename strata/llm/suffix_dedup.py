@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import read_table
-from strata.llm.pieces import anchors, covered, repeated_windows, with_runs
+from strata.llm.pieces import covered, repeated_windows, with_keys, with_runs
 
 WINDOW = 100
 #: Bytes of the factor whose least hash anchors a window.
@@ -28,15 +28,13 @@ BANDS = 5
 END = 0
 
 
-def cut_bytes(text: str, window: int) -> list[tuple[int, int, int, int, bytes]]:
+def byte_symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode(), np.uint8).astype(np.uint64) + np.uint64(1)
+
+
+def cut_bytes(text: str, start: np.ndarray, stop: np.ndarray) -> list[bytes]:
     raw = text.encode()
-    if len(raw) < window:
-        return []
-    start, n, key, place = anchors(np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1), window, FACTOR)
-    stop = start + n + window - 1
-    return [
-        (s, c, k, p, raw[s:e]) for s, c, k, p, e in zip(*(x.tolist() for x in (start, n, key, place, stop)))
-    ]
+    return [raw[a:b] for a, b in zip(start.tolist(), stop.tolist())]
 
 
 class _Column:
@@ -286,8 +284,9 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     only are ordered by a hash of their text. Empty tables give no rows; other
     columns are not read.
     """
+    base = with_keys(docs, id_col, text_col)
     runs = repeated_windows(
-        docs, partial(cut_bytes, window=window), partial(repeated_by_columns, window=window), id_col, text_col
+        base, byte_symbols, cut_bytes, partial(repeated_by_columns, window=window), window, FACTOR
     )
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
@@ -317,7 +316,7 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                 )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return with_runs(docs, runs, id_col, text_col).mapInArrow(
+    return with_runs(base, runs).mapInArrow(
         remove, f"doc_id {id_type}, kept binary, spans array<struct<start:int,end:int>>, n_bytes long"
     )
 
