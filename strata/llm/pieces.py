@@ -170,14 +170,9 @@ def _by_bucket(one_bucket: Callable[[list[bytes]], Iterator[pa.RecordBatch]]):
     return gather
 
 
-def _lists(id_: np.ndarray, h: np.ndarray, no: np.ndarray) -> pa.RecordBatch:
-    """(id, h, pieces): the numbers of each document's pieces."""
-    order = np.lexsort((no, h, id_))
-    id_, h, no = id_[order], h[order], no[order]
-    new = np.flatnonzero(np.concatenate(([True], (id_[1:] != id_[:-1]) | (h[1:] != h[:-1]))) if len(no) else [])
-    pieces = pa.ListArray.from_arrays(pa.array(np.append(new, len(no)), pa.int32()), pa.array(no, pa.int32()))
+def _numbers(id_: np.ndarray, h: np.ndarray, no: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(id_[new], pa.int64()), pa.array(h[new], pa.int64()), pieces], names=["id", "h", "pieces"]
+        [pa.array(id_, pa.int64()), pa.array(h, pa.int64()), pa.array(no, pa.int32())], names=["id", "h", "no"]
     )
 
 
@@ -219,7 +214,7 @@ def shared_pieces(base: DataFrame, symbols: Callable[[str], np.ndarray], window:
                     "doc": at.astype(np.int32), "no": no[sent[own]].astype(np.int32),
                     "key": key[sent[own]].astype(np.uint32),
                 }))))
-            return _sent(tables, _lists(ids[doc[again]], hs[doc[again]], no[again]))
+            return _sent(tables, _numbers(ids[doc[again]], hs[doc[again]], no[again]))
 
         for batch in batches:
             for i, h, text in zip(*(batch.column(c) for c in ("_id", "_h", "text"))):
@@ -248,14 +243,14 @@ def shared_pieces(base: DataFrame, symbols: Callable[[str], np.ndarray], window:
         told = np.bincount(at[~asked], minlength=len(count))
         some = asked & ((count > 1) | (told > 0))[at]
         if some.any():
-            yield _lists(id_[some], h[some], no[some])
+            yield _numbers(id_[some], h[some], no[some])
 
     return (
         base.select("_id", "_h", "text").mapInArrow(note, "bucket long, kind int, rows binary")
         .repartition(partitions_for(base, total, BUCKET_BYTES), "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_by_bucket(answer), "id long, h long, pieces array<int>")
-        .groupBy("id", "h").agg(F.flatten(F.collect_list("pieces")).alias("pieces"))
+        .mapInArrow(_by_bucket(answer), "id long, h long, no int")
+        .groupBy("id", "h").agg(F.collect_list("no").alias("pieces"))
     )
 
 
