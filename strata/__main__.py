@@ -33,6 +33,7 @@ def _parse(argv: list[str]) -> argparse.Namespace:
                    help="match merge keys with SQL '=' (NULL never matches) instead of NULL-safe")
     p.add_argument("--silver-buckets", type=int, default=None)
     p.add_argument("--retain-versions", type=int, default=None)
+    p.add_argument("--database", default=None, help="database in which the layer tables get a view each")
     args = p.parse_args(argv)
     if not args.csv and not args.table:
         p.error("give at least one --csv or --table source")
@@ -52,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     from strata.sources.tables import LISTING_COLUMN_MAP, map_columns, read_table
 
     spark = SparkSession.builder.appName("strata").getOrCreate()
-    store = TableStore(spark, args.store, retain_versions=args.retain_versions)
+    store = TableStore(spark, args.store, retain_versions=args.retain_versions,
+                       catalog=f"{args.database}." if args.database else None)
     sources = [Source(path.rstrip("/").rsplit("/", 1)[-1], lambda path=path: read_csv_source(spark, path))
                for path in args.csv]
     sources += [Source(name, lambda name=name: map_columns(read_table(spark, name), LISTING_COLUMN_MAP))

@@ -12,7 +12,7 @@ from strata.operators.quality import (
     quality_report,
     sample_rows,
 )
-from strata.operators.quarantine import dead_letter, dead_letter_summary
+from strata.operators.quarantine import dead_letter, dead_letter_review, dead_letter_summary
 from strata.operators.staging import clean, derive, split_valid, stage, validate
 from strata.operators.star import (
     attach_category_key,
@@ -35,6 +35,7 @@ __all__ = [
     "category_summary",
     "clean",
     "dead_letter",
+    "dead_letter_review",
     "dead_letter_summary",
     "dedup_by_key",
     "dense_key",

@@ -32,6 +32,11 @@ def dead_letter(staged: DataFrame, failed_at: dt.datetime | str, *,
     return staged.where(~F.col("is_valid")).select(*cols)
 
 
+def dead_letter_review(dead: DataFrame) -> DataFrame:
+    """What a reviewer of quarantined rows looks at: which row, what failed, when."""
+    return dead.select("name", "main_category", "validation_errors", "batch_id", "failed_at")
+
+
 def dead_letter_summary(dead: DataFrame) -> DataFrame:
     """Rows per failed rule message (a row failing three rules counts three times)."""
     msg = F.explode(F.split(F.col("validation_errors"), MESSAGE_SEPARATOR)).alias("validation_error")

@@ -196,6 +196,7 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
         batch, batch_rows = store.overwrite_counted(
             "silver_batch", deduped.withColumn(schemas.KEY_HASH, key_hash(schemas.PRODUCT_KEY)),
             schema=schemas.SILVER_STORED)
+        started_from = store.current_version("silver")
         spec = store.table_buckets("silver")
         if spec is not None and spec.columns == (schemas.KEY_HASH,):
             target = store.read("silver", schema=schemas.SILVER_STORED)
@@ -214,7 +215,7 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
                         null_safe=null_safe_merge, check_unique=False,  # deduplicated above
                         hash_column=schemas.KEY_HASH)
         silver, silver_rows = store.overwrite_counted("silver", merged, schema=schemas.SILVER_STORED,
-                                                      buckets=spec)
+                                                      buckets=spec, based_on=started_from)
         return batch, batch_rows, silver, silver_rows
 
     # Quarantine and the merge only share the staged input: run them side by side.

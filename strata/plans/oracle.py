@@ -11,11 +11,13 @@ The SQL rebuilds each result from the raw supplied tables (``lineitem``,
 from __future__ import annotations
 
 from strata.plans.testdata import (
+    FAILED_RUNS,
     FULL_AS_OF,
     FULL_BATCH_ID,
     HISTORY_RUNS,
     HISTORY_SPLIT_SHIPDATE,
     LISTINGS_LABEL,
+    MISSING_SOURCE,
     PRODUCTS_LABEL,
 )
 
@@ -24,6 +26,7 @@ SOURCE_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_r
 SILVER_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_ratings, "
                "discount_price, actual_price, discount_amount, discount_pct, is_valid, "
                "source_file, batch_id, ingestion_date")
+RAW_COLS = ("name", "main_category", "sub_category", "ratings", "no_of_ratings", "discount_price", "actual_price")
 DEAD_COLS = ("name", "main_category", "sub_category", "image", "link", "ratings", "no_of_ratings",
              "discount_price", "actual_price", "validation_errors", "batch_id", "failed_at")
 STAGED_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_ratings, "
@@ -78,8 +81,11 @@ def listing_bronze(batch: str, as_of) -> str:
   FROM listings"""
 
 
-def layer_ctes(p: str, batch: str, as_of, where: str = "TRUE") -> str:
-    """bronze, staged, dead letter and deduplicated silver batch, names prefixed ``p``."""
+def layer_ctes(p: str, batch: str, as_of, where: str = "TRUE", raw: bool = False) -> str:
+    """bronze, staged, dead letter and deduplicated silver batch, names prefixed ``p``;
+    with ``raw`` the dead letter also holds the text as received."""
+    received = "".join(f", {p}bronze.{c} AS raw_{c}" for c in RAW_COLS) if raw else ""
+    raw_cols = "".join(f", raw_{c}" for c in RAW_COLS) if raw else ""
     return f"""
 {p}bronze AS (
   SELECT {SOURCE_COLS}, '{PRODUCTS_LABEL}' AS source_file, '{batch}' AS batch_id,
@@ -94,7 +100,7 @@ def layer_ctes(p: str, batch: str, as_of, where: str = "TRUE") -> str:
          TRY_CAST(replace(no_of_ratings, ',', '') AS DOUBLE) AS no_of_ratings,
          TRY_CAST(replace(replace(discount_price, '₹', ''), ',', '') AS DOUBLE) AS discount_price,
          TRY_CAST(replace(replace(actual_price, '₹', ''), ',', '') AS DOUBLE) AS actual_price,
-         source_file, batch_id, CAST(ingestion_date AS TIMESTAMP) AS ingestion_date
+         source_file, batch_id, CAST(ingestion_date AS TIMESTAMP) AS ingestion_date{received}
   FROM {p}bronze
 ),
 {p}derived AS (
@@ -119,14 +125,14 @@ def layer_ctes(p: str, batch: str, as_of, where: str = "TRUE") -> str:
 {p}staged AS (
   SELECT name, main_category, sub_category, image, link, ratings, no_of_ratings, discount_price,
          actual_price, discount_amount, discount_pct, validation_errors = '' AS is_valid,
-         validation_errors, source_file, batch_id, ingestion_date
+         validation_errors, source_file, batch_id, ingestion_date{raw_cols}
   FROM {p}checked
 ),
 {p}dead AS (
   SELECT name, main_category, sub_category, image, link,
          CAST(ratings AS VARCHAR) AS ratings, CAST(no_of_ratings AS VARCHAR) AS no_of_ratings,
          CAST(discount_price AS VARCHAR) AS discount_price, CAST(actual_price AS VARCHAR) AS actual_price,
-         validation_errors, batch_id, {_ts(as_of)} AS failed_at
+         validation_errors, batch_id, {_ts(as_of)} AS failed_at{raw_cols}
   FROM {p}staged WHERE NOT is_valid
 ),
 {p}silver AS (
@@ -194,7 +200,7 @@ def full_ctes(gold: bool = False) -> str:
     return body
 
 
-def history_ctes() -> str:
+def history_ctes(raw: bool = False) -> str:
     (b1, t1), (b2, t2) = HISTORY_RUNS
     split = f"l_shipdate < TIMESTAMP '{HISTORY_SPLIT_SHIPDATE} 00:00:00'"
     merged_cols = []
@@ -203,11 +209,14 @@ def history_ctes() -> str:
             merged_cols.append(f"CASE WHEN a._t THEN a.{c} ELSE b.{c} END AS {c}")
         else:
             merged_cols.append(f"CASE WHEN b._s THEN b.{c} ELSE a.{c} END AS {c}")
+    failed_summaries = "".join(
+        f"UNION ALL SELECT '{b}', {_ts(t)}, NULL, NULL, NULL, NULL, NULL, NULL, 'PARTIAL FAILURE' "
+        for b, t in FAILED_RUNS)
     on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in ("name", "main_category", "sub_category"))
     return (
         f"WITH {PRODUCTS.strip()},\n{LISTINGS.strip()},"
-        + layer_ctes("h1_", b1, t1, split) + ","
-        + layer_ctes("h2_", b2, t2, f"NOT ({split})") + f""",
+        + layer_ctes("h1_", b1, t1, split, raw) + ","
+        + layer_ctes("h2_", b2, t2, f"NOT ({split})", raw) + f""",
 merged AS (
   SELECT {', '.join(merged_cols)}
   FROM (SELECT *, TRUE AS _t FROM h1_silver) a
@@ -227,6 +236,7 @@ checkpoints AS (
          {_ts(t2)} + INTERVAL 2 SECOND, NULL, (SELECT count(*) FROM h2_silver)
   UNION ALL SELECT '{b2}', 'GOLD', 'SUCCESS', (SELECT count(*) FROM merged),
          {_ts(t2)} + INTERVAL 3 SECOND, NULL, (SELECT count(*) FROM merged)
+  {_failed_checkpoints()}
 ),
 run_summaries AS (
   SELECT '{b1}' AS batch_id, {_ts(t1)} AS executed_at, (SELECT count(*) FROM h1_bronze) AS bronze_rows,
@@ -239,10 +249,24 @@ run_summaries AS (
   SELECT '{b2}', {_ts(t2)}, (SELECT count(*) FROM h2_bronze), (SELECT count(*) FROM merged),
          (SELECT count(*) FROM h2_staged WHERE is_valid), (SELECT count(*) FROM h2_staged WHERE NOT is_valid),
          (SELECT count(*) FROM h2_dead), (SELECT count(*) FROM merged), 'SUCCESS'
+  {failed_summaries}
 )"""
     )
 
 
+def _failed_checkpoints() -> str:
+    """The audit rows of the runs whose source is missing."""
+    return "".join(
+        f"""
+  UNION ALL SELECT '{b}', '{layer}', '{status}', 0, {_ts(t)} + INTERVAL {i} SECOND, '{error}', 0"""
+        for b, t in FAILED_RUNS
+        for i, (layer, status, error) in enumerate((
+            ("BRONZE", "FAILED", f"FileNotFoundError: {MISSING_SOURCE}"),
+            ("SILVER", "SKIPPED", "not run: an upstream layer did not succeed"),
+            ("GOLD", "SKIPPED", "not run: an upstream layer did not succeed")), start=1)
+    )
+
+
 def _describe_silver() -> str:
     cols = [("name", "string"), ("main_category", "string"), ("sub_category", "string"),
             ("image", "string"), ("link", "string"), ("ratings", "double"),
@@ -279,8 +303,13 @@ def oracle_queries() -> dict[str, str]:
         "silver_clean": f"{full} SELECT * FROM cleaned",
         "silver_derive": f"{full} SELECT * FROM derived",
         "silver_validate": f"{full} SELECT {STAGED_COLS} FROM staged",
-        "valid_invalid_split": f"{full} SELECT {STAGED_COLS} FROM staged WHERE is_valid",
+        "valid_invalid_split": f"{full} SELECT {STAGED_COLS}, CASE WHEN is_valid THEN 'valid' ELSE 'invalid' END AS side FROM staged",
         "dead_letter": f"{full} SELECT * FROM dead",
+        "dead_letter_raw": f"{history_ctes(raw=True)} SELECT * FROM h1_dead UNION ALL SELECT * FROM h2_dead",
+        "dead_letter_review": f"{full} SELECT name, main_category, validation_errors, batch_id, failed_at FROM dead",
+        "table_by_name": f"""{full}
+SELECT 'silver' AS layer, name, main_category, batch_id FROM silver
+UNION ALL SELECT 'dead_letter', name, main_category, batch_id FROM dead""",
         "quality_report": f"""{full}
 SELECT count(*) AS total_staged, count(*) FILTER (WHERE is_valid) AS valid_count,
        count(*) FILTER (WHERE NOT is_valid) AS invalid_count,

@@ -18,7 +18,7 @@ from strata.operators.dedup import PRODUCT_SURVIVOR_ORDER, dedup_by_key
 from strata.operators.keys import dense_key
 from strata.operators.merge import upsert
 from strata.operators.quality import describe_layer, layer_counts, quality_report, sample_rows
-from strata.operators.quarantine import dead_letter_summary
+from strata.operators.quarantine import dead_letter_review, dead_letter_summary
 from strata.operators.staging import clean, derive, split_valid, stage
 from strata.operators.star import attach_category_key, attach_price_bucket_key, with_price_bucket
 from strata.plans.layers import SILVER_UPDATE_COLUMNS, RunParams, bronze_frame
@@ -101,13 +101,25 @@ def silver_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid_invalid_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_valid(_staged(spark, sf_dir))[0]
+    """Both sides of the split, named."""
+    valid, invalid = split_valid(_staged(spark, sf_dir))
+    return valid.withColumn("side", F.lit("valid")).unionByName(invalid.withColumn("side", F.lit("invalid")))
 
 
 def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _full(spark, sf_dir)[1].read("dead_letter", schema=schemas.DEAD_LETTER)
 
 
+def dead_letter_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine of both batches, with every changed column as it was received."""
+    _, store = _history(spark, sf_dir)
+    return store.read("dead_letter", schema=schemas.DEAD_LETTER_RAW, all_versions=True)
+
+
+def dead_letter_review_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dead_letter_review(dead_letter(spark, sf_dir))
+
+
 def quality_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_staged(spark, sf_dir))
 
@@ -142,6 +154,14 @@ def silver_upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.select(*SILVER_COLUMNS)
 
 
+def table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and its quarantine, as a SQL user reads them: by their catalog names."""
+    runs, _ = _full(spark, sf_dir)
+    return spark.sql(f"""
+        SELECT 'silver' AS layer, name, main_category, batch_id FROM {runs.catalog}silver
+        UNION ALL SELECT 'dead_letter', name, main_category, batch_id FROM {runs.catalog}dead_letter""")
+
+
 # -- gold ------------------------------------------------------------------------
 def dim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _full(spark, sf_dir)[1].read("dim_category", schema=schemas.DIM_CATEGORY)
@@ -232,12 +252,15 @@ QUERIES: dict[str, Query] = {
     "silver_validate": silver_validate,
     "valid_invalid_split": valid_invalid_split,
     "dead_letter": dead_letter,
+    "dead_letter_raw": dead_letter_raw,
+    "dead_letter_review": dead_letter_review_q,
     "quality_report": quality_report_q,
     "silver_dedup": silver_dedup,
     "dead_letter_summary": dead_letter_summary_q,
     "dead_letter_sample": dead_letter_sample,
     "silver_upsert": silver_upsert,
     "silver_upsert_twice": silver_upsert_twice,
+    "table_by_name": table_by_name,
     "dim_category": dim_category,
     "price_bucket": price_bucket,
     "surrogate_key": surrogate_key,

@@ -6,7 +6,9 @@ Two scenarios, both over the whole ``lineitem`` table:
   listing table (catalog source);
 * ``history``: two daily batches split by ship date (earlier rows first,
   then the rest), each loaded with the listing table, so the second run
-  merges into the silver table of the first.
+  merges into the silver table of the first. Quarantine keeps both batches
+  with the text as received. Two later runs whose source is
+  missing leave their audit rows and change no table.
 
 Inputs and tables live under the session's checkpoint directory, in a folder
 unique to this process and session, and each scenario runs at most once per
@@ -37,6 +39,9 @@ FULL_AS_OF = dt.datetime(2024, 1, 1, 6, 0, 0)
 HISTORY_SPLIT_SHIPDATE = "1998-06-01"
 HISTORY_RUNS = (("batch-1", dt.datetime(2024, 1, 1, 6, 0, 0)),
                 ("batch-2", dt.datetime(2024, 1, 2, 6, 0, 0)))
+FAILED_RUNS = (("batch-3", dt.datetime(2024, 1, 3, 6, 0, 0)),
+               ("batch-4", dt.datetime(2024, 1, 4, 6, 0, 0)))
+MISSING_SOURCE = "the daily file has not arrived"
 PRODUCTS_LABEL = "products.csv"
 LISTINGS_LABEL = "listings"
 
@@ -67,6 +72,8 @@ class TestdataRuns:
         app = spark.sparkContext.applicationId
         self.root = f"{checkpoint_root(spark)}/strata-testdata/{app}-{_PROCESS_TOKEN}/{tag}"
         self.inputs = TableStore(spark, f"{self.root}/inputs")
+        # The full scenario's tables by name: strata_<tag>_silver and so on.
+        self.catalog = f"strata_{_PROCESS_TOKEN}_{tag}_"
         self._full: RunResult | None = None
         self._history: list[RunResult] | None = None
 
@@ -119,7 +126,7 @@ class TestdataRuns:
 
     def _full_locked(self) -> RunResult:
         if self._full is None:
-            store = TableStore(self.spark, f"{self.root}/full")
+            store = TableStore(self.spark, f"{self.root}/full", catalog=self.catalog)
             run = RunParams(FULL_BATCH_ID, FULL_AS_OF, clock=StepClock(FULL_AS_OF))
             result = _succeeded(run_layers(store, self.sources("all"), run))
             self.full_store = store
@@ -136,12 +143,20 @@ class TestdataRuns:
             out = []
             for (batch_id, as_of), part in zip(HISTORY_RUNS, ("early", "late"), strict=True):
                 run = RunParams(batch_id, as_of, clock=StepClock(as_of))
-                out.append(_succeeded(run_layers(store, self.sources(part), run)))
+                out.append(_succeeded(run_layers(store, self.sources(part), run, keep_raw=True,
+                                                 dead_letter_mode="append")))
+            for batch_id, as_of in FAILED_RUNS:
+                run_layers(store, [Source(PRODUCTS_LABEL, _missing_source)],
+                           RunParams(batch_id, as_of, clock=StepClock(as_of)))
             self.history_store = store
             self._history = out
         return self._history
 
 
+def _missing_source() -> DataFrame:
+    raise FileNotFoundError(MISSING_SOURCE)
+
+
 def _succeeded(result: RunResult) -> RunResult:
     """Queries read the scenario's tables, so a failed layer must not pass silently."""
     if not result.succeeded:

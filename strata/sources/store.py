@@ -15,10 +15,12 @@ as an external bucketed table, so a join on the bucket column reads it
 without a shuffle. A marker file ``_BUCKETS_<n>_<columns>`` next to
 ``_SUCCESS`` records the bucket spec for readers in other sessions.
 
+With ``catalog`` given, every publish also points a catalog view at what readers
+of the table now see, so any SQL user queries the layers by name.
+
 Listing goes through the Hadoop ``FileSystem`` of the session, so the same code
-works on HDFS, object stores and local disk. The store root defaults to a
-folder under the session's checkpoint directory (``spark.checkpoint.dir``),
-which on a cluster is shared storage.
+works on HDFS, object stores and local disk. One writer at a time: a merge
+refuses to publish over a version it did not start from (``based_on``).
 """
 
 from __future__ import annotations
@@ -120,6 +122,10 @@ class _Fs:
         return bool(self._fs(path).delete(self._path(path), True))
 
 
+class StaleVersionError(RuntimeError):
+    """The table was published anew since the version a writer started from."""
+
+
 def _new_version_id() -> str:
     return f"{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
@@ -131,9 +137,13 @@ class TableStore:
     overwrite, committed versions older than the newest ``retain_versions``,
     and unfinished version directories older than those, are deleted. Keep it
     at 2 or more so a reader that resolved the previous version can finish.
+
+    ``catalog`` (off by default) is what table names are prefixed with in the
+    catalog, such as ``"lake."`` or ``"lake.products_"``; the database must exist.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, retain_versions: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, *, retain_versions: int | None = None,
+                 catalog: str | None = None):
         if retain_versions is not None and retain_versions < 1:
             raise ValueError("retain_versions must be at least 1")
         self.spark = spark
@@ -141,6 +151,7 @@ class TableStore:
             raise ValueError("a table store needs a root folder that outlives the session")
         self.root = root.rstrip("/")
         self.retain_versions = retain_versions
+        self.catalog = catalog
         self._fs = _Fs(spark)
 
     # -- paths ---------------------------------------------------------------
@@ -193,22 +204,48 @@ class TableStore:
         current = self.current_version(name)
         return self.buckets(current) if current else None
 
+    def _point_view(self, name: str, versions: list[str], schema: StructType) -> None:
+        """Let the catalog view of ``name`` read these versions. Columns starting
+        with an underscore are the store's own and not shown."""
+        if self.catalog is None:
+            return
+        shown = [f for f in schema.fields if not f.name.startswith("_")]
+        partitioned = set(self._fs.glob_parents(f"{self.table_path(name)}/{VERSION_PREFIX}*/{PARTITION_MARKER}*"))
+        plain = [v.rsplit("/", 1)[1] for v in versions if v.rsplit("/", 1)[1] not in partitioned]
+        # Partitioned versions without a row hold no file, so no schema to read.
+        paths = [v for v in versions if v.rsplit("/", 1)[1] in partitioned and self._fs.glob_names(f"{v}/*=*")]
+        if plain:
+            # A version may lack columns that a later one has: their schemas are merged.
+            paths.insert(0, f"{self.table_path(name)}/{{{','.join(plain)}}}" if len(plain) > 1
+                         else f"{self.table_path(name)}/{plain[0]}")
+        cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in shown)
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in shown)
+        reads = [f"SELECT {cols} FROM parquet.`{p}` WITH ('mergeSchema' = 'true')" for p in paths]
+        body = " UNION ALL ".join(reads) or f"SELECT {nulls} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.catalog}{name} AS {body}")
+
     def overwrite(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                  partition_by: list[str] | None = None,
-                  buckets: Buckets | None = None) -> DataFrame:
-        """Publish ``df`` as the new state of ``name`` and return it read back."""
+                  partition_by: list[str] | None = None, buckets: Buckets | None = None,
+                  based_on: str | None = None) -> DataFrame:
+        """Publish ``df`` as the new state of ``name`` and return it read back.
+
+        ``based_on``: the version ``df`` was computed from; :class:`StaleVersionError`
+        if another has been published since."""
+        if based_on is not None and self.current_version(name) != based_on:
+            raise StaleVersionError(f"table {name!r} is no longer at {based_on}: one writer at a time")
         path = self._write_version(name, df, schema, partition_by, buckets)
+        self._point_view(name, [path], schema if schema is not None else df.schema)
         if self.retain_versions is not None:
             self.vacuum(name, self.retain_versions)
         return self._read_version(path, schema if schema is not None else df.schema)
 
     def overwrite_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                          partition_by: list[str] | None = None,
-                          buckets: Buckets | None = None) -> tuple[DataFrame, int]:
+                          partition_by: list[str] | None = None, buckets: Buckets | None = None,
+                          based_on: str | None = None) -> tuple[DataFrame, int]:
         """``overwrite`` that also returns the row count, observed during the write."""
         obs = Observation(f"rows_{name}")
         out = self.overwrite(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema=schema,
-                             partition_by=partition_by, buckets=buckets)
+                             partition_by=partition_by, buckets=buckets, based_on=based_on)
         return out, int(obs.get["rows"])
 
     def write_version_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
@@ -217,6 +254,7 @@ class TableStore:
         obs = Observation(f"rows_{name}_version")
         path = self._write_version(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema,
                                    partition_by)
+        self._point_view(name, self.committed_versions(name), schema if schema is not None else df.schema)
         return path, int(obs.get["rows"])
 
     def read_version(self, path: str, schema: StructType | None = None) -> DataFrame:
@@ -248,12 +286,14 @@ class TableStore:
     def append(self, name: str, df: DataFrame, *, schema: StructType | None = None) -> DataFrame:
         """Add ``df``'s rows to an append-only table; returns the whole table."""
         self._write_version(name, df, schema, None)
+        self._point_view(name, self.committed_versions(name), schema if schema is not None else df.schema)
         return self.read(name, schema=schema if schema is not None else df.schema, all_versions=True)
 
     def create_if_absent(self, name: str, schema: StructType) -> None:
         """Publish an empty version so readers always find the table."""
         if not self.exists(name):
-            self._write_version(name, self.spark.createDataFrame([], schema), schema, None)
+            path = self._write_version(name, self.spark.createDataFrame([], schema), schema, None)
+            self._point_view(name, [path], schema)
 
     # -- reads ---------------------------------------------------------------
     def _read_paths(self, paths: list[str], schema: StructType | None) -> DataFrame:

@@ -12,7 +12,7 @@ from strata import schemas
 from strata.plans import RunParams, Source, latest_checkpoints, run_layers
 from strata.plans.runner import RUN_SUMMARY
 from strata.plans.testdata import StepClock
-from strata.sources.store import TableStore
+from strata.sources.store import StaleVersionError, TableStore
 
 
 def test_overwrite_publishes_new_version(spark, scratch_dir):
@@ -248,3 +248,36 @@ def test_failure_text_is_whole(spark, scratch_dir):
     run_layers(TableStore(spark, scratch_dir), [Source("s", broken)], RunParams("long", as_of))
     log = TableStore(spark, scratch_dir).read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True)
     assert max(len(r["error_message"] or "") for r in log.collect()) > 9000
+
+
+def test_layer_tables_by_catalog_name(spark, scratch_dir, mock_df):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{scratch_dir}/db'")
+    store = TableStore(spark, f"{scratch_dir}/store", catalog="lake.")
+    as_of = dt.datetime(2024, 8, 1, 6, 0, 0)
+    for batch, raw in (("plain", False), ("raw", True)):
+        run_layers(store, [_mock_source(spark, mock_df)], RunParams(batch, as_of), keep_raw=raw,
+                   dead_letter_mode="append", bronze_mode="append")
+    assert spark.table("lake.silver").columns == schemas.SILVER.fieldNames()
+    assert spark.sql("SELECT * FROM lake.silver").count() == 4
+    # The history tables show every batch; columns that only later ones have are NULL before.
+    assert spark.table("lake.bronze").count() == 20
+    assert spark.table("lake.bronze").schema["ingestion_date"].dataType == schemas.BRONZE["ingestion_date"].dataType
+    assert spark.table("lake.checkpoints").count() == 6
+    dead = spark.sql("SELECT batch_id, raw_discount_price FROM lake.dead_letter WHERE name = 'Desk Lamp'")
+    assert {tuple(r) for r in dead.collect()} == {("plain", None), ("raw", "-12")}
+    # A name moves on with the next publish, also to a table without a row.
+    store.overwrite("silver", spark.createDataFrame([], schemas.SILVER), schema=schemas.SILVER)
+    store.overwrite("bronze", spark.createDataFrame([], schemas.BRONZE), schema=schemas.BRONZE,
+                    partition_by=["ingestion_date"])
+    assert spark.table("lake.silver").count() == 0 == spark.table("lake.bronze").count()
+    assert spark.table("lake.bronze").columns == schemas.BRONZE.fieldNames()
+
+
+def test_second_writer_is_refused(spark, scratch_dir):
+    store = TableStore(spark, scratch_dir)
+    store.overwrite("t", spark.range(3))
+    start = store.current_version("t")
+    store.overwrite("t", spark.range(4), based_on=start)
+    with pytest.raises(StaleVersionError):
+        store.overwrite("t", spark.range(5), based_on=start)
+    assert store.read("t").count() == 4
