@@ -7,6 +7,7 @@ from strata.operators.merge import DuplicateKeyError, assert_unique, upsert
 from strata.operators.quality import (
     CRITICAL_COLUMNS,
     describe_layer,
+    distinct_count,
     layer_counts,
     quality_count_exprs,
     quality_report,
@@ -41,6 +42,7 @@ __all__ = [
     "dense_key",
     "derive",
     "describe_layer",
+    "distinct_count",
     "dim_category",
     "dim_price_bucket",
     "enrich",

@@ -27,6 +27,14 @@ def valid_rate(valid: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(valid / total * 100, 2)).otherwise(F.lit(0.0))
 
 
+def distinct_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: ``row_count`` and ``distinct_count`` of the combinations of ``keys``
+    (NULL parts compare equal). Rows are counted per key before the shuffle."""
+    per_key = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
+                       F.count(F.lit(1)).alias("distinct_count"))
+
+
 def quality_report(staged: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
     """One row: total, valid, invalid, valid rate and NULL count per column."""
     counts = staged.agg(*quality_count_exprs(columns))

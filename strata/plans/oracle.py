@@ -321,6 +321,9 @@ SELECT count(*) AS total_staged, count(*) FILTER (WHERE is_valid) AS valid_count
        count(*) - count(discount_price) AS null_discount_price,
        count(*) - count(actual_price) AS null_actual_price
 FROM staged""",
+        "distinct_category_pairs": f"""{full}
+SELECT (SELECT count(*) FROM staged) AS row_count,
+       (SELECT count(*) FROM (SELECT DISTINCT main_category, sub_category FROM staged)) AS distinct_count""",
         "silver_dedup": f"{full} SELECT * FROM silver",
         "dead_letter_summary": f"""{full}
 SELECT validation_error, count(*) AS error_count

@@ -17,7 +17,7 @@ from strata import schemas
 from strata.operators.dedup import PRODUCT_SURVIVOR_ORDER, dedup_by_key
 from strata.operators.keys import dense_key
 from strata.operators.merge import upsert
-from strata.operators.quality import describe_layer, layer_counts, quality_report, sample_rows
+from strata.operators.quality import describe_layer, distinct_count, layer_counts, quality_report, sample_rows
 from strata.operators.quarantine import dead_letter_review, dead_letter_summary
 from strata.operators.staging import clean, derive, split_valid, stage
 from strata.operators.star import attach_category_key, attach_price_bucket_key, with_price_bucket
@@ -124,6 +124,10 @@ def quality_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_staged(spark, sf_dir))
 
 
+def distinct_category_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_count(_staged(spark, sf_dir), ["main_category", "sub_category"])
+
+
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = split_valid(_staged(spark, sf_dir))[0].select(*SILVER_COLUMNS)
     return dedup_by_key(valid, schemas.PRODUCT_KEY, PRODUCT_SURVIVOR_ORDER)
@@ -255,6 +259,7 @@ QUERIES: dict[str, Query] = {
     "dead_letter_raw": dead_letter_raw,
     "dead_letter_review": dead_letter_review_q,
     "quality_report": quality_report_q,
+    "distinct_category_pairs": distinct_category_pairs,
     "silver_dedup": silver_dedup,
     "dead_letter_summary": dead_letter_summary_q,
     "dead_letter_sample": dead_letter_sample,

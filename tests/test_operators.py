@@ -405,3 +405,11 @@ def test_summaries_are_read_in_order(spark):
     assert counts == sorted(counts)
     labels = [r["price_bucket"] for r in agg_price_bucket_summary(spark, "/root/testdata/sf0.001").collect()]
     assert labels == sorted(labels)
+
+
+def test_distinct_count_of_pairs(spark):
+    from strata.operators.quality import distinct_count
+
+    df = spark.createDataFrame([("a", None), ("a", None), ("a", "x"), (None, "x")], "k string, `l.m` string")
+    assert tuple(distinct_count(df, ["k", "l.m"]).first()) == (4, 3)
+    assert tuple(distinct_count(df.limit(0), ["k"]).first()) == (0, 0)
