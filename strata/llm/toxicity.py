@@ -25,7 +25,8 @@ MIN_SHARE = 0.0005
 #: Prior strength of the Dirichlet, in documents, and its floor for one token.
 PRIOR_DOCS = 10.0
 PRIOR_FLOOR = 0.5
-#: A log-odds counts as far as it lies beyond this many standard errors.
+#: A log-odds counts as far as its posterior lies beyond zero at this many
+#: standard deviations of a normal (its quantile level).
 SURE = 2.0
 #: Every token costs this much, so that random text drifts downwards.
 DRIFT = 0.3
@@ -119,14 +120,44 @@ def evidence(text: str | None, model: ToxicityModel) -> tuple[float, list[tuple[
 
     Evidence adds, over the significant passages, how far each passage's
     normalised score lies above the extreme-value location of a text of that
-    length (-ln E); without any it is minus the best E's distance, at least -4.
+    length (-ln E). Without any it is that of the best passage, at least -4, so
+    weak passages still differ and the calibration weighs them.
     """
     _, found = passages(text, model)
     good = [x for x in found if x[3] <= MAX_E]
     if good:
         return sum(-math.log(max(x[3], 1e-300)) for x in good), good
     best = min((x[3] for x in found), default=math.inf)
-    return max(-4.0, min(0.0, -math.log(best)) if best < math.inf else -4.0), good
+    return max(-4.0, -math.log(best) if best < math.inf else -4.0), good
+
+
+def _gamma_quantile(shape: np.ndarray, z: float) -> np.ndarray:
+    """Gamma quantile at the level of the normal deviate z (Wilson and Hilferty),
+    at least 1e-9 of the shape."""
+    return shape * np.maximum(1e-3, 1 - 1 / (9 * shape) + z / (3 * np.sqrt(shape))) ** 3
+
+
+def _prior(c0: np.ndarray, c1: np.ndarray, n: int) -> np.ndarray:
+    return np.maximum(PRIOR_FLOOR, PRIOR_DOCS * (c0 + c1) / n)
+
+
+def shrunken_log_odds(c0: np.ndarray, c1: np.ndarray, clean_docs: int, toxic_docs: int) -> np.ndarray:
+    """Log-odds of tokens that c0 clean and c1 toxic documents hold, moved
+    towards zero by their uncertainty, and zero where that spans zero.
+
+    The posterior of each class's share is a gamma with the prior added. Its
+    quantiles lie unevenly about the estimate, above all where a class has no
+    such document: only the side towards zero counts, and the two classes' are
+    combined as independent.
+    """
+    a = _prior(c0, c1, clean_docs + toxic_docs)
+    toxic, clean = c1 + a, c0 + a
+    odds = np.log(toxic / (toxic_docs + PRIOR_DOCS + a)) - np.log(clean / (clean_docs + PRIOR_DOCS + a))
+    side = np.where(odds > 0, 1.0, -1.0) * SURE
+    error = np.hypot(
+        np.log(_gamma_quantile(toxic, -side) / toxic), np.log(_gamma_quantile(clean, side) / clean)
+    )
+    return np.sign(odds) * np.maximum(0.0, np.abs(odds) - error)
 
 
 def _decay(values: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -244,9 +275,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     no token scores, and all documents score alike.
 
     A token's log-odds compares the share of toxic and of clean documents that
-    hold it, under a Dirichlet prior in proportion to the corpus; it counts by
-    as much as it exceeds ``SURE`` standard errors. Documents, not occurrences,
-    are counted, so a passage repeated within one document weighs once.
+    hold it, under a Dirichlet prior in proportion to the corpus, less its
+    uncertainty (``shrunken_log_odds``). Documents, not occurrences, are
+    counted, so a passage repeated within one document weighs once.
     """
     train = _labelled(docs, labels)
     counts = _document_counts(train).persist()
@@ -263,14 +294,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     names = kept.column("token").to_pylist()
     c0 = kept.column("clean").to_numpy().astype(float)
     c1 = kept.column("toxic").to_numpy().astype(float)
-    a = np.maximum(PRIOR_FLOOR, PRIOR_DOCS * (c0 + c1) / (clean_docs + toxic_docs))
-    odds = np.log((c1 + a) / (toxic_docs + PRIOR_DOCS + a)) - np.log((c0 + a) / (clean_docs + PRIOR_DOCS + a))
-    error = np.sqrt(1 / (c1 + a) + 1 / (c0 + a))
-    sure = np.sign(odds) * np.maximum(0.0, np.abs(odds) - SURE * error)
+    sure = shrunken_log_odds(c0, c1, clean_docs, toxic_docs)
     scores = {w: float(s) for w, s in zip(names, sure) if s != 0.0}
     # The chance law: scores as clean documents draw their tokens, the prior
     # standing in for tokens that no clean document has shown.
-    weights = np.concatenate((c0 + PRIOR_FLOOR, [max(1.0, rest - c0.sum())]))
+    weights = np.concatenate((c0 + _prior(c0, c1, clean_docs + toxic_docs), [max(1.0, rest - c0.sum())]))
     rate, scale = _decay(np.concatenate((sure, [0.0])) - DRIFT, weights)
     model = ToxicityModel(scores, rate, scale)
     intercept, slope = _calibrate(_evidence_cells(train, model))

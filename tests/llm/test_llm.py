@@ -349,6 +349,22 @@ def test_toxicity_on_held_out_labels(spark):
     assert len([r for r in found if r.toxic]) >= 0.7 * sum(r.toxic for r in rows)
 
 
+def test_weak_toxic_evidence_counts(spark):
+    model = toxicity.ToxicityModel({"foul": 2.3, "vile": 3.0}, 1.0, 1.0)
+    values = [toxicity.evidence(t, model)[0] for t in ("", "plain", "foul", "vile", "foul vile")]
+    assert not toxicity.evidence("vile", model)[1] and toxicity.evidence("foul vile", model)[1]
+    assert values[1] < values[2] < values[3] < values[4] and values[2] > 0
+    c0, c1 = np.array([0.0, 0.0, 300.0, 40.0]), np.array([2.0, 40.0, 0.0, 5.0])
+    odds = toxicity.shrunken_log_odds(c0, c1, 2661, 329)
+    assert odds[1] > odds[0] > 1 and odds[2] < -1 and odds[3] == 0
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 1").select("doc_id")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    found = toxicity.op3_toxicity(spark, sf).where("held_out").join(labels, "doc_id").join(docs, "doc_id")
+    shares = {r.lang: r.share for r in found.groupBy("lang").agg(F.avg("predicted").alias("share")).collect()}
+    assert len(shares) == 4 and min(shares.values()) >= 0.5, shares
+
+
 def test_toxicity_edges(spark, docs, none):
     labels = spark.createDataFrame([(1, None), (None, 1), (4, 0), (4, 0), (999, 1)], "doc_id long, toxic int")
     model = toxicity.train_toxicity(docs, labels)
