@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,13 +15,12 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
-from strata.llm.common import read_table, without
+from strata.llm.common import checkpoint, read_table, without
 
 TOKEN = re.compile(r"[^\W_]+")
-#: A token enters the model if at least this share of the training documents
-#: hold it. With m distinct tokens in a document on average, the model has at
-#: most m / MIN_SHARE tokens, at any corpus size.
-MIN_SHARE = 0.0005
+#: Token scores that every task holds. Beyond this many, the scores of the
+#: rarer tokens stay in a table that the texts' tokens are joined to.
+HELD_SCORES = 200_000
 #: Prior strength of the Dirichlet, in documents, and its floor for one token.
 PRIOR_DOCS = 10.0
 PRIOR_FLOOR = 0.5
@@ -41,18 +40,25 @@ CELLS = 400
 CELL_WIDTH = 0.25
 #: Distinct tokens a task holds before it hands partial counts on.
 HELD_TOKENS = 300_000
+#: Steps in which scores are counted for the chance law, per unit, and document
+#: counts for the choice of held tokens, per doubling.
+SCORE_STEPS = 256
+COUNT_STEPS = 16
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Token scores and the calibration of passage scores. All of it is small:
-    see ``MIN_SHARE``."""
+    """Token scores and the calibration of passage scores. ``scores`` holds all
+    scored tokens, or, if these are more than ``HELD_SCORES``, about that many of
+    the tokens in most documents (scored or not), and ``rare`` (token, score) the
+    other scored ones."""
 
     scores: dict[str, float]
     rate: float  # lambda of the extreme-value law
     scale: float  # K of the extreme-value law
     intercept: float = 0.0
     slope: float = 1.0
+    rare: DataFrame | None = None
 
 
 def tokens(text: str | None) -> list[str]:
@@ -84,13 +90,17 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in runs]
 
 
-def passages(text: str | None, model: ToxicityModel) -> tuple[int, list[tuple[int, int, float, float]]]:
-    """Token count and the maximal passages (start, end, score, E)."""
+def passages(
+    text: str | None, model: ToxicityModel, rare: dict[str, float] | None = None
+) -> tuple[int, list[tuple[int, int, float, float]]]:
+    """Token count and the maximal passages (start, end, score, E). ``rare``
+    has the scores of the text's tokens that the model does not hold."""
     words = tokens(text)
     if not words:
         return 0, []
     get = model.scores.get
-    s = np.fromiter((get(w, 0.0) for w in words), np.float64, len(words)) - DRIFT
+    also = (rare or {}).get
+    s = np.fromiter((get(w) or also(w, 0.0) for w in words), np.float64, len(words)) - DRIFT
     up = np.flatnonzero(s > 0)
     if not len(up):
         return len(words), []
@@ -115,7 +125,9 @@ def passages(text: str | None, model: ToxicityModel) -> tuple[int, list[tuple[in
     ]
 
 
-def evidence(text: str | None, model: ToxicityModel) -> tuple[float, list[tuple[int, int, float, float]]]:
+def evidence(
+    text: str | None, model: ToxicityModel, rare: dict[str, float] | None = None
+) -> tuple[float, list[tuple[int, int, float, float]]]:
     """A document's evidence and its significant passages.
 
     Evidence adds, over the significant passages, how far each passage's
@@ -123,7 +135,7 @@ def evidence(text: str | None, model: ToxicityModel) -> tuple[float, list[tuple[
     length (-ln E). Without any it is that of the best passage, at least -4, so
     weak passages still differ and the calibration weighs them.
     """
-    _, found = passages(text, model)
+    _, found = passages(text, model, rare)
     good = [x for x in found if x[3] <= MAX_E]
     if good:
         return sum(-math.log(max(x[3], 1e-300)) for x in good), good
@@ -226,14 +238,88 @@ def _document_counts(train: DataFrame) -> DataFrame:
     return partial.groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
 
+def _scored(counts: DataFrame, clean_docs: int, toxic_docs: int) -> DataFrame:
+    """(token, docs, score, mass): mass is the posterior count among clean
+    documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c0 = batch.column("clean").to_numpy(zero_copy_only=False).astype(float)
+            c1 = batch.column("toxic").to_numpy(zero_copy_only=False).astype(float)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("token"), pa.array((c0 + c1).astype(np.int64)),
+                 pa.array(shrunken_log_odds(c0, c1, clean_docs, toxic_docs)),
+                 pa.array(c0 + _prior(c0, c1, clean_docs + toxic_docs))],
+                names=["token", "docs", "score", "mass"],
+            )
+
+    return counts.where(F.col("token") != "").mapInArrow(run, "token string, docs long, score double, mass double")
+
+
+def _held_and_rare(scored: DataFrame) -> tuple[dict[str, float], DataFrame | None]:
+    """The scores that every task holds, and the table of the others if there
+    are any. The tokens in most documents are held even if they do not score,
+    so that none of them is a key of the join."""
+    nonzero = scored.where("score <> 0")
+    rare = None
+    if nonzero.count() <= HELD_SCORES:
+        held = nonzero
+    else:
+        step = F.floor(F.log2("docs") * COUNT_STEPS)
+        # A row for each step: at most 64 * COUNT_STEPS.
+        sizes = sorted(scored.groupBy(step.alias("step")).count().collect(), reverse=True)
+        total, least = 0, sizes[0]["step"] + 1
+        for r in sizes:
+            total += r["count"]
+            if total > HELD_SCORES:
+                break
+            least = r["step"]
+        held = scored.where(step >= least)
+        rare = checkpoint(nonzero.where(step < least).select("token", "score"))
+    table = held.select("token", "score").toArrow()
+    return dict(zip(table.column("token").to_pylist(), table.column("score").to_pylist())), rare
+
+
+def _with_rare(docs: DataFrame, model: ToxicityModel, text_col: str) -> DataFrame:
+    """Adds ``_rare``: the scores of a text's tokens that the model does not
+    hold, looked up by joining the distinct tokens of each text to its table."""
+    kind = F.lit(None).cast("map<string,double>")
+    if model.rare is None:
+        return docs.withColumn("_rare", kind)
+    held = docs.sparkSession.sparkContext.broadcast(model.scores)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch.column("_key"), batch.column("_text")):
+                own = [w for w in set(tokens(text.as_py())) if w not in held.value]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key.as_py()] * len(own), pa.string()), pa.array(own, pa.string())],
+                    names=["_key", "token"],
+                )
+
+    keyed = docs.withColumn("_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    # Equal texts have one key: each of their tokens is looked up once.
+    pairs = keyed.select("_key", F.col(text_col).alias("_text")).mapInArrow(run, "_key string, token string").distinct()
+    found = pairs.join(model.rare, "token").groupBy("_key").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "score"))).alias("_rare")
+    )
+    return keyed.join(found, "_key", "left").drop("_key")
+
+
+def _rare_of(batch: pa.RecordBatch) -> Iterator[dict[str, float] | None]:
+    for x in batch.column("_rare"):
+        yield dict(x.as_py()) if x.is_valid else None
+
+
 def _evidence_cells(train: DataFrame, model: ToxicityModel) -> dict[int, tuple[int, int]]:
-    shared = train.sparkSession.sparkContext.broadcast(model)
+    shared = train.sparkSession.sparkContext.broadcast(replace(model, rare=None))
+    train = _with_rare(train, model, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((CELLS, 2), np.int64)
         for batch in batches:
-            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                x, _ = evidence(text.as_py(), shared.value)
+            for text, toxic, rare in zip(batch.column("text"), batch.column("toxic").to_pylist(), _rare_of(batch)):
+                x, _ = evidence(text.as_py(), shared.value, rare)
                 counts[min(CELLS - 1, int((x + 4.0) / CELL_WIDTH)), 1 if toxic else 0] += 1
         at = np.flatnonzero(counts.sum(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -286,23 +372,21 @@ def train_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         if head is None or not head["clean"] or not head["toxic"]:
             return ToxicityModel({}, 1.0, 1.0, -3.0, 0.0)
         clean_docs, toxic_docs = head["clean"], head["toxic"]
-        floor = max(2.0, MIN_SHARE * (clean_docs + toxic_docs))
-        kept = counts.where((F.col("token") != "") & (F.col("clean") + F.col("toxic") >= floor)).toArrow()
-        rest = counts.where(F.col("token") != "").agg(F.sum("clean")).first()[0] or 0
+        scored = _scored(counts, clean_docs, toxic_docs)
+        scores, rare = _held_and_rare(scored)
+        # The chance law: scores as clean documents draw their tokens, the prior
+        # standing in for tokens that no clean document has shown. A row for
+        # each step of scores, and scores are logarithms of counts: few rows.
+        law = scored.groupBy((F.round(F.col("score") * SCORE_STEPS) / SCORE_STEPS).alias("score")).agg(
+            F.sum("mass").alias("mass")
+        ).toArrow()
     finally:
         counts.unpersist()
-    names = kept.column("token").to_pylist()
-    c0 = kept.column("clean").to_numpy().astype(float)
-    c1 = kept.column("toxic").to_numpy().astype(float)
-    sure = shrunken_log_odds(c0, c1, clean_docs, toxic_docs)
-    scores = {w: float(s) for w, s in zip(names, sure) if s != 0.0}
-    # The chance law: scores as clean documents draw their tokens, the prior
-    # standing in for tokens that no clean document has shown.
-    weights = np.concatenate((c0 + _prior(c0, c1, clean_docs + toxic_docs), [max(1.0, rest - c0.sum())]))
-    rate, scale = _decay(np.concatenate((sure, [0.0])) - DRIFT, weights)
-    model = ToxicityModel(scores, rate, scale)
+    values = np.concatenate((law.column("score").to_numpy(), [0.0])) - DRIFT
+    rate, scale = _decay(values, np.concatenate((law.column("mass").to_numpy(), [1.0])))
+    model = ToxicityModel(scores, rate, scale, rare=rare)
     intercept, slope = _calibrate(_evidence_cells(train, model))
-    return ToxicityModel(scores, rate, scale, intercept, slope)
+    return replace(model, intercept=intercept, slope=slope)
 
 
 PASSAGES = ArrayType(StructType([
@@ -315,15 +399,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     """Adds ``toxicity`` (0 to 1) and ``toxic_passages`` (token start, end,
     score, and how many as good chance alone would give).
 
-    Texts are read whole, one row at a time; nothing is shuffled. Null and
-    empty texts have no passage and score as a document without evidence.
-    Input columns with those two names are replaced.
+    Texts are read whole, one row at a time; nothing is shuffled unless the
+    model has a table of rare tokens (``_with_rare``). Null and empty texts have
+    no passage and score as a document without evidence. Input columns with
+    those two names, or named ``_rare`` or ``_key``, are replaced or left out.
     """
-    docs = without(docs, "toxicity", "toxic_passages")
+    docs = without(docs, "toxicity", "toxic_passages", "_rare", "_key")
     schema = StructType([
         *docs.schema.fields, StructField("toxicity", DoubleType()), StructField("toxic_passages", PASSAGES),
     ])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, rare=None))
+    docs = _with_rare(docs, model, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -332,14 +418,14 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
         ]))
         for batch in batches:
             scores, found = [], []
-            for text in batch.column(text_col):
-                x, good = evidence(text.as_py(), m)
+            for text, rare in zip(batch.column(text_col), _rare_of(batch)):
+                x, good = evidence(text.as_py(), m, rare)
                 z = m.intercept + m.slope * min(x, CELLS * CELL_WIDTH)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
                 found.append([{"start": a, "end": b, "score": s, "expected": e} for a, b, s, e in good])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64()), pa.array(found, kind)],
-                names=[*batch.schema.names, "toxicity", "toxic_passages"],
+                [*batch.columns[:-1], pa.array(scores, pa.float64()), pa.array(found, kind)],
+                names=[*batch.schema.names[:-1], "toxicity", "toxic_passages"],
             )
 
     return docs.mapInArrow(run, schema)

@@ -365,6 +365,29 @@ def test_weak_toxic_evidence_counts(spark):
     assert len(shares) == 4 and min(shares.values()) >= 0.5, shares
 
 
+def test_rare_toxic_words_score_at_any_size(spark, monkeypatch):
+    ids = [i for i in range(13_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic = set(ids[::10])
+    rare = set(sorted(toxic)[:4])
+    rows = [(i, f"some plain words n{i % 7}" + (" vile vile" if i in rare else "") + (" foul" if i in toxic and i % 3 else ""))
+            for i in ids]
+    docs = spark.createDataFrame(rows + [(-1, None), (-2, ""), (-3, rows[0][1])], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids], "doc_id long, toxic int")
+    held = toxicity.train_toxicity(docs, labels)
+    assert held.rare is None and held.scores["vile"] > 1 and held.scores["foul"] > held.scores["vile"]
+    want = {r.doc_id: r for r in toxicity.score_toxicity(docs, held).collect()}
+    assert min(want[i].toxicity for i in rare) > max(want[i].toxicity for i in ids if i not in toxic)
+    monkeypatch.setattr(toxicity, "HELD_SCORES", 1)
+    joined = toxicity.train_toxicity(docs, labels)
+    assert joined.rare is not None and len(joined.scores) <= 1
+    assert (joined.rate, joined.scale) == pytest.approx((held.rate, held.scale), rel=1e-9)
+    got = toxicity.score_toxicity(docs, joined).collect()
+    assert len(got) == len(rows) + 3 and got[0].__fields__ == want[-1].__fields__
+    for r in got:
+        assert r.toxicity == pytest.approx(want[r.doc_id].toxicity, rel=1e-9)
+        assert [x[:2] for x in r.toxic_passages] == [x[:2] for x in want[r.doc_id].toxic_passages]
+
+
 def test_toxicity_edges(spark, docs, none):
     labels = spark.createDataFrame([(1, None), (None, 1), (4, 0), (4, 0), (999, 1)], "doc_id long, toxic int")
     model = toxicity.train_toxicity(docs, labels)
