@@ -226,6 +226,31 @@ def test_nearest(spark, vectors):
     assert ann.nearest(few.limit(0), few, 5).count() == 0
 
 
+def test_nearest_with_repeated_ids(spark, vectors):
+    def answers(queries, rows, probes):
+        found = ann.nearest(queries, rows, 5, probes=probes).collect()
+        return sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in found)
+
+    some = vectors.where("vec_id % 10 = 0")
+    twice = vectors
+    for _ in range(2):
+        twice = twice.union(twice)
+    for probes in (4, 1 << 30):
+        assert answers(some, twice, probes) == answers(some, vectors, probes)
+    rows = [(q, v) for q, v in ((r.vec_id, r.embedding) for r in vectors.where("vec_id < 40").collect())
+            if v and all(c is not None and np.isfinite(c) for c in v) and any(v)]
+    size = max({len(v) for _, v in rows}, key=[len(v) for _, v in rows].count)
+    rows = [(q % 9, v) for q, v in rows if len(v) == size]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    query = spark.createDataFrame([(100, rows[0][1])], table.schema)
+    best = {}
+    for i, v in rows:
+        score = float(np.dot(v, rows[0][1]) / np.linalg.norm(v) / np.linalg.norm(rows[0][1]))
+        best[i] = max(score, best.get(i, -2.0))
+    want = sorted(best.items(), key=lambda p: (-round(p[1], 9), p[0]))[:5]
+    assert answers(query, table, 1 << 30) == sorted((100, r, i, round(s, 9)) for r, (i, s) in enumerate(want, 1))
+
+
 def test_bpe_round_trip(docs, none):
     import base64
 
