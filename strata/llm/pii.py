@@ -22,6 +22,23 @@ PATTERNS = {
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 
+# Lengths of the registered countries' IBANs. By them an IBAN ends where its
+# country says, whatever stands behind it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV",
+    29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+# Its match is the first four characters and its group the whole proposal, so
+# that a proposal may start within another one.
+IBAN_HEAD = 4
+IBAN_OF_COUNTRY = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}\x20?[A-Z0-9])(?=((?:"
+    + "|".join(rf"(?:{codes})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - IBAN_HEAD}}}" for n, codes in IBAN_LENGTHS.items())
+    + r")(?![A-Za-z0-9])))[A-Z]{2}[0-9]{2}"
+)
+
 # Score before context: what the pattern and its checksum alone are worth.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.5, "iban": 0.8, "ssn": 0.3}
 CONTEXT = {
@@ -87,8 +104,9 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _located(kind: str, found: Column, between: Column) -> Column:
-    """Spans of the matches: each starts after the pieces and matches before it."""
+def _located(kind: str, found: Column, between: Column, head: int | None = None) -> Column:
+    """Spans of the matches: each starts after the pieces and matches before it.
+    With ``head``, a match is only that many characters of its span."""
     zero = F.struct(
         F.lit(0).alias("at"),
         F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>").alias("all"),
@@ -99,21 +117,40 @@ def _located(kind: str, found: Column, between: Column) -> Column:
         start = acc["at"] + F.length(F.element_at(between, i))
         end = start + F.length(value)
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), value.alias("value"))
-        return F.struct(end.alias("at"), F.array_append(acc["all"], span).alias("all"))
+        at = end if head is None else start + head
+        return F.struct(at.alias("at"), F.array_append(acc["all"], span).alias("all"))
 
     spans = F.aggregate(F.sequence(F.lit(1), F.size(found)), zero, step, lambda acc: acc["all"])
     spans = F.when(F.size(found) > 0, spans).otherwise(zero["all"])
     return F.filter(spans, lambda s: _valid(kind, s["value"]))
 
 
+def _apart(spans: Column) -> Column:
+    """Of overlapping spans, in order of their starts, the leftmost stay."""
+    return F.aggregate(spans, F.filter(spans, lambda s: F.lit(False)), lambda kept, s: F.when(
+        (F.size(kept) == 0) | (F.try_element_at(kept, F.lit(-1))["end"] <= s["start"]), F.array_append(kept, s)
+    ).otherwise(kept))
+
+
+def _with_countries(ibans: Column, of_country: Column) -> Column:
+    """IBANs by their country's length, and of the others those beside them."""
+    sure = _apart(of_country)
+    others = F.filter(ibans, lambda s: ~F.exists(
+        sure, lambda c: (c["start"] < s["end"]) & (s["start"] < c["end"])
+    ))
+    return F.array_sort(F.concat(sure, others))
+
+
 def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``pii``: array of (kind, start, end, score), by kind as in
     ``PATTERNS``, then start; code points, end exclusive.
 
     Per kind the leftmost non-overlapping matches, kept where their validator
     agrees (cards: 13 to 19 digits and Luhn; phones: 9 to 15 digits; addresses:
-    parts up to 255; IBANs: mod 97). Words near before a span raise its score;
-    the kinds beyond the base need a score of ``ACCEPT``. Built-in functions
+    parts up to 255; IBANs: mod 97). An IBAN of a registered country ends at
+    that country's length; other codes take the longest run. Words near a span,
+    before or behind it, raise its score; the kinds beyond the base need a score
+    of ``ACCEPT``. Built-in functions
     only: one row stays one row and nothing is shuffled.
 
     A null or empty text has no spans. Repeated rows are treated alike. An
@@ -130,21 +167,27 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.when(F.contains(text, F.lit(TRIGGER[kind])), hits).otherwise(nothing)
             if kind in TRIGGER else hits
         )
+    found["_found_country"] = F.regexp_extract_all(text, F.lit(IBAN_OF_COUNTRY), F.lit(1))
     df = docs.select(*kept, *[c.alias(n) for n, c in found.items()])
     df = df.withColumns({
         f"_between_{kind}": F.when(F.size(f"_found_{kind}") > 0, F.split(text, pattern, -1)).otherwise(nothing)
-        for kind, pattern in PATTERNS.items()
+        for kind, pattern in [*PATTERNS.items(), ("country", IBAN_OF_COUNTRY)]
     })
     df = df.withColumns({
         f"_spans_{kind}": _located(kind, F.col(f"_found_{kind}"), F.col(f"_between_{kind}"))
         for kind in PATTERNS
-    })
+    } | {"_spans_country": _located("iban", F.col("_found_country"), F.col("_between_country"), IBAN_HEAD)})
+    df = df.withColumn("_spans_iban", F.when(
+        F.size("_spans_country") > 0, _with_countries(F.col("_spans_iban"), F.col("_spans_country"))
+    ).otherwise(F.col("_spans_iban")))
 
     def scored(kind: str) -> Column:
         def score(s: Column) -> Column:
             start = F.greatest(F.lit(0), s["start"] - CONTEXT_CHARS)
             before = F.lower(text.substr(start + 1, s["start"] - start))
-            bonus = F.when(before.rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0)
+            behind = F.lower(text.substr(s["end"] + 1, F.lit(CONTEXT_CHARS)))
+            near = before.rlike(CONTEXT[kind]) | behind.rlike(CONTEXT[kind])
+            bonus = F.when(near, CONTEXT_BONUS).otherwise(0.0)
             return F.struct(
                 s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                 F.least(F.lit(1.0), F.lit(SCORES[kind]) + bonus).alias("score"),

@@ -304,6 +304,24 @@ def test_pii_base_spans(spark, docs, none):
     assert pii.find_pii(none).count() == 0
 
 
+def test_pii_ends_and_labels_behind(spark):
+    iban = "DE89 3704 0044 0532 0130 00"
+    texts = {
+        f"IBAN {iban} BIC COBADEFFXXX": [("iban", iban)], f"{iban} EUR 500, thanks": [("iban", iban)],
+        f"REF AB12 {iban} BIC": [("iban", iban)], f"NO12 {iban} {iban} X": [("iban", iban), ("iban", iban)],
+        "pay NO9386011117947 NOK": [("iban", "NO9386011117947")], "GB82WEST12345698765432 EUR": [("iban", "GB82WEST12345698765432")],
+        "IBAN DE89 3704 0044 0532 0130 01 BIC": [], f"日本{iban}X": [],
+        "123-45-6789 (SSN)": [("ssn", "123-45-6789")], "the social security number 123-45-6789": [("ssn", "123-45-6789")],
+        "123-45-6789 " + "x" * 40 + " SSN": [], "part 123-45-6789": [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in pii.find_pii(df).collect():
+        spans = [(s.kind, row.text[s.start:s.end]) for s in row.pii if s.kind not in pii.BASE_KINDS]
+        assert spans == texts[row.text], row
+    masked = {r.text for r in pii.redact(df).collect()}
+    assert {"IBAN <IBAN> BIC COBADEFFXXX", "<IBAN> EUR 500, thanks", "<SSN> (SSN)"} <= masked
+
+
 def test_shards(docs, none):
     got = sharding.shard_by_bytes(docs, 3).collect()
     sizes = sorted((str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in TEXTS)
