@@ -41,46 +41,44 @@ def _encoder(path: str):
     return encoding, regex.compile(public_tokenizers.PATTERN)
 
 
-def _boundaries(pattern, text: str, start: int, lo: int, hi: int, end: int) -> list[int]:
-    """Pre-token starts in [lo, hi) when ``text`` is split from ``start``. The
-    text is visible up to ``end``; starts that the cut there could move are
-    left out (a pre-token touching ``end`` and, as white space looks one
-    character ahead, whatever ends one before it)."""
+def _starts(pattern, text: str, start: int, stop: int) -> tuple[list[int], int]:
+    """Starts of the pre-tokens of ``text`` split from ``start``: those before
+    ``stop``, and the first one after."""
     out = []
-    for m in pattern.finditer(text, start, end):
-        if m.end() >= end - 1 and end < len(text):
-            break
-        if lo <= m.start() < hi:
-            out.append(m.start())
-    return out
+    for m in pattern.finditer(text, start):
+        if m.start() >= stop:
+            return out, m.start()
+        out.append(m.start())
+    return out, len(text)
 
 
 def stitched_cuts(pattern, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[int]:
     """Positions that cut ``text`` into pieces which pre-tokenise as the whole.
 
-    Chunks of ``chunk`` characters overlap. The zone after a chunk's end is
-    split twice: from the chunk before it (begun at a cut known to be right)
-    and from the next chunk's own start. The first start that both splits
-    share is a place where they have met again, and becomes the cut. Where a
-    zone has none (one pre-token longer than the overlap), the zone doubles.
+    Every chunk is split from its own start, wherever that falls, and on into
+    the first ``overlap`` characters of the next. A start there that both splits
+    share is where the later one has met the earlier: from it on, both are the
+    same. The first such start behind a character that is not white space
+    becomes the cut. (Behind white space it can't be one: the pattern looks one
+    character beyond white space, so the piece before the cut would not end as
+    the whole does there.) Where two chunks never meet so, as in a pre-token
+    longer than the overlap, the earlier split goes on through the next chunk.
     """
-    cuts, at = [0], 0
-    while at + chunk < len(text):
-        lo, size = at + chunk, overlap
-        while True:
-            hi = min(len(text), lo + size)
-            end = min(len(text), hi + size)
-            # The left split only needs to begin at some right boundary: the
-            # last one that is sure before the zone, found from the cut itself.
-            left = set(_boundaries(pattern, text, at, lo, hi, end))
-            met = next((b for b in _boundaries(pattern, text, lo, lo, hi, end) if b in left), None)
-            if met is not None or hi == len(text):
-                break
-            size *= 2
+    cuts, begin = [0], 0
+    for lo in range(chunk, len(text), chunk):
+        hi = min(lo + overlap, lo + chunk, len(text))
+        if begin >= hi:
+            continue
+        left, after = _starts(pattern, text, begin, hi)
+        shared = set(left)
+        right = _starts(pattern, text, lo, hi)[0]
+        met = next((b for b in right if b in shared and not text[b - 1].isspace()), None)
         if met is None:
-            break
-        cuts.append(met)
-        at = met
+            # The next chunk's own split is not known to be right anywhere.
+            begin = after
+        else:
+            cuts.append(met)
+            begin = lo
     return [*cuts, len(text)]
 
 
@@ -89,7 +87,8 @@ def encode_text(text: str, path: str, chunk: int = CHUNK_CHARS, overlap: int = O
     if len(text) <= chunk:
         return encoding.encode_ordinary(text)
     cuts = stitched_cuts(pattern, text, chunk, overlap)
-    return [i for a, b in zip(cuts, cuts[1:]) for i in encoding.encode_ordinary(text[a:b])]
+    pieces = encoding.encode_ordinary_batch([text[a:b] for a, b in zip(cuts, cuts[1:])], num_threads=2)
+    return [i for ids in pieces for i in ids]
 
 
 def bpe_encode(docs: DataFrame, text_col: str = "text", out_col: str = "token_ids",
@@ -99,8 +98,8 @@ def bpe_encode(docs: DataFrame, text_col: str = "text", out_col: str = "token_id
 
     A text is cut into overlapping chunks, each pre-tokenised on its own; where
     the splits of two neighbours meet again they are stitched, and the pieces
-    between are encoded. So the merge loop never sees more than a chunk, a row
-    stays a row, and nothing is shuffled. Null and empty texts have no ids;
+    between are encoded by several threads. A row stays a row, and nothing is
+    shuffled. Null and empty texts have no ids;
     repeated rows are encoded alike; an input column named ``out_col`` is
     replaced, others are kept.
     """

@@ -263,14 +263,51 @@ def test_bpe_round_trip(docs, none):
     got = bpe.bpe_decode(bpe.bpe_encode(docs, chunk=16, overlap=4)).collect()
     for r in got:
         assert r.token_ids == whole.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
-    r = random.Random(1)
-    for _ in range(400):
-        s = "".join(r.choice(["a", " ", "  ", "\n", "'s", "é", "1", "!!", "日本", "'", "　", "x" * 9])
-                    for _ in range(r.randint(0, 90)))
-        assert bpe.encode_text(s, path, 7, 2) == whole.encode_ordinary(s)
     assert bpe.bpe_encode(none).count() == 0
 
 
+def _whole_encoding():
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in open(bpe.vocabulary_path(), "rb"))}
+    return tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_chunks_are_stitched_as_the_whole():
+    whole, path = _whole_encoding(), bpe.vocabulary_path()
+    r = random.Random(1)
+    parts = ["a", " ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u2003", "\u3000", "\u2028", "'s", "'ll", "é", "1", "!!", "日本", "'", "x" * 9,
+             "\u0301", "\u200b"]
+    cuts = 0
+    for k in range(100_000):
+        s = "".join(r.choices(parts, k=r.randint(0, 60)))
+        chunk = r.choice((4, 7, 16, 64))
+        assert bpe.encode_text(s, path, chunk, r.randint(1, 12)) == whole.encode_ordinary(s), (k, s)
+    # Runs of white space across the end of a chunk of the default size.
+    for run in ("  \u00a0", "\u00a0\u00a0 ", " \t", "\r\n\r\n", "\u3000 \u3000", " " * 600, "z" * 70_000, "'"):
+        for shift in range(-3, 4):
+            s = "word " * (bpe.CHUNK_CHARS // 5) + "w" * (3 + shift) + run + "a" + " more words" * 9000
+            assert bpe.encode_text(s, path) == whole.encode_ordinary(s), (run, shift)
+            cuts += len(bpe.stitched_cuts(bpe._encoder(path)[1], s)) - 2
+    assert cuts > 100
+    assert bpe.encode_text("y" * 300_000, path, 64, 8) == whole.encode_ordinary("y" * 300_000)
+
+
+def test_op10_query(spark):
+    sf, whole = "/root/testdata/sf0.001", _whole_encoding()
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = bpe.op10_bpe(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = whole.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+
+
 def _plain_spans(text):
     out = []
 
