@@ -22,7 +22,7 @@ def _parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--csv", action="append", default=[], help="product CSV path or glob (repeatable)")
     p.add_argument("--table", action="append", default=[],
                    help="catalog table of scraped listings, mapped by the listing column map (repeatable)")
-    p.add_argument("--store", required=True, help="table store root, kept from run to run")
+    p.add_argument("--store", required=True, help="root folder of the tables, kept from run to run")
     p.add_argument("--batch-id", default=None, help="batch id (default: a random UUID)")
     p.add_argument("--as-of", default=None, help="run time, ISO format (default: now)")
     p.add_argument("--keep-raw", action="store_true", help="keep the received numeric text in quarantine")
@@ -31,9 +31,9 @@ def _parse(argv: list[str]) -> argparse.Namespace:
                    help="append keeps every batch's raw rows instead of replacing them")
     p.add_argument("--plain-key-match", action="store_true",
                    help="match merge keys with SQL '=' (NULL never matches) instead of NULL-safe")
-    p.add_argument("--silver-buckets", type=int, default=None)
-    p.add_argument("--retain-versions", type=int, default=None)
-    p.add_argument("--database", default=None, help="database in which the layer tables get a view each")
+    p.add_argument("--silver-buckets", type=int, default=None, help="buckets of each part of silver, by key")
+    p.add_argument("--silver-parts", type=int, default=None, help="parts of silver, by main category")
+    p.add_argument("--database", default=None, help="database of the layer tables (default: one named after the root)")
     args = p.parse_args(argv)
     if not args.csv and not args.table:
         p.error("give at least one --csv or --table source")
@@ -53,9 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     from strata.sources.tables import LISTING_COLUMN_MAP, map_columns, read_table
 
     spark = SparkSession.builder.appName("strata").getOrCreate()
-    store = TableStore(spark, args.store, retain_versions=args.retain_versions,
-                       catalog=f"{args.database}." if args.database else None)
-    sources = [Source(path.rstrip("/").rsplit("/", 1)[-1], lambda path=path: read_csv_source(spark, path))
+    store = TableStore(spark, args.store, args.database)
+    sources = [Source(path.rstrip("/").rsplit("/", 1)[-1], lambda path=path: read_csv_source(spark, path, raw_line=True))
                for path in args.csv]
     sources += [Source(name, lambda name=name: map_columns(read_table(spark, name), LISTING_COLUMN_MAP))
                 for name in args.table]
@@ -65,15 +64,12 @@ def main(argv: list[str] | None = None) -> int:
     result = run_layers(store, sources, run, keep_raw=args.keep_raw,
                         null_safe_merge=not args.plain_key_match,
                         dead_letter_mode=args.dead_letter_mode, silver_buckets=args.silver_buckets,
+                        silver_parts=args.silver_parts,
                         bronze_mode=args.bronze_mode)
     for row in result.checkpoints:
         print(json.dumps(dict(zip(TABLES["checkpoints"].fieldNames(), row, strict=True)), default=str))
-    history = ("checkpoints", "bronze") if args.bronze_mode == "append" else ("checkpoints",)
-    present = {t: store.read(t, schema=TABLES[t], all_versions=t in history)
-               for t in TABLES if t != "checkpoints" and store.exists(t)}
-    if present:
-        for r in layer_counts(present).collect():
-            print(json.dumps({"layer": r["layer"], "row_count": r["row_count"]}))
+    for r in layer_counts({t: store.read(t) for t in TABLES if t != "checkpoints"}).collect():
+        print(json.dumps({"layer": r["layer"], "row_count": r["row_count"]}))
     return 0 if result.succeeded else 1
 
 

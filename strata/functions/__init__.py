@@ -10,7 +10,9 @@ from strata.functions.cleaning import (
     to_double,
     to_price,
 )
+from strata.functions.names import quoted, unused_names
 from strata.functions.rules import (
+    MALFORMED_LINE,
     MESSAGE_SEPARATOR,
     PRODUCT_RULES,
     Rule,
@@ -23,6 +25,7 @@ from strata.functions.rules import (
 __all__ = [
     "Bucket",
     "CURRENCY_SYMBOLS",
+    "MALFORMED_LINE",
     "MESSAGE_SEPARATOR",
     "PRICE_BUCKETS",
     "PRODUCT_RULES",
@@ -34,8 +37,10 @@ __all__ = [
     "error_text",
     "null_or_empty",
     "null_or_outside",
+    "quoted",
     "rule_messages",
     "strip_chars",
     "to_double",
     "to_price",
+    "unused_names",
 ]

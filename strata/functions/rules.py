@@ -57,6 +57,8 @@ PRODUCT_RULES: tuple[Rule, ...] = (
 )
 
 MESSAGE_SEPARATOR = "; "
+# What is wrong with a row whose source line could not be taken apart (ours).
+MALFORMED_LINE = "malformed line; "
 
 
 def error_text(rules: Sequence[Rule]) -> Column:

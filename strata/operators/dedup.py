@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.names import unused_names
+
 # Survivor order for products: the listing with most ratings wins, then the
 # higher rating, then the cheaper prices; the other columns break what is left.
 PRODUCT_SURVIVOR_ORDER = (
@@ -52,4 +54,5 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[OrderItem]
     if not order:
         order = [F.asc_nulls_first(f"`{keys[0]}`")]
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    (place,) = unused_names(1, df)
+    return df.withColumn(place, F.row_number().over(w)).where(F.col(place) == 1).drop(place)

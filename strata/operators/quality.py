@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.names import unused_names
+
 # The columns whose NULL counts the source pipeline reports.
 CRITICAL_COLUMNS = ("name", "main_category", "ratings", "no_of_ratings",
                     "discount_price", "actual_price")
@@ -30,8 +32,9 @@ def valid_rate(valid: Column, total: Column) -> Column:
 def distinct_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: ``row_count`` and ``distinct_count`` of the combinations of ``keys``
     (NULL parts compare equal). Rows are counted per key before the shuffle."""
-    per_key = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
+    (n,) = unused_names(1, df)
+    per_key = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(n))
+    return per_key.agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("row_count"),
                        F.count(F.lit(1)).alias("distinct_count"))
 
 

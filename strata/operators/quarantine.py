@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.rules import MESSAGE_SEPARATOR
-from strata.schemas import CHANGED_COLUMNS, RAW_PREFIX, SOURCE_COLUMNS
+from strata.schemas import CHANGED_COLUMNS, RAW_LINE, RAW_PREFIX, SOURCE_COLUMNS
 from strata.sources.lineage import timestamp_lit
 
 
@@ -18,7 +18,8 @@ def dead_letter(staged: DataFrame, failed_at: dt.datetime | str, *,
 
     The four numeric columns hold the cleaned values cast back to text, as
     in the source pipeline. ``keep_raw`` (needs ``stage(keep_raw=True)``)
-    adds the text that was received, so nothing of the original row is lost.
+    adds the text that was received, so nothing of the original row is lost. A
+    malformed source line is kept whole where staging has ``raw_line``.
     ``batch_id`` defaults to each row's own batch.
     """
     cols = [F.col(c).cast("string").alias(c) for c in SOURCE_COLUMNS]
@@ -29,6 +30,8 @@ def dead_letter(staged: DataFrame, failed_at: dt.datetime | str, *,
     ]
     if keep_raw:
         cols += [F.col(RAW_PREFIX + c) for c in CHANGED_COLUMNS]
+    if RAW_LINE in staged.columns:
+        cols.append(F.col(RAW_LINE))
     return staged.where(~F.col("is_valid")).select(*cols)
 
 

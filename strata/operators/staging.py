@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import clean_label, clean_text, to_double, to_price
-from strata.functions.rules import PRODUCT_RULES, Rule, error_text
-from strata.schemas import CHANGED_COLUMNS, RAW_PREFIX, STAGING, STAGING_RAW
+from strata.functions.rules import MALFORMED_LINE, PRODUCT_RULES, Rule, error_text
+from strata.schemas import CHANGED_COLUMNS, RAW_LINE, RAW_PREFIX, STAGING, STAGING_RAW
 
 
 def clean(bronze: DataFrame, *, keep_raw: bool = False) -> DataFrame:
@@ -38,6 +38,8 @@ def clean(bronze: DataFrame, *, keep_raw: bool = False) -> DataFrame:
     ]
     if keep_raw:
         cols += [F.col(c).alias(RAW_PREFIX + c) for c in CHANGED_COLUMNS]
+    if RAW_LINE in bronze.columns:
+        cols.append(F.col(RAW_LINE))
     return bronze.select(*cols)
 
 
@@ -57,16 +59,22 @@ def derive(df: DataFrame) -> DataFrame:
 
 
 def validate(df: DataFrame, rules: Sequence[Rule] = PRODUCT_RULES) -> DataFrame:
-    """Add ``validation_errors`` (every failed rule's message) and ``is_valid``."""
-    return df.withColumn("validation_errors", error_text(rules)).withColumn(
+    """Add ``validation_errors`` (every failed rule's message) and ``is_valid``. Of
+    a malformed source line (``raw_line`` given) only that is said."""
+    errors = error_text(rules)
+    if RAW_LINE in df.columns:
+        errors = F.when(F.col(RAW_LINE).isNotNull(), F.lit(MALFORMED_LINE)).otherwise(errors)
+    return df.withColumn("validation_errors", errors).withColumn(
         "is_valid", F.col("validation_errors") == F.lit(""))
 
 
 def stage(bronze: DataFrame, rules: Sequence[Rule] = PRODUCT_RULES, *,
           keep_raw: bool = False) -> DataFrame:
-    """The staging projection in declared column order."""
+    """The staging projection in declared column order, ``raw_line`` last where the
+    bronze rows have one."""
     out = validate(derive(clean(bronze, keep_raw=keep_raw)), rules)
-    return out.select(*(STAGING_RAW if keep_raw else STAGING).fieldNames())
+    line = [RAW_LINE] if RAW_LINE in bronze.columns else []
+    return out.select(*(STAGING_RAW if keep_raw else STAGING).fieldNames(), *line)
 
 
 def split_valid(staged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from strata.functions.buckets import PRICE_BUCKETS, Bucket, bucketize
 from strata.operators.joins import left_join_dim
-from strata.operators.keys import dense_key
-from strata.schemas import DIM_PRICE_BUCKET, FACT_PRODUCT_METRICS, PRODUCT_KEY
-from strata.sources.store import checkpoint_root
+from strata.operators.keys import dense_key, range_numbered
+from strata.schemas import DIM_PRICE_BUCKET, FACT_ROWS, PRODUCT_KEY, ROW_PART, ROW_POS
 
 CATEGORY_COLUMNS = ("main_category", "sub_category")
 
@@ -21,11 +20,21 @@ def dim_category(silver: DataFrame, *, num_partitions: int | None = None) -> Dat
 
     Keys follow (main_category, sub_category) ascending, NULLs first.
     """
-    pairs = silver.select(*CATEGORY_COLUMNS).distinct().where(F.col("main_category").isNotNull())
-    return dense_key(pairs, CATEGORY_COLUMNS, "category_key", num_partitions=num_partitions).select(
+    return dense_key(_pairs(silver), CATEGORY_COLUMNS, "category_key", num_partitions=num_partitions).select(
         "category_key", *CATEGORY_COLUMNS)
 
 
+def category_rows(silver: DataFrame, *, num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
+    """The rows of :func:`dim_category` to be written once and keyed on read
+    (:func:`strata.operators.keys.numbered`)."""
+    return range_numbered(_pairs(silver), CATEGORY_COLUMNS, ROW_PART, ROW_POS, num_partitions=num_partitions,
+                          rows=rows)
+
+
+def _pairs(silver: DataFrame) -> DataFrame:
+    return silver.select(*CATEGORY_COLUMNS).distinct().where(F.col("main_category").isNotNull())
+
+
 def dim_price_bucket(spark: SparkSession, buckets: Sequence[Bucket] = PRICE_BUCKETS) -> DataFrame:
     """The static bucket dimension (key, label, bounds)."""
     rows = [(b.key, b.label, float(b.min_value), float(b.max_value)) for b in buckets]
@@ -38,11 +47,11 @@ def with_price_bucket(df: DataFrame, price: str = "actual_price",
 
 
 def attach_category_key(df: DataFrame, dim_cat: DataFrame, *, null_safe: bool = False,
-                        rows_per_task: int | None = None) -> DataFrame:
+                        rows_per_task: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Left join on (main, sub). With SQL ``=`` (the default, as in the source
     pipeline) a NULL sub-category never matches and gets a NULL key."""
     return left_join_dim(df, dim_cat.select("category_key", *CATEGORY_COLUMNS), CATEGORY_COLUMNS,
-                         null_safe=null_safe, rows_per_task=rows_per_task)
+                         null_safe=null_safe, rows_per_task=rows_per_task, counts=counts)
 
 
 def attach_price_bucket_key(df: DataFrame, dim_pb: DataFrame) -> DataFrame:
@@ -51,24 +60,22 @@ def attach_price_bucket_key(df: DataFrame, dim_pb: DataFrame) -> DataFrame:
                          ["bucket_label"])
 
 
-def enrich(silver: DataFrame, dim_cat: DataFrame, dim_pb: DataFrame, *,
-           null_safe_category: bool = False) -> DataFrame:
-    """Valid silver rows with category key, bucket label and bucket key."""
-    out = attach_category_key(silver.where(F.col("is_valid")), dim_cat, null_safe=null_safe_category)
+def enrich(silver: DataFrame, dim_cat: DataFrame, dim_pb: DataFrame, *, null_safe_category: bool = False,
+           rows_per_task: int | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Valid silver rows with category key, bucket label and bucket key.
+    ``rows_per_task`` and ``counts`` as in :func:`left_join_dim`, for categories."""
+    out = attach_category_key(silver.where(F.col("is_valid")), dim_cat, null_safe=null_safe_category,
+                              rows_per_task=rows_per_task, counts=counts)
     return attach_price_bucket_key(with_price_bucket(out), dim_pb)
 
 
-def fact_product_metrics(enriched: DataFrame, *, order: Sequence[str] = PRODUCT_KEY,
-                         num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
-    """Fact rows keyed 1..n by ``order`` (name, then category, NULLs first).
-
-    Only the fact's columns and the order columns are read and numbered. They
-    are checkpointed first: the range partitioner samples its input, which
-    would otherwise evaluate the joins twice.
-    """
-    columns = [f.name for f in FACT_PRODUCT_METRICS.fields]
-    needed = [c for c in columns if c != "product_key"]
-    needed += [c for c in order if c not in needed]
-    checkpoint_root(enriched.sparkSession)
-    narrow = enriched.select(*needed).checkpoint(eager=True)
-    return dense_key(narrow, order, "product_key", num_partitions=num_partitions, rows=rows).select(*columns)
+def fact_rows(enriched: DataFrame, *, order: Sequence[str] = PRODUCT_KEY,
+              num_partitions: int | None = None, rows: int | None = None) -> DataFrame:
+    """Fact rows in range partitions of ``order`` (name, then category, NULLs
+    first), numbered within them: to be written once and keyed on read
+    (:func:`strata.operators.keys.numbered`). Only the fact's columns and the
+    order columns are shuffled."""
+    needed = [f.name for f in FACT_ROWS.fields if f.name not in (ROW_PART, ROW_POS)]
+    narrow = enriched.select(*needed, *[c for c in order if c not in needed])
+    return range_numbered(narrow, order, ROW_PART, ROW_POS, num_partitions=num_partitions,
+                          rows=rows).select(*FACT_ROWS.fieldNames())

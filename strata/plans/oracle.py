@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from strata.plans.testdata import (
     FAILED_RUNS,
+    FAULTY_BATCH_ID,
     FULL_AS_OF,
     FULL_BATCH_ID,
     HISTORY_RUNS,
@@ -20,6 +21,8 @@ from strata.plans.testdata import (
     MISSING_SOURCE,
     PRODUCTS_LABEL,
 )
+from strata.schemas import TABLES
+from strata.sources.products import LONG_LINE_EVERY, OPEN_QUOTE_EVERY, QUOTED_NAME_EVERY, SHORT_LINE_EVERY
 
 SOURCE_COLS = ("name, main_category, sub_category, image, link, ratings, no_of_ratings, "
                "discount_price, actual_price")
@@ -55,7 +58,7 @@ products AS (
          CASE WHEN l_orderkey % 79 = 0 THEN '-50'
               ELSE concat('₹', format('{:,.2f}', l_extendedprice * 0.1)) END AS discount_price,
          format('{:,.2f}', l_extendedprice * 0.125) AS actual_price,
-         l_shipdate
+         l_shipdate, l_orderkey
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
@@ -152,6 +155,8 @@ def layer_ctes(p: str, batch: str, as_of, where: str = "TRUE", raw: bool = False
 )"""
 
 
+# The labels and bounds of the price ladder below, and the rule messages
+# above, are those of the source pipeline.
 BUCKET_CASE = ("CASE WHEN actual_price < 500.0 THEN 'Budget' WHEN actual_price < 2000.0 THEN 'Mid-Range' "
                "WHEN actual_price < 10000.0 THEN 'Premium' ELSE 'Luxury' END")
 BUCKET_DIM = """
@@ -281,6 +286,57 @@ def _describe_silver() -> str:
     return full_ctes() + "\n" + "\nUNION ALL\n".join(parts)
 
 
+def _describe_all() -> str:
+    """Every declared table, counted column by column. The audit log is the full run's."""
+    ctes = {"staging": "staged", "dead_letter": "dead", "fact_product_metrics": "fact", "dim_category": "dim_cat",
+            "dim_price_bucket": "dim_pb", "agg_category_summary": "agg_cat", "agg_price_bucket_summary": "agg_pb"}
+    log = f"""
+checkpoints AS (
+  SELECT '{FULL_BATCH_ID}' AS batch_id, layer_name, 'SUCCESS' AS status, n AS record_count,
+         {_ts(FULL_AS_OF)} AS executed_at, CAST(NULL AS VARCHAR) AS error_message, n AS batch_rows
+  FROM (SELECT 'BRONZE' AS layer_name, count(*) AS n FROM bronze UNION ALL SELECT 'SILVER', count(*) FROM silver
+        UNION ALL SELECT 'GOLD', count(*) FROM fact)
+)"""
+    parts = [
+        f"SELECT '{table}' AS layer, {i} AS ordinal, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+        f"count(*) AS row_count, count(*) - count({f.name}) AS null_count FROM {ctes.get(table, table)}"
+        for table, schema in TABLES.items() for i, f in enumerate(schema.fields, 1)
+    ]
+    return full_ctes(gold=True) + "," + log + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _malformed() -> str:
+    """The products as quoted lines; what reads back of a well-formed one is the product."""
+    def field(c: str) -> str:
+        value = f"coalesce({c}, '')"
+        if c == "name":
+            value = (f"CASE WHEN l_orderkey % {QUOTED_NAME_EVERY} = 0 THEN concat('\"\"', {value}, '\"\", new') "
+                     f"ELSE {value} END")
+        return f"concat('\"', {value}, '\"')"
+
+    fields = [field(c) for c in SOURCE_COLS.split(", ")]
+    whole, short = f"concat_ws(',', {', '.join(fields)})", f"concat_ws(',', {', '.join(fields[:-2])})"
+    last = f"concat_ws(',', {', '.join(SOURCE_COLS.split(', ')[-2:])})"
+    plain = layer_ctes("f_", FAULTY_BATCH_ID, FULL_AS_OF, f"""NOT (l_orderkey % {SHORT_LINE_EVERY} = 0
+      OR l_orderkey % {LONG_LINE_EVERY} = 0 OR l_orderkey % {OPEN_QUOTE_EVERY} = 0)""")
+    return f"""WITH clean_products AS (SELECT * FROM ({PRODUCTS.strip().removeprefix('products AS (').removesuffix(')')})),
+products AS (
+  SELECT * REPLACE (CASE WHEN l_orderkey % {QUOTED_NAME_EVERY} = 0 THEN concat('"', coalesce(name, ''), '", new')
+                         ELSE name END AS name) FROM clean_products
+),
+listings AS (SELECT '' AS title, 0.0 AS rating_stars, 0 AS rating_count, 0.0 AS price_value, 0.0 AS list_price WHERE false),
+lines AS (
+  SELECT CASE WHEN l_orderkey % {SHORT_LINE_EVERY} = 0 THEN {short}
+              WHEN l_orderkey % {LONG_LINE_EVERY} = 0 THEN concat({whole}, ',"more","still more"')
+              WHEN l_orderkey % {OPEN_QUOTE_EVERY} = 0 THEN concat({short}, ',"', {last}) END AS raw_line
+  FROM clean_products
+),{plain}
+SELECT 'dead_letter' AS layer, CAST(NULL AS VARCHAR) AS name, raw_line, 'malformed line; ' AS validation_errors
+FROM lines WHERE raw_line IS NOT NULL
+UNION ALL SELECT 'dead_letter', name, NULL, validation_errors FROM f_dead
+UNION ALL SELECT 'silver', name, NULL, '' FROM f_silver"""
+
+
 def _layer_counts() -> str:
     tables = [("bronze", "bronze"), ("staging", "staged"), ("silver", "silver"),
               ("dead_letter", "dead"), ("dim_category", "dim_cat"), ("dim_price_bucket", "dim_pb"),
@@ -353,6 +409,13 @@ FROM bucketed b LEFT JOIN dim_pb pb ON b.price_bucket = pb.bucket_label""",
         "agg_price_bucket_summary": f"{gold} SELECT * FROM agg_pb",
         "layer_counts": _layer_counts(),
         "describe_layer": _describe_silver(),
+        "describe_layers": _describe_all(),
+        "gold_after_change": f"""{hist}
+SELECT main_category, count(*) AS product_count, {r2('avg(ratings)')} AS avg_rating,
+       {r2('avg(discount_price)')} AS avg_discount_price, {r2('avg(actual_price)')} AS avg_actual_price,
+       {r2('avg(discount_pct)')} AS avg_discount_pct
+FROM merged GROUP BY main_category""",
+        "malformed_lines": _malformed(),
         "checkpoint_log": f"{hist} SELECT * FROM checkpoints",
         "checkpoint_latest": f"{hist} SELECT * FROM checkpoints ORDER BY executed_at DESC, batch_id DESC, layer_name LIMIT 10",
         "run_summary": f"{hist} SELECT * FROM run_summaries",

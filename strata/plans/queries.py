@@ -23,6 +23,7 @@ from strata.operators.staging import clean, derive, split_valid, stage
 from strata.operators.star import attach_category_key, attach_price_bucket_key, with_price_bucket
 from strata.plans.layers import SILVER_UPDATE_COLUMNS, RunParams, bronze_frame
 from strata.plans.runner import RUN_SUMMARY, latest_checkpoints
+from strata.plans.tables import describe_tables, silver_layout
 from strata.plans.testdata import FULL_AS_OF, FULL_BATCH_ID, LISTINGS_LABEL, testdata_runs
 from strata.sources.files import read_csv_source
 from strata.sources.lineage import with_lineage
@@ -70,7 +71,7 @@ def bronze_map_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = testdata_runs(spark, sf_dir).sources("all")
-    return bronze_frame(sources, RunParams(FULL_BATCH_ID, FULL_AS_OF))
+    return bronze_frame(sources, RunParams(FULL_BATCH_ID, FULL_AS_OF)).select(*schemas.BRONZE.fieldNames())
 
 
 def write_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +114,19 @@ def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dead_letter_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine of both batches, with every changed column as it was received."""
     _, store = _history(spark, sf_dir)
-    return store.read("dead_letter", schema=schemas.DEAD_LETTER_RAW, all_versions=True)
+    return store.read("dead_letter", schema=schemas.DEAD_LETTER_RAW)
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each row of a file with malformed lines went: those lines whole to the
+    quarantine, with the reason; of the others the name, to silver or quarantine."""
+    runs = testdata_runs(spark, sf_dir)
+    runs.faulty()
+    store = runs.faulty_store
+    dead = store.read("dead_letter").select(F.lit("dead_letter").alias("layer"), "name", "raw_line", "validation_errors")
+    return dead.unionByName(store.read("silver").select(
+        F.lit("silver").alias("layer"), "name", F.lit(None).cast("string").alias("raw_line"),
+        F.lit("").alias("validation_errors")))
 
 
 def dead_letter_review_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +164,7 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the second batch again to the merged table: nothing changes."""
     _, store = _history(spark, sf_dir)
-    merged = store.read("silver", schema=schemas.SILVER_STORED)
+    merged = store.read(silver_layout(store).table, schema=schemas.SILVER_STORED)
     batch = store.read("silver_batch", schema=schemas.SILVER_STORED)
     again = upsert(merged, batch, schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS,
                    hash_column=schemas.KEY_HASH)
@@ -160,10 +173,10 @@ def silver_upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver and its quarantine, as a SQL user reads them: by their catalog names."""
-    runs, _ = _full(spark, sf_dir)
+    _, store = _full(spark, sf_dir)
     return spark.sql(f"""
-        SELECT 'silver' AS layer, name, main_category, batch_id FROM {runs.catalog}silver
-        UNION ALL SELECT 'dead_letter', name, main_category, batch_id FROM {runs.catalog}dead_letter""")
+        SELECT 'silver' AS layer, name, main_category, batch_id FROM {store.database}.silver
+        UNION ALL SELECT 'dead_letter', name, main_category, batch_id FROM {store.database}.dead_letter""")
 
 
 # -- gold ------------------------------------------------------------------------
@@ -188,7 +201,7 @@ def fact_join_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_join_category_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same join with hot categories salted (more than 50 rows count as hot)."""
+    """The same join with hot categories (of more than 50 rows) kept out of the shuffle."""
     _, store = _full(spark, sf_dir)
     dim = store.read("dim_category", schema=schemas.DIM_CATEGORY)
     return attach_category_key(_valid_silver(spark, sf_dir), dim, rows_per_task=50)
@@ -231,9 +244,21 @@ def describe_layer_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe_layer(store.read("silver", schema=schemas.SILVER), "silver")
 
 
+def describe_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of all ten tables, from what their writes observed."""
+    return describe_tables(_full(spark, sf_dir)[1])
+
+
+def gold_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category summary after the second batch, which gold summed up from the
+    merge's changed rows alone."""
+    _, store = _history(spark, sf_dir)
+    return store.read("agg_category_summary", schema=schemas.AGG_CATEGORY_SUMMARY)
+
+
 def checkpoint_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, store = _history(spark, sf_dir)
-    return store.read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True)
+    return store.read("checkpoints", schema=schemas.CHECKPOINTS)
 
 
 def checkpoint_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +267,7 @@ def checkpoint_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, store = _history(spark, sf_dir)
-    return store.read("run_summaries", schema=RUN_SUMMARY, all_versions=True)
+    return store.read("run_summaries", schema=RUN_SUMMARY)
 
 
 QUERIES: dict[str, Query] = {
@@ -257,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "valid_invalid_split": valid_invalid_split,
     "dead_letter": dead_letter,
     "dead_letter_raw": dead_letter_raw,
+    "malformed_lines": malformed_lines,
     "dead_letter_review": dead_letter_review_q,
     "quality_report": quality_report_q,
     "distinct_category_pairs": distinct_category_pairs,
@@ -275,8 +301,10 @@ QUERIES: dict[str, Query] = {
     "fact_product_metrics": fact_product_metrics,
     "agg_category_summary": agg_category_summary,
     "agg_price_bucket_summary": agg_price_bucket_summary,
+    "gold_after_change": gold_after_change,
     "layer_counts": layer_counts_q,
     "describe_layer": describe_layer_q,
+    "describe_layers": describe_layers,
     "checkpoint_log": checkpoint_log,
     "checkpoint_latest": checkpoint_latest,
     "run_summary": run_summary,

@@ -4,8 +4,9 @@ Every layer ends with a checkpoint row (SUCCESS with its record count, or
 FAILED with the error text and count 0), stamped when the layer ends. A
 layer whose upstream did not succeed is not attempted and is logged as
 SKIPPED, so a failed bronze load never feeds silver or gold. The checkpoint
-rows are appended to the ``checkpoints`` table and a one-row summary of the
-run to ``run_summaries``.
+rows are appended to the ``checkpoints`` table, a one-row summary of the
+run to ``run_summaries``, and what the writes observed to ``layer_metrics``. The
+tables are made first, so they are there to read even if the first run fails.
 """
 
 from __future__ import annotations
@@ -29,22 +30,15 @@ from strata.plans.layers import (
     run_gold,
     run_silver,
 )
+from strata.plans.tables import ensure_tables
 from strata.sources.store import TableStore
 
+# The layer names and the statuses SUCCESS, FAILED and PARTIAL FAILURE
+# are those of the source pipeline's audit log; SKIPPED is ours.
 SUCCESS, FAILED, SKIPPED = "SUCCESS", "FAILED", "SKIPPED"
 LAYERS = ("BRONZE", "SILVER", "GOLD")
 
-RUN_SUMMARY = StructType([
-    StructField("batch_id", schemas.S, True),
-    StructField("executed_at", schemas.TimestampType(), True),
-    StructField("bronze_rows", schemas.L, True),
-    StructField("silver_rows", schemas.L, True),
-    StructField("valid_rows", schemas.L, True),
-    StructField("invalid_rows", schemas.L, True),
-    StructField("dead_lettered_rows", schemas.L, True),
-    StructField("fact_rows", schemas.L, True),
-    StructField("overall_status", schemas.S, True),
-])
+RUN_SUMMARY = schemas.RUN_SUMMARY
 
 _TS_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
 
@@ -89,8 +83,10 @@ def checkpoint_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
-               silver_buckets: int | None = None, bronze_mode: str = "overwrite") -> RunResult:
+               silver_buckets: int | None = None, silver_parts: int | None = None,
+               bronze_mode: str = "overwrite") -> RunResult:
     spark = store.spark
+    ensure_tables(store, silver_buckets=silver_buckets, silver_parts=silver_parts)
     rows: list[tuple] = []
     results: dict[str, object] = {}
 
@@ -102,9 +98,8 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
         "SILVER": lambda: run_silver(store, results["BRONZE"].bronze, run, rules=rules,
                                      keep_raw=keep_raw, null_safe_merge=null_safe_merge,
                                      dead_letter_mode=dead_letter_mode,
-                                     silver_buckets=silver_buckets),
-        "GOLD": lambda: run_gold(store, results["SILVER"].silver,
-                                 silver_rows=results["SILVER"].silver_rows),
+                                     silver_buckets=silver_buckets, silver_parts=silver_parts),
+        "GOLD": lambda: run_gold(store, silver_rows=results["SILVER"].silver_rows),
     }
     upstream_ok = True
     for layer in LAYERS:
@@ -126,8 +121,9 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
             record(layer, SUCCESS, res.fact_rows, None, res.fact_rows)
 
     result = RunResult(run, rows, results.get("BRONZE"), results.get("SILVER"), results.get("GOLD"))
-    store.append("checkpoints", checkpoint_frame(spark, rows), schema=schemas.CHECKPOINTS)
-    store.append("run_summaries", run_summary_frame(spark, result), schema=RUN_SUMMARY)
+    store.append("checkpoints", checkpoint_frame(spark, rows).coalesce(1))
+    store.append("run_summaries", run_summary_frame(spark, result).coalesce(1))
+    store.flush_metrics(run.batch_id)
     return result
 
 

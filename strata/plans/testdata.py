@@ -1,6 +1,6 @@
 """Runs of the layers over the supplied test tables, shared by the queries.
 
-Two scenarios, both over the whole ``lineitem`` table:
+Three scenarios, all over the whole ``lineitem`` table:
 
 * ``full``: one batch holding every product row (CSV source) plus the wide
   listing table (catalog source);
@@ -8,7 +8,9 @@ Two scenarios, both over the whole ``lineitem`` table:
   then the rest), each loaded with the listing table, so the second run
   merges into the silver table of the first. Quarantine keeps both batches
   with the text as received. Two later runs whose source is
-  missing leave their audit rows and change no table.
+  missing leave their audit rows and change no table;
+* ``faulty``: one batch of the products written line by line, some lines too
+  short, too long or with a quote that never closes.
 
 Inputs and tables live under the session's checkpoint directory, in a folder
 unique to this process and session, and each scenario runs at most once per
@@ -28,13 +30,15 @@ from pyspark.sql import functions as F
 
 from strata.plans.layers import RunParams, Source
 from strata.plans.runner import RunResult, run_layers
-from strata.sources.files import read_csv_source, write_csv
-from strata.sources.products import listing_table, messy_products
-from strata.sources.store import TableStore, checkpoint_root
+from strata.sources.checkpoints import checkpoint_root
+from strata.sources.files import read_csv_source, write_csv, write_lines
+from strata.sources.products import faulty_lines, listing_table, messy_products
+from strata.sources.store import TableStore
 from strata.sources.tables import LISTING_COLUMN_MAP, map_columns
 
 # Fixed run parameters of the scenarios (the oracle SQL uses the same values).
 FULL_BATCH_ID = "batch-full"
+FAULTY_BATCH_ID = "batch-faulty"
 FULL_AS_OF = dt.datetime(2024, 1, 1, 6, 0, 0)
 HISTORY_SPLIT_SHIPDATE = "1998-06-01"
 HISTORY_RUNS = (("batch-1", dt.datetime(2024, 1, 1, 6, 0, 0)),
@@ -71,11 +75,12 @@ class TestdataRuns:
         tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
         app = spark.sparkContext.applicationId
         self.root = f"{checkpoint_root(spark)}/strata-testdata/{app}-{_PROCESS_TOKEN}/{tag}"
-        self.inputs = TableStore(spark, f"{self.root}/inputs")
-        # The full scenario's tables by name: strata_<tag>_silver and so on.
-        self.catalog = f"strata_{_PROCESS_TOKEN}_{tag}_"
+        self._written: set[str] = set()
+        # The scenarios' databases: strata_<process>_<tag>_full and so on.
+        self.database = f"strata_{_PROCESS_TOKEN}_{tag}"
         self._full: RunResult | None = None
         self._history: list[RunResult] | None = None
+        self._faulty: RunResult | None = None
 
     # -- inputs --------------------------------------------------------------
     def csv_path(self, name: str) -> str:
@@ -84,8 +89,9 @@ class TestdataRuns:
     def _ensure_csv(self, name: str, df: DataFrame) -> str:
         path = self.csv_path(name)
         with _LOCK:
-            if not self.inputs._fs.exists(f"{path}/_SUCCESS"):
+            if path not in self._written:
                 write_csv(df, path)
+                self._written.add(path)
         return path
 
     def products_csv(self, part: str = "all") -> str:
@@ -106,19 +112,40 @@ class TestdataRuns:
                 self._ensure_csv("products_turned", turned)]
 
     def listings(self) -> DataFrame:
+        path = f"{self.root}/inputs/listings"
         with _LOCK:
-            if not self.inputs.exists("listings"):
-                self.inputs.overwrite("listings", listing_table(self.spark, self.sf_dir))
-        return self.inputs.read("listings")
+            if path not in self._written:
+                listing_table(self.spark, self.sf_dir).write.parquet(path)
+                self._written.add(path)
+        return self.spark.read.parquet(path)
+
+    def faulty_csv(self) -> str:
+        """The products as lines, some of them malformed (:func:`faulty_lines`)."""
+        path = self.csv_path("products_faulty")
+        with _LOCK:
+            if path not in self._written:
+                write_lines(faulty_lines(self.spark, self.sf_dir), path)
+                self._written.add(path)
+        return path
 
     def sources(self, part: str = "all") -> list[Source]:
         csv = self.products_csv(part)
         listings = self.listings()
         return [
-            Source(PRODUCTS_LABEL, lambda: read_csv_source(self.spark, csv)),
+            Source(PRODUCTS_LABEL, lambda: read_csv_source(self.spark, csv, raw_line=True)),
             Source(LISTINGS_LABEL, lambda: map_columns(listings, LISTING_COLUMN_MAP)),
         ]
 
+    def distinct_sources(self, part: str = "all") -> list[Source]:
+        """The products with their price in the name, so that hardly two rows are one product."""
+        csv = self.products_csv(part)
+
+        def load() -> DataFrame:
+            rows = read_csv_source(self.spark, csv, raw_line=True)
+            return rows.withColumn("name", F.concat_ws(" ", "name", "no_of_ratings", "actual_price"))
+
+        return [Source(PRODUCTS_LABEL, load)]
+
     # -- scenarios -----------------------------------------------------------
     def full(self) -> RunResult:
         with _LOCK:
@@ -126,7 +153,7 @@ class TestdataRuns:
 
     def _full_locked(self) -> RunResult:
         if self._full is None:
-            store = TableStore(self.spark, f"{self.root}/full", catalog=self.catalog)
+            store = TableStore(self.spark, f"{self.root}/full", f"{self.database}_full")
             run = RunParams(FULL_BATCH_ID, FULL_AS_OF, clock=StepClock(FULL_AS_OF))
             result = _succeeded(run_layers(store, self.sources("all"), run))
             self.full_store = store
@@ -139,7 +166,7 @@ class TestdataRuns:
 
     def _history_locked(self) -> list[RunResult]:
         if self._history is None:
-            store = TableStore(self.spark, f"{self.root}/history")
+            store = TableStore(self.spark, f"{self.root}/history", f"{self.database}_history")
             out = []
             for (batch_id, as_of), part in zip(HISTORY_RUNS, ("early", "late"), strict=True):
                 run = RunParams(batch_id, as_of, clock=StepClock(as_of))
@@ -152,6 +179,18 @@ class TestdataRuns:
             self._history = out
         return self._history
 
+    def faulty(self) -> RunResult:
+        """One batch of the products as lines, some of them malformed."""
+        with _LOCK:
+            if self._faulty is None:
+                store = TableStore(self.spark, f"{self.root}/faulty", f"{self.database}_faulty")
+                path = self.faulty_csv()
+                source = Source(PRODUCTS_LABEL, lambda: read_csv_source(self.spark, path, raw_line=True))
+                run = RunParams(FAULTY_BATCH_ID, FULL_AS_OF, clock=StepClock(FULL_AS_OF))
+                self._faulty = _succeeded(run_layers(store, [source], run))
+                self.faulty_store = store
+            return self._faulty
+
 
 def _missing_source() -> DataFrame:
     raise FileNotFoundError(MISSING_SOURCE)

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DecimalType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -25,6 +27,9 @@ from pyspark.sql.types import (
 )
 
 
+from strata.functions.names import quoted
+
+
 def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
@@ -55,6 +60,9 @@ BRONZE = _schema(
     ("ingestion_date", DateType()),
 )
 
+# A malformed source line, whole; NULL in rows of well-formed lines.
+RAW_LINE = "raw_line"
+
 _STAGED_HEAD = (
     ("name", S),
     ("main_category", S),
@@ -77,6 +85,9 @@ SILVER = _schema(*_STAGED_HEAD, *_LINEAGE)
 # table, so merges read it bucket by bucket instead of shuffling it.
 KEY_HASH = "_key_hash"
 SILVER_STORED = _schema(*_STAGED_HEAD, *_LINEAGE, (KEY_HASH, L))
+# The part of the table that a row is in, from its main category.
+PART = "_part"
+SILVER_PARTED = _schema(*_STAGED_HEAD, *_LINEAGE, (KEY_HASH, L), (PART, IntegerType()))
 
 DIM_CATEGORY = _schema(("category_key", L), ("main_category", S), ("sub_category", S))
 DIM_PRICE_BUCKET = _schema(
@@ -94,6 +105,19 @@ FACT_PRODUCT_METRICS = _schema(
     ("discount_pct", D),
     ("is_valid", B),
 )
+# Tables with a dense key as written: numbered within their range partitions, keyed on read.
+ROW_PART, ROW_POS = "_part", "_pos"
+_NUMBERS = [StructField(ROW_PART, IntegerType()), StructField(ROW_POS, L)]
+DIM_CATEGORY_ROWS = StructType([*DIM_CATEGORY.fields[1:], *_NUMBERS])
+FACT_ROWS = StructType([*FACT_PRODUCT_METRICS.fields[1:], *_NUMBERS])
+# Counts and sums that the gold summaries and the category dimension come from.
+SUMMED_COLUMNS = ("ratings", "discount_price", "actual_price", "discount_pct")
+GOLD_ROLLUP = _schema(
+    ("main_category", S), ("sub_category", S), ("price_bucket", S), ("n", L), ("odd", L),
+    *[field for c in SUMMED_COLUMNS for field in ((f"{c}_n", L), (f"{c}_sum", DecimalType(38, 10)))],
+)
+# What one merge changes of them, and of silver's NULL counts.
+GOLD_DELTA = StructType([*GOLD_ROLLUP.fields, *[StructField(f"nulls_{i}", L) for i in range(len(SILVER.fields))]])
 AGG_CATEGORY_SUMMARY = _schema(
     ("main_category", S),
     ("product_count", L),
@@ -117,6 +141,12 @@ CHANGED_COLUMNS = ("name", "main_category", "sub_category", *NUMERIC_COLUMNS)
 _RAW = [StructField(RAW_PREFIX + c, S, True) for c in CHANGED_COLUMNS]
 STAGING_RAW = StructType([*STAGING.fields, *_RAW])
 DEAD_LETTER_RAW = StructType([*DEAD_LETTER.fields, *_RAW])
+RAW_COLUMNS = frozenset([*[f.name for f in _RAW], RAW_LINE])
+# As stored: with the text received and malformed lines, NULL where not kept.
+_LINE = StructField(RAW_LINE, S, True)
+BRONZE_STORED = StructType([*BRONZE.fields, _LINE])
+STAGING_STORED = StructType([*STAGING_RAW.fields, _LINE])
+DEAD_LETTER_STORED = StructType([*DEAD_LETTER_RAW.fields, _LINE])
 CHECKPOINTS = _schema(
     ("batch_id", S),
     ("layer_name", S),
@@ -126,6 +156,17 @@ CHECKPOINTS = _schema(
     ("error_message", S),
     ("batch_rows", L),
 )
+RUN_SUMMARY = _schema(
+    ("batch_id", S),
+    ("executed_at", TimestampType()),
+    ("bronze_rows", L),
+    ("silver_rows", L),
+    ("valid_rows", L),
+    ("invalid_rows", L),
+    ("dead_lettered_rows", L),
+    ("fact_rows", L),
+    ("overall_status", S),
+)
 
 TABLES: dict[str, StructType] = {
     "bronze": BRONZE,
@@ -162,11 +203,11 @@ def enforce_schema(df: DataFrame, schema: StructType, *, allow_extra: bool = Fal
     extra = sorted(set(have) - {c.lower() for c in want})
     if missing or (extra and not allow_extra):
         raise SchemaMismatch(f"missing columns {missing}, unexpected columns {extra}")
+    if [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]:
+        return df
     current = dict((f.name.lower(), f.dataType) for f in df.schema.fields)
-    cols = []
-    for f in schema.fields:
-        src = F.col(have[f.name.lower()])
-        if current[f.name.lower()] != f.dataType:
-            src = src.cast(f.dataType)
-        cols.append(src.alias(f.name))
-    return df.select(*cols)
+    return df.selectExpr(*[
+        f"{quoted(have[f.name.lower()])} AS {quoted(f.name)}" if current[f.name.lower()] == f.dataType
+        else f"CAST({quoted(have[f.name.lower()])} AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+        for f in schema.fields
+    ])

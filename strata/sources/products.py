@@ -14,9 +14,11 @@ own column names, mapped onto product columns by the table source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.schemas import SOURCE_COLUMNS
+
 # Fixed values of the fault-injection rule (a product is faulty when its
 # order key is a multiple of one of these moduli, or by line number).
 NULL_NAME_EVERY = 97
@@ -25,6 +27,13 @@ NULL_SUB_CATEGORY_EVERY = 83
 NEGATIVE_PRICE_EVERY = 79
 NON_NUMERIC_RATING_LINE = 7
 OUT_OF_RANGE_RATING_LINE = 6
+# Lines of the faulty file that lack their last two fields, have two more, open
+# their last field with a quote that never closes, or hold a quoted name in
+# which quotes are doubled (well-formed).
+SHORT_LINE_EVERY = 101
+LONG_LINE_EVERY = 103
+OPEN_QUOTE_EVERY = 107
+QUOTED_NAME_EVERY = 109
 # A category of spaces only: empty after trimming. (CSV cannot tell an empty
 # string from NULL when read with default options, so the blank is spaces.)
 BLANK_CATEGORY = "   "
@@ -34,7 +43,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def messy_products(spark: SparkSession, sf_dir: str, *, with_ship_date: bool = False) -> DataFrame:
+def messy_products(spark: SparkSession, sf_dir: str, *, with_ship_date: bool = False,
+                   with_order_key: bool = False) -> DataFrame:
     """All-text product rows, one per lineitem row (whole table, no sampling)."""
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
@@ -61,9 +71,35 @@ def messy_products(spark: SparkSession, sf_dir: str, *, with_ship_date: bool = F
     ]
     if with_ship_date:
         cols.append(F.col("l_shipdate"))
+    if with_order_key:
+        cols.append(F.col("l_orderkey"))
     return rows.select(*cols)
 
 
+def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every product as one CSV line, all fields quoted, in a column named like the
+    header line; some lines are malformed."""
+    rows = messy_products(spark, sf_dir, with_order_key=True)
+    key = F.col("l_orderkey")
+
+    def field(name: str) -> Column:
+        value = F.coalesce(F.col(name), F.lit(""))
+        if name == "name":
+            value = F.when(key % QUOTED_NAME_EVERY == 0, F.concat(F.lit('""'), value, F.lit('"", new'))).otherwise(value)
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    fields = [field(c) for c in SOURCE_COLUMNS]
+    whole = F.concat_ws(",", *fields)
+    line = (
+        F.when(key % SHORT_LINE_EVERY == 0, F.concat_ws(",", *fields[:-2]))
+        .when(key % LONG_LINE_EVERY == 0, F.concat(whole, F.lit(',"more","still more"')))
+        .when(key % OPEN_QUOTE_EVERY == 0, F.concat(
+            F.concat_ws(",", *fields[:-2]), F.lit(',"'), F.concat_ws(",", *SOURCE_COLUMNS[-2:])))
+        .otherwise(whole)
+    )
+    return rows.select(line.alias(",".join(SOURCE_COLUMNS)))
+
+
 def listing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A wide scraped-listing table with its own naming (one row per part)."""
     part = _table(spark, sf_dir, "part")

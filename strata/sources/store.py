@@ -1,350 +1,315 @@
-"""Versioned Parquet tables with atomic publish.
-
-Each overwrite writes a complete new version directory
-``<root>/<table>/version-<sortable id>/``. Spark's job commit writes the
-``_SUCCESS`` marker only after every task output is in place, so a version
-without the marker is invisible: a failed or half-written run never replaces
-the previous state, and re-running a batch just publishes a fresh version.
-Readers resolve the newest committed version at read time.
-
-Append tables keep every committed version and read them all.
-
-A table can be stored bucketed (``Buckets``): the version is written with
-``bucketBy(...).saveAsTable`` at the version path, and readers register it
-as an external bucketed table, so a join on the bucket column reads it
-without a shuffle. A marker file ``_BUCKETS_<n>_<columns>`` next to
-``_SUCCESS`` records the bucket spec for readers in other sessions.
-
-With ``catalog`` given, every publish also points a catalog view at what readers
-of the table now see, so any SQL user queries the layers by name.
-
-Listing goes through the Hadoop ``FileSystem`` of the session, so the same code
-works on HDFS, object stores and local disk. One writer at a time: a merge
-refuses to publish over a version it did not start from (``based_on``).
+"""Layer tables in Spark's catalog.
+
+Every table is an external Parquet table of one database, made by DDL from its
+declared schema, so that any SQL user reads it by name. How a table is written
+depends on its kind:
+
+* a **snapshot** is replaced whole. Its rows go to the one of two folders that
+  readers don't see, then ``ALTER TABLE ... SET LOCATION`` points the name
+  there: all or nothing, and a failed write leaves the table as it was;
+* a **batches** table keeps what each batch brought in partitions of its own
+  (``batch_id`` is the last partition column). Writing a batch overwrites its
+  partitions and no others, so a batch can be replayed;
+* a **parts** table is partitioned by a part number and bucketed. A write
+  replaces the parts that it holds rows of;
+* a **log** is appended to.
+
+Batches and parts are written by dynamic partition overwrite: Spark puts new
+files aside and moves them in when the whole job has succeeded.
+
+Each write observes its row count and the NULL count of every column.
+:meth:`TableStore.flush_metrics` appends them, with the folder written to, to
+the table ``layer_metrics``. The catalog says where a table's rows are; a
+catalog that does not know the tables yet (a session without a metastore) is
+told by that log. One writer at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
+import threading
 import time
-import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from strata.functions.names import quoted
 from strata.schemas import enforce_schema
 
-VERSION_PREFIX = "version-"
-COMMIT_MARKER = "_SUCCESS"
-BUCKET_MARKER = "_BUCKETS_"
-PARTITION_MARKER = "_PARTITIONED_BY_"
+SNAPSHOT, BATCHES, PARTS, LOG = "snapshot", "batches", "parts", "log"
+SLOTS = ("a", "b")
+METRICS = "layer_metrics"
+METRICS_SCHEMA = StructType([
+    StructField("layer", StringType()), StructField("part", StringType()), StructField("ordinal", LongType()),
+    StructField("column_name", StringType()), StructField("data_type", StringType()),
+    StructField("row_count", LongType()), StructField("null_count", LongType()),
+    StructField("location", StringType()), StructField("batch_id", StringType()), StructField("write_no", LongType()),
+])
 
 
 @dataclass(frozen=True)
 class Buckets:
-    """Bucket spec of a stored table: ``count`` buckets on ``columns``."""
+    """``count`` buckets on ``column``, sorted by it."""
 
     count: int
-    columns: tuple[str, ...]
-
-    def marker(self) -> str:
-        return f"{BUCKET_MARKER}{self.count}_{'+'.join(self.columns)}"
-
-    @staticmethod
-    def from_marker(name: str) -> Buckets:
-        count, cols = name[len(BUCKET_MARKER):].split("_", 1)
-        return Buckets(int(count), tuple(cols.split("+")))
+    column: str
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint directory (``spark.checkpoint.dir``).
-
-    When nothing is configured, a local-mode session (tests, single-machine
-    runs) gets a private temporary directory. On a cluster a machine-local
-    folder would not be shared by the executors, so that is an error instead.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if not current:
-        current = sc.getConf().get("spark.checkpoint.dir", None)
-        if current:
-            sc.setCheckpointDir(current)
-    if not current:
-        if not (sc.master == "local" or sc.master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir is not set; point it at shared storage "
-                             "(HDFS or an object store) that every executor can reach")
-        current = tempfile.mkdtemp(prefix="strata-checkpoint-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current.rstrip("/")
-
-
-class _Fs:
-    """Minimal Hadoop FileSystem access through the session's JVM gateway."""
-
-    def __init__(self, spark: SparkSession):
-        self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+@dataclass(frozen=True)
+class TableSpec:
+    """A table's declared columns and how it is written. Columns in ``optional``
+    are NULL where a writer leaves them out; ``shown`` (default: all) are those
+    whose NULLs are counted."""
 
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
+    schema: StructType
+    kind: str = SNAPSHOT
+    partition_by: tuple[str, ...] = ()
+    buckets: Buckets | None = None
+    optional: frozenset[str] = frozenset()
+    shown: StructType | None = None
 
-    def _fs(self, path: str):
-        return self._path(path).getFileSystem(self._conf)
+    def columns(self) -> list[StructField]:
+        """In the table's order: partition columns last."""
+        rest = [f for f in self.schema.fields if f.name not in self.partition_by]
+        return rest + [self.schema[c] for c in self.partition_by]
 
-    def exists(self, path: str) -> bool:
-        return bool(self._fs(path).exists(self._path(path)))
+    def counted(self) -> StructType:
+        return self.shown or self.schema
 
-    def list_dirs(self, path: str) -> list[str]:
-        fs = self._fs(path)
-        p = self._path(path)
-        if not fs.exists(p):
-            return []
-        return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
-    def glob_parents(self, pattern: str) -> list[str]:
-        """Names of the parent directories of every path matching ``pattern``."""
-        found = self._fs(pattern).globStatus(self._path(pattern))
-        return sorted(st.getPath().getParent().getName() for st in (found or []))
+@dataclass(frozen=True)
+class Metric:
+    """What one write brought: rows and NULLs of each shown column."""
 
-    def glob_names(self, pattern: str) -> list[str]:
-        found = self._fs(pattern).globStatus(self._path(pattern))
-        return sorted(st.getPath().getName() for st in (found or []))
+    layer: str
+    part: str
+    schema: StructType
+    rows: int
+    nulls: tuple[int, ...]
+    location: str
+    write_no: int
 
-    def touch(self, path: str) -> None:
-        self._fs(path).create(self._path(path), True).close()
 
-    def delete(self, path: str) -> bool:
-        return bool(self._fs(path).delete(self._path(path), True))
+def null_counts(schema: StructType) -> Column:
+    """An aggregate: the rows of a frame and the NULLs of its columns, as (rows, nulls)."""
+    nulls = ", ".join(f"count_if({quoted(f.name)} IS NULL)" for f in schema.fields)
+    return F.expr(f"named_struct('rows', count(1), 'nulls', array({nulls}))").alias("counted")
 
 
-class StaleVersionError(RuntimeError):
-    """The table was published anew since the version a writer started from."""
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _new_version_id() -> str:
-    return f"{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+def _partition(values: Mapping[str, str]) -> str:
+    return ", ".join(f"`{k}` = {_text(v)}" for k, v in values.items())
 
 
 class TableStore:
-    """Named, versioned Parquet tables under one root directory.
-
-    ``retain_versions`` (off by default) bounds storage: after a successful
-    overwrite, committed versions older than the newest ``retain_versions``,
-    and unfinished version directories older than those, are deleted. Keep it
-    at 2 or more so a reader that resolved the previous version can finish.
+    """The tables of one database, their files under ``root``.
 
-    ``catalog`` (off by default) is what table names are prefixed with in the
-    catalog, such as ``"lake."`` or ``"lake.products_"``; the database must exist.
+    ``database`` is made where it does not exist; without one, its name is
+    derived from ``root``, so one root is always the same database.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, retain_versions: int | None = None,
-                 catalog: str | None = None):
-        if retain_versions is not None and retain_versions < 1:
-            raise ValueError("retain_versions must be at least 1")
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
         if not root:
             raise ValueError("a table store needs a root folder that outlives the session")
+        self.spark = spark
         self.root = root.rstrip("/")
-        self.retain_versions = retain_versions
-        self.catalog = catalog
-        self._fs = _Fs(spark)
-
-    # -- paths ---------------------------------------------------------------
-    def table_path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def committed_versions(self, name: str) -> list[str]:
-        """Committed version paths, oldest first (one glob listing)."""
-        base = self.table_path(name)
-        names = self._fs.glob_parents(f"{base}/{VERSION_PREFIX}*/{COMMIT_MARKER}")
-        return [f"{base}/{d}" for d in names if d.startswith(VERSION_PREFIX)]
-
-    def current_version(self, name: str) -> str | None:
-        versions = self.committed_versions(name)
-        return versions[-1] if versions else None
-
-    def exists(self, name: str) -> bool:
-        return self.current_version(name) is not None
+        self.database = database or f"strata_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}"
+        self.specs: dict[str, TableSpec] = {}
+        self._metrics: list[Metric] = []
+        self._lock = threading.Lock()
+
+    # -- DDL -----------------------------------------------------------------
+    def name(self, table: str) -> str:
+        return f"`{self.database}`.`{table}`"
+
+    def exists(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(f"{self.database}.{table}")
+
+    def ensure(self, specs: Mapping[str, TableSpec]) -> None:
+        """``CREATE DATABASE`` and ``CREATE TABLE`` for what does not exist yet. Rows
+        that are under the root already belong to the new tables."""
+        new = {t: s for t, s in specs.items() if t not in self.specs}
+        if not new:
+            return
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION {_text(self.root)}")
+        known = {r.tableName for r in self.spark.sql(f"SHOW TABLES IN `{self.database}`").collect()}
+        if METRICS not in known:
+            self._create(METRICS, TableSpec(METRICS_SCHEMA, LOG), f"{self.root}/{METRICS}")
+        self.specs.setdefault(METRICS, TableSpec(METRICS_SCHEMA, LOG))
+        if absent := [t for t in new if t not in known]:
+            written = self.last_locations()
+            for table in absent:
+                default = f"{self.root}/{table}" + (f"/{SLOTS[0]}" if new[table].kind == SNAPSHOT else "")
+                self._create(table, new[table], written.get(table, default))
+        self.specs.update(new)
+
+    def last_locations(self) -> dict[str, str]:
+        """Where the metrics say that each table was last written."""
+        rows = self.spark.table(self.name(METRICS)).groupBy("layer").agg(
+            F.max_by("location", "write_no").alias("location")).collect()
+        return {r.layer: r.location for r in rows if r.location}
+
+    def _create(self, table: str, spec: TableSpec, location: str) -> None:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.columns())
+        ddl = f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({cols}) USING parquet"
+        if spec.partition_by:
+            ddl += f" OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({', '.join(spec.partition_by)})"
+        if spec.buckets:
+            on = f"`{spec.buckets.column}`"
+            ddl += f" CLUSTERED BY ({on}) SORTED BY ({on}) INTO {spec.buckets.count} BUCKETS"
+        self.spark.sql(f"{ddl} LOCATION {_text(location)}")
+        if spec.partition_by:
+            try:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+            except Exception as exc:  # noqa: BLE001 - of a new table there is no folder yet
+                if "FileNotFoundException" not in str(exc):
+                    raise
+
+    def create(self, table: str, spec: TableSpec, location: str) -> None:
+        """One more table, at a folder of the caller's choice."""
+        if not self.exists(table):
+            self._create(table, spec, location)
+        self.specs[table] = spec
+
+    def forget(self, table: str) -> None:
+        """Take a table out of the catalog and empty its folder."""
+        location = self.location(table)
+        schema = self.spark.table(self.name(table)).schema
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(location)
+        self.specs.pop(table, None)
+
+    def location(self, table: str) -> str:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        return next(r.data_type for r in reversed(rows) if r.col_name == "Location").rstrip("/")
+
+    def view(self, name: str, query: str, properties: Mapping[str, str] | None = None) -> None:
+        """Let ``name`` be what ``query`` reads."""
+        shown = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in (properties or {}).items())
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(name)}"
+                       + (f" TBLPROPERTIES ({shown})" if shown else "") + f" AS {query}")
+
+    def properties(self, table: str) -> dict[str, str]:
+        return {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()}
+
+    def set_properties(self, table: str, **values: str | int) -> None:
+        shown = ", ".join(f"{_text(k)} = {_text(str(v))}" for k, v in values.items())
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ({shown})")
 
     # -- writes --------------------------------------------------------------
-    @staticmethod
-    def _catalog_name(version_path: str) -> str:
-        return f"strata_v_{hashlib.sha1(version_path.encode()).hexdigest()[:20]}"
-
-    def _write_version(self, name: str, df: DataFrame, schema: StructType | None,
-                       partition_by: list[str] | None, buckets: Buckets | None = None) -> str:
-        if schema is not None:
-            df = enforce_schema(df, schema)
-        path = f"{self.table_path(name)}/{_new_version_id()}"
-        writer = df.write.mode("errorifexists").format("parquet")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        if buckets is None:
-            writer.save(path)
-            if partition_by:
-                self._fs.touch(f"{path}/{PARTITION_MARKER}{'+'.join(partition_by)}")
-            return path
-        cols = list(buckets.columns)
-        (writer.bucketBy(buckets.count, *cols).sortBy(*cols).option("path", path)
-         .saveAsTable(self._catalog_name(path)))
-        # Written after the commit: until it exists readers see the same rows unbucketed.
-        self._fs.touch(f"{path}/{buckets.marker()}")
-        return path
-
-    def buckets(self, version_path: str) -> Buckets | None:
-        names = self._fs.glob_names(f"{version_path}/{BUCKET_MARKER}*")
-        return Buckets.from_marker(names[0]) if names else None
-
-    def table_buckets(self, name: str) -> Buckets | None:
-        current = self.current_version(name)
-        return self.buckets(current) if current else None
-
-    def _point_view(self, name: str, versions: list[str], schema: StructType) -> None:
-        """Let the catalog view of ``name`` read these versions. Columns starting
-        with an underscore are the store's own and not shown."""
-        if self.catalog is None:
-            return
-        shown = [f for f in schema.fields if not f.name.startswith("_")]
-        partitioned = set(self._fs.glob_parents(f"{self.table_path(name)}/{VERSION_PREFIX}*/{PARTITION_MARKER}*"))
-        plain = [v.rsplit("/", 1)[1] for v in versions if v.rsplit("/", 1)[1] not in partitioned]
-        # Partitioned versions without a row hold no file, so no schema to read.
-        paths = [v for v in versions if v.rsplit("/", 1)[1] in partitioned and self._fs.glob_names(f"{v}/*=*")]
-        if plain:
-            # A version may lack columns that a later one has: their schemas are merged.
-            paths.insert(0, f"{self.table_path(name)}/{{{','.join(plain)}}}" if len(plain) > 1
-                         else f"{self.table_path(name)}/{plain[0]}")
-        cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in shown)
-        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in shown)
-        reads = [f"SELECT {cols} FROM parquet.`{p}` WITH ('mergeSchema' = 'true')" for p in paths]
-        body = " UNION ALL ".join(reads) or f"SELECT {nulls} WHERE false"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.catalog}{name} AS {body}")
-
-    def overwrite(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                  partition_by: list[str] | None = None, buckets: Buckets | None = None,
-                  based_on: str | None = None) -> DataFrame:
-        """Publish ``df`` as the new state of ``name`` and return it read back.
-
-        ``based_on``: the version ``df`` was computed from; :class:`StaleVersionError`
-        if another has been published since."""
-        if based_on is not None and self.current_version(name) != based_on:
-            raise StaleVersionError(f"table {name!r} is no longer at {based_on}: one writer at a time")
-        path = self._write_version(name, df, schema, partition_by, buckets)
-        self._point_view(name, [path], schema if schema is not None else df.schema)
-        if self.retain_versions is not None:
-            self.vacuum(name, self.retain_versions)
-        return self._read_version(path, schema if schema is not None else df.schema)
-
-    def overwrite_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                          partition_by: list[str] | None = None, buckets: Buckets | None = None,
-                          based_on: str | None = None) -> tuple[DataFrame, int]:
-        """``overwrite`` that also returns the row count, observed during the write."""
-        obs = Observation(f"rows_{name}")
-        out = self.overwrite(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema=schema,
-                             partition_by=partition_by, buckets=buckets, based_on=based_on)
-        return out, int(obs.get["rows"])
-
-    def write_version_counted(self, name: str, df: DataFrame, *, schema: StructType | None = None,
-                              partition_by: list[str] | None = None) -> tuple[str, int]:
-        """Write ``df`` as one more committed version; returns (version path, rows)."""
-        obs = Observation(f"rows_{name}_version")
-        path = self._write_version(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema,
-                                   partition_by)
-        self._point_view(name, self.committed_versions(name), schema if schema is not None else df.schema)
-        return path, int(obs.get["rows"])
-
-    def read_version(self, path: str, schema: StructType | None = None) -> DataFrame:
-        return self._read_version(path, schema)
-
-    def append_counted(self, name: str, df: DataFrame, *,
-                       schema: StructType | None = None) -> tuple[DataFrame, int]:
-        """``append`` that also returns the number of rows appended."""
-        obs = Observation(f"rows_{name}")
-        out = self.append(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), schema=schema)
-        return out, int(obs.get["rows"])
-
-    def vacuum(self, name: str, keep: int) -> list[str]:
-        """Delete all but the newest ``keep`` committed versions of a snapshot
-        table, and unfinished versions older than the oldest one kept."""
-        base = self.table_path(name)
-        committed = [p.rsplit("/", 1)[1] for p in self.committed_versions(name)]
-        if len(committed) <= keep:
-            return []
-        oldest_kept = committed[-keep]
-        doomed = [d for d in self._fs.list_dirs(base) if d.startswith(VERSION_PREFIX) and d < oldest_kept]
-        for d in doomed:
-            if self.buckets(f"{base}/{d}") is not None:
-                # External table: dropping it removes the catalog entry only.
-                self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(f'{base}/{d}')}")
-            self._fs.delete(f"{base}/{d}")
-        return doomed
-
-    def append(self, name: str, df: DataFrame, *, schema: StructType | None = None) -> DataFrame:
-        """Add ``df``'s rows to an append-only table; returns the whole table."""
-        self._write_version(name, df, schema, None)
-        self._point_view(name, self.committed_versions(name), schema if schema is not None else df.schema)
-        return self.read(name, schema=schema if schema is not None else df.schema, all_versions=True)
-
-    def create_if_absent(self, name: str, schema: StructType) -> None:
-        """Publish an empty version so readers always find the table."""
-        if not self.exists(name):
-            path = self._write_version(name, self.spark.createDataFrame([], schema), schema, None)
-            self._point_view(name, [path], schema)
+    def _observed(self, table: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+        spec = self.specs[table]
+        have = {c.lower() for c in df.columns}
+        if absent := sorted(c for c in spec.optional if c.lower() not in have):
+            df = df.selectExpr("*", *[f"CAST(NULL AS {spec.schema[c].dataType.simpleString()}) AS {quoted(c)}"
+                                      for c in absent])
+        df = enforce_schema(df, StructType(spec.columns()))
+        obs = Observation()
+        return df.observe(obs, null_counts(spec.counted())), obs
+
+    def record(self, table: str, part: str, rows: int, nulls: Sequence[int], *, layer: str | None = None,
+               schema: StructType | None = None, location: str | None = None) -> None:
+        """Remember what a write brought until the metrics are flushed."""
+        with self._lock:
+            self._metrics.append(Metric(
+                layer or table, part, schema or self.specs[table].counted(), rows, tuple(nulls),
+                location or self.location(table), time.time_ns()))
+
+    def _record(self, table: str, part: str, obs: Observation, location: str) -> int:
+        # A frame that is known to be empty before it runs has nothing to observe.
+        counted = obs.get.get("counted")
+        rows, nulls = counted or (0, [0] * len(self.specs[table].counted().fields))
+        self.record(table, part, rows, nulls, location=location)
+        return rows
+
+    def last_metric(self, table: str) -> Metric:
+        """What the last write of a table since the last flush brought."""
+        with self._lock:
+            return next(m for m in reversed(self._metrics) if m.layer == table)
+
+    def publish(self, table: str, df: DataFrame) -> tuple[DataFrame, int]:
+        """Replace a snapshot by ``df``; (the table read back, its rows)."""
+        df, obs = self._observed(table, df)
+        now = self.location(table)
+        slot = f"{self.root}/{table}/{SLOTS[now.endswith('/' + SLOTS[0])]}"
+        df.write.mode("overwrite").parquet(slot)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION {_text(slot)}")
+        return self.read(table), self._record(table, "", obs, slot)
+
+    def replace_batch(self, table: str, df: DataFrame, batch_id: str, *, keep_others: bool) -> tuple[DataFrame, int]:
+        """Let ``df`` be all that a batches table holds of ``batch_id``, and unless
+        ``keep_others`` all that it holds; (the batch's rows read back, their
+        number). Replaying a batch replaces what it brought, on whichever day.
+
+        The batch's new partitions come in before others go, so a reader between
+        the two sees both, and a failure in between loses nothing.
+        """
+        if not batch_id:
+            raise ValueError("a batch needs an id")
+        df, obs = self._observed(table, df)
+        day = [c for c in self.specs[table].partition_by if c != "batch_id"]
+        # The batch's other partition values are the same in all its rows.
+        seen = Observation()
+        if day:
+            df = df.observe(seen, *[F.max(F.col(c).cast("string")).alias(c) for c in day])
+        df.write.insertInto(self.name(table), overwrite=True)
+        location = f"{self.root}/{table}"
+        rows = self._record(table, batch_id, obs, location)
+        written = {**({c: seen.get[c] for c in day} if day and rows else {}), "batch_id": batch_id}
+        for old in self.partitions(table):
+            ours = old["batch_id"] == batch_id
+            if ours and rows and old == written or not ours and keep_others:
+                continue
+            self._drop_partition(table, old)
+            if not ours:
+                self.record(table, old["batch_id"], 0, [0] * len(self.specs[table].counted().fields),
+                            location=location)
+        return self.read(table).where(F.col("batch_id") == batch_id), rows
+
+    def partitions(self, table: str) -> list[dict[str, str]]:
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
+        return [dict((k, unquote(v)) for k, v in (p.split("=", 1) for p in r[0].split("/"))) for r in rows]
+
+    def _drop_partition(self, table: str, values: Mapping[str, str]) -> None:
+        """Readers lose the partition at once; its files go by an empty overwrite."""
+        spec = self.specs[table]
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in spec.columns()
+                          if f.name not in values)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({_partition(values)}) "
+                       f"SELECT {nulls} WHERE false")
+        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({_partition(values)})")
+
+    def replace_parts(self, table: str, df: DataFrame) -> None:
+        """Overwrite the parts that ``df`` has rows of; others stay untouched. ``df``
+        may be computed from the table itself."""
+        df = enforce_schema(df, StructType(self.specs[table].columns()))
+        df.write.insertInto(self.name(table), overwrite=True)
+
+    def append(self, table: str, df: DataFrame) -> int:
+        """Add ``df``'s rows to a log; returns their number."""
+        df, obs = self._observed(table, df)
+        df.write.insertInto(self.name(table))
+        return self._record(table, f"append-{time.time_ns()}", obs, f"{self.root}/{table}")
 
     # -- reads ---------------------------------------------------------------
-    def _read_paths(self, paths: list[str], schema: StructType | None) -> DataFrame:
-        reader = self.spark.read.format("parquet")
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.load(paths[0]) if len(paths) == 1 else reader.load(paths)
-
-    def _read_version(self, path: str, schema: StructType | None) -> DataFrame:
-        spec = self.buckets(path)
-        if spec is None:
-            return self._read_paths([path], schema)
-        table = self._catalog_name(path)
-        if not self.spark.catalog.tableExists(table):
-            stored = self._read_paths([path], None).schema
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.fields)
-            on = ", ".join(f"`{c}`" for c in spec.columns)
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet CLUSTERED BY ({on}) "
-                f"SORTED BY ({on}) INTO {spec.count} BUCKETS LOCATION '{path}'")
-        df = self.spark.table(table)
-        if schema is not None:
-            df = df.select(*[F.col(f"`{f.name}`") for f in schema.fields])
-        return df
-
-    def read(self, name: str, *, schema: StructType | None = None,
-             all_versions: bool = False) -> DataFrame:
-        """The newest committed version (all versions for append tables).
-
-        ``schema`` selects and types the columns; for a bucketed table it is a
-        projection, so reading without the bucket column gives a plain scan.
-        """
-        versions = self.committed_versions(name)
-        if not versions:
-            if schema is None:
-                raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
-            return self.spark.createDataFrame([], schema)
-        if all_versions:
-            return self._read_all(name, versions, schema)
-        return self._read_version(versions[-1], schema)
-
-    def _read_all(self, name: str, versions: list[str], schema: StructType | None) -> DataFrame:
-        """Every committed version. Partitioned versions are separate table roots
-        for Spark's partition discovery, so they are read one by one and unioned;
-        the others are read in one scan."""
-        partitioned = set(self._fs.glob_parents(f"{self.table_path(name)}/{VERSION_PREFIX}*/{PARTITION_MARKER}*"))
-        plain = [v for v in versions if v.rsplit("/", 1)[1] not in partitioned]
-        frames = [self._read_paths([v], schema) for v in versions if v.rsplit("/", 1)[1] in partitioned]
-        if plain:
-            frames.insert(0, self._read_paths(plain, schema))
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+    def read(self, table: str, schema: StructType | None = None) -> DataFrame:
+        """The table, or the columns of ``schema`` of it."""
+        df = self.spark.table(self.name(table))
+        return df if schema is None else df.select(*[quoted(f.name) for f in schema.fields])
+
+    # -- metrics -------------------------------------------------------------
+    def flush_metrics(self, batch_id: str) -> None:
+        """Append what was observed since the last flush to ``layer_metrics``."""
+        with self._lock:
+            waiting, self._metrics = self._metrics, []
+        rows = [(m.layer, m.part, i, f.name, f.dataType.simpleString(), m.rows, n, m.location, batch_id, m.write_no)
+                for m in waiting for i, (f, n) in enumerate(zip(m.schema.fields, m.nulls, strict=True), 1)]
+        if rows:
+            self.spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.insertInto(self.name(METRICS))

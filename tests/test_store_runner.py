@@ -1,58 +1,107 @@
-"""Versioned publish, append, and the audited layer runner."""
+"""Layer tables in the catalog, and the audited layer runner."""
 
 from __future__ import annotations
 
 import datetime as dt
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import MOCK_SCHEMA
 from strata import schemas
-from strata.plans import RunParams, Source, latest_checkpoints, run_layers
-from strata.plans.runner import RUN_SUMMARY
+from strata.operators.star import with_price_bucket
+from strata.operators.summaries import category_summary, price_bucket_summary, rollup
+from strata.plans import (
+    RunParams,
+    SilverLayout,
+    Source,
+    describe_tables,
+    ensure_tables,
+    latest_checkpoints,
+    run_layers,
+    silver_layout,
+)
+from strata.plans.layers import STATE, WRITING
 from strata.plans.testdata import StepClock
-from strata.sources.store import StaleVersionError, TableStore
+from strata.sources.store import BATCHES, LOG, TableSpec, TableStore
 
+PRODUCT = ("name string, main_category string, sub_category string, ratings string, no_of_ratings string, "
+           "discount_price string, actual_price string, image string, link string")
+
+
+def _store(spark, root, **tables):
+    store = TableStore(spark, root)
+    store.ensure(tables)
+    return store
+
+
+ONE = TableSpec(schemas._schema(("id", schemas.L)))
 
-def test_overwrite_publishes_new_version(spark, scratch_dir):
-    store = TableStore(spark, scratch_dir)
-    store.overwrite("t", spark.range(3))
-    store.overwrite("t", spark.range(5))
-    assert store.read("t").count() == 5
-    assert len(store.committed_versions("t")) == 2
+
+def test_a_snapshot_is_replaced_whole(spark, scratch_dir):
+    store = _store(spark, scratch_dir, t=ONE)
+    assert store.read("t").count() == 0
+    for n in (3, 5, 0, 4):
+        frame, rows = store.publish("t", spark.range(n))
+        assert rows == n == frame.count() == store.read("t").count()
+    assert sorted(d for d in os.listdir(f"{scratch_dir}/t") if not d.startswith(".")) == ["a", "b"]
+    assert store.publish("t", store.read("t").where("id > 1"))[1] == 2  # computed from itself
 
 
 def test_failed_write_keeps_previous_state(spark, scratch_dir):
-    store = TableStore(spark, scratch_dir)
-    store.overwrite("t", spark.range(3))
-    spark.conf.set("spark.sql.ansi.enabled", "true")
-    bad = spark.range(10).select((F.lit(1) / (F.col("id") - 7)).cast("int").alias("x"),
-                                 F.assert_true(F.col("id") < 7).alias("check"))
-    with pytest.raises(Exception):
-        store.overwrite("t", bad)
-    assert store.read("t").count() == 3
-    assert len(store.committed_versions("t")) == 1
+    store = _store(spark, scratch_dir, t=ONE, b=TableSpec(
+        schemas._schema(("id", schemas.L), ("batch_id", schemas.S)), BATCHES, ("batch_id",)))
+    store.publish("t", spark.range(3))
+    bad = spark.range(10).select(F.when(F.col("id") < 7, F.col("id")).otherwise(
+        F.raise_error(F.lit("bad row")).cast("long")).alias("id"))
+    good = spark.range(3).select("id", F.lit("x").alias("batch_id"))
+    store.replace_batch("b", good, "x", keep_others=True)
+    with pytest.raises(Exception, match="bad row"):
+        store.publish("t", bad)
+    with pytest.raises(Exception, match="bad row"):
+        store.replace_batch("b", bad.withColumn("batch_id", F.lit("x")), "x", keep_others=False)
+    assert store.read("t").count() == 3 == store.read("b").count()
+
+
+def test_a_replayed_batch_replaces_its_own_rows(spark, scratch_dir):
+    spec = TableSpec(schemas._schema(("id", schemas.L), ("day", schemas.DateType()), ("batch_id", schemas.S)),
+                     BATCHES, ("day", "batch_id"))
+    store = _store(spark, scratch_dir, b=spec)
+
+    def batch(name, day, n):
+        return spark.range(n).select("id", F.lit(day).cast("date").alias("day"), F.lit(name).alias("batch_id"))
+
+    def held():
+        return {(str(r.day), r.batch_id): r["count"] for r in store.read("b").groupBy("day", "batch_id").count().collect()}
+
+    odd = "a=b/c d%é'"
+    for name, day, n in (("one", "2024-01-01", 5), (odd, "2024-01-01", 2), ("one", "2024-01-01", 5), ("two", "2024-01-02", 3)):
+        frame, rows = store.replace_batch("b", batch(name, day, n), name, keep_others=True)
+        assert rows == n == frame.count()
+    assert held() == {("2024-01-01", "one"): 5, ("2024-01-01", odd): 2, ("2024-01-02", "two"): 3}
+    store.replace_batch("b", batch("one", "2024-01-09", 1), "one", keep_others=True)  # replayed on another day
+    store.replace_batch("b", batch(odd, "2024-01-01", 0), odd, keep_others=True)  # now without a row
+    assert held() == {("2024-01-09", "one"): 1, ("2024-01-02", "two"): 3}
+    store.replace_batch("b", batch("three", "2024-01-03", 4), "three", keep_others=False)
+    assert held() == {("2024-01-03", "three"): 4} and len(store.partitions("b")) == 1
+    with pytest.raises(ValueError):
+        store.replace_batch("b", batch("", "2024-01-03", 4), "", keep_others=True)
 
 
-def test_append_and_schema_enforcement(spark, scratch_dir):
-    store = TableStore(spark, scratch_dir)
-    store.create_if_absent("log", schemas.CHECKPOINTS)
-    assert store.read("log", schema=schemas.CHECKPOINTS, all_versions=True).count() == 0
-    row = [("b", "BRONZE", "SUCCESS", 3, None, None, 3)]
-    df = spark.createDataFrame(row, schemas.CHECKPOINTS)
-    store.append("log", df, schema=schemas.CHECKPOINTS)
-    out = store.append("log", df, schema=schemas.CHECKPOINTS)
-    assert out.count() == 2
+def test_log_and_schema_enforcement(spark, scratch_dir):
+    store = _store(spark, scratch_dir, log=TableSpec(schemas.CHECKPOINTS, LOG))
+    df = spark.createDataFrame([("b", "BRONZE", "SUCCESS", 3, None, None, 3)], schemas.CHECKPOINTS)
+    assert store.append("log", df) == 1 and store.append("log", df) == 1
+    assert store.read("log").count() == 2
     with pytest.raises(ValueError):
-        store.append("log", df.drop("status"), schema=schemas.CHECKPOINTS)
+        store.append("log", df.drop("status"))
 
 
-def test_read_missing_table(spark, scratch_dir):
-    store = TableStore(spark, scratch_dir)
-    with pytest.raises(FileNotFoundError):
-        store.read("nothing")
-    assert store.read("nothing", schema=schemas.SILVER).count() == 0
+def test_store_needs_a_root(spark):
+    with pytest.raises((TypeError, ValueError)):
+        TableStore(spark, "")
 
 
 def _mock_source(spark, mock_df):
@@ -66,7 +115,7 @@ def test_runner_end_to_end_and_replay(spark, scratch_dir, mock_df):
     as_of = dt.datetime(2024, 3, 1, 6, 0, 0)
     src = [_mock_source(spark, mock_df)]
     first = run_layers(store, src, RunParams("r1", as_of, clock=StepClock(as_of)))
-    assert first.succeeded
+    assert first.succeeded, first.checkpoints
     assert [(r[1], r[2], r[3]) for r in first.checkpoints] == [
         ("BRONZE", "SUCCESS", 10), ("SILVER", "SUCCESS", 4), ("GOLD", "SUCCESS", 4)]
     assert first.silver.dead_letter_rows == 5
@@ -74,19 +123,41 @@ def test_runner_end_to_end_and_replay(spark, scratch_dir, mock_df):
     assert sorted(r["product_key"] for r in fact.collect()) == [1, 2, 3, 4]
     # Replaying the same batch changes nothing in silver (idempotent merge).
     again = run_layers(store, src, RunParams("r1", as_of, clock=StepClock(as_of)))
-    assert again.silver.silver_rows == 4
-    log = store.read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True)
+    assert again.silver.silver_rows == 4 == store.read("silver").count()
+    log = store.read("checkpoints", schema=schemas.CHECKPOINTS)
     assert log.count() == 6
     assert latest_checkpoints(log, 2).count() == 2
-    summary = store.read("run_summaries", schema=RUN_SUMMARY, all_versions=True).collect()
-    assert [r["overall_status"] for r in summary] == ["SUCCESS", "SUCCESS"]
+    assert [r["overall_status"] for r in store.read("run_summaries").collect()] == ["SUCCESS", "SUCCESS"]
 
 
-def test_runner_bronze_failure_skips_downstream(spark, scratch_dir, mock_df):
+def test_replay_in_append_mode_changes_nothing(spark, scratch_dir, mock_df):
     store = TableStore(spark, scratch_dir)
+    src = [_mock_source(spark, mock_df)]
+    modes = {"bronze_mode": "append", "dead_letter_mode": "append", "keep_raw": True}
+
+    def rows(table):
+        return sorted(map(str, store.read(table).collect()))
+
+    for day, batch in ((1, "d1"), (2, "d2"), (3, "d3")):
+        run_layers(store, src, RunParams(batch, dt.datetime(2024, 3, day, 6)), **modes)
+    before = {t: rows(t) for t in ("bronze", "dead_letter", "silver")}
+    assert [len(before[t]) for t in before] == [30, 15, 4]
+    again = run_layers(store, src, RunParams("d2", dt.datetime(2024, 3, 2, 6)), **modes)
+    assert rows("bronze") == before["bronze"] and rows("dead_letter") == before["dead_letter"]
+    assert again.bronze.rows == 10 == again.bronze.bronze.count()
+    assert again.silver.dead_letter_rows == 5 == again.silver.dead_letter.count()
+    # Batches are partitions of one table: one scan, which reads only those asked for.
+    for frame, filtered in ((store.read("bronze"), ""), (store.read("bronze").where("batch_id = 'd3'"), "d3")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Union" not in plan
+        filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert (f"= {filtered})" in filters) if filtered else not filters
+
+
+def test_runner_bronze_failure_skips_downstream(spark, scratch_dir, mock_df):
+    """A failed first run leaves every table there to read, empty."""
+    store = TableStore(spark, scratch_dir, "first_run")
     as_of = dt.datetime(2024, 3, 2, 6, 0, 0)
-    store.overwrite("silver", spark.createDataFrame([], schemas.SILVER), schema=schemas.SILVER)
-    before = store.current_version("silver")
 
     def broken():
         raise OSError("source unavailable")
@@ -96,8 +167,11 @@ def test_runner_bronze_failure_skips_downstream(spark, scratch_dir, mock_df):
         ("BRONZE", "FAILED", 0), ("SILVER", "SKIPPED", 0), ("GOLD", "SKIPPED", 0)]
     assert "source unavailable" in result.checkpoints[0][5]
     assert result.overall_status == "PARTIAL FAILURE"
-    assert store.current_version("silver") == before
     assert [r[4] for r in result.checkpoints] == [as_of + dt.timedelta(seconds=i) for i in (1, 2, 3)]
+    for table, schema in schemas.TABLES.items():
+        found = spark.sql(f"SELECT * FROM first_run.{table}")
+        assert {f.name for f in schema.fields} <= set(found.columns), table
+        assert found.count() == (3 if table == "checkpoints" else 0), table
 
 
 def test_runner_keep_raw_dead_letter(spark, scratch_dir, mock_df):
@@ -112,21 +186,7 @@ def test_mock_schema_is_text():
     assert {f.dataType.simpleString() for f in MOCK_SCHEMA.fields} == {"string"}
 
 
-def test_retention_keeps_newest_versions(spark, scratch_dir):
-    store = TableStore(spark, scratch_dir, retain_versions=2)
-    for n in (1, 2, 3, 4):
-        store.overwrite("t", spark.range(n))
-    assert len(store.committed_versions("t")) == 2
-    assert store.read("t").count() == 4
-    log = TableStore(spark, scratch_dir, retain_versions=1)
-    for _ in range(3):
-        log.append("log", spark.range(1))
-    assert log.read("log", all_versions=True).count() == 3  # append tables are never vacuumed
-
-
-def test_ensure_tables_and_dead_letter_append(spark, scratch_dir, mock_df):
-    from strata.plans import ensure_tables
-
+def test_dead_letter_append(spark, scratch_dir, mock_df):
     store = TableStore(spark, scratch_dir)
     ensure_tables(store)
     assert all(store.exists(t) for t in schemas.TABLES)
@@ -137,36 +197,70 @@ def test_ensure_tables_and_dead_letter_append(spark, scratch_dir, mock_df):
                             dead_letter_mode="append")
         assert result.silver.dead_letter_rows == 5
         assert result.silver.dead_letter.count() == 5
-    dead = store.read("dead_letter", schema=schemas.DEAD_LETTER, all_versions=True)
+    dead = store.read("dead_letter", schema=schemas.DEAD_LETTER)
     assert sorted(r["batch_id"] for r in dead.select("batch_id").distinct().collect()) == ["a1", "a2"]
     assert dead.count() == 10
 
 
-def test_bucketed_silver_merge_shuffles_only_the_batch(spark, scratch_dir):
-    from strata.operators import upsert
+def test_merge_shuffles_only_the_batch(spark, scratch_dir, mock_df):
+    from strata.operators import changes, upsert
     from strata.operators.joins import key_hash
-    from strata.sources.store import Buckets
 
     keys = list(schemas.PRODUCT_KEY)
-    store = TableStore(spark, scratch_dir, retain_versions=1)
-    rows = [(f"n{i}", "m", None if i % 3 == 0 else "s", float(i)) for i in range(200)]
-    base = spark.createDataFrame(rows, "name string, main_category string, sub_category string, v double")
-    t = base.withColumn("_key_hash", key_hash(keys))
-    spec = Buckets(4, ("_key_hash",))
-    store.overwrite("silver", t, buckets=spec)
-    store.overwrite("silver", t, buckets=spec)  # a second version; the first is vacuumed
-    assert store.table_buckets("silver") == spec and len(store.committed_versions("silver")) == 1
-    target = store.read("silver")
-    src = spark.createDataFrame([("n3", "m", None, -1.0), ("new", "m", "s", 9.0)],
-                                "name string, main_category string, sub_category string, v double")
-    src = src.withColumn("_key_hash", key_hash(keys))
-    merged = upsert(target, src, keys, ["v"], hash_column="_key_hash")
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1  # the batch side only
-    out = {r["name"]: r["v"] for r in merged.collect()}
+    spec = SilverLayout(4, 3).spec()
+    small = schemas._schema(*[(k, schemas.S) for k in keys], ("v", schemas.D), (schemas.KEY_HASH, schemas.L),
+                            (schemas.PART, schemas.IntegerType()))
+    store = _store(spark, scratch_dir, silver=TableSpec(small, spec.kind, spec.partition_by, spec.buckets))
+
+    def rows(data):
+        df = spark.createDataFrame(data, "name string, main_category string, sub_category string, v double")
+        return df.withColumn(schemas.KEY_HASH, key_hash(keys)).withColumn(
+            schemas.PART, F.pmod(F.xxhash64("main_category"), F.lit(3)).cast("int"))
+
+    store.replace_parts("silver", rows([(f"n{i}", f"m{i % 7}", None if i % 3 == 0 else "s", float(i)) for i in range(200)]))
+    src = rows([("n3", "m3", None, -1.0), ("new", "m3", "s", 9.0)])
+    parts = [r[0] for r in src.select(schemas.PART).distinct().collect()]
+    target = store.read("silver").where(F.col(schemas.PART).isin(parts))
+    merged = upsert(target, src, keys, ["v"], hash_column=schemas.KEY_HASH)
+    for frame in (merged, changes(target, src, keys, ["v"], hash_column=schemas.KEY_HASH).hint("merge")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 1, plan  # the batch side only
+        assert f"{schemas.PART}#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    pairs = {r.after.name: (r.before and r.before.v, r.after.v) for r in changes(
+        target, src, keys, ["v"], hash_column=schemas.KEY_HASH).collect()}
+    assert pairs == {"n3": (3.0, -1.0), "new": (None, 9.0)}
+    store.replace_parts("silver", merged)
+    out = {r["name"]: r["v"] for r in store.read("silver").collect()}
     assert len(out) == 201 and out["n3"] == -1.0 and out["new"] == 9.0 and out["n4"] == 4.0
 
 
+def _files(root):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def test_merge_rewrites_only_touched_parts(spark, scratch_dir):
+    def product(i, category, price):
+        return (f"n{i}", category, "s", "4.0", "7", str(price), "800", None, None)
+
+    store = TableStore(spark, scratch_dir)
+    as_of = dt.datetime(2024, 7, 1, 6)
+    all_rows = [product(i, f"category {i % 12}", 5) for i in range(120)]
+    run_layers(store, [Source("a", lambda: spark.createDataFrame(all_rows, PRODUCT))], RunParams("one", as_of))
+    layout = silver_layout(store)
+    folder = f"{scratch_dir}/silver/{layout.table}"
+    before = _files(folder)
+    some = [product(i, "category 3", 6) for i in range(3, 120, 12)] + [product(999, "category 3", 1)]
+    run_layers(store, [Source("b", lambda: spark.createDataFrame(some, PRODUCT))], RunParams("two", as_of))
+    after = _files(folder)
+    part = store.read(layout.table).where("main_category = 'category 3'").select(schemas.PART).first()[0]
+    kept = {f: t for f, t in before.items() if f"/_part={part}/" not in f}
+    assert kept and len(kept) < len(before) and {f: after.get(f) for f in kept} == kept
+    assert not {f for f in before if f"/_part={part}/" in f} & set(after)
+    silver = {r.name: r.discount_price for r in store.read("silver").collect()}
+    assert len(silver) == 121 and silver["n3"] == 6.0 and silver["n4"] == 5.0 and silver["n999"] == 1.0
+
+
 def test_job_entry_point(spark, scratch_dir, mock_df, capsys):
     from strata.__main__ import main
     from strata.sources.files import write_csv
@@ -178,13 +272,14 @@ def test_job_entry_point(spark, scratch_dir, mock_df, capsys):
                           "title string, rating_stars double, rating_count long, price_value double, "
                           "list_price double, asin string").createOrReplaceTempView("cli_listings")
     code = main(["--csv", f"{scratch_dir}/in", "--table", "cli_listings", "--store", f"{scratch_dir}/store",
-                 "--batch-id", "cli", "--as-of", "2024-05-01T06:00:00"])
+                 "--batch-id", "cli", "--as-of", "2024-05-01T06:00:00", "--database", "cli_lake"])
     out = capsys.readouterr().out
     assert code == 0
     assert '"layer_name": "BRONZE", "status": "SUCCESS", "record_count": 11' in out
     assert '"layer_name": "SILVER", "status": "SUCCESS", "record_count": 4' in out
     # The listing row has no main category, so it is quarantined with the invalid CSV rows.
     assert '{"layer": "dead_letter", "row_count": 6}' in out
+    assert spark.table("cli_lake.silver").count() == 4
 
 
 def test_bronze_append_keeps_history(spark, scratch_dir, mock_df):
@@ -195,29 +290,32 @@ def test_bronze_append_keeps_history(spark, scratch_dir, mock_df):
                             bronze_mode="append")
         assert result.succeeded and result.bronze.rows == 10 and result.bronze.bronze.count() == 10
         assert result.silver.silver_rows == 4
-    history = store.read("bronze", schema=schemas.BRONZE, all_versions=True)
+    history = store.read("bronze", schema=schemas.BRONZE)
     assert history.count() == 20
     assert sorted(r["batch_id"] for r in history.select("batch_id").distinct().collect()) == ["d1", "d2"]
+    run_layers(store, [_mock_source(spark, mock_df)], RunParams("d3", as_of))  # overwrite: only its own
+    assert [r[0] for r in store.read("bronze").select("batch_id").distinct().collect()] == ["d3"]
 
 
-def test_second_session_merges_into_the_first_ones_silver(spark, scratch_dir, mock_df):
-    """What a later process finds under the same root: silver to merge into, and the whole log."""
+@pytest.mark.parametrize("database", [None, "moved"])
+def test_later_session_merges_into_silver(spark, scratch_dir, mock_df, database):
+    """What a later process finds under the same root, its catalog knowing the
+    tables or (under another name) not: silver to merge into, and the whole log."""
     as_of = dt.datetime(2024, 7, 1, 6, 0, 0)
-    run_layers(TableStore(spark, scratch_dir), [_mock_source(spark, mock_df)], RunParams("one", as_of))
+    run_layers(TableStore(spark, scratch_dir), [_mock_source(spark, mock_df)], RunParams("one", as_of),
+               silver_buckets=3, silver_parts=2, bronze_mode="append")
     later = spark.newSession()
-    more = later.createDataFrame([("Tea Towel", "Kitchen", "Textiles", "4.0", "7", "5", "8", None, None)],
-                                 "name string, main_category string, sub_category string, ratings string, "
-                                 "no_of_ratings string, discount_price string, actual_price string, "
-                                 "image string, link string")
-    store = TableStore(later, scratch_dir)
-    second = run_layers(store, [Source("more.csv", lambda: more)], RunParams("two", as_of))
-    assert second.silver.silver_rows == 5
-    assert store.read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True).count() == 6
-
-
-def test_store_needs_a_root(spark):
-    with pytest.raises((TypeError, ValueError)):
-        TableStore(spark, "")
+    more = later.createDataFrame([("Tea Towel", "Kitchen", "Textiles", "4.0", "7", "5", "8", None, None)], PRODUCT)
+    store = TableStore(later, scratch_dir, database)
+    ensure_tables(store)
+    assert silver_layout(store) == SilverLayout(3, 2)
+    assert store.read("silver").count() == 4 == store.read("fact_product_metrics").count()
+    second = run_layers(store, [Source("more.csv", lambda: more)], RunParams("two", as_of), bronze_mode="append")
+    assert second.succeeded, second.checkpoints
+    assert second.silver.silver_rows == 5 == store.read("silver").count()
+    assert store.read("checkpoints").count() == 6 and store.read("bronze").count() == 11
+    if database:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 def test_quarantine_history_keeps_raw_columns(spark, scratch_dir, mock_df):
@@ -226,18 +324,21 @@ def test_quarantine_history_keeps_raw_columns(spark, scratch_dir, mock_df):
     for batch, raw in (("plain", False), ("raw", True)):
         run_layers(store, [_mock_source(spark, mock_df)], RunParams(batch, as_of), keep_raw=raw,
                    dead_letter_mode="append")
-    dead = store.read("dead_letter", schema=schemas.DEAD_LETTER_RAW, all_versions=True)
+    dead = store.read("dead_letter", schema=schemas.DEAD_LETTER_RAW)
     got = {(r["batch_id"], r["raw_discount_price"]) for r in dead.where("name = 'Desk Lamp'").collect()}
     assert got == {("plain", None), ("raw", "-12")}
 
 
-def test_buckets_can_change(spark, scratch_dir, mock_df):
+def test_layout_can_change(spark, scratch_dir, mock_df):
     store = TableStore(spark, scratch_dir)
     as_of = dt.datetime(2024, 7, 3, 6, 0, 0)
-    for n in (4, 16):
-        run_layers(store, [_mock_source(spark, mock_df)], RunParams(f"b{n}", as_of), silver_buckets=n)
-        assert store.table_buckets("silver").count == n
-    assert store.read("silver", schema=schemas.SILVER).count() == 4
+    for n, parts in ((4, 2), (16, 2), (16, 5)):
+        result = run_layers(store, [_mock_source(spark, mock_df)], RunParams(f"b{n}", as_of), silver_buckets=n,
+                            silver_parts=parts)
+        assert result.succeeded and result.silver.silver_rows == 4, result.checkpoints
+        assert silver_layout(store) == SilverLayout(n, parts)
+        assert store.read("silver", schema=schemas.SILVER).count() == 4
+    assert not _files(f"{scratch_dir}/silver/silver_b4_p2") or spark.read.parquet(f"{scratch_dir}/silver/silver_b4_p2").isEmpty()
 
 
 def test_failure_text_is_whole(spark, scratch_dir):
@@ -246,38 +347,69 @@ def test_failure_text_is_whole(spark, scratch_dir):
 
     as_of = dt.datetime(2024, 7, 4, 6, 0, 0)
     run_layers(TableStore(spark, scratch_dir), [Source("s", broken)], RunParams("long", as_of))
-    log = TableStore(spark, scratch_dir).read("checkpoints", schema=schemas.CHECKPOINTS, all_versions=True)
+    log = TableStore(spark, scratch_dir).read("checkpoints", schema=schemas.CHECKPOINTS)
     assert max(len(r["error_message"] or "") for r in log.collect()) > 9000
 
 
 def test_layer_tables_by_catalog_name(spark, scratch_dir, mock_df):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS lake LOCATION '{scratch_dir}/db'")
-    store = TableStore(spark, f"{scratch_dir}/store", catalog="lake.")
+    store = TableStore(spark, f"{scratch_dir}/store", "lake")
     as_of = dt.datetime(2024, 8, 1, 6, 0, 0)
     for batch, raw in (("plain", False), ("raw", True)):
         run_layers(store, [_mock_source(spark, mock_df)], RunParams(batch, as_of), keep_raw=raw,
                    dead_letter_mode="append", bronze_mode="append")
     assert spark.table("lake.silver").columns == schemas.SILVER.fieldNames()
     assert spark.sql("SELECT * FROM lake.silver").count() == 4
-    # The history tables show every batch; columns that only later ones have are NULL before.
+    # The history tables hold every batch; columns that only later ones have are NULL before.
     assert spark.table("lake.bronze").count() == 20
     assert spark.table("lake.bronze").schema["ingestion_date"].dataType == schemas.BRONZE["ingestion_date"].dataType
     assert spark.table("lake.checkpoints").count() == 6
     dead = spark.sql("SELECT batch_id, raw_discount_price FROM lake.dead_letter WHERE name = 'Desk Lamp'")
     assert {tuple(r) for r in dead.collect()} == {("plain", None), ("raw", "-12")}
-    # A name moves on with the next publish, also to a table without a row.
-    store.overwrite("silver", spark.createDataFrame([], schemas.SILVER), schema=schemas.SILVER)
-    store.overwrite("bronze", spark.createDataFrame([], schemas.BRONZE), schema=schemas.BRONZE,
-                    partition_by=["ingestion_date"])
-    assert spark.table("lake.silver").count() == 0 == spark.table("lake.bronze").count()
-    assert spark.table("lake.bronze").columns == schemas.BRONZE.fieldNames()
 
 
-def test_second_writer_is_refused(spark, scratch_dir):
+def _plain_profile(store):
+    out = {}
+    for table, schema in schemas.TABLES.items():
+        df = store.read(table, schema=schema)
+        counts = df.agg(F.count(F.lit(1)), *[F.count_if(F.col(f.name).isNull()) for f in schema.fields]).first()
+        for i, f in enumerate(schema.fields):
+            out[table, i + 1, f.name, f.dataType.simpleString()] = (counts[0], counts[i + 1])
+    return out
+
+
+def _messy(spark, seed, n):
+    r = random.Random(seed)
+    rows = [(r.choice(["a", "b", "c", None]) or None, r.choice(["x", "Y", "z", " "]), r.choice(["s", None, "t"]),
+             r.choice(["4", "1.5", "bad"]), str(r.randint(0, 9)), r.choice(["10", "9.99", "NaN", "-1", "1e300"]),
+             r.choice(["100", "777.77", "3000", "0", "20000"]), r.choice([None, "img"]), None) for _ in range(n)]
+    return Source("messy.csv", lambda: spark.createDataFrame(rows, PRODUCT))
+
+
+def test_metrics_and_summaries_are_kept_by_change(spark, scratch_dir):
+    """After updates, inserts and an unfinished merge: every table's counts as the
+    tables have them, and the summaries as a full aggregate gives them."""
     store = TableStore(spark, scratch_dir)
-    store.overwrite("t", spark.range(3))
-    start = store.current_version("t")
-    store.overwrite("t", spark.range(4), based_on=start)
-    with pytest.raises(StaleVersionError):
-        store.overwrite("t", spark.range(5), based_on=start)
-    assert store.read("t").count() == 4
+    finite = [Source("m", lambda k=k: _messy(spark, k, 25).load().where("discount_price not in ('NaN', '1e300')"))
+              for k in range(5)]
+    plans = [finite[0], finite[1], _messy(spark, 9, 60), finite[2], finite[3], finite[4]]
+    for k, source in enumerate(plans):
+        if k == 4:  # as if the run before had died in its merge
+            store.set_properties(silver_layout(store).table, **{STATE: WRITING})
+        result = run_layers(store, [source], RunParams(f"b{k}", dt.datetime(2024, 9, 1 + k, 6)),
+                            dead_letter_mode="append", bronze_mode="append" if k % 2 else "overwrite")
+        assert result.succeeded, result.checkpoints
+        got = {(r.layer, r.ordinal, r.column_name, r.data_type): (r.row_count, r.null_count)
+               for r in describe_tables(store).collect()}
+        assert got == _plain_profile(store), k
+        bucketed = with_price_bucket(store.read("silver"))
+        assert result.silver.silver_rows == bucketed.count()
+        for table, want in (("agg_category_summary", category_summary(bucketed)),
+                            ("agg_price_bucket_summary", price_bucket_summary(bucketed))):
+            assert sorted(map(str, store.read(table).collect())) == sorted(map(str, want.select(
+                *store.read(table).columns).collect())), (k, table)
+        full = rollup(bucketed)
+        assert store.read("gold_rollup").exceptAll(full).isEmpty() and full.exceptAll(store.read("gold_rollup")).isEmpty()
+        state = store.properties(silver_layout(store).table)[STATE]
+        assert store.properties("gold_rollup")[STATE] == state
+    plan = describe_tables(store)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "layer_metrics" in plan
