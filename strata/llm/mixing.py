@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.names import unused_names
 from strata.llm.common import checkpoint, read_table, without
 
 # Above this mean a document's count is the sum of several smaller draws, so
@@ -66,6 +67,8 @@ def poisson_mix(
     """
     docs = without(docs, "copy_no", "shuffle_key")
     kept = docs.columns
+    # Names of what the documents get on the way, none of them a column of theirs.
+    of, draws, cdf, me, times = unused_names(5, docs)
     sums = docs.groupBy(F.col(source_col).alias("_source")).agg(
         F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).cast("double").alias("_bytes")
     )
@@ -75,7 +78,7 @@ def poisson_mix(
         w = weights.select(F.col("source").alias("_of"), F.col("weight").cast("double").alias("_weight"))
         sums = sums.join(w, sums["_source"].eqNullSafe(w["_of"]), "left").drop("_of")
         sums = sums.withColumn("_weight", F.coalesce("_weight", F.lit(0.0)))
-    # One row of totals beside one row per source.
+    # One row of totals beside one row per source: a join without keys, of one row.
     total = sums.agg(F.sum("_bytes").alias("_all"), F.sum("_weight").alias("_weights"))
     rates = (
         sums.join(F.broadcast(total))
@@ -87,28 +90,28 @@ def poisson_mix(
         )
         .withColumn("_draws", F.greatest(F.lit(1), F.ceil(F.col("_rate") / MAX_MEAN).cast("int")))
         .withColumn("_cdf", _cdf(F.col("_rate") / F.col("_draws")))
-        .select("_source", "_draws", "_cdf")
+        .select(F.col("_source").alias(of), F.col("_draws").alias(draws), F.col("_cdf").alias(cdf))
     )
-    me = F.md5(F.concat_ws(
+    digest = F.md5(F.concat_ws(
         ":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
         F.coalesce(F.col(text_col), F.lit("")),
     ).cast("binary"))
     rates = checkpoint(rates)
     # Up to here a row a source; beyond the bound Spark joins by shuffle.
     small = F.broadcast(rates) if rates.count() <= BROADCAST_SOURCES else rates
-    drawn = docs.join(small, F.col(source_col).eqNullSafe(F.col("_source"))).withColumn("_me", me)
+    drawn = docs.join(small, F.col(source_col).eqNullSafe(F.col(of))).withColumn(me, digest)
 
     def draw(acc: Column, i: Column) -> Column:
-        u = _unit(F.lit(str(seed)), i.cast("string"), F.col("_me"))
-        return acc + F.size(F.filter("_cdf", lambda c: c <= u))
+        u = _unit(F.lit(str(seed)), i.cast("string"), F.col(me))
+        return acc + F.size(F.filter(cdf, lambda c: c <= u))
 
     counted = drawn.withColumn(
-        "_n", F.aggregate(F.sequence(F.lit(1), F.col("_draws")), F.lit(0), draw)
-    ).where("_n > 0")
-    out = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_n")))).withColumn(
+        times, F.aggregate(F.sequence(F.lit(1), F.col(draws)), F.lit(0), draw)
+    ).where(F.col(times) > 0)
+    out = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col(times)))).withColumn(
         "shuffle_key",
         F.conv(F.substring(F.md5(F.concat_ws(
-            ":", F.lit(str(seed)), F.lit("order"), F.col("_me"), F.col("copy_no").cast("string")
+            ":", F.lit(str(seed)), F.lit("order"), F.col(me), F.col("copy_no").cast("string")
         ).cast("binary")), 1, 15), 16, 10).cast("bigint"),
     )
     return (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.names import unused_names
 from strata.llm.common import read_table, without
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -160,26 +161,29 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     kept = [F.col(f"`{c}`") for c in docs.columns]
     text = F.coalesce(F.col(text_col), F.lit(""))
     nothing = F.array().cast("array<string>")
+    # A prefix that no column of the caller's has.
+    (own,) = unused_names(1, docs)
+    own += "_"
     found = {}
     for kind, pattern in PATTERNS.items():
         hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        found[f"_found_{kind}"] = (
+        found[f"{own}found_{kind}"] = (
             F.when(F.contains(text, F.lit(TRIGGER[kind])), hits).otherwise(nothing)
             if kind in TRIGGER else hits
         )
-    found["_found_country"] = F.regexp_extract_all(text, F.lit(IBAN_OF_COUNTRY), F.lit(1))
+    found[f"{own}found_country"] = F.regexp_extract_all(text, F.lit(IBAN_OF_COUNTRY), F.lit(1))
     df = docs.select(*kept, *[c.alias(n) for n, c in found.items()])
     df = df.withColumns({
-        f"_between_{kind}": F.when(F.size(f"_found_{kind}") > 0, F.split(text, pattern, -1)).otherwise(nothing)
+        f"{own}between_{kind}": F.when(F.size(f"{own}found_{kind}") > 0, F.split(text, pattern, -1)).otherwise(nothing)
         for kind, pattern in [*PATTERNS.items(), ("country", IBAN_OF_COUNTRY)]
     })
     df = df.withColumns({
-        f"_spans_{kind}": _located(kind, F.col(f"_found_{kind}"), F.col(f"_between_{kind}"))
+        f"{own}spans_{kind}": _located(kind, F.col(f"{own}found_{kind}"), F.col(f"{own}between_{kind}"))
         for kind in PATTERNS
-    } | {"_spans_country": _located("iban", F.col("_found_country"), F.col("_between_country"), IBAN_HEAD)})
-    df = df.withColumn("_spans_iban", F.when(
-        F.size("_spans_country") > 0, _with_countries(F.col("_spans_iban"), F.col("_spans_country"))
-    ).otherwise(F.col("_spans_iban")))
+    } | {f"{own}spans_country": _located("iban", F.col(f"{own}found_country"), F.col(f"{own}between_country"), IBAN_HEAD)})
+    df = df.withColumn(f"{own}spans_iban", F.when(
+        F.size(f"{own}spans_country") > 0, _with_countries(F.col(f"{own}spans_iban"), F.col(f"{own}spans_country"))
+    ).otherwise(F.col(f"{own}spans_iban")))
 
     def scored(kind: str) -> Column:
         def score(s: Column) -> Column:
@@ -193,7 +197,7 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 F.least(F.lit(1.0), F.lit(SCORES[kind]) + bonus).alias("score"),
             )
 
-        spans = F.transform(F.col(f"_spans_{kind}"), score)
+        spans = F.transform(F.col(f"{own}spans_{kind}"), score)
         return spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= ACCEPT)
 
     return df.select(*kept, F.concat(*[scored(kind) for kind in PATTERNS]).alias("pii"))

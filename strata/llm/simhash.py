@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from strata.functions.names import unused_names
 from strata.llm.common import checkpoint, components, read_table, without
 
 SEED = 42
@@ -137,20 +138,26 @@ def keep_one_per_group(
     text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with one row of each group of ``simhash_groups``: one with the
-    least id. Rows are matched to their group by fingerprint, so null ids and
-    ids that several texts share lose no group. All columns are kept."""
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    codes = checkpoint(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), words))
-    named = checkpoint(fingerprint_classes(codes, max_bits)).select(
-        F.col("fingerprint").alias("_code"), F.col("root").alias("_root"), F.col("component_id").alias("_least")
-    )
-    coded = fingerprints(docs.withColumn("_again", F.col(text_col)), words, "_again", "_fingerprint")
-    return (
-        coded.join(named, F.col("_fingerprint") == F.col("_code"))
-        .where(F.col(id_col).eqNullSafe(F.col("_least")))
-        .dropDuplicates(["_root"])
-        .select(*kept)
-    )
+    least id. Null ids come after all others, and ids that several texts share
+    lose no group. All columns are kept.
+
+    The rows are chosen among narrow ones, without texts: by group, least id and
+    two hashes of id and text. The documents are then shuffled once, to meet the
+    chosen hashes; of rows alike in id and text one is kept.
+    """
+    one, two = unused_names(2, docs)
+    both = [F.col(id_col), F.col(id_col).isNull(), F.col(text_col), F.col(text_col).isNull()]
+    hashes = [F.xxhash64(*both).alias(one), F.xxhash64(F.lit(1), *both).alias(two)]
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *hashes)
+    codes = checkpoint(fingerprints(narrow, words))
+    # Copies are one row before anything is joined.
+    row = F.struct(F.col("id").isNull().alias("none"), "id", one, two)
+    least = codes.groupBy("fingerprint").agg(F.min(row).alias("row"))
+    named = fingerprint_classes(codes, max_bits).select("fingerprint", "root")
+    chosen = least.join(named, "fingerprint").groupBy("root").agg(F.min("row").alias("row"))
+    chosen = chosen.select(F.col(f"row.{one}").alias(one), F.col(f"row.{two}").alias(two))
+    kept = docs.select("*", *hashes).join(chosen, [one, two], "left_semi")
+    return kept.dropDuplicates([one, two]).drop(one, two)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
+from strata.functions.names import unused_names
 from strata.llm.common import checkpoint, read_table, without
 
 TOKEN = re.compile(r"[^\W_]+")
@@ -197,15 +198,16 @@ def _decay(values: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of the training rows."""
+    own, label = unused_names(2, docs)
     train = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.max("toxic").cast("int").alias("_toxic"))
+        .groupBy(F.col("doc_id").alias(own))
+        .agg(F.max("toxic").cast("int").alias(label))
     )
     few = train.count() <= BROADCAST_LABELS
-    return docs.join(F.broadcast(train) if few else train, F.col("doc_id") == F.col("_id")).select(
-        "text", F.col("_toxic").alias("toxic")
+    return docs.join(F.broadcast(train) if few else train, F.col("doc_id") == F.col(own)).select(
+        "text", F.col(label).alias("toxic")
     )
 
 
@@ -281,11 +283,12 @@ def _held_and_rare(scored: DataFrame) -> tuple[dict[str, float], DataFrame | Non
 
 
 def _with_rare(docs: DataFrame, model: ToxicityModel, text_col: str) -> DataFrame:
-    """Adds ``_rare``: the scores of a text's tokens that the model does not
+    """Adds a last column: the scores of a text's tokens that the model does not
     hold, looked up by joining the distinct tokens of each text to its table."""
+    key_name, last = unused_names(2, docs)
     kind = F.lit(None).cast("map<string,double>")
     if model.rare is None:
-        return docs.withColumn("_rare", kind)
+        return docs.withColumn(last, kind)
     held = docs.sparkSession.sparkContext.broadcast(model.scores)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,17 +300,17 @@ def _with_rare(docs: DataFrame, model: ToxicityModel, text_col: str) -> DataFram
                     names=["_key", "token"],
                 )
 
-    keyed = docs.withColumn("_key", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
+    keyed = docs.withColumn(key_name, F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     # Equal texts have one key: each of their tokens is looked up once.
-    pairs = keyed.select("_key", F.col(text_col).alias("_text")).mapInArrow(run, "_key string, token string").distinct()
-    found = pairs.join(model.rare, "token").groupBy("_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "score"))).alias("_rare")
+    pairs = keyed.select(F.col(key_name).alias("_key"), F.col(text_col).alias("_text")).mapInArrow(run, "_key string, token string").distinct()
+    found = pairs.join(model.rare, "token").groupBy(F.col("_key").alias(key_name)).agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "score"))).alias(last)
     )
-    return keyed.join(found, "_key", "left").drop("_key")
+    return keyed.join(found, key_name, "left").drop(key_name)
 
 
 def _rare_of(batch: pa.RecordBatch) -> Iterator[dict[str, float] | None]:
-    for x in batch.column("_rare"):
+    for x in batch.column(batch.num_columns - 1):
         yield dict(x.as_py()) if x.is_valid else None
 
 
@@ -402,9 +405,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     Texts are read whole, one row at a time; nothing is shuffled unless the
     model has a table of rare tokens (``_with_rare``). Null and empty texts have
     no passage and score as a document without evidence. Input columns with
-    those two names, or named ``_rare`` or ``_key``, are replaced or left out.
+    those two names are replaced.
     """
-    docs = without(docs, "toxicity", "toxic_passages", "_rare", "_key")
+    docs = without(docs, "toxicity", "toxic_passages")
     schema = StructType([
         *docs.schema.fields, StructField("toxicity", DoubleType()), StructField("toxic_passages", PASSAGES),
     ])

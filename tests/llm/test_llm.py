@@ -498,3 +498,36 @@ def test_pipeline_stages_against_their_operators(spark):
     whole = corpus_pipeline.run(spark, sf).collect()
     assert sorted((r.doc_id, r.decoded_sha256) for r in whole) == sorted(
         (r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in docs.collect())
+
+
+# Names that the operators use inside, or did.
+WORKING_NAMES = ("_id", "_toxic", "_source", "_me", "_root", "_found_email", "_spans_iban", "_n", "_cdf", "_draws", "_code", "_least",
+                 "_again", "_fingerprint", "_rare", "_key", "_text", "__w0", "__W1", "__w2", "fingerprint", "root", "row", "id", "h", "g",
+                 "bucket", "part", "size", "shard", "token", "tokens", "runs")
+
+
+def test_callers_columns_survive(spark, docs):
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars", *[F.lit(f"own {c}").alias(c) for c in WORKING_NAMES])
+    labels = spark.createDataFrame([(1, 0), (4, 1), (5, 1), (12, 0), (16, 0)], "doc_id long, toxic int").withColumn("_id", F.lit(1))
+    made = {
+        "toxicity": toxicity.score_toxicity(own, toxicity.train_toxicity(own, labels)),
+        "simhash": simhash.keep_one_per_group(own),
+        "pii": pii.find_pii(own), "redact": pii.redact(own),
+        "mixing": mixing.poisson_mix(own),
+        "bpe": bpe.bpe_decode(bpe.bpe_encode(own)),
+    }
+    for name, df in made.items():
+        rows = df.collect()
+        assert rows and set(own.columns) <= set(df.columns), name
+        assert all(r[c] == f"own {c}" for r in rows for c in WORKING_NAMES), name
+    assert simhash.simhash_groups(own).count() == sharding.shard_by_bytes(own, 3).count() == own.count()
+    assert substring_dedup.substring_dedup(own).count() == suffix_dedup.suffix_dedup(own).count() == own.count()
+
+
+def test_least_id_of_each_group_is_kept(spark):
+    same = _text(3, 40)
+    rows = [(9, same, "x"), (4, same, "y"), (4, same, "z"), (None, same, "n"), (None, _text(4, 40), "o"), (7, "", "e"), (6, None, "f"),
+            (5, _text(5, 40), "p"), (5, _text(6, 40), "q")]
+    got = simhash.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string, v string")).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["4", "5", "5", "6", "None"]
+    assert {r.v for r in got} - {"y", "z"} == {"o", "f", "p", "q"}
