@@ -44,6 +44,10 @@ from strata.sources.store import TableStore, null_counts
 SILVER_ROWS_PER_BUCKET = 2_000_000
 # A category with more fact rows than this is joined where its rows are read.
 FACT_ROWS_PER_TASK = 2_000_000
+# A batch of more rows than this share of silver, with rows in all of its parts, is
+# not summed up before the merge: the merge rewrites all of silver and counts it as
+# it does, and gold aggregates from all of it, which costs less than a second join.
+BY_CHANGE_SHARE = 0.25
 # A category dimension of at most so many rows, counted as it is written, is broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -163,7 +167,8 @@ class SilverResult:
 def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
-               silver_buckets: int | None = None, silver_parts: int | None = None) -> SilverResult:
+               silver_buckets: int | None = None, silver_parts: int | None = None,
+               by_change_share: float = BY_CHANGE_SHARE) -> SilverResult:
     """Stage, quarantine, deduplicate and merge one batch into silver.
 
     ``dead_letter_mode``: "overwrite" keeps only this batch's invalid rows (as
@@ -197,7 +202,7 @@ def run_silver(store: TableStore, bronze: DataFrame, run: RunParams, *,
     (dead, dead_rows), silver_rows = _concurrently(
         lambda: store.replace_batch("dead_letter", quarantined, run.batch_id, keep_others=dead_letter_mode == "append"),
         lambda: merge_into_silver(store, batch, null_safe=null_safe_merge, silver_buckets=silver_buckets,
-                                  silver_parts=silver_parts))
+                                  silver_parts=silver_parts, by_change_share=by_change_share))
     dead_schema = schemas.DEAD_LETTER_RAW if keep_raw else schemas.DEAD_LETTER
     return SilverResult(staged, dead.select(*dead_schema.fieldNames(), schemas.RAW_LINE), batch.rows,
                         store.read("silver"), quality, dead_rows, batch.count, silver_rows)
@@ -225,11 +230,13 @@ def write_batch(store: TableStore, deduped: DataFrame) -> SilverBatch:
 
 
 def merge_into_silver(store: TableStore, written: SilverBatch, *, null_safe: bool = True,
-                      silver_buckets: int | None = None, silver_parts: int | None = None) -> int:
+                      silver_buckets: int | None = None, silver_parts: int | None = None,
+                      by_change_share: float = BY_CHANGE_SHARE) -> int:
     """Merge a written batch into silver; silver's rows.
 
     What the merge changes is summed up in ``gold_delta`` first, so that gold is
-    brought up to date without reading silver again.
+    brought up to date without reading silver again; not so for a batch of more
+    than ``by_change_share`` of silver's rows that touches all of its parts.
     """
     layout, batch, touched = silver_layout(store), written.rows, written.parts
     state, rows, nulls = _silver_totals(store, layout)
@@ -240,9 +247,12 @@ def merge_into_silver(store: TableStore, written: SilverBatch, *, null_safe: boo
     target = store.read(layout.table).where(F.col(schemas.PART).isin(touched))
     merge = {"null_safe": null_safe, "check_unique": False, "hash_column": schemas.KEY_HASH}  # deduplicated before
     args = (schemas.PRODUCT_KEY, SILVER_UPDATE_COLUMNS)
-    first = rows == 0
+    first, counted = rows == 0, None
     if first:
         rows, nulls = written.count, list(written.nulls)
+    elif written.count > by_change_share * rows and {
+            int(p[schemas.PART]) for p in store.partitions(layout.table)} <= set(touched):
+        counted = Observation()
     else:
         pair = changes(target, batch, *args, **merge)
         signed = pair.selectExpr("inline(array(struct(1 AS sign, after AS row), struct(-1 AS sign, before AS row)))")
@@ -256,7 +266,7 @@ def merge_into_silver(store: TableStore, written: SilverBatch, *, null_safe: boo
 
     # A table that has outgrown its buckets, or is asked for another number, is
     # dealt out anew once; its name moves on when that is done.
-    grown = -(-rows // SILVER_ROWS_PER_BUCKET)
+    grown = -(-(rows + (written.count if counted else 0)) // SILVER_ROWS_PER_BUCKET)
     wanted = SilverLayout(silver_buckets or (grown if grown > 2 * layout.buckets else layout.buckets),
                           silver_parts or layout.parts)
     after = uuid.uuid4().hex
@@ -264,16 +274,19 @@ def merge_into_silver(store: TableStore, written: SilverBatch, *, null_safe: boo
         old, layout = layout, wanted
         store.create(layout.table, layout.spec(), f"{store.root}/silver/{layout.table}")
         merged = upsert(store.read(old.table), batch, *args, **merge).withColumn(schemas.PART, layout.part())
-        store.replace_parts(layout.table, merged.repartition(layout.buckets, schemas.KEY_HASH))
+        merged = merged.repartition(layout.buckets, schemas.KEY_HASH)
+        store.replace_parts(layout.table, merged.observe(counted, null_counts(schemas.SILVER)) if counted else merged)
         use_silver(store, layout)
         store.forget(old.table)
     else:
         store.set_properties(layout.table, **{STATE: WRITING})
         # A first load is dealt to the buckets that a join would leave it in.
         merged = batch.repartition(layout.buckets, schemas.KEY_HASH) if first else upsert(target, batch, *args, **merge)
-        store.replace_parts(layout.table, merged)
+        store.replace_parts(layout.table, merged.observe(counted, null_counts(schemas.SILVER)) if counted else merged)
+    if counted:
+        rows, nulls = counted.get["counted"]
     store.set_properties(layout.table, **{STATE: after, ROWS: rows, NULLS: ",".join(map(str, nulls))})
-    if not first:
+    if not first and not counted:
         store.set_properties("gold_delta", **{SINCE: state, STATE: after})
     _record_silver(store, layout, rows, nulls)
     return rows

@@ -21,6 +21,7 @@ from pyspark.sql.types import StructField, StructType
 from strata import schemas
 from strata.functions.rules import PRODUCT_RULES, Rule
 from strata.plans.layers import (
+    BY_CHANGE_SHARE,
     BronzeResult,
     GoldResult,
     RunParams,
@@ -84,7 +85,7 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
                rules: Sequence[Rule] = PRODUCT_RULES, keep_raw: bool = False,
                null_safe_merge: bool = True, dead_letter_mode: str = "overwrite",
                silver_buckets: int | None = None, silver_parts: int | None = None,
-               bronze_mode: str = "overwrite") -> RunResult:
+               bronze_mode: str = "overwrite", by_change_share: float = BY_CHANGE_SHARE) -> RunResult:
     spark = store.spark
     ensure_tables(store, silver_buckets=silver_buckets, silver_parts=silver_parts)
     rows: list[tuple] = []
@@ -98,7 +99,8 @@ def run_layers(store: TableStore, sources: Sequence[Source], run: RunParams, *,
         "SILVER": lambda: run_silver(store, results["BRONZE"].bronze, run, rules=rules,
                                      keep_raw=keep_raw, null_safe_merge=null_safe_merge,
                                      dead_letter_mode=dead_letter_mode,
-                                     silver_buckets=silver_buckets, silver_parts=silver_parts),
+                                     silver_buckets=silver_buckets, silver_parts=silver_parts,
+                                     by_change_share=by_change_share),
         "GOLD": lambda: run_gold(store, silver_rows=results["SILVER"].silver_rows),
     }
     upstream_ok = True

@@ -171,7 +171,7 @@ class TestdataRuns:
             for (batch_id, as_of), part in zip(HISTORY_RUNS, ("early", "late"), strict=True):
                 run = RunParams(batch_id, as_of, clock=StepClock(as_of))
                 out.append(_succeeded(run_layers(store, self.sources(part), run, keep_raw=True,
-                                                 dead_letter_mode="append")))
+                                                 dead_letter_mode="append", by_change_share=1e9)))
             for batch_id, as_of in FAILED_RUNS:
                 run_layers(store, [Source(PRODUCTS_LABEL, _missing_source)],
                            RunParams(batch_id, as_of, clock=StepClock(as_of)))

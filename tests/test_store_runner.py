@@ -385,7 +385,8 @@ def _messy(spark, seed, n):
     return Source("messy.csv", lambda: spark.createDataFrame(rows, PRODUCT))
 
 
-def test_metrics_and_summaries_are_kept_by_change(spark, scratch_dir):
+@pytest.mark.parametrize("share", [1e9, 0.25])
+def test_metrics_and_summaries_are_kept_by_change(spark, scratch_dir, share):
     """After updates, inserts and an unfinished merge: every table's counts as the
     tables have them, and the summaries as a full aggregate gives them."""
     store = TableStore(spark, scratch_dir)
@@ -396,7 +397,8 @@ def test_metrics_and_summaries_are_kept_by_change(spark, scratch_dir):
         if k == 4:  # as if the run before had died in its merge
             store.set_properties(silver_layout(store).table, **{STATE: WRITING})
         result = run_layers(store, [source], RunParams(f"b{k}", dt.datetime(2024, 9, 1 + k, 6)),
-                            dead_letter_mode="append", bronze_mode="append" if k % 2 else "overwrite")
+                            dead_letter_mode="append", bronze_mode="append" if k % 2 else "overwrite",
+                            by_change_share=share)
         assert result.succeeded, result.checkpoints
         got = {(r.layer, r.ordinal, r.column_name, r.data_type): (r.row_count, r.null_count)
                for r in describe_tables(store).collect()}
