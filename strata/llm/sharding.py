@@ -14,7 +14,7 @@ def shard_by_bytes(
     id_col: str = "doc_id",
     text_col: str = "text",
     bucket_bits: int = 12,
-    whole_share: float = 0.02,
+    tolerance: float = 0.01,
 ) -> DataFrame:
     """(id, size, text_crc32, shard, slot): documents cut into contiguous shards
     of equal bytes.
@@ -79,10 +79,15 @@ def shard_by_bytes(
     )
     in_cell = Window.partitionBy("bucket", "h", "part").orderBy("g", "id")
     running = in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    middle = F.when(
-        F.col("group_bytes") <= whole_share / n_shards * F.col("total"),
-        2 * F.col("group_b0") + F.col("group_bytes"),
-    ).otherwise(2 * F.col("at") + F.col("size"))
+    # In shards: the group's ends, and the first and last target between them.
+    starts = F.col("group_b0") * F.lit(n_shards) / F.col("total")
+    stops = (F.col("group_b0") + F.col("group_bytes")) * F.lit(n_shards) / F.col("total")
+    first_at, last_at = F.floor(starts) + 1, F.ceil(stops) - 1
+    head, tail = first_at - starts, stops - last_at
+    to_start = (first_at <= last_at) & (head <= tolerance) & ((first_at < last_at) | (head <= tail))
+    to_stop = (first_at <= last_at) & (tail <= tolerance) & ((first_at < last_at) | (tail < head))
+    own = F.floor((2 * F.col("at") + F.col("size")) * F.lit(n_shards) / (2 * F.col("total")))
+    moved = F.when(to_start & (own < first_at), first_at).when(to_stop & (own >= last_at), last_at - 1).otherwise(own)
     cut = (
         rows.join(placed, ["bucket", "h", "part"])
         .withColumns({
@@ -91,10 +96,7 @@ def shard_by_bytes(
         })
         .select(
             "id", "size", "text_crc32", "row_at",
-            F.least(
-                F.lit(n_shards - 1),
-                F.floor(middle * F.lit(n_shards) / (2 * F.col("total"))).cast("int"),
-            ).alias("shard"),
+            F.least(F.lit(n_shards - 1), moved.cast("int")).alias("shard"),
         )
     )
     cut = checkpoint(cut)

@@ -8,6 +8,7 @@ import random
 import re
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -251,6 +252,42 @@ def test_nearest_with_repeated_ids(spark, vectors):
     assert answers(query, table, 1 << 30) == sorted((100, r, i, round(s, 9)) for r, (i, s) in enumerate(want, 1))
 
 
+@pytest.mark.parametrize("most", [ann.MAX_BROADCAST, 0])
+def test_nearest_deals_hot_buckets_out(spark, vectors, monkeypatch, most):
+    """Buckets in parts of rows and of queries give the answers of whole ones; ties by id."""
+    some = vectors.where("vec_id % 5 = 0")
+    rows = vectors.union(vectors.withColumn("vec_id", F.col("vec_id") + 10_000))
+
+    def answers():
+        found = ann.nearest(some, rows, 5, tables=4, probes=200).collect()
+        return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found)
+
+    whole = answers()
+    monkeypatch.setattr(ann, "ROWS_PER_SALT", 7)
+    monkeypatch.setattr(ann, "QUERIES_PER_SALT", 3)
+    monkeypatch.setattr(ann, "MAX_BROADCAST", most)
+    assert answers() == whole
+    scores = {}
+    for query, rank, vec, score in whole:
+        scores.setdefault(query, []).append((-score, vec))
+    assert all(own == sorted(own) for own in scores.values())
+
+
+def test_probes_fall_with_the_rows():
+    """Work of a query: its share of the rows falls as the table grows, on random vectors too."""
+    rng = np.random.default_rng(5)
+    shares = []
+    for n in (1000, 8000):
+        x = rng.standard_normal((n, 64))
+        codes, cells = ann.own_cells(x, ann.TABLES, ann.SEED)
+        held = Counter((c, e) for own in zip(codes, cells) for c, e in zip(*own))
+        codes, cells = ann.probed_cells(x[:50], ann.TABLES, ann.probes_for(n), ann.SEED)
+        assert all(sum(map(len, e)) == ann.probes_for(n) for e in cells)
+        shares.append(sum(held[c, e] for C, E in zip(codes, cells) for c, some in zip(C, E) for e in some) / 50 / n)
+    assert shares[1] < 0.6 * shares[0] and shares[1] < 0.2
+    assert ann.probes_for(10**9) < 40 and ann.probes_for(10**12) == ann.TABLES
+
+
 def test_bpe_round_trip(docs, none):
     import base64
 
@@ -379,6 +416,38 @@ def test_a_hot_text_is_cut_between_documents(spark):
     assert len(sums) == 8 and max(r.s for r in sums) - min(r.s for r in sums) <= 40
 
 
+@pytest.mark.parametrize("n_shards,tolerance", [(3, 0.01), (8, 0.01), (8, 0.2), (40, 0.3), (5, 0.0)])
+def test_shards_equal_a_cut_by_hand(spark, n_shards, tolerance):
+    """Targets moved one by one on the ordered texts, against the operator's cut."""
+    texts = ["hot"] * 400 + ["b" * 90] * 60 + [f"text {i} " + "x" * (i * 37 % 200) for i in range(300)] + ["z" * 3000, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    text = F.coalesce("text", F.lit(""))
+    order = df.select("doc_id", text.alias("t"), F.xxhash64(text).alias("h"),
+                      F.xxhash64("doc_id", F.lit("slice")).alias("g")).collect()
+    order = sorted(order, key=lambda r: (r.h % 2**64 >> 52, r.h, r.g % 2**64 >> 58, r.g, r.doc_id))
+    size = [len(r.t.encode()) + 1 for r in order]
+    ends = np.cumsum(size)
+    total = int(ends[-1])
+    groups = {}
+    for i, r in enumerate(order):
+        groups.setdefault(r.t, []).append(i)
+    spans = [(int(ends[g[0]]) - size[g[0]], int(ends[g[-1]])) for g in groups.values()]
+    assert all(g == list(range(g[0], g[-1] + 1)) for g in groups.values())
+    cuts = []
+    for k in range(1, n_shards):
+        target = k * total / n_shards
+        for a, b in spans:
+            near, end = min((target - a, a), (b - target, b))
+            if a < target < b and near <= tolerance * total / n_shards:
+                target = end
+                break
+        cuts.append(target)
+    middles = [e - s / 2 for e, s in zip(ends.tolist(), size)]
+    want = {r.doc_id: sum(m >= c for c in cuts) for r, m in zip(order, middles)}
+    got = {r.id: r.shard for r in sharding.shard_by_bytes(df, n_shards, tolerance=tolerance).collect()}
+    assert got == want
+
+
 def test_mixing(spark, docs, none):
     n = 4000
     rows = spark.range(n).select(
