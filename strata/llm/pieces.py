@@ -11,8 +11,8 @@ Those pieces then travel with their symbols to the bucket of their anchor, where
 a window that repeats is met by all its copies.
 
 A bucket's pieces are handled by a method-specific function. Before that,
-equal pieces are made one, first within a map batch, then in the bucket: only
-the earliest is looked at, the rest are known to repeat it.
+equal pieces are made one within a map batch, and in the bucket if the method
+asks for it: only the earliest is looked at, the rest are known to repeat it.
 """
 
 from __future__ import annotations
@@ -274,15 +274,18 @@ def repeated_windows(
     solve: Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]],
     window: int,
     q: int,
+    distinct: bool = True,
 ) -> DataFrame:
     """(id, h, start, n): runs of windows of a document (see ``with_keys``) that
     also start earlier.
 
     ``symbols(text)`` are a text's symbols as uint64, ``cut(text, start, stop)``
     the bytes of symbols start to stop, for several pieces. ``solve(pieces,
-    group, place)`` gets distinct pieces in document order, with the number and
+    group, place)`` gets a bucket's pieces in document order, with the number and
     place of each one's anchor; it returns per piece a boolean per window: does
-    it occur before.
+    it occur before. With ``distinct``, equal pieces of a bucket are made one
+    first; without, all are solved (equal ones of a map batch are still sent
+    once).
     """
     total = text_bytes(base, "text")
     buckets = max(1, -(-total * 2 // BUCKET_BYTES))
@@ -334,16 +337,18 @@ def repeated_windows(
         if not len(keep):
             return
         order = keep[np.lexsort((start[keep], h[keep], id_[keep]))]
+        # Rows of one document, start and all, are one.
+        own = np.stack((id_[order], h[order], start[order]))
+        order = order[np.concatenate(([True], (own[:, 1:] != own[:, :-1]).any(axis=0)))]
         first: dict[bytes, int] = {}
         pieces, of, copies = [], [], []
         for r, s, a, b in zip(order.tolist(), source[order].tolist(), lo[order].tolist(), hi[order].tolist()):
             piece = bytes(opened[s][1][a:b])
-            known = first.setdefault(piece, r)
-            if known == r:
+            if distinct and first.setdefault(piece, r) != r:
+                copies.append(r)
+            else:
                 pieces.append(piece)
                 of.append(r)
-            elif (id_[r], h[r], start[r]) != (id_[known], h[known], start[known]):
-                copies.append(r)
         of = np.array(of)
         if copies:
             yield _spans(id_[copies], h[copies], start[copies], n[copies])

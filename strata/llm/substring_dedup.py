@@ -34,37 +34,47 @@ def cut_words(text: str, start: np.ndarray, stop: np.ndarray) -> list[bytes]:
     return [joined[a:b] for a, b in zip(begins[start].tolist(), ends[stop - 1].tolist())]
 
 
-def _subtree(heads: np.ndarray, rows: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """The deep internal nodes below a prefix of ``depth`` words shared by the
-    suffixes ``rows``: for each, its leaves. A suffix tree's nodes are the runs
-    of sorted suffixes by the length of their common prefixes; a node is deep
-    if it spans the whole width of ``heads``."""
-    width = heads.shape[1]
-    own = heads[rows]
-    order = np.lexsort(own[:, depth:].T[::-1]) if depth < width else np.arange(len(rows))
+def _subtree(
+    words: np.ndarray, at: np.ndarray, stop: np.ndarray, depth: int, window: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix tree of suffixes that share ``depth`` words, as its leaves in
+    order, and the deep internal nodes nearest to its root: where each begins
+    among the leaves, and the words that all its leaves share (at least
+    ``window``). Leaves of deeper nodes are leaves of these."""
+    length = stop - at
+    if depth >= window:
+        return np.arange(len(at)), np.zeros(1, np.int64), np.array([depth])
+    place = at[:, None] + np.arange(depth, int(length.max()))
+    own = words[np.minimum(place, len(words) - 1)].astype(">u4")
+    # Behind a suffix's end, and never counted as shared.
+    own[place >= stop[:, None]] = 0
+    order = np.argsort(own.view(f"V{own.itemsize * own.shape[1]}").ravel(), kind="stable")
     own = own[order]
-    # Length of the prefix shared with the suffix before.
     differ = own[1:] != own[:-1]
-    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    edge = np.flatnonzero(shared < width) + 1
-    for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(rows)]):
-        if hi - lo > 1:
-            yield rows[order[lo:hi]]
-
-
-def _prefix_groups(heads: np.ndarray, rows: np.ndarray, depth: int, limit: int) -> Iterator[tuple[np.ndarray, int]]:
+    shared = depth + np.where(differ.any(axis=1), differ.argmax(axis=1), own.shape[1])
+    shared = np.minimum(shared, np.minimum(length[order][1:], length[order][:-1]))
+    begin = np.concatenate(([0], np.flatnonzero(shared < window) + 1))
+    # A node is as deep as the least prefix that neighbours share in it.
+    inner = np.append(shared, 0)
+    inner[np.append(begin[1:], len(at)) - 1] = np.iinfo(np.int64).max
+    return order, begin, np.minimum.reduceat(inner, begin)
+
+
+def _prefix_groups(
+    words: np.ndarray, at: np.ndarray, rows: np.ndarray, window: int, limit: int
+) -> Iterator[tuple[np.ndarray, int]]:
     """Split suffixes into groups of at most ``limit`` by prefixes of variable
     length: a group beyond it is split by one more word. Groups of one suffix
     hold no internal node and are dropped."""
-    todo = [(rows, depth)]
+    todo = [(rows, 0)]
     while todo:
         rows, depth = todo.pop()
         if len(rows) < 2:
             continue
-        if len(rows) <= limit or depth == heads.shape[1]:
+        if len(rows) <= limit or depth == window:
             yield rows, depth
             continue
-        word = heads[rows, depth]
+        word = words[at[rows] + depth]
         order = np.argsort(word, kind="stable")
         edge = np.flatnonzero(np.diff(word[order])) + 1
         todo += [(part, depth + 1) for part in np.split(rows[order], edge)]
@@ -73,32 +83,42 @@ def _prefix_groups(heads: np.ndarray, rows: np.ndarray, depth: int, limit: int)
 def repeated_by_trees(
     pieces: list[bytes], group: np.ndarray, place: np.ndarray, window: int, limit: int = SUBTREE
 ) -> list[np.ndarray]:
-    """Per piece a boolean per window: does its word sequence occur before."""
+    """Per piece a boolean per window: does its word sequence occur before.
+
+    The suffixes of a piece are those of at least ``window`` words. Only their
+    places are kept; words are laid out for one subtree at a time."""
     number: dict[bytes, int] = {}
-    heads, counts = [], []
+    numbered: dict[bytes, np.ndarray] = {}
     for piece in pieces:
-        ids = np.array([number.setdefault(w, len(number)) for w in piece.split(b" ")], np.int32)
-        heads.append(np.lib.stride_tricks.sliding_window_view(ids, window))
-        counts.append(len(heads[-1]))
+        if piece not in numbered:
+            # From 1, as 0 stands behind a suffix's end.
+            numbered[piece] = np.array([number.setdefault(w, len(number) + 1) for w in piece.split(b" ")], np.uint32)
+    words = np.concatenate([numbered[piece] for piece in pieces])
+    size = np.array([len(numbered[piece]) for piece in pieces])
+    counts = size - window + 1
     ends = np.cumsum(counts)
-    flags = np.zeros(int(ends[-1]), bool)
+    of = np.repeat(np.arange(len(pieces)), counts)
+    stop = np.cumsum(size)[of]
+    at = np.arange(len(of)) + (window - 1) * of
+    flags = np.zeros(len(of), bool)
     # Anchors are taken together as long as they fit one subtree; suffixes of
     # different anchors never share a deep node.
     by_anchor = np.argsort(group, kind="stable")
-    at = 0
-    while at < len(by_anchor):
-        size, to = 0, at
-        while to < len(by_anchor) and (to == at or size < limit or group[by_anchor[to]] == group[by_anchor[to - 1]]):
-            size += counts[by_anchor[to]]
-            to += 1
-        some = np.sort(by_anchor[at:to])
-        at = to
-        table = np.concatenate([heads[p] for p in some])
-        own = np.concatenate([np.arange(ends[p] - counts[p], ends[p]) for p in some])
-        for rows, depth in _prefix_groups(table, np.arange(len(table)), 0, limit):
-            for leaves in _subtree(table, rows, depth):
-                leaves = np.sort(leaves)
-                flags[own[leaves[1:]]] = True
+    rows = np.argsort(group[of], kind="stable")
+    total = np.concatenate(([0], np.cumsum(counts[by_anchor])))
+    whole = np.append(np.flatnonzero(np.diff(group[by_anchor])) + 1, len(by_anchor))
+    begin = 0
+    while begin < len(rows):
+        fits = total[whole[total[whole] <= begin + limit]]
+        end = int(fits[-1]) if len(fits) and fits[-1] > begin else int(total[whole[total[whole] > begin][0]])
+        for some, depth in _prefix_groups(words, at, rows[begin:end], window, limit):
+            order, first, _ = _subtree(words, at[some], stop[some], depth, window)
+            leaves = some[order]
+            # The leaves of a deep node are the copies of one repeat; the
+            # earliest stays.
+            earliest = np.minimum.reduceat(leaves, first)
+            flags[leaves] = leaves != np.repeat(earliest, np.diff(np.append(first, len(leaves))))
+        begin = end
     return np.split(flags, ends[:-1])
 
 
@@ -120,7 +140,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     """
     base = with_keys(docs, id_col, text_col)
     runs = repeated_windows(
-        base, word_symbols, cut_words, partial(repeated_by_trees, window=window), window, FACTOR
+        base, word_symbols, cut_words, partial(repeated_by_trees, window=window), window, FACTOR, distinct=False
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
