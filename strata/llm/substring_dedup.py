@@ -122,16 +122,19 @@ def repeated_by_trees(
     return np.split(flags, ends[:-1])
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def substring_dedup(
+    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", subtree: int = SUBTREE
+) -> DataFrame:
     """(doc_id, kept_text, n_words, n_removed): every word covered by a
     ``window``-word sequence that also starts earlier is removed; the kept
     words are joined by one space.
 
     Earlier is by id, then by start; the windows are those of the input, not of
     what is left. Suffixes are partitioned by content, prefixes growing where a
-    group is too large for memory; in each group a suffix tree is built from
-    the sorted suffixes and their common prefixes, and the leaves of its deep
-    internal nodes are the copies of one repeat, of which the first stays.
+    group holds more than ``subtree`` of them; in each group a suffix tree is
+    built from the sorted suffixes and their common prefixes, and the leaves of
+    its deep internal nodes are the copies of one repeat, of which the first
+    stays.
 
     Words are separated by ASCII white space. A null text has no words. Null
     ids come last in the order. Rows alike in id and text are one document and
@@ -140,7 +143,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
     """
     base = with_keys(docs, id_col, text_col)
     runs = repeated_windows(
-        base, word_symbols, cut_words, partial(repeated_by_trees, window=window), window, FACTOR, distinct=False
+        base, word_symbols, cut_words, partial(repeated_by_trees, window=window, limit=subtree), window, FACTOR,
+        distinct=False,
     )
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

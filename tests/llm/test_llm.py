@@ -288,6 +288,63 @@ def test_probes_fall_with_the_rows():
     assert ann.probes_for(10**9) < 40 and ann.probes_for(10**12) == ann.TABLES
 
 
+def test_subtrees_have_the_nodes_of_a_suffix_tree():
+    """Equal pieces among them: each deep node nearest to the root, by its leaves and its depth."""
+    rng = random.Random(8)
+    for _ in range(60):
+        width = rng.randint(2, 4)
+        pieces = [[rng.randint(1, 2) for _ in range(rng.randint(width, 9))] for _ in range(rng.randint(1, 7))]
+        pieces += rng.choices(pieces, k=2)
+        suffixes = [p[i:] for p in pieces for i in range(len(p) - width + 1)]
+        words = np.array([w for p in pieces for w in p], np.uint32)
+        ends = np.cumsum([len(p) for p in pieces])
+        at = np.array([e - len(p) + i for p, e in zip(pieces, ends) for i in range(len(p) - width + 1)])
+        stop = np.array([e for p, e in zip(pieces, ends) for _ in range(len(p) - width + 1)])
+        order, first, depth = substring_dedup._subtree(words, at, stop, 0, width)
+        got = {}
+        for leaves, d in zip(np.split(order, first[1:]), depth):
+            if len(leaves) > 1:
+                got[tuple(sorted(leaves.tolist()))] = int(d)
+        want = {}
+        for head in {tuple(s[:width]) for s in suffixes}:
+            leaves = tuple(i for i, s in enumerate(suffixes) if tuple(s[:width]) == head)
+            if len(leaves) > 1:
+                want[leaves] = len(os.path.commonprefix([suffixes[i] for i in leaves]))
+        assert got == want
+        text = [b" ".join(b"%d" % w for w in p) for p in pieces]
+        none = np.zeros(len(pieces), np.int64)
+        seen = set()
+        flags = [s in seen or seen.add(s) is not None for s in (tuple(s[:width]) for s in suffixes)]
+        for limit in (1, 3, 1 << 16):
+            assert np.concatenate(substring_dedup.repeated_by_trees(text, none, none, width, limit)).tolist() == flags
+
+
+@pytest.mark.parametrize("subtree", [2, 40, 1 << 16])
+def test_prefixes_grow_under_a_hot_phrase(spark, subtree):
+    """A phrase that all documents hold in contexts of their own and in shared ones: groups split, nothing lost."""
+    rng = random.Random(4)
+    shared = " ".join(rng.choices(WORDS, k=30))
+    texts = []
+    for i in range(120):
+        own = [f"u{i}_{j}" for j in range(25)]
+        middle = shared if i % 3 == 0 else " ".join(rng.choices(WORDS[:3], k=24))
+        texts.append(" ".join([*own[:12], "all rows say this", middle, "all rows say this", *own[12:]]))
+    texts += texts[:5]
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        words = t.split()
+        gone = [False] * len(words)
+        for j in range(len(words) - 19):
+            head = tuple(words[j:j + 20])
+            if head in seen:
+                gone[j:j + 20] = [True] * 20
+            seen.add(head)
+        want[i] = (" ".join(w for w, g in zip(words, gone) if not g), sum(gone))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r.doc_id: (r.kept_text, r.n_removed) for r in substring_dedup.substring_dedup(df, subtree=subtree).collect()}
+    assert got == want and any(n for _, n in want.values())
+
+
 def test_bpe_round_trip(docs, none):
     import base64
 
