@@ -17,11 +17,15 @@ from strata.llm.embed_dedup import cosines, usable
 #: Tables. In each, two pseudo-rotations give a vector two signed axes; together
 #: they are its cell. Rows that share the first axis are one bucket.
 TABLES = 24
-#: Cells that a query looks into, over all tables, in a table of ``PROBES_AT``
-#: rows. A larger table holds nearer neighbours, which stand in likelier cells:
-#: the number falls with the rows to the power ``PROBES_POWER``, down to one
-#: cell a table, and grows as smoothly in smaller ones.
+#: Cells that a query looks into, over all tables, for neighbours as near as the
+#: k nearest of ``PROBES_AT`` random vectors. Nearer ones, such as more random
+#: vectors hold, stand in likelier cells: the number falls with those rows to the
+#: power ``PROBES_POWER``, down to one cell a table, and grows as smoothly for
+#: farther ones. How near a query's neighbours are is first found out in
+#: ``FIRST_PROBES`` cells of the first ``FIRST_TABLES`` tables.
 PROBES = 1600
+FIRST_TABLES = 6
+FIRST_PROBES = 400
 PROBES_AT = 10_000
 PROBES_POWER = 0.35
 SEED = 23
@@ -87,21 +91,25 @@ def own_cells(vectors: np.ndarray, tables: int, seed: int) -> tuple[list, list]:
     return codes.tolist(), best[:, :, 1].tolist()
 
 
-def probed_cells(vectors: np.ndarray, tables: int, probes: int, seed: int) -> tuple[list, list]:
+def probed_cells(vectors: np.ndarray, tables: int, probes: int | list[int], seed: int,
+                 among: int | None = None) -> tuple[list, list]:
     """Per row the buckets to look into, and the cells in each: the ``probes``
-    cells, over all tables, whose two axes are nearest in sum."""
-    near = _rotations(vectors, tables, seed)
+    cells (one number, or one per row), over all tables or the first ``among``
+    of them, whose two axes are nearest in sum."""
+    among = among or tables
+    near = _rotations(vectors, tables, seed)[:, :among]
     near = np.concatenate((near, -near), axis=-1)
-    # A cell among the best of all has both axes among the best of its table.
-    top = min(near.shape[-1], math.ceil(4 * math.sqrt(probes / tables)))
-    axes = np.argsort(-near, axis=-1, kind="stable")[..., :top]
-    near = np.take_along_axis(near, axes, -1)
+    order = np.argsort(-near, axis=-1, kind="stable")
     codes, cells = [], []
-    for a, v in zip(axes, near):
+    for a, v, asked in zip(order, near, [probes] * len(vectors) if isinstance(probes, int) else probes):
+        # A cell among the best of all has both axes among the best of its table.
+        top = min(v.shape[-1], math.ceil(4 * math.sqrt(asked / among)))
+        a = a[..., :top]
+        v = np.take_along_axis(v, a, -1)
         total = (v[:, 0, :, None] + v[:, 1, None, :]).ravel()
-        some = min(probes, len(total))
+        some = min(asked, len(total))
         best = np.argpartition(-total, some - 1)[:some]
-        table, first, second = np.unravel_index(best, (tables, top, top))
+        table, first, second = np.unravel_index(best, (among, top, top))
         code = _codes(table, vectors.shape[1], a[table, 0, first])
         order = np.argsort(code, kind="stable")
         cut = np.flatnonzero(np.diff(code[order])) + 1
@@ -117,8 +125,19 @@ def every_cell(vectors: np.ndarray, seed: int) -> tuple[list, list]:
     return [codes] * len(vectors), [[[]] * width] * len(vectors)
 
 
-def _placed(df: DataFrame, place: Callable[[np.ndarray], tuple[list, list]], cell: str) -> DataFrame:
-    """(id, vector, code, cell): one row per bucket that ``place`` gives a vector."""
+def rows_as_near(cosine: float, dim: int, k: int) -> float:
+    """How many random vectors hold k neighbours of at least this cosine."""
+    t = np.linspace(min(1.0, max(-1.0, cosine)), 1.0, 2049)
+    whole = np.linspace(-1.0, 1.0, 4097)
+    power = (max(3, dim) - 3) / 2
+    above = np.trapezoid((1 - t * t) ** power, t) / np.trapezoid((1 - whole * whole) ** power, whole)
+    return k / max(above, 1e-100)
+
+
+def _placed(df: DataFrame, place: Callable[..., tuple[list, list]], cell: str) -> DataFrame:
+    """(id, vector, code, cell): one row per bucket that ``place`` gives a vector
+    (and its ``kth``, where the frame has that column)."""
+    more = [c for c in df.columns if c == "kth"]
     kind = df.schema["vector"].dataType.simpleString()
     item = pa.int32() if cell == "int" else pa.list_(pa.int32())
 
@@ -131,7 +150,8 @@ def _placed(df: DataFrame, place: Callable[[np.ndarray], tuple[list, list]], cel
                 cells: list = [None] * len(lists)
                 for dim in {len(v) for v in lists}:
                     of = [i for i, v in enumerate(lists) if len(v) == dim]
-                    for i, c, e in zip(of, *place(np.array([lists[i] for i in of], np.float64))):
+                    given = [[part.column(c)[i].as_py() for i in of] for c in more]
+                    for i, c, e in zip(of, *place(np.array([lists[i] for i in of], np.float64), *given)):
                         codes[i], cells[i] = c, e
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("vector"), pa.array(codes, pa.list_(pa.int64())),
@@ -259,8 +279,9 @@ def _search(asked: DataFrame, index: DataFrame, parts: int, k: int) -> DataFrame
     ).where(F.col("rank") <= k)
 
 
-def probes_for(n: int, tables: int = TABLES) -> int:
-    """Cells that a query probes among ``n`` rows, over all tables."""
+def probes_for(n: float, tables: int = TABLES) -> int:
+    """Cells, over all tables, that a query probes for neighbours as near as its
+    nearest among ``n`` random vectors."""
     return max(tables, math.ceil(PROBES * (PROBES_AT / max(1, n)) ** PROBES_POWER))
 
 
@@ -280,8 +301,11 @@ def nearest(
 
     Every row is indexed: in each table it belongs to the cell of the two signed
     axes nearest to two pseudo-rotations of its vector. A query probes the
-    ``probes`` likeliest cells over all tables (``probes_for`` the rows, unless
-    given), and is compared with all rows there. Cells that share the first axis
+    ``probes`` likeliest cells over all tables, and is compared with all rows
+    there. Unless given, the number is each query's own and follows from how near
+    its k-th row of a first, fixed search is, whatever the size of the table: the
+    nearer that row, the likelier are the cells of all that are nearer still
+    (``probes_for`` the random vectors that have k as near). Cells that share the first axis
     travel as one bucket; a bucket that holds a third of all rows or queries is
     dealt out on both sides, and a task returns k rows per query, never all
     pairs. A query for which this finds fewer than ``k`` rows is compared, in
@@ -297,11 +321,21 @@ def nearest(
         return df.where(F.col("id").isNotNull() & usable("vector"))
 
     queries, rows = clean(queries), clean(rows)
-    n = rows.count()
-    cells = probes_for(n, tables) if probes is None else max(1, probes)
-    parts = partitions_for(rows, n * tables * 300, 48 << 20)
+    parts = partitions_for(rows, rows.count() * tables * 300, 48 << 20)
     index = _placed(rows, lambda v: own_cells(v, tables, seed), "int")
-    asked = _placed(queries, lambda v: probed_cells(v, tables, cells, seed), "array<int>")
+    if probes is None:
+        some = min(FIRST_TABLES, tables)
+        first = _placed(queries, lambda v: probed_cells(v, tables, FIRST_PROBES, seed, some), "array<int>")
+        kth = _search(first, index.where(F.shiftright("code", 44) < some), parts, k).where(F.col("rank") == k)
+        known = kth.select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+
+        def likeliest(v: np.ndarray, near: list) -> tuple[list, list]:
+            own = [probes_for(rows_as_near(s or 0.0, v.shape[1], k), tables) for s in near]
+            return probed_cells(v, tables, own, seed)
+
+        asked = _placed(queries.join(known, "id", "left"), likeliest, "array<int>")
+    else:
+        asked = _placed(queries, lambda v: probed_cells(v, tables, max(1, probes), seed), "array<int>")
     found = checkpoint(_search(asked, index, parts, k))
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
     short = checkpoint(queries.join(enough, queries["id"] == enough["query_id"], "left_anti"))

@@ -273,6 +273,32 @@ def test_nearest_deals_hot_buckets_out(spark, vectors, monkeypatch, most):
     assert all(own == sorted(own) for own in scores.values())
 
 
+def test_answers_do_not_depend_on_the_number_of_rows(spark, monkeypatch):
+    """Rows that no query is compared with change no answer, however many they are."""
+    monkeypatch.setattr(ann, "PROBES", 60)
+    rng = np.random.default_rng(4)
+    shape = "vec_id long, embedding array<double>"
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 16)))], shape)
+    others = spark.createDataFrame([(1000 + i, v.tolist()) for i, v in enumerate(rng.standard_normal((5000, 2)))], shape)
+    some = rows.where("vec_id % 10 = 0")
+
+    def answers(table):
+        return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.nearest(some, table, 5).collect())
+
+    assert answers(rows.union(others)) == answers(rows)
+
+
+def test_rows_as_near():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((200_000, 16))
+    cos = np.sort(x[:, 0] / np.linalg.norm(x, axis=1))[::-1]
+    for n in (2_000, 20_000, 200_000):
+        s = float(np.median(cos.reshape(-1)[:5 * 200_000 // n][-1:]))
+        assert 0.5 * n < ann.rows_as_near(s, 16, 5) < 2 * n
+    assert ann.rows_as_near(1.0, 16, 5) > 1e50 and ann.probes_for(ann.rows_as_near(1.0, 16, 5)) == ann.TABLES
+    assert ann.rows_as_near(-1.0, 2, 5) == pytest.approx(5)
+
+
 def test_probes_fall_with_the_rows():
     """Work of a query: its share of the rows falls as the table grows, on random vectors too."""
     rng = np.random.default_rng(5)
