@@ -25,6 +25,7 @@ from strata.plans import (
 )
 from strata.plans.layers import STATE, WRITING
 from strata.plans.testdata import StepClock
+from strata.sources.splits import LEAST_TASKS, fine_tasks
 from strata.sources.store import BATCHES, LOG, TableSpec, TableStore
 
 PRODUCT = ("name string, main_category string, sub_category string, ratings string, no_of_ratings string, "
@@ -415,3 +416,34 @@ def test_metrics_and_summaries_are_kept_by_change(spark, scratch_dir, share):
         assert store.properties("gold_rollup")[STATE] == state
     plan = describe_tables(store)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "layer_metrics" in plan
+
+
+def test_layers_are_built_by_several_tasks_a_core(spark, scratch_dir):
+    """One task a core and one more would leave all cores waiting for that one."""
+    spark.range(400_000).selectExpr(
+        "concat('n', id) AS name", "'m' AS main_category", "'s' AS sub_category", "'1' AS ratings",
+        "string(id) AS no_of_ratings", "'1' AS discount_price", "'2' AS actual_price", "sha2(string(id), 256) AS image",
+        "sha2(string(-id), 256) AS link").repartition(40).write.parquet(f"{scratch_dir}/in")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64k")
+    try:
+        store = TableStore(spark, f"{scratch_dir}/store")
+        done = run_layers(store, [Source("s", lambda: spark.read.parquet(f"{scratch_dir}/in"))],
+                          RunParams("b", dt.datetime(2024, 1, 1)))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert done.succeeded and done.gold.fact_rows == 400_000
+    files = {r.f for r in store.read("bronze").selectExpr("input_file_name() AS f").distinct().collect()}
+    assert len(files) >= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_fine_tasks_leaves_the_session_as_it_was(spark):
+    files, shuffles = LEAST_TASKS
+    spark.conf.set(files, "3")
+    try:
+        with pytest.raises(KeyError), fine_tasks(spark, 2):
+            assert spark.conf.get(files) == "3"
+            assert int(spark.conf.get(shuffles)) == 2 * spark.sparkContext.defaultParallelism
+            raise KeyError
+        assert spark.conf.get(files) == "3" and spark.conf.get(shuffles, None) is None
+    finally:
+        spark.conf.unset(files)
