@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from strata.operators import (
 )
 from strata.operators.summaries import category_summary
 from strata.schemas import PRODUCT_KEY
+from strata.sources.files import read_csv_source, write_csv
+from strata.sources.products import messy_products
 
 
 @pytest.fixture()
@@ -87,3 +91,29 @@ def test_quarantine_keeps_the_text_received(mock_df):
 def test_category_summary_of_the_shop(shop):
     rows = {r["main_category"]: (r["product_count"], r["avg_actual_price"]) for r in category_summary(shop).collect()}
     assert rows["kitchen"] == (3, 1166.67) and rows["garden"] == (3, 250.67)
+
+
+def test_compressed_inputs_read_back_in_bounded_files(spark, scratch_dir):
+    rows = spark.createDataFrame([(f" n{i}", '"q", x' if i % 3 else None) for i in range(250)], "name string, link string")
+    write_csv(rows.coalesce(1), f"{scratch_dir}/c", compression="lz4", rows_per_file=100)
+    files = [f for f in os.listdir(f"{scratch_dir}/c") if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".lz4") for f in files)
+    back = read_csv_source(spark, f"{scratch_dir}/c", ["name", "link"], raw_line=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(((*r, None) for r in rows.collect()), key=str)
+
+
+def test_products_of_odd_part_keys(spark, scratch_dir):
+    """Ratings and part columns as the rule says, for negative keys and NULLs too."""
+    keys = [*range(-60, 60), 10**12 + 7]
+    part = spark.createDataFrame([(k, None if k % 7 == 0 else f"n{k}", None if k % 5 == 0 else "b", "Type x") for k in keys],
+                                 "p_partkey long, p_name string, p_brand string, p_type string")
+    lines = spark.createDataFrame([(i + 1, k, 1, 100.0 * i) for i, k in enumerate(keys)],
+                                  "l_orderkey long, l_partkey long, l_linenumber int, l_extendedprice double")
+    part.write.parquet(f"{scratch_dir}/part.parquet")
+    lines.withColumn("l_shipdate", F.lit("1995-01-01").cast("timestamp")).write.parquet(f"{scratch_dir}/lineitem.parquet")
+    got = {r.link: r for r in messy_products(spark, scratch_dir).collect()}
+    want = spark.createDataFrame([(k,) for k in keys], "k long").selectExpr("k", "CAST(round((k % 51) / 10.0, 1) AS STRING) AS r")
+    assert {r.k: r.r for r in want.collect()} == {k: got[f"item/{k}"].ratings for k in keys}
+    row = got["item/3"]
+    assert (row.name, row.main_category, row.sub_category) == ("  n3 ", "TYPE X", "b ")
+    assert got["item/7"].name is None and got["item/5"].sub_category is None
